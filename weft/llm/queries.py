@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from weft.llm import secrets
+from weft.llm import langid, licenses, secrets
 from weft.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -28,3 +28,21 @@ def op10_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     joined = lambda spans: F.expr(f"array_join(transform({spans}, s -> concat(element_at({kinds}, s.kind + 1), ':', s.start, ':', s.end)), ',')")
     count = lambda kind: F.expr(f"cast(size(filter(secret_spans, s -> s.kind = {kind})) as bigint)")
     return found.select("doc_id", count(0).alias("n_assign"), count(1).alias("n_access"), count(2).alias("n_hex"), F.sha2(joined("filter(secret_spans, s -> s.kind < 3)"), 256).alias("base_sha256"), joined("secret_spans").alias("spans"))
+
+
+@query
+def op4_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = licenses.scan(table(spark, sf_dir, "documents"), ["doc_id"])
+    return found.select("doc_id", "n_words", "n_base", "first_word", "last_word", F.array_join("base_labels", ",").alias("base_labels"), F.array_join("labels", ",").alias("labels"), "score")
+
+
+@query
+def op7_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").withColumn("held_out", langid_held_out())
+    model = langid.train(docs.filter(~F.col("held_out")))
+    return langid.identify(docs, model, ["doc_id", "held_out"])
+
+
+def langid_held_out():
+    """True where crc32 of the id as text leaves 1 modulo 3; a null id counts as empty text."""
+    return F.crc32(F.coalesce(F.col("doc_id").cast("string"), F.lit(""))) % 3 == 1
