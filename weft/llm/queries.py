@@ -8,8 +8,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from weft.llm import langid, licenses, secrets
-from weft.llm.common import table
+from weft.llm import langid, licenses, packing, secrets, token_files
+from weft.llm.common import scratch, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE_SQL: dict[str, str] = {}
@@ -46,3 +46,22 @@ def op7_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
 def langid_held_out():
     """True where crc32 of the id as text leaves 1 modulo 3; a null id counts as empty text."""
     return F.crc32(F.coalesce(F.col("doc_id").cast("string"), F.lit(""))) % 3 == 1
+
+
+def word_tokenizer() -> str:
+    import public_tokenizers
+
+    return public_tokenizers.path("word_bpe_49k.json")
+
+
+@query
+def op2_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    packed = packing.pack(table(spark, sf_dir, "documents"), ["doc_id"], word_tokenizer())
+    return packed.select("doc_id", "start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset", "padding")
+
+
+@query
+def op6_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = scratch(spark, "token-files")
+    token_files.write(table(spark, sf_dir, "documents"), path, word_tokenizer())
+    return token_files.read(spark, path)
