@@ -16,7 +16,7 @@ one shorter than the masks is not looked for.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from weft.llm.common import staged
@@ -27,10 +27,10 @@ MASKS = ((0, 1, 2, 3, 4), (0, 1, 3, 5, 6), (0, 2, 3, 4, 6))
 PAIR = (0, 3)
 
 
-def word_hashes(text: str) -> Column:
-    """Array of the 64-bit hashes of a text column's words."""
+def hashes_sql(text: str) -> str:
+    """SQL of the array of the 64-bit hashes of a text column's words."""
     words = f"array_remove(split(lower(coalesce(cast(`{text}` as string), '')), '[^\\\\p{{L}}\\\\p{{N}}]+'), '')"
-    return F.expr(f"transform({words}, w -> xxhash64(w))")
+    return f"transform({words}, w -> xxhash64(w))"
 
 
 def _seed(m: int) -> str:
@@ -64,10 +64,10 @@ def _places(m: int) -> str:
 
 
 def seeds(items: DataFrame, id: str, text: str) -> DataFrame:
-    """(item, n words of the item, mask, place, seed) of every benchmark item."""
-    rows = items.select(F.col(f"`{id}`").alias("item"), word_hashes(text).alias("_h"))
-    arrays = ", ".join(f"transform({_places(m)}, i -> named_struct('mask', {m}, 'place', i, 'seed', {_seed(m)}, 'pair', {_pair('i')}))" for m in range(len(MASKS)))
-    return rows.select("item", F.size("_h").alias("n_words"), F.explode(F.expr(f"concat({arrays})")).alias("s")).select("item", "n_words", "s.*")
+    """(item, mask, place, n_words of the item, seed, pair) of every benchmark item."""
+    arrays = ", ".join(f"transform({_places(m)}, i -> named_struct('mask', {m}, 'place', i, 'n_words', size(_h), 'seed', {_seed(m)}, 'pair', {_pair('i')}))" for m in range(len(MASKS)))
+    all_seeds = F.expr(f"transform(array({hashes_sql(text)}), _h -> concat({arrays}))[0]")
+    return items.select(F.col(f"`{id}`").alias("item"), F.explode_outer(all_seeds).alias("s")).filter("s is not null").select("item", "s.*")
 
 
 def overlaps(docs: DataFrame, benchmark: DataFrame, id: str = "doc_id", text: str = "text", item_id: str = "item_id", item_text: str = "text", min_words: int = 8, min_share: float = 0.6, max_bits: int = 1 << 22, broadcast_rows: int = 200_000) -> DataFrame:
@@ -78,11 +78,15 @@ def overlaps(docs: DataFrame, benchmark: DataFrame, id: str = "doc_id", text: st
     bits = 64
     while bits < min(max_bits, 32 * n):
         bits *= 2
-    rows = docs.select(F.col(f"`{id}`").alias("_id"), F.xxhash64(F.coalesce(F.col(f"`{text}`").cast("string"), F.lit(""))).alias("_text_hash"), word_hashes(text).alias("_h"), F.from_json(F.lit(str(_bit_table(known, "pair", bits))), "array<bigint>").alias("_pairs"), F.from_json(F.lit(str(_bit_table(known, "seed", bits))), "array<bigint>").alias("_seeds"))
-    places = f"if(size(_h) > {PAIR[1]}, filter(sequence(0, size(_h) - {PAIR[1] + 1}), i -> {_in_table('_pairs', _pair('i'), bits)}), cast(array() as array<int>))"
-    rows = rows.select("_id", "_text_hash", "_h", "_seeds", F.expr(places).alias("_at"))
-    hit = ", ".join(f"filter(transform(filter(_at, i -> i + {max(m)} < size(_h)), i -> named_struct('at', i, 'seed', {_seed(k)})), x -> {_in_table('_seeds', 'x.seed', bits)})" for k, m in enumerate(MASKS))
-    hits = rows.filter(F.size("_at") > 0).select("_id", "_text_hash", F.explode(F.expr(f"concat({hit})")).alias("x")).select("_id", "_text_hash", "x.*")
+    pairs, wanted = (f"from_json('{_bit_table(known, c, bits)}', 'array<bigint>')" for c in ("pair", "seed"))
+    # The arrays are bound as lambda variables: as columns they would be put in at each use and made anew
+    # for every place.
+    last = PAIR[1] + 1
+    places = f"if(size(_h) < {last}, cast(array() as array<int>), filter(sequence(0, size(_h) - {last}), i -> {_in_table(pairs, _pair('i'), bits)}))"
+    hit = ", ".join(f"filter(transform(filter(_at, i -> i + {max(m)} < size(_h)), i -> named_struct('at', i, 'seed', {_seed(k)})), x -> {_in_table(wanted, 'x.seed', bits)})" for k, m in enumerate(MASKS))
+    found = f"transform(array({hashes_sql(text)}), _h -> transform(array({places}), _at -> concat({hit}))[0])[0]"
+    # explode() would have the optimizer evaluate the array a second time, in a filter on its size.
+    hits = docs.select(F.col(f"`{id}`").alias("_id"), F.xxhash64(F.coalesce(F.col(f"`{text}`").cast("string"), F.lit(""))).alias("_text_hash"), F.explode_outer(F.expr(found)).alias("x")).filter("x is not null").select("_id", "_text_hash", "x.*")
     met = hits.join(F.broadcast(known) if n <= broadcast_rows else known, "seed").groupBy("_id", "_text_hash", "item", "n_words", (F.col("at") - F.col("place")).alias("diagonal")).agg(F.collect_set(F.struct("mask", "place")).alias("s"))
     offsets = "array(" + ", ".join(f"array({', '.join(map(str, m))})" for m in MASKS) + ")"
     met = met.withColumn("places", F.expr(f"array_sort(array_distinct(flatten(transform(s, x -> transform({offsets}[x.mask], o -> x.place + o)))))"))
