@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from weft.llm import decontam, langid, licenses, packing, secrets, token_files, topk, warc
+from weft.llm import decontam, jaccard, langid, licenses, packing, secrets, token_files, topk, warc
 from weft.llm.common import scratch, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -96,3 +96,8 @@ SELECT * FROM r WHERE rank <= 5
 def op3_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = decontam.overlaps(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
     return found.select("doc_id", "item_id", "matched_words", "span_words")
+
+
+@query
+def op5_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard.components(table(spark, sf_dir, "documents"), n=4, percent=85)
