@@ -14,8 +14,9 @@ So a group of near copies costs about one comparison a member and round instead
 link between components is lost, for the last round lists every such pair that shares a token.
 
 Defined results: null or empty texts, and those without words, have an empty set and stay alone;
-shorter texts than n words are one shingle; repeated rows share their node; a null id never names a
-component unless all its ids are null; an empty table gives an empty result; extra columns are dropped.
+shorter texts than n words are one shingle; repeated rows share their node; documents whose every copy
+lacks an id take no part and stay alone (component null); an empty table gives an empty result; extra
+columns are dropped.
 """
 
 from __future__ import annotations
@@ -177,7 +178,7 @@ def postings(docs: DataFrame, levels: np.ndarray, text: str, n: int, percent: in
         keep[1:] |= same
         keep[:-1] |= same
         rows = rows[keep]
-        return pd.DataFrame({"token": rows["token"].view(np.int64) if rows["token"].flags.c_contiguous else np.ascontiguousarray(rows["token"]).view(np.int64), "node": rows["node"], "n": rows["n"]})
+        return pd.DataFrame({"token": np.ascontiguousarray(rows["token"]).view(np.int64), "node": rows["node"], "n": rows["n"]})
 
     few = docs.select(F.lit(0), F.col(f"`{text}`").cast("string")).mapInArrow(emit, ddl)
     return few.groupBy("bucket").applyInPandas(runs, "token long, node long, n int")
