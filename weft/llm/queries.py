@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from weft.llm import decontam, jaccard, langid, licenses, packing, secrets, token_files, topk, warc
+from weft.llm import decontam, jaccard, langid, licenses, packing, secrets, suffix_dedup, token_files, topk, warc
 from weft.llm.common import scratch, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -101,3 +101,8 @@ def op3_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op5_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard.components(table(spark, sf_dir, "documents"), n=4, percent=85)
+
+
+@query
+def op1_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffix_dedup.deduplicate(table(spark, sf_dir, "documents"), min_bytes=50)
