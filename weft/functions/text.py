@@ -12,6 +12,7 @@ import html
 import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
+from pyspark.sql.types import ArrayType, StringType
 
 #: Lines dropped as boilerplate. Anchored at the line's start; END stands for a word's end.
 LINE_CASED = [
@@ -123,13 +124,13 @@ def is_usable(c: Column, min_words: int = 30, min_latin_ratio: float = 0.4) -> C
     return (word_count(c) >= min_words) & (latin_ratio(c) >= min_latin_ratio)
 
 
-@F.pandas_udf("string")
+@F.pandas_udf(StringType())
 def unescape(texts: pd.Series) -> pd.Series:
     """HTML entities decoded, the full HTML 5 table (T5)."""
     return texts.map(html.unescape, na_action="ignore")
 
 
-@F.pandas_udf("array<string>")
+@F.pandas_udf(ArrayType(StringType()))
 def unescape_all(texts: pd.Series) -> pd.Series:
     return texts.map(lambda a: [html.unescape(t) for t in a], na_action="ignore")
 

@@ -1,14 +1,360 @@
-"""Queries over the driver's tables, one per reference operator, with DuckDB SQL beside each."""
+"""Queries over the driver's tables, named by the operators they cover, with DuckDB SQL beside each."""
 
 from __future__ import annotations
 
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
+from weft.functions import text as T
+from weft.operators import corpus, dedup, speech, split, stats
+from weft.plans import fixtures as X
+from weft.session import ship
+
+Query = Callable[[SparkSession, str], DataFrame]
+QUERIES: dict[str, Query] = {}
 ORACLE_SQL: dict[str, str] = {}
 
 
+def query(name: str, sql: str | None = None) -> Callable[[Query], Query]:
+    def add(f: Query) -> Query:
+        def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+            ship(spark)
+            return f(spark, sf_dir)
+
+        QUERIES[name] = run
+        if sql:
+            ORACLE_SQL[name] = sql
+        return f
+
+    return add
+
+
+def docs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spark.read.parquet(f"{sf_dir}/documents.parquet")
+
+
+def enriched(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return corpus.add_columns(docs(spark, sf_dir), F.col("source"), F.col("lang"))
+
+
+# SQL of the shared functions (RE2 patterns).
+WORDS = r"CAST(len(regexp_extract_all(coalesce({}, ''), '[^\s\x1c-\x1f]+')) AS INTEGER)"
+SOLID = r"regexp_replace({}, '[\s\x1c-\x1f]+', '', 'g')"
+RATIO = r"coalesce(CASE WHEN length(" + SOLID + r") > 0 THEN length(regexp_replace(" + SOLID + r", '[^\x00-\x{{24F}}]', '', 'g')) / length(" + SOLID + r") END, 0.0)"
+STRIP = r"regexp_replace({}, '\A[\s\x1c-\x1f]+|[\s\x1c-\x1f]+\z', '', 'g')"
+T2_SQL = r"regexp_replace(regexp_replace({}, '\r\n?', chr(10), 'g'), '[\x00-\x08\x0b\x0c\x0e-\x1f\x7f]', '', 'g')"
+T6_SQL = STRIP.format(r"regexp_replace({}, '\n{{3,}}', chr(10) || chr(10), 'g')")
+ENRICHED = f"(SELECT *, lang AS language, {WORDS.format('text')} AS token_count, md5(coalesce(text, '')) AS content_hash FROM documents)"
+UNESCAPE = "replace(replace(replace(replace(replace(replace({}, '&copy;', '©'), '&middot;', '·'), '&quot;', '\"'), '&lt;', '<'), '&gt;', '>'), '&amp;', '&')"
+LINES_SQL = r"string_split_regex({}, '[\n\x{{85}}\x{{2028}}\x{{2029}}]')"
+LETTER_SQL = r"regexp_matches({}, '[a-zA-Z\x{{C0}}-\x{{24F}}]')"
+BOILER_SQL = "regexp_matches({}, '" + T.line_pattern(r"\b", "").replace("'", "''").replace("{", "{{").replace("}", "}}") + "')"
+
+
+def _markup_sql(c: str) -> str:
+    for pattern, by in (
+        ("<[^>]+>", "''"), (r"!\[.*?\]\(.*?\)", "''"), (r"\[([^\]]+)\]\(https?://[^)]+\)", r"'\1'"), (r"\[\*{0,2}([^\]\n]+)\*{0,2}\]\(", r"'\1 '"), (r"(?m)\[([^\]\n]*)\]\s*$", r"'\1'"),
+    ):
+        c = f"regexp_replace({c}, '{pattern}', {by}, 'g')"
+    c = rf"replace(regexp_replace(replace({c}, '](', chr(1)), '\[([^\]\x01]{{1,100}})\]', '\1', 'g'), chr(1), '](')"
+    for pattern, by in ((r"https?://\S+", "''"), (r"\[\s*\d+\s*\]", "''"), (r"\(\s*\d+\s*\)", "''"), (r"\\+", "' '"), (r"\s*\|\s*", "' '"), (r"[ \t]+", "' '")):
+        c = f"regexp_replace({c}, '{pattern}', {by}, 'g')"
+    return c
+
+
+def _clean_text_sql(c: str) -> str:
+    lines = LINES_SQL.format(T2_SQL.format(f"coalesce({c}, '')"))
+    kept = f"list_filter({lines}, lambda x: NOT {BOILER_SQL.format('x')})"
+    inline = STRIP.format(_markup_sql(UNESCAPE.format("y")))
+    return T6_SQL.format(f"array_to_string(list_filter(list_transform({kept}, lambda y: {inline}), lambda z: z = '' OR {LETTER_SQL.format('z')}), chr(10))")
+
+
+def _clean_corpus_sql(c: str, lang: str) -> str:
+    c = T2_SQL.format(UNESCAPE.format(c))
+    for pattern, by in ((r"([\pL\pN_])~([\pL\pN_])", r"'\1\2'"), (r"''\s+([a-zA-Z])", r"'''\1'"), (r"\[\s*\d+\s*\]", "''"), (r"\(\s*\d+\s*\)", "''")):
+        c = f"regexp_replace({c}, '{pattern}', {by}, 'g')"
+    s = STRIP.format("x")
+    drop = rf"(regexp_matches({s}, '(?i)^Title\s*:') OR regexp_matches({s}, '^[=\-*.]{{2,}}') OR ({s} <> '' AND NOT {LETTER_SQL.format(s)}))"
+    c = f"array_to_string(list_filter({LINES_SQL.format(c)}, lambda x: NOT {drop}), chr(10))"
+    c = rf"CASE WHEN {lang} = 'ceb' THEN regexp_replace({c}, '(?m)^\s*\(.*?\)\s*$', '', 'g') ELSE {c} END"
+    c = f"regexp_replace({c}, '[ \\t]+', ' ', 'g')"
+    return T6_SQL.format(f"array_to_string(list_transform({LINES_SQL.format(c)}, lambda w: {STRIP.format('w')}), chr(10))")
+
+
+def _pieces_sql(c: str) -> str:
+    solid = lambda a: f"list_filter(list_transform({a}, lambda p: {STRIP.format('p')}), lambda p: p <> '')"
+    paragraphs = solid(rf"string_split_regex({c}, '\n{{2,}}')")
+    return f"CASE WHEN len({paragraphs}) = 1 THEN {solid(LINES_SQL.format(c))} ELSE {paragraphs} END"
+
+
+def _split_sql(rows: str) -> str:
+    """(id, pos, doc) of rows with id and text: gathered pieces by a recursive walk."""
+    return f"""
+WITH RECURSIVE p AS (SELECT id, text, {_pieces_sql('text')} AS pieces FROM {rows}),
+q AS (SELECT *, len(pieces) AS n, CASE WHEN len(pieces) > 0 THEN list_sum(list_transform(pieces, lambda x: {WORDS.format('x')})) / len(pieces) END AS mean FROM p),
+walk AS (
+  SELECT id, 0 AS i, 0 AS words, 0 AS doc, CAST(NULL AS VARCHAR) AS piece FROM q WHERE mean < 80 AND n > 5
+  UNION ALL
+  SELECT w.id, i + 1, CASE WHEN words >= 200 THEN 0 ELSE words END + {WORDS.format('pieces[i + 1]')}, doc + CASE WHEN words >= 200 THEN 1 ELSE 0 END, pieces[i + 1] FROM walk w JOIN q USING (id) WHERE i < n
+)
+SELECT id, CAST(doc AS INTEGER) AS pos, string_agg(piece, chr(10) ORDER BY i) AS doc FROM walk WHERE i > 0 GROUP BY id, doc
+UNION ALL SELECT id, 0, text FROM q WHERE n > 0 AND NOT (mean < 80 AND n > 5)
+"""
+
+
+FLAGSHIP_SQL = f"""
+WITH e AS {ENRICHED}, d AS (SELECT * FROM e QUALIFY row_number() OVER (PARTITION BY content_hash ORDER BY doc_id) = 1)
+SELECT language, count(*) AS documents, CAST(sum(token_count) AS BIGINT) AS tokens FROM d WHERE token_count >= 30 AND {RATIO.format('text', 'text', 'text')} >= 0.4 GROUP BY language
+"""
+
+
+@query("flagship_language_table", FLAGSHIP_SQL)
 def flagship(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/documents.parquet").groupBy("lang").count()
+    once = corpus.first_wins(enriched(spark, sf_dir), F.col("content_hash"), "doc_id")
+    return stats.by_language(once.filter(T.is_usable(F.col("text"))))
+
+
+@query("P5_T10_H1_add_columns", f"SELECT doc_id, source, language, token_count, content_hash FROM {ENRICHED}")
+def _p5(spark, sf_dir):
+    return enriched(spark, sf_dir).select("doc_id", "source", "language", "token_count", "content_hash")
+
+
+@query("T11_latin_ratio", f"SELECT doc_id, {RATIO.format('text', 'text', 'text')} AS ratio FROM documents")
+def _t11(spark, sf_dir):
+    return docs(spark, sf_dir).select("doc_id", T.latin_ratio(F.col("text")).alias("ratio"))
+
+
+_FX_QUALITY = X.values(X.QUALITY, "text")
+
+
+@query("F1_T10_T11_quality_fixture", f"SELECT id, {WORDS.format('text')} AS words, {RATIO.format('text', 'text', 'text')} AS ratio, {WORDS.format('text')} >= 30 AND {RATIO.format('text', 'text', 'text')} >= 0.4 AS usable FROM {_FX_QUALITY}")
+def _quality(spark, sf_dir):
+    t = F.col("text")
+    return X.numbered(spark, X.QUALITY).select("id", T.word_count(t).alias("words"), T.latin_ratio(t).alias("ratio"), T.is_usable(t).alias("usable"))
+
+
+@query("F1_usable", f"SELECT doc_id FROM documents WHERE {WORDS.format('text')} >= 30 AND {RATIO.format('text', 'text', 'text')} >= 0.4")
+def _f1(spark, sf_dir):
+    return docs(spark, sf_dir).filter(T.is_usable(F.col("text"))).select("doc_id")
+
+
+@query("F2_F3_corpus_filter", f"SELECT doc_id FROM documents WHERE {WORDS.format('text')} >= 50 AND {RATIO.format('text', 'text', 'text')} >= 0.4")
+def _f2(spark, sf_dir):
+    return docs(spark, sf_dir).filter(T.is_usable(F.col("text"), 50)).select("doc_id")
+
+
+@query("A1_totals", f"SELECT count(*) AS total_docs, CAST(coalesce(sum(token_count), 0) AS BIGINT) AS total_tokens, coalesce(round_even(avg(token_count), 1), 0.0) AS avg_tokens, coalesce(min(token_count), 0) AS min_tokens, coalesce(max(token_count), 0) AS max_tokens FROM {ENRICHED}")
+def _a1(spark, sf_dir):
+    return stats.totals(enriched(spark, sf_dir))
+
+
+@query("A2_O1_by_source", "SELECT source, count(*) AS documents FROM documents GROUP BY source ORDER BY documents DESC, source")
+def _a2(spark, sf_dir):
+    return stats.by_source(docs(spark, sf_dir))
+
+
+@query("A3_by_language", f"SELECT language, count(*) AS documents, CAST(sum(token_count) AS BIGINT) AS tokens FROM {ENRICHED} GROUP BY language")
+def _a3(spark, sf_dir):
+    return stats.by_language(enriched(spark, sf_dir))
+
+
+@query("A4_language_total", f"SELECT CASE WHEN grouping(language) = 1 THEN 'Total' ELSE language END AS language, count(*) AS documents, CAST(sum(token_count) AS BIGINT) AS tokens FROM {ENRICHED} GROUP BY ROLLUP (language)")
+def _a4(spark, sf_dir):
+    return stats.language_table(enriched(spark, sf_dir))
+
+
+@query("P6_name_labels", "SELECT doc_id, string_split('hub/' || source || '-' || lang, '/')[-1] AS source_name, string_split('hub/' || source || '-' || lang, '-')[-1] AS language FROM documents")
+def _p6(spark, sf_dir):
+    repo = F.concat(F.lit("hub/"), "source", F.lit("-"), "lang")
+    return docs(spark, sf_dir).select("doc_id", F.element_at(F.split(repo, "/"), -1).alias("source_name"), F.element_at(F.split(repo, "-"), -1).alias("language"))
+
+
+@query("P7_record_id", "SELECT doc_id, source || '_' || lpad(CAST(doc_id AS VARCHAR), CAST(greatest(6, length(CAST(doc_id AS VARCHAR))) AS INTEGER), '0') || '_' || left(md5(source || ':' || lang || '.txt:' || doc_id), 8) AS id FROM documents")
+def _p7(spark, sf_dir):
+    return docs(spark, sf_dir).select("doc_id", corpus.record_id(F.col("source"), F.concat("lang", F.lit(".txt")), F.col("doc_id")).alias("id"))
+
+
+@query("D1_dedup_against", "SELECT doc_id FROM documents WHERE doc_id % 3 <> 0 AND md5(coalesce(text, '')) NOT IN (SELECT md5(coalesce(text, '')) FROM documents WHERE doc_id % 3 = 0)")
+def _d1(spark, sf_dir):
+    d = docs(spark, sf_dir)
+    return dedup.dedup_against(d.filter("doc_id % 3 <> 0"), d.filter("doc_id % 3 = 0")).select("doc_id")
+
+
+@query("U1_append", "SELECT doc_id, CASE WHEN doc_id % 3 = 0 THEN md5(text) END AS content_hash FROM documents WHERE doc_id % 3 = 0 OR md5(coalesce(text, '')) NOT IN (SELECT md5(coalesce(text, '')) FROM documents WHERE doc_id % 3 = 0)")
+def _u1(spark, sf_dir):
+    d = docs(spark, sf_dir)
+    existing = d.filter("doc_id % 3 = 0").withColumn("content_hash", T.content_hash(F.col("text")))
+    return dedup.append_to(d.filter("doc_id % 3 <> 0"), existing).select("doc_id", "content_hash")
+
+
+@query("A7_removal_counts", "SELECT lang AS split, count(*) AS before, CAST(count(*) FILTER (NOT seen) AS BIGINT) AS after, CAST(count(*) FILTER (seen) AS BIGINT) AS removed FROM (SELECT lang, md5(coalesce(text, '')) IN (SELECT md5(coalesce(text, '')) FROM documents WHERE doc_id % 3 = 0) AS seen FROM documents WHERE doc_id % 3 <> 0) GROUP BY lang")
+def _a7(spark, sf_dir):
+    d = docs(spark, sf_dir).withColumn("split", F.col("lang"))
+    return dedup.removal_counts(d.filter("doc_id % 3 <> 0"), d.filter("doc_id % 3 = 0"))
+
+
+@query("D2_first_wins", "SELECT doc_id, source, lang FROM documents QUALIFY row_number() OVER (PARTITION BY md5(coalesce(text, '')) ORDER BY source, doc_id) = 1")
+def _d2(spark, sf_dir):
+    return corpus.first_wins(docs(spark, sf_dir), T.content_hash(F.col("text")), "source", "doc_id").select("doc_id", "source", "lang")
+
+
+@query("D3_running_index", "SELECT doc_id, source, lang, CAST(row_number() OVER (PARTITION BY source ORDER BY lang, doc_id) - 1 AS BIGINT) AS doc_idx FROM (SELECT * FROM documents QUALIFY row_number() OVER (PARTITION BY md5(coalesce(text, '')) ORDER BY source, lang, doc_id) = 1)")
+def _d3(spark, sf_dir):
+    first = corpus.first_wins(docs(spark, sf_dir).select("doc_id", "source", "lang", "text"), T.content_hash(F.col("text")), "source", "lang", "doc_id").drop("text")
+    return corpus.running_index(first, "source", "lang", "doc_id")
+
+
+_FX_DOCS = X.values(X.DOCS, "text")
+
+
+@query("T2_T6_T9_normalize_fixture", f"SELECT id, {T2_SQL.format('text')} AS normal, {T6_SQL.format(T2_SQL.format('text'))} AS collapsed, CAST(len({LINES_SQL.format(T2_SQL.format('text'))}) AS INTEGER) AS n_lines FROM {_FX_DOCS}")
+def _t2(spark, sf_dir):
+    n = T.normalize_line_ends(F.col("text"))
+    return X.numbered(spark, X.DOCS).select("id", n.alias("normal"), T.collapse_blank_lines(n).alias("collapsed"), F.when(F.col("text").isNotNull(), F.size(T.lines(n))).alias("n_lines"))
+
+
+@query("F4_T3_boilerplate_fixture", f"SELECT id, text, {BOILER_SQL.format('text')} AS boilerplate FROM {X.values(X.LINES, 'text')}")
+def _f4(spark, sf_dir):
+    return X.numbered(spark, X.LINES).select("id", "text", T.is_boilerplate(F.col("text")).alias("boilerplate"))
+
+
+@query("F4_T3_F5_lines", f"SELECT doc_id, CAST(len(list_filter({LINES_SQL.format('text')}, lambda x: {BOILER_SQL.format('x')})) AS INTEGER) AS dropped, CAST(len(list_filter({LINES_SQL.format('text')}, lambda x: {LETTER_SQL.format('x')})) AS INTEGER) AS lettered FROM documents")
+def _f4_docs(spark, sf_dir):
+    lines = T.lines(F.col("text"))
+    return docs(spark, sf_dir).select("doc_id", F.size(F.filter(lines, T.is_boilerplate)).alias("dropped"), F.size(F.filter(lines, T.has_letter)).alias("lettered"))
+
+
+@query("T4_T5_T12_inline_fixture", f"SELECT id, {_markup_sql(UNESCAPE.format('text'))} AS cleaned FROM {X.values(X.INLINE, 'text')}")
+def _t4(spark, sf_dir):
+    return X.numbered(spark, X.INLINE).select("id", T.clean_inline(F.col("text")).alias("cleaned"))
+
+
+@query("T1_P3_clean_text_pages", f"SELECT page_id, md5({_clean_text_sql('html')}) AS cleaned_hash FROM pages")
+def _t1(spark, sf_dir):
+    return spark.read.parquet(f"{sf_dir}/pages.parquet").select("page_id", F.md5(T.clean_text(F.col("html"))).alias("cleaned_hash"))
+
+
+@query("T1_clean_text_fixture", f"SELECT id, {_clean_text_sql('text')} AS cleaned FROM {X.values([chr(10).join(X.LINES), chr(10).join(X.INLINE), *X.DOCS], 'text')}")
+def _t1_fixture(spark, sf_dir):
+    return X.numbered(spark, ["\n".join(X.LINES), "\n".join(X.INLINE), *X.DOCS]).select("id", T.clean_text(F.col("text")).alias("cleaned"))
+
+
+@query("P1_P2_P4_web_corpus", f"SELECT doc_id, token_count, content_hash FROM (SELECT doc_id, {WORDS.format('c')} AS token_count, md5(c) AS content_hash, {RATIO.format('c', 'c', 'c')} AS ratio FROM (SELECT doc_id, {_clean_text_sql('text')} AS c FROM documents)) WHERE token_count >= 30 AND ratio >= 0.4")
+def _web(spark, sf_dir):
+    raw = docs(spark, sf_dir).withColumnRenamed("text", "content")
+    return corpus.add_columns(corpus.use_cleaned(corpus.clean_web(raw)), "s", "en").select("doc_id", "token_count", "content_hash")
+
+
+@query("T7_clean_corpus_fixture", f"SELECT id, {_clean_corpus_sql('text', 'lang')} AS cleaned FROM {X.values(X.CORPUS, 'lang, text')}")
+def _t7(spark, sf_dir):
+    return X.numbered(spark, X.CORPUS, "lang string, text string").select("id", T.clean_corpus(F.col("text"), F.col("lang")).alias("cleaned"))
+
+
+@query("T7_clean_corpus", f"SELECT doc_id, md5({_clean_corpus_sql('text', 'lang')}) AS cleaned_hash FROM documents")
+def _t7_docs(spark, sf_dir):
+    return docs(spark, sf_dir).select("doc_id", F.md5(T.clean_corpus(F.col("text"), F.col("lang"))).alias("cleaned_hash"))
+
+
+@query("X1_X2_A8_split_fixture", _split_sql(X.values(X.SPLIT, "text")))
+def _x1(spark, sf_dir):
+    return X.numbered(spark, X.SPLIT).select("id", F.posexplode(corpus.split_documents(F.col("text"))).alias("pos", "doc"))
+
+
+@query("X1_X2_split_documents", f"SELECT id AS doc_id, pos, md5(doc) AS doc_hash FROM ({_split_sql('(SELECT doc_id AS id, text FROM documents)')})")
+def _x2(spark, sf_dir):
+    return docs(spark, sf_dir).select("doc_id", F.posexplode(corpus.split_documents(F.col("text"))).alias("pos", "doc")).select("doc_id", "pos", F.md5("doc").alias("doc_hash"))
+
+
+@query("B_file_corpus")
+def _file_corpus(spark, sf_dir):
+    files = docs(spark, sf_dir).select(F.crc32("source").cast("int").alias("source_ord"), "source", F.col("lang").alias("language"), F.concat(F.col("doc_id").cast("string"), F.lit(".txt")).alias("name"), "text")
+    return corpus.file_corpus(files)
+
+
+_RANKED = "(SELECT doc_id, row_number() OVER (ORDER BY md5('42:' || doc_id), CAST(doc_id AS VARCHAR)) - 1 AS rank, count(*) OVER () AS n FROM documents)"
+
+
+@query("R1_train_test", f"SELECT doc_id, rank, CASE WHEN rank < n * 9 // 10 THEN 'train' ELSE 'test' END AS split FROM {_RANKED}")
+def _r1(spark, sf_dir):
+    return split.train_test(docs(spark, sf_dir).select("doc_id"), F.col("doc_id"))
+
+
+@query("R3_K2_shards", f"SELECT doc_id, split, shard, split || '-' || lpad(CAST(shard AS VARCHAR), 5, '0') || '-of-' || lpad(CAST((size + 199) // 200 AS VARCHAR), 5, '0') || '.parquet' AS shard_name FROM (SELECT doc_id, split, CAST(place // 200 AS INTEGER) AS shard, size FROM (SELECT doc_id, CASE WHEN rank < n * 9 // 10 THEN 'train' ELSE 'test' END AS split, CASE WHEN rank < n * 9 // 10 THEN rank ELSE rank - n * 9 // 10 END AS place, CASE WHEN rank < n * 9 // 10 THEN n * 9 // 10 ELSE n - n * 9 // 10 END AS size FROM {_RANKED}))")
+def _r3(spark, sf_dir):
+    return split.shards(docs(spark, sf_dir).select("doc_id"), F.col("doc_id"), shard_rows=200).select("doc_id", "split", "shard", "shard_name")
+
+
+@query("F13_S11_open_shards", f"SELECT DISTINCT CAST(rank // 100 AS INTEGER) AS shard FROM {_RANKED} WHERE rank // 100 % 2 = 1")
+def _f13(spark, sf_dir):
+    ranked = split.shuffled_rank(docs(spark, sf_dir).select("doc_id"), F.col("doc_id")).select(F.floor(F.col("rank") / 100).cast("int").alias("shard")).distinct()
+    return ranked.join(ranked.filter("shard % 2 = 0"), "shard", "left_anti")
+
+
+_AGES = "CASE d WHEN '0' THEN '20-27' WHEN '1' THEN '28-35' WHEN '2' THEN '36-43' WHEN '3' THEN '44-51' WHEN '4' THEN '52-60' ELSE 'unknown' END"
+
+
+@query("P10_speaker_columns", rf"SELECT id, CASE WHEN hit THEN s ELSE stem END AS speaker_id, CASE WHEN hit THEN CASE g WHEN '1' THEN 'female' ELSE 'male' END ELSE 'unknown' END AS gender, CASE WHEN hit THEN {_AGES} ELSE 'unknown' END AS age_group FROM (SELECT id, stem, regexp_matches(stem, '^(\d+)_xx(\d)(\d)xxxx_(\d+)') AS hit, regexp_extract(stem, '^(\d+)_xx', 1) AS s, regexp_extract(stem, '^\d+_xx(\d)', 1) AS g, regexp_extract(stem, '^\d+_xx\d(\d)', 1) AS d FROM {X.values(X.STEMS, 'stem')})")
+def _p10(spark, sf_dir):
+    return X.numbered(spark, X.STEMS, "stem string").withColumns(speech.speaker_columns(F.col("stem"))).select("id", "speaker_id", "gender", "age_group")
+
+
+_SENTENCE = STRIP.format(r"regexp_replace(regexp_replace({}, '\(.*?\)', '', 'g'), '\s+', ' ', 'g')")
+
+
+@query("T8_clean_sentence", f"SELECT doc_id, md5({_SENTENCE.format('text')}) AS sentence_hash FROM documents")
+def _t8(spark, sf_dir):
+    return docs(spark, sf_dir).select("doc_id", F.md5(T.clean_sentence(F.col("text"))).alias("sentence_hash"))
+
+
+def _segments_sql(where: str) -> str:
+    return rf"""
+WITH s AS (SELECT *, coalesce(lead(start) OVER (PARTITION BY file, turn ORDER BY pos), start + 5.0) AS "end", {STRIP.format('text')} AS t FROM {X.values(X.SYNCS, 'file, turn, pos, start, text', number=False)}),
+c AS (SELECT *, {_SENTENCE.format('t')} AS sentence FROM s WHERE NOT regexp_matches(t, '(?s)^(?:\.\.|\{{.*\}}|)$')),
+w AS (SELECT *, {WORDS.format('sentence')} AS num_words, "end" - start AS d FROM c WHERE sentence <> '')
+SELECT file, CAST(row_number() OVER (PARTITION BY file ORDER BY turn, pos) - 1 AS INTEGER) AS idx, start, "end", sentence, round(d, 3) AS duration, num_words, file || '_' || lpad(CAST(row_number() OVER (PARTITION BY file ORDER BY turn, pos) - 1 AS VARCHAR), 4, '0') || '.wav' AS clip FROM w WHERE {where}
+"""
+
+
+def _syncs(spark: SparkSession) -> DataFrame:
+    return X.frame(spark, X.SYNCS, "file string, turn int, pos int, start double, text string")
+
+
+@query("W1_W2_F6_F9_P8_P9_segments", _segments_sql("d BETWEEN 1.5 AND 30 AND num_words >= 3"))
+def _segments(spark, sf_dir):
+    return speech.segments(_syncs(spark)).withColumn("clip", speech.clip_name(F.col("file"), F.col("idx")))
+
+
+@query("W1_F8_all_segments", _segments_sql("d > 0"))
+def _all_segments(spark, sf_dir):
+    return speech.segments(_syncs(spark), min_duration=None, max_duration=None, min_words=0).withColumn("clip", speech.clip_name(F.col("file"), F.col("idx")))
+
+
+@query("F12_presets", f"SELECT preset, count(*) AS n FROM (SELECT unnest(list_filter([CASE WHEN num_words >= 3 AND duration >= 1.5 THEN 'asr' END, CASE WHEN duration BETWEEN 1.0 AND 10.0 THEN 'tts' END], lambda x: x IS NOT NULL)) AS preset FROM ({_segments_sql('d > 0')})) GROUP BY preset")
+def _f12(spark, sf_dir):
+    found = speech.segments(_syncs(spark), min_duration=None, max_duration=None, min_words=0).withColumn("speech_type", F.lit("read"))
+    both = speech.asr_rows(found).withColumn("preset", F.lit("asr")).unionByName(speech.tts_rows(found).withColumn("preset", F.lit("tts")))
+    return both.groupBy("preset").agg(F.count("*").alias("n"))
+
+
+_FX_WAVS = X.values(X.WAVS, "stem, dir_ord, path", number=False)
+_FX_TRS = X.values(X.TRANSCRIPTS, "stem, speech_type", number=False)
+
+
+@query("S9_S10_wav_index", f"SELECT stem, arg_max(path, (dir_ord, path)) AS last_path, arg_min(path, (dir_ord, path)) AS first_path FROM {_FX_WAVS} GROUP BY stem")
+def _s10(spark, sf_dir):
+    wavs = X.frame(spark, X.WAVS, "stem string, dir_ord int, path string")
+    return speech.wav_index(wavs).withColumnRenamed("path", "last_path").join(speech.wav_index(wavs, False).withColumnRenamed("path", "first_path"), "stem")
+
+
+@query("J1_F10_with_recordings", f"SELECT t.stem, speech_type, wav_path FROM (SELECT * FROM {_FX_TRS}) t JOIN (SELECT stem, arg_max(path, (dir_ord, path)) AS wav_path FROM {_FX_WAVS} GROUP BY stem) w USING (stem)")
+def _j1(spark, sf_dir):
+    wavs = X.frame(spark, X.WAVS, "stem string, dir_ord int, path string")
+    return speech.with_recordings(X.frame(spark, X.TRANSCRIPTS, "stem string, speech_type string"), speech.wav_index(wavs)).select("stem", "speech_type", "wav_path")
+
+
+@query("A6_skipped_counts", "SELECT CAST(2 AS BIGINT) AS no_wav, CAST(1 AS BIGINT) AS no_segments")
+def _a6(spark, sf_dir):
+    wavs = X.frame(spark, X.WAVS, "stem string, dir_ord int, path string")
+    return speech.skipped_counts(X.frame(spark, X.TRANSCRIPTS, "stem string, speech_type string"), speech.wav_index(wavs), X.frame(spark, ["s1"], "stem string"))
