@@ -1,23 +1,31 @@
-"""Token ids of whole texts by a public tokenizer file, with a bounded memo of white-space words.
+"""Token ids of whole texts by a public tokenizer file, with a bounded memo of pre-tokens.
 
-The tokenizer of ``word_bpe_49k.json`` drops white space and never joins across it, so a text's ids are
-those of its white-space words in turn. Words are encoded once a worker while the memo has room. Texts
-that hold control characters which the library and Python treat differently as white space go to the
-library whole, and any other tokenizer file is used without the memo.
+The tokenizer of ``word_bpe_49k.json`` lower-cases, drops white space, cuts a text into pre-tokens, and
+encodes each by itself. Texts whose characters are all below U+0130 are cut here by the same rule; new
+pre-tokens go to the library many at a time, and each is encoded once a worker while the memo has room.
+All other texts, and all texts of any other tokenizer file, go to the library whole.
 """
 
 from __future__ import annotations
 
 import os
 import re
+import unicodedata
 
 import numpy as np
 
-ODD_SPACE = re.compile("[\x1c-\x1f\x85᠎]")
+#: Other characters, special tokens, and what the library and Python treat differently as white space.
+WHOLE = re.compile("[\x1c-\x1f\x85\u0130-\U0010ffff]|<\\|")
+#: The file's pre-tokens, for characters below U+0130, whose classes no Unicode version changes.
+_KIND = {k: "".join(re.escape(chr(c)) for c in range(0x130) if unicodedata.category(chr(c))[0] == k) for k in "LN"}
+PRE_TOKEN = re.compile(f"'s|'t|'re|'ve|'m|'ll|'d|[{_KIND['L']}]+|[{_KIND['N']}]|[^\\s{_KIND['L']}{_KIND['N']}]+")
+
+#: What stands between runs of letters where no apostrophe begins a contraction.
+NOT_LETTERS = re.compile(f"[{_KIND['N']}]|[^\\s{_KIND['L']}{_KIND['N']}]+")
 
 
 class Encoder:
-    def __init__(self, path: str, memo_words: int = 250_000, word_level: bool | None = None):
+    def __init__(self, path: str, memo_words: int = 600_000, word_level: bool | None = None):
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
         from tokenizers import Tokenizer
 
@@ -36,37 +44,39 @@ class Encoder:
             for piece, i in self.library.get_vocab().items():
                 self.ends[i] = piece.endswith("</w>")
 
-    def _plain(self, word: str) -> bool:
-        """Letters that one pre-token holds and that keep their number when lower-cased."""
-        return word.isalpha() and (word.isascii() or all(c < "İ" for c in word))
-
-    def _learn(self, words: list[str]) -> dict[str, bytes]:
-        out: dict[str, bytes] = {}
-        plain = [w for w in words if self._plain(w)]
-        for at in range(0, len(plain), 1000):
-            part = plain[at : at + 1000]
-            ids = np.array(self.library.encode_batch_fast([" ".join(part)], add_special_tokens=False)[0].ids, "<u4")
-            cuts = np.flatnonzero(self.ends[ids]) + 1
-            if len(cuts) == len(part):
-                out.update((w, ids[a:b].tobytes()) for w, a, b in zip(part, [0, *cuts.tolist()], cuts.tolist()))
-        rest = [w for w in words if w not in out]
-        for w, e in zip(rest, self.library.encode_batch_fast(rest, add_special_tokens=False)):
-            out[w] = np.array(e.ids, "<u4").tobytes()
-        return out
+    def _cut(self, text: str) -> list[str]:
+        low = text.lower()
+        return PRE_TOKEN.findall(low) if "'" in low else NOT_LETTERS.sub(r" \g<0> ", low).split()
+
+    def _learn(self, new: list[str]) -> None:
+        """Ids of new pre-tokens: of many in one text, for the last id of each is known by its word end."""
+        for at in range(0, len(new), 1000):
+            group = new[at : at + 1000]
+            ids = np.array(self.library.encode_batch_fast([" ".join(group)], add_special_tokens=False)[0].ids, "<u4")
+            cuts = (np.flatnonzero(self.ends[ids]) + 1).tolist()
+            if len(cuts) != len(group):
+                for p, e in zip(group, self.library.encode_batch_fast(group, add_special_tokens=False)):
+                    self.memo[p] = np.array(e.ids, "<u4").tobytes()
+                continue
+            data, begin = ids.tobytes(), 0
+            for p, end in zip(group, cuts):
+                self.memo[p] = data[4 * begin : 4 * end]
+                begin = end
 
     def encode(self, texts: list[str | None]) -> list[np.ndarray]:
         """One array of little-endian 32-bit ids a text; a null text counts as empty."""
         texts = [t or "" for t in texts]
         if not self.word_level:
             return [np.array(e.ids, "<u4") for e in self.library.encode_batch_fast(texts, add_special_tokens=False)]
-        split = [None if ODD_SPACE.search(t) else t.split() for t in texts]
-        wanted = set().union(*(s for s in split if s))
-        if len(self.memo) + len(wanted) > self.memo_words:
-            self.memo.clear()
-        if new := [w for w in wanted if w not in self.memo]:
-            self.memo.update(self._learn(new))
-        get = self.memo.__getitem__
-        return [np.array(self.library.encode(t, add_special_tokens=False).ids, "<u4") if s is None else np.frombuffer(b"".join(map(get, s)), "<u4") for t, s in zip(texts, split)]
+        cut = [None if WHOLE.search(t) else self._cut(t) for t in texts]
+        memo, room = self.memo, self.memo_words - len(self.memo)
+        new = [p for p in set().union(*(c for c in cut if c)) if p not in memo]
+        self._learn(new)
+        get = memo.__getitem__
+        out = [np.array(self.library.encode(t, add_special_tokens=False).ids, "<u4") if c is None else np.frombuffer(b"".join(map(get, c)), "<u4") for t, c in zip(texts, cut)]
+        for p in new[max(0, room) :]:  # without room the next batch learns them again
+            del memo[p]
+        return out
 
 
 _ENCODERS: dict[str, Encoder] = {}
