@@ -41,7 +41,7 @@ def jsonl_splits(spark: SparkSession, files: dict[str, str], schema: str | Struc
 
 def audio_folder(spark: SparkSession, folder: str) -> DataFrame:
     """Rows of <split>/metadata.jsonl with split and the clips' bytes as content (S3)."""
-    meta = spark.read.json(f"{folder}/*/metadata.jsonl").withColumn("split", F.regexp_extract(F.input_file_name(), r"([^/]+)/metadata\.jsonl$", 1))
+    meta = spark.read.json(f"{folder}/*/metadata.jsonl").withColumn("split", F.regexp_extract(F.input_file_name(), r"([^/]+)/metadata\.jsonl(?:/|$)", 1))
     clips = spark.read.format("binaryFile").load(f"{folder}/*/audio/*.wav").select(F.regexp_extract("path", r"([^/]+)/audio/[^/]+$", 1).alias("split"), F.regexp_extract("path", r"(audio/[^/]+)$", 1).alias("file_name"), "content")
     return meta.join(clips, ["split", "file_name"])
 
