@@ -58,7 +58,7 @@ def write_shards(df: DataFrame, folder: str, progress: str) -> DataFrame:
     Returns (split, shard_idx, shard_name, rows) of the shards written now."""
     spark = df.sparkSession
     done = completed_shards(spark, progress).select("split", F.col("shard_idx").alias("shard"))
-    todo = df.join(F.broadcast(done), ["split", "shard"], "left_anti")
+    todo = df.join(done, ["split", "shard"], "left_anti")
     stage = f"{folder}/_stage"
     todo.repartition("split", "shard").write.mode("overwrite").partitionBy("split", "shard", "shard_name").parquet(stage)
     fs, root = _filesystem(spark, stage)
