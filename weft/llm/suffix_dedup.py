@@ -126,19 +126,25 @@ class Block:
         last = np.append(first[1:], len(p)) - 1
         return p[first], p[last], anchor[p[first]], doc[first]
 
-    def stretches(self, shared: np.ndarray, buckets: int) -> list[dict]:
-        """By bucket: distinct stretches (bytes, smallest id) in a fixed order, and where they lie."""
+    def stretches(self, shared: np.ndarray, buckets: int) -> tuple[list[tuple[dict, list]], np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+        """By bucket, its distinct stretches with their numbers (in the order met) and smallest ids; and for
+        each place of one: first suffix, number of suffixes, document id, bucket, and number there."""
         first, last, anchor, doc = self.suffixes(shared)
         q = 16 if self.L >= 24 else 8
         bucket = (hashes(self.words, anchor, q) % U(buckets)).astype(np.int64) if len(first) else first
-        out = [{} for _ in range(buckets)]
-        data, more = self.data, self.L
-        for a, b, k, i, d in zip(first.tolist(), (last + more).tolist(), bucket.tolist(), self.ids[doc].tolist(), range(len(first))):
-            there = out[k].setdefault(data[a:b], [i, []])
-            if i < there[0]:
-                there[0] = i
-            there[1].append((a, i))
-        return out
+        tables: list[tuple[dict, list]] = [({}, []) for _ in range(buckets)]
+        data, own, numbers = self.data, self.ids[doc], []
+        for a, b, k, i in zip(first.tolist(), (last + self.L).tolist(), bucket.tolist(), own.tolist()):
+            known, least = tables[k]
+            text = data[a:b]
+            u = known.get(text)
+            if u is None:
+                u = known[text] = len(least)
+                least.append(i)
+            elif i < least[u]:
+                least[u] = i
+            numbers.append(u)
+        return tables, first, last - first + 1, own, bucket, np.array(numbers, np.int64)
 
 
 def blocks_of(docs: DataFrame, id: str, text: str, block_bytes: int) -> DataFrame:
@@ -189,11 +195,6 @@ def _by_block(answers: DataFrame, name: str) -> DataFrame:
     return answers.groupBy("block").agg(F.sort_array(F.collect_list(F.struct("bucket", "bits"))).alias(name))
 
 
-def _bits(answers: list[dict] | None, sizes: dict[int, int] | None = None) -> np.ndarray:
-    parts = [np.unpackbits(np.frombuffer(x["bits"], np.uint8)) for x in answers or []]
-    return np.concatenate(parts).astype(bool) if parts else np.zeros(0, bool)
-
-
 def _shared(row: dict, rank: np.ndarray, buckets: int) -> np.ndarray:
     """What the sample's buckets answered, for every rank of the block."""
     counts = np.diff(np.searchsorted(_bucket(rank, buckets), np.arange(buckets + 1)))
@@ -251,12 +252,10 @@ def sort_suffixes(blocks: DataFrame, min_bytes: int, sample_buckets: int, bucket
     def send(block: Block, row: dict) -> list[dict]:
         _, rank, _ = block.sample()
         pack, rows = zstandard.ZstdCompressor(level=3), []
-        for k, some in enumerate(block.stretches(_shared(row, rank, sample_buckets), buckets)):
-            if some:
-                # Sorted, so that like texts stand near each other for the compressor.
-                order = sorted(some)
-                body = np.array([len(s) for s in order], "<u4").tobytes() + np.array([some[s][0] for s in order], "<i8").tobytes() + b"".join(order)
-                rows.append({"block": row["block"], "bucket": k, "stretches": len(order), "body": pack.compress(body)})
+        for k, (known, least) in enumerate(block.stretches(_shared(row, rank, sample_buckets), buckets)[0]):
+            if known:
+                body = np.array([len(s) for s in known], "<u4").tobytes() + np.array(least, "<i8").tobytes() + b"".join(known)
+                rows.append({"block": row["block"], "bucket": k, "stretches": len(known), "body": pack.compress(body)})
         return rows
 
     def answer(pdf: pd.DataFrame) -> pd.DataFrame:
@@ -320,26 +319,22 @@ def deduplicate(docs: DataFrame, id: str = "doc_id", text: str = "text", min_byt
 
     def cut(block: Block, row: dict) -> list[dict]:
         _, rank, _ = block.sample()
-        edge = np.zeros(block.n + 1, np.int32)
-        answers = {x["bucket"]: x["bits"] for x in row["ties"] or []}
-        some = block.stretches(_shared(row, rank, sample_buckets), buckets)
-        for k, bits in answers.items():
-            order = sorted(some[k])
-            smaller = np.unpackbits(np.frombuffer(bits, np.uint8)).astype(bool)
-            begin = 0
-            for s in order:
-                n = len(s) - min_bytes + 1
-                least, places = some[k][s]
-                own = smaller[begin : begin + n]
-                begin += n
-                gone = np.flatnonzero(own) if own.any() else None
-                for a, i in places:
-                    if i > least:
-                        edge[a] += 1
-                        edge[a + n - 1 + min_bytes] -= 1
-                    elif gone is not None:
-                        np.add.at(edge, a + gone, 1)
-                        np.add.at(edge, a + gone + min_bytes, -1)
+        tables, first, count, own, bucket, number = block.stretches(_shared(row, rank, sample_buckets), buckets)
+        bits = {x["bucket"]: np.unpackbits(np.frombuffer(x["bits"], np.uint8)).astype(bool) for x in row["ties"] or []}
+        # All distinct stretches in one row of numbers, their suffixes' answers one after another.
+        sizes = [np.array([len(t) for t in known], np.int64) - min_bytes + 1 for known, _ in tables]
+        answer = np.concatenate([bits[k][: int(n.sum())] for k, n in enumerate(sizes) if len(n)] or [np.zeros(0, bool)])
+        size, least = np.concatenate(sizes), np.array([i for _, some in tables for i in some], np.int64)
+        base = np.cumsum(size) - size
+        number = number + (np.cumsum([0] + [len(n) for n in sizes])[:-1])[bucket]
+        edge = np.zeros(block.n + 1, np.int64)
+        later = own > least[number]  # the whole stretch starts in a document with a smaller id
+        np.add.at(edge, first[later], 1)
+        np.add.at(edge, first[later] + count[later] - 1 + min_bytes, -1)
+        first, count, number = first[~later], count[~later], number[~later]
+        step = np.arange(int(count.sum())) - np.repeat(np.cumsum(count) - count, count)
+        gone = (np.repeat(first, count) + step)[answer[np.repeat(base[number], count) + step]]
+        edge += np.bincount(gone, minlength=len(edge)) - np.bincount(gone + min_bytes, minlength=len(edge))
         covered = np.cumsum(edge[:-1]) > 0
         raw = np.frombuffer(block.data, np.uint8, block.n)
         rows = []
