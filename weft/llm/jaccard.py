@@ -4,8 +4,10 @@ A document's set holds its distinct n-word shingles as 64-bit hashes. Equal sets
 sets over the threshold share a token among the first n - ceil(t n) + 1 under any global order, so
 
 1. order one (rare first, by a count sketch over all documents; ties by hash) gives postings, and only
-   tokens that two nodes or more hold in their prefixes stay;
-2. candidates must share prefix tokens under orders two and three as well (two hash permutations);
+   tokens that two nodes or more hold in their prefixes stay; a pair needs one whose places leave room
+   for the overlap;
+2. candidates must share enough tokens of slightly longer prefixes under orders two and three as well
+   (two hash permutations);
 3. what passes all three is verified on the sets themselves.
 
 Components need no link inside a component already known: nodes meet the most connected node of each
@@ -22,12 +24,11 @@ columns are dropped.
 from __future__ import annotations
 
 import hashlib
-import zlib
 
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-import xxhash
+import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -37,8 +38,7 @@ from weft.llm.components import connected_components
 from weft.session import ship
 
 U = np.uint64
-LOWER = bytes(c + 32 if 65 <= c <= 90 else c for c in range(256))
-SKETCH_BITS = 20
+SKETCH_BITS = 24
 SLICES = 32
 MIX = [U(x) for x in (0x9E3779B97F4A7C15, 0xBF58476D1CE4E5B9, 0x94D049BB133111EB)]
 
@@ -51,27 +51,66 @@ def mixed(h: np.ndarray, salt: int) -> np.ndarray:
 
 
 class Shingler:
-    """Sets of shingle hashes; word hashes are remembered while there is room."""
-
-    def __init__(self, n: int, memo_words: int = 300_000):
-        self.n, self.memo_words, self.memo = n, memo_words, {}
-
-    def __call__(self, text: str | None) -> np.ndarray:
-        words = (text or "").encode("utf-8", "surrogatepass").translate(LOWER).split()
-        if not words:
-            return np.zeros(0, U)
-        if len(self.memo) > self.memo_words:
-            self.memo.clear()
-        memo = self.memo
-        for w in set(words):
-            if w not in memo:
-                memo[w] = xxhash.xxh3_64_intdigest(w)
-        h = np.array([memo[w] for w in words], U)
-        n = min(self.n, len(h))
-        out = np.full(len(h) - n + 1, n, U)
+    """Sets of shingle hashes of many texts at once. A word's hash is a polynomial over random values of
+    its bytes, taken from sums over the whole batch; a shingle's mixes those of its words in order."""
+
+    RATIO = 0xD1342543DE82EF95
+    BATCH = 1 << 20
+
+    def __init__(self, n: int):
+        self.n = n
+        random = np.random.default_rng(2024).integers(0, 1 << 64, 256, dtype=U)
+        lower = np.array([c + 32 if 65 <= c <= 90 else c for c in range(256)])
+        self.value, self.space = random[lower], np.isin(np.arange(256), [9, 10, 11, 12, 13, 32])
+        self.power = self.inverse = np.ones(1, U)
+
+    def _powers(self, size: int) -> None:
+        if len(self.power) < size:
+            size = max(size, 2 * self.BATCH)
+            for name, r in (("power", self.RATIO), ("inverse", pow(self.RATIO, -1, 1 << 64))):
+                setattr(self, name, np.concatenate([np.ones(1, U), np.full(size - 1, r, U).cumprod(dtype=U)]))
+
+    def __call__(self, texts: list[str | None]):
+        """The texts' sets, ascending, in turn."""
+        held, size = [], 0
+        for t in texts:
+            held.append((t or "").encode("utf-8", "surrogatepass"))
+            size += len(held[-1]) + 1
+            if size >= self.BATCH:
+                yield from self._batch(held)
+                held, size = [], 0
+        if held:
+            yield from self._batch(held)
+
+    def _batch(self, held: list[bytes]):
+        raw = np.frombuffer(b"\n".join([b"", *held, b""]), np.uint8)
+        self._powers(len(raw))
+        space = self.space[raw]
+        change = np.flatnonzero(space[1:] != space[:-1]) + 1
+        start, end = change[::2], change[1::2]
+        total = np.cumsum(self.value[raw] * self.power[: len(raw)], dtype=U)
+        word = mixed((total[end - 1] - total[start - 1]) * self.inverse[start], 1)
+        begin = np.cumsum([1] + [len(h) + 1 for h in held])
+        cuts = np.searchsorted(start, begin)
+        n = self.n
+        full = np.full(max(0, len(word) - n + 1), n, U)
         for k in range(n):
-            out = mixed(out * MIX[0] + h[k : len(h) - n + 1 + k], k + 1)
-        return np.unique(out)
+            full = mixed(full * MIX[0] + word[k : len(word) - n + 1 + k], k + 2)
+        for a, b in zip(cuts[:-1].tolist(), cuts[1:].tolist()):
+            if b - a >= n:
+                yield np.unique(full[a : b - n + 1])
+            elif b > a:
+                one = np.full(1, b - a, U)
+                for k in range(a, b):
+                    one = mixed(one * MIX[0] + word[k : k + 1], k - a + 2)
+                yield one
+            else:
+                yield np.zeros(0, U)
+
+
+def node_of(s: np.ndarray) -> int | None:
+    """A set's node: a 64-bit hash of it; None for the empty set."""
+    return int.from_bytes(hashlib.blake2b(s.tobytes(), digest_size=8).digest(), "little", signed=True) if len(s) else None
 
 
 def prefix_size(n: int, percent: int) -> int:
@@ -79,9 +118,27 @@ def prefix_size(n: int, percent: int) -> int:
 
 
 def signature(s: np.ndarray, percent: int) -> bytes:
-    """Prefixes under orders two and three, 32 bits a token."""
-    p = prefix_size(len(s), percent)
-    return b"".join(np.sort(np.partition(mixed(s, salt), p - 1)[:p] >> U(32)).astype("<u4").tobytes() for salt in (11, 12))
+    """Prefixes under orders two and three, a quarter longer than a shared token needs; 32 bits a token."""
+    size = signature_size(len(s), percent)
+    return b"".join(np.sort(np.partition(mixed(s, salt), size - 1)[:size] >> U(32)).astype("<u4").tobytes() for salt in (11, 12))
+
+
+def signature_size(n: int, percent: int) -> int:
+    p = prefix_size(n, percent)
+    return min(n, p + p // 4)
+
+
+def may_link(x: np.ndarray, y: np.ndarray, n: int, m: int, percent: int) -> bool:
+    """Whether signatures allow the threshold: sets of n and m tokens that share a of them share at least
+    size - (n - a) of the first `size` under any order."""
+    a, k, j = -(-percent * max(n, m) // 100), len(x) // 2, len(y) // 2
+    need = min(k - n + a, j - m + a)
+    for u, v in ((x[:k], y[:j]), (x[k:], y[j:])):
+        both = np.concatenate([u, v])
+        both.sort()
+        if int((both[1:] == both[:-1]).sum()) < need:
+            return False
+    return True
 
 
 def _rows(batch):
@@ -90,30 +147,30 @@ def _rows(batch):
         yield part.column(0).to_pylist(), part.column(1).to_pylist()
 
 
-def profiles(docs: DataFrame, id: str, text: str, n: int, percent: int) -> DataFrame:
-    """A row for each document (id, node, n, sig; null node for an empty set), and rows with a slice of a
+def profiles(docs: DataFrame, id: str, text: str, n: int) -> DataFrame:
+    """A row for each document (id, node, n; null node for an empty set), and rows with a slice of a
     task's counts of all shingles by their top SKETCH_BITS bits."""
-    ddl = "id long, node long, n int, sig binary, slice int, counts binary"
+    ddl = "id long, node long, n int, slice int, counts binary"
     schema = arrow_schema(ddl)
 
     def run(batches):
-        sets, counts = Shingler(n), np.zeros(1 << SKETCH_BITS, np.int64)
+        sets, counts = Shingler(n), np.zeros(1 << SKETCH_BITS, np.uint32)
         for batch in batches:
             for ids, texts in _rows(batch):
-                nodes, sizes, sigs = [], [], []
-                for s in map(sets, texts):
-                    counts += np.bincount((s >> U(64 - SKETCH_BITS)).astype(np.int64), minlength=len(counts)) if len(s) > 50_000 else 0
-                    if len(s) <= 50_000:
-                        np.add.at(counts, (s >> U(64 - SKETCH_BITS)).astype(np.int64), 1)
-                    nodes.append(int.from_bytes(hashlib.blake2b(s.tobytes(), digest_size=8).digest(), "little", signed=True) if len(s) else None)
+                nodes, sizes, seen = [], [], []
+                for s in sets(texts):
+                    seen.append(s >> U(64 - SKETCH_BITS))
+                    nodes.append(node_of(s))
                     sizes.append(len(s))
-                    sigs.append(signature(s, percent) if len(s) else None)
+                np.add.at(counts, np.concatenate(seen).astype(np.int64), np.uint32(1))
                 none = [None] * len(ids)
-                yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip((ids, nodes, sizes, sigs, none, none), schema)], schema=schema)
+                yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip((ids, nodes, sizes, none, none), schema)], schema=schema)
         if counts.any():
-            none = [None] * SLICES
-            packed = [zlib.compress(x.astype("<i8").tobytes(), 1) for x in np.split(counts, SLICES)]
-            yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip((none, none, none, none, list(range(SLICES)), packed), schema)], schema=schema)
+            pack = zstandard.ZstdCompressor(level=1)
+            for k, x in enumerate(np.split(counts, SLICES)):
+                # The bytes of equal weight together: nearly all but the first are zeros.
+                planes = np.ascontiguousarray(x.astype("<u4").view(np.uint8).reshape(-1, 4).T).tobytes()
+                yield pa.RecordBatch.from_arrays([pa.array([c], f.type) for c, f in zip((None, None, None, k, pack.compress(planes)), schema)], schema=schema)
 
     return docs.select(F.col(f"`{id}`").cast("long"), F.col(f"`{text}`").cast("string")).mapInArrow(run, ddl)
 
@@ -122,7 +179,10 @@ def frequency_levels(profiled: DataFrame) -> np.ndarray:
     """log2 of the summed counts, by the tokens' top bits; 2**SKETCH_BITS bytes at any input size."""
 
     def add(pdf: pd.DataFrame) -> pd.DataFrame:
-        total = sum(np.frombuffer(zlib.decompress(c), "<i8") for c in pdf["counts"])
+        total = np.zeros((1 << SKETCH_BITS) // SLICES, np.int64)
+        for c in pdf["counts"]:
+            planes = np.frombuffer(zstandard.ZstdDecompressor().decompress(c), np.uint8).reshape(4, -1)
+            total += np.ascontiguousarray(planes.T).view("<u4").ravel()
         return pd.DataFrame({"slice": pdf["slice"][:1], "counts": [np.frexp(total)[1].astype("u1").tobytes()]})
 
     levels = np.zeros((SLICES, (1 << SKETCH_BITS) // SLICES), "u1")
@@ -131,10 +191,28 @@ def frequency_levels(profiled: DataFrame) -> np.ndarray:
     return levels.ravel()
 
 
+def _has_partner(token: np.ndarray, n: np.ndarray, pos: np.ndarray, percent: int, longest: int = 2000) -> np.ndarray:
+    """Rows (by token) whose list holds another row that leaves room for the overlap; rows of lists longer
+    than `longest` all stay, for later rounds to judge."""
+    left, alive = n - pos, np.ones(len(token), bool)
+    cuts = np.flatnonzero(np.append(True, token[1:] != token[:-1])) if len(token) else np.zeros(0, np.int64)
+    ends = np.append(cuts[1:], len(token))
+    two = cuts[ends - cuts == 2]
+    room = (100 + percent) * np.minimum(left[two], left[two + 1]) >= percent * (n[two] + n[two + 1])
+    alive[two], alive[two + 1] = room, room
+    for a, b in zip(cuts.tolist(), ends.tolist()):
+        if 2 < b - a <= longest:
+            ok = (100 + percent) * np.minimum.outer(left[a:b], left[a:b]) >= percent * np.add.outer(n[a:b], n[a:b])
+            np.fill_diagonal(ok, False)
+            alive[a:b] = ok.any(axis=1)
+    return alive
+
+
 def postings(docs: DataFrame, levels: np.ndarray, text: str, n: int, percent: int, buckets: int) -> DataFrame:
-    """(token, node, n) of prefix tokens under order one that two nodes or more have."""
+    """(token, node, n, pos) of prefix tokens under order one that two nodes or more have; pos is the token's
+    place in the node's order."""
     shared = broadcast(docs.sparkSession, levels)
-    entry = np.dtype([("token", "<u8"), ("node", "<i8"), ("n", "<i4")])
+    entry = np.dtype([("token", "<u8"), ("node", "<i8"), ("n", "<i4"), ("pos", "<i4")])
     ddl = "bucket int, entries binary"
     schema = arrow_schema(ddl)
 
@@ -152,17 +230,18 @@ def postings(docs: DataFrame, levels: np.ndarray, text: str, n: int, percent: in
 
         for batch in batches:
             for _, texts in _rows(batch):
-                for s in map(sets, texts):
+                for s in sets(texts):
                     if not len(s):
                         continue
-                    node = int.from_bytes(hashlib.blake2b(s.tobytes(), digest_size=8).digest(), "little", signed=True)
+                    node = node_of(s)
                     if node in seen:  # exact copies count once a task
                         continue
                     seen.add(node)
                     p = prefix_size(len(s), percent)
                     key = (level[(s >> U(64 - SKETCH_BITS)).astype(np.int64)].astype(U) << U(57)) | (mixed(s, 10) >> U(7))
                     rows = np.empty(p, entry)
-                    rows["token"], rows["node"], rows["n"] = s[np.argpartition(key, p - 1)[:p]], node, len(s)
+                    few = np.argpartition(key, p - 1)[:p]
+                    rows["token"], rows["node"], rows["n"], rows["pos"] = s[few[np.argsort(key[few])]], node, len(s), np.arange(p)
                     held.append(rows)
                     size += p
                     if size > 1_000_000:
@@ -178,44 +257,41 @@ def postings(docs: DataFrame, levels: np.ndarray, text: str, n: int, percent: in
         keep[1:] |= same
         keep[:-1] |= same
         rows = rows[keep]
-        return pd.DataFrame({"token": np.ascontiguousarray(rows["token"]).view(np.int64), "node": rows["node"], "n": rows["n"]})
+        rows = rows[_has_partner(rows["token"], rows["n"].astype(np.int64), rows["pos"], percent)]
+        return pd.DataFrame({"token": np.ascontiguousarray(rows["token"]).view(np.int64), "node": rows["node"], "n": rows["n"], "pos": rows["pos"]})
 
     few = docs.select(F.lit(0), F.col(f"`{text}`").cast("string")).mapInArrow(emit, ddl)
-    return few.groupBy("bucket").applyInPandas(runs, "token long, node long, n int")
+    return few.groupBy("bucket").applyInPandas(runs, "token long, node long, n int, pos int")
 
 
-def shingle_sets(docs: DataFrame, wanted: DataFrame, id: str, text: str, n: int) -> DataFrame:
-    """(node, shingles) of the wanted (id, node) rows."""
-    ddl = "node long, shingles binary"
+def shingle_sets(docs: DataFrame, wanted: DataFrame, id: str, text: str, n: int, percent: int) -> DataFrame:
+    """(node, n, sig, shingles) of the wanted (id, node) rows; twice where rows repeat."""
+    ddl = "node long, n int, sig binary, shingles binary"
     schema = arrow_schema(ddl)
 
     def run(batches):
         sets = Shingler(n)
         for batch in batches:
             for nodes, texts in _rows(batch):
-                made = [sets(t).tobytes() for t in texts]
-                right = [i for i, m in enumerate(made) if int.from_bytes(hashlib.blake2b(m, digest_size=8).digest(), "little", signed=True) == nodes[i]]
-                yield pa.RecordBatch.from_arrays([pa.array([nodes[i] for i in right], pa.int64()), pa.array([made[i] for i in right], pa.binary())], schema=schema)
+                rows = [(k, len(s), signature(s, percent), s.tobytes()) for k, s in zip(nodes, sets(texts)) if node_of(s) == k]
+                yield pa.RecordBatch.from_arrays([pa.array([r[i] for r in rows], f.type) for i, f in enumerate(schema)], schema=schema)
 
     rows = docs.select(F.col(f"`{id}`").cast("long").alias("id"), F.col(f"`{text}`").cast("string").alias("text"))
-    return rows.join(wanted, "id").select("node", "text").mapInArrow(run, ddl).dropDuplicates(["node"])
+    return rows.join(wanted, "id").select("node", "text").mapInArrow(run, ddl)
 
 
-def _filtered(pairs: DataFrame, signatures: DataFrame, percent: int) -> DataFrame:
-    """Pairs that share prefix tokens under orders two and three."""
+def _filtered(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """Pairs that the prefixes under orders two and three allow."""
     schema = arrow_schema("a long, b long")
 
     def run(batches):
         for batch in batches:
-            keep = []
-            for x, y in zip(batch.column(2).to_pylist(), batch.column(3).to_pylist()):
-                x, y = np.frombuffer(x, "<u4"), np.frombuffer(y, "<u4")
-                i, j = len(x) // 2, len(y) // 2
-                keep.append(len(np.intersect1d(x[:i], y[:j])) > 0 and len(np.intersect1d(x[i:], y[j:])) > 0)
+            columns = [batch.column(k).to_pylist() for k in range(2, 6)]
+            keep = [may_link(np.frombuffer(x, "<u4"), np.frombuffer(y, "<u4"), n, m, percent) for x, y, n, m in zip(*columns)]
             yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1)], schema=schema).filter(pa.array(keep, pa.bool_()))
 
-    sig = lambda end: signatures.select(F.col("node").alias(end), F.col("sig").alias(f"sig_{end}"))
-    return pairs.join(sig("a"), "a").join(sig("b"), "b").select("a", "b", "sig_a", "sig_b").mapInArrow(run, "a long, b long")
+    of = lambda end: sets.select(F.col("node").alias(end), F.col("sig").alias(f"sig_{end}"), F.col("n").alias(f"n_{end}"))
+    return pairs.join(of("a"), "a").join(of("b"), "b").select("a", "b", "sig_a", "sig_b", "n_a", "n_b").mapInArrow(run, "a long, b long")
 
 
 def _verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
@@ -240,17 +316,17 @@ def components(docs: DataFrame, id: str = "doc_id", text: str = "text", n: int =
     """One row for each document: id, n_shingles, component_id (the smallest id of its component)."""
     spark = docs.sparkSession
     ship(spark)
-    profiled = staged(profiles(docs, id, text, n, percent), "profiles")
+    profiled = staged(profiles(docs, id, text, n), "profiles")
     members = profiled.filter("slice is null").select("id", "node", "n")
-    nodes = staged(profiled.filter("node is not null").groupBy("node", "n", "sig").agg(F.min("id").alias("id")), "nodes")
+    nodes = staged(profiled.filter("node is not null").groupBy("node", "n").agg(F.min("id").alias("id")), "nodes")
     entries = nodes.agg(F.coalesce(F.sum(F.col("n") * (100 - percent) / 100 + 1), F.lit(0.0))).first()[0]
     buckets = max(shuffle_width(spark), int(entries / 500_000) + 1)
     posted = staged(postings(docs, frequency_levels(profiled), text, n, percent, buckets), "postings")
     degree = staged(posted.groupBy("node").agg(F.count("*").alias("degree")), "degrees")
     posted = staged(posted.join(degree, "node"), "postings")
-    sets = staged(shingle_sets(docs, degree.join(nodes.filter("id is not null"), "node").select("id", "node"), id, text, n), "sets")
-    signatures = nodes.select("node", "sig")
-    alike = 100 * F.least("n", "pn") >= percent * F.greatest("n", "pn")
+    sets = staged(shingle_sets(docs, degree.join(nodes.filter("id is not null"), "node").select("id", "node"), id, text, n, percent), "sets")
+    # At the first token that two linked sets share, what is left of each holds the overlap they need.
+    alike = (100 + percent) * F.least(F.col("n") - F.col("pos"), F.col("pn") - F.col("ppos")) >= percent * (F.col("n") + F.col("pn"))
     links, comp = None, None
     for step in range(star_rounds + 1):
         here = posted if comp is None else staged(posted.join(comp, "node", "left").withColumn("comp", F.coalesce("comp", "node")), "postings")
@@ -260,19 +336,19 @@ def components(docs: DataFrame, id: str = "doc_id", text: str = "text", n: int =
             open_ = here.groupBy("token").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi")).filter("lo <> hi").select("token")
             here = staged(here.join(open_, "token", "left_semi"), "postings")
         if step < star_rounds:
-            order = F.struct(F.col("degree") if step == 0 else F.pmod(F.xxhash64("node", F.lit(step)), F.lit(1 << 20)), "node", "n", "comp")
+            order = F.struct(F.col("degree") if step == 0 else F.pmod(F.xxhash64("node", F.lit(step)), F.lit(1 << 20)), "node", "n", "pos", "comp")
             if step == 1:  # the most connected node outside the first pivot's component comes next
-                first = here.groupBy("token").agg(F.max(F.struct("degree", "node", "n", "comp")).alias("p")).select("token", F.col("p.comp").alias("known"))
-                pivots = here.join(first, "token").filter("comp <> known").groupBy("token").agg(F.max(F.struct("degree", "node", "n", "comp")).alias("p"))
+                first = here.groupBy("token").agg(F.max(F.struct("degree", "node", "n", "pos", "comp")).alias("p")).select("token", F.col("p.comp").alias("known"))
+                pivots = here.join(first, "token").filter("comp <> known").groupBy("token").agg(F.max(F.struct("degree", "node", "n", "pos", "comp")).alias("p"))
             else:
                 pivots = here.groupBy("token").agg(F.max(order).alias("p"))
-            pivots = staged(pivots.select("token", F.col("p.node").alias("pivot"), F.col("p.n").alias("pn"), F.col("p.comp").alias("pcomp")), "pivots")
+            pivots = staged(pivots.select("token", F.col("p.node").alias("pivot"), F.col("p.n").alias("pn"), F.col("p.pos").alias("ppos"), F.col("p.comp").alias("pcomp")), "pivots")
             found = here.join(pivots, "token").filter((F.col("comp") != F.col("pcomp")) & alike)
         else:
-            other = here.select("token", F.col("node").alias("pivot"), F.col("n").alias("pn"), F.col("comp").alias("pcomp"))
+            other = here.select("token", F.col("node").alias("pivot"), F.col("n").alias("pn"), F.col("pos").alias("ppos"), F.col("comp").alias("pcomp"))
             found = here.join(other, "token").filter((F.col("node") < F.col("pivot")) & (F.col("comp") != F.col("pcomp")) & alike)
         pairs = staged(found.select(F.least("node", "pivot").alias("a"), F.greatest("node", "pivot").alias("b")).distinct(), "pairs")
-        passed = staged(_filtered(pairs, signatures, percent), "candidates")
+        passed = staged(_filtered(pairs, sets, percent), "candidates")
         new = staged(_verified(passed, sets, percent), "links")
         links = new if links is None else links.unionByName(new)
         comp = connected_components(links)
