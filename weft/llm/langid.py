@@ -30,34 +30,36 @@ UNKNOWN = "und"
 class WordBackoffModel:
     """Log frequencies of words and n-grams by language, as small arrays by key."""
 
-    def __init__(self, counts: list[tuple[str, str, int]], n_max: int = 5, penalty: float = math.log(0.4)):
+    def __init__(self, counts: list[tuple[str, str, int]], n_max: int = 5, penalty: float = math.log(0.4), min_gram: int = 10):
         self.langs = sorted({lang for lang, _, _ in counts})
         self.n_max, self.penalty = n_max, penalty
         column = {lang: k for k, lang in enumerate(self.langs)}
         words: dict[str, np.ndarray] = defaultdict(lambda: np.zeros(len(self.langs)))
-        grams: dict[str, np.ndarray] = defaultdict(lambda: np.zeros(len(self.langs)))
         for lang, word, n in counts:
             words[word][column[lang]] += n
-        for word, c in words.items():
-            padded = f" {word} "
-            for n in range(1, n_max + 1):
+        total = sum(words.values()) if words else 1
+        kept: dict[str, np.ndarray] = {}
+        for n in range(1, n_max + 1):  # one order at a time: rare grams take most of the room
+            grams: dict[str, np.ndarray] = defaultdict(lambda: np.zeros(len(self.langs)))
+            for word, c in words.items():
+                padded = f" {word} "
                 for i in range(len(padded) - n + 1):
                     grams[padded[i : i + n]] += c
-        total = sum(words.values()) if words else 1
-        self.words = {w: np.log((c + 0.1) / (total + 1)).astype("f4") for w, c in words.items()}
-        by_n = {n: np.ones(len(self.langs)) for n in range(1, n_max + 1)}
-        for g, c in grams.items():
-            by_n[len(g)] += c
-        # A gram's log frequency relative to its order's total; rare grams are left to shorter ones.
-        self.grams = {g: np.log((c + 0.1) / by_n[len(g)]).astype("f4") for g, c in grams.items() if c.sum() >= 3}
+            of_n = 1 + sum(grams.values()) if grams else 1
+            kept.update((g, np.log((c + 0.1) / of_n)) for g, c in grams.items() if c.sum() >= min_gram)
+        # Rows of one matrix by word and by n-gram: arrays of their own would take most of the memory.
+        # A gram's log frequency is relative to its order's total; rare grams are left to shorter ones.
+        self.words = {w: k for k, w in enumerate(words)}
+        self.grams = {g: k for k, g in enumerate(kept, len(words))}
+        self.scores = np.array([*(np.log((c + 0.1) / (total + 1)) for c in words.values()), *kept.values()], "f4").reshape(-1, max(len(self.langs), 1))
 
     def unseen(self, word: str) -> np.ndarray:
         padded = f" {word} "
         out = np.zeros(len(self.langs), "f4")
         for end in range(1, len(padded) + 1):
             for n in range(min(self.n_max, end), 0, -1):
-                if (score := self.grams.get(padded[end - n : end])) is not None:
-                    out += score + self.penalty * (self.n_max - n)
+                if (at := self.grams.get(padded[end - n : end])) is not None:
+                    out += self.scores[at] + self.penalty * (self.n_max - n)
                     break
         return out / self.n_max
 
@@ -87,7 +89,7 @@ def train(labelled: DataFrame, id: str = "doc_id", lang: str = "lang", text: str
     return WordBackoffModel([(r["lang"], r["word"], r["n"]) for r in top.collect()])
 
 
-def identify(docs: DataFrame, model: WordBackoffModel, keep: list[str], text: str = "text", memo_words: int = 300_000) -> DataFrame:
+def identify(docs: DataFrame, model: WordBackoffModel, keep: list[str], text: str = "text", memo_words: int = 120_000) -> DataFrame:
     """The kept columns, `lang_pred` and `score` (the posterior of the language) for every row. A task's
     memory holds the model and the scores of at most `memo_words` further words."""
     shared = broadcast(docs.sparkSession, model)
@@ -103,8 +105,8 @@ def identify(docs: DataFrame, model: WordBackoffModel, keep: list[str], text: st
             at = len(memo)
             if at == len(table):
                 table = np.concatenate([table, np.zeros_like(table)])
-            score = m.words.get(word)
-            table[at] = score if score is not None else m.unseen(word)
+            known = m.words.get(word)
+            table[at] = m.scores[known] if known is not None else m.unseen(word)
             memo[word] = at
             return at
 

@@ -25,7 +25,7 @@ NOT_LETTERS = re.compile(f"[{_KIND['N']}]|[^\\s{_KIND['L']}{_KIND['N']}]+")
 
 
 class Encoder:
-    def __init__(self, path: str, memo_words: int = 600_000, word_level: bool | None = None):
+    def __init__(self, path: str, memo_words: int = 300_000, word_level: bool | None = None):
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
         from tokenizers import Tokenizer
 
