@@ -3,9 +3,10 @@
 A document's set holds its distinct n-word shingles as 64-bit hashes. Equal sets are one node. Any two
 sets over the threshold share a token among the first n - ceil(t n) + 1 under any global order, so
 
-1. order one (rare first, by a count sketch over all documents; ties by hash) gives postings, and only
-   tokens that two nodes or more hold in their prefixes stay; a pair needs one whose places leave room
-   for the overlap;
+1. order one (rare first, by a count sketch over all documents; ties by hash) gives postings of prefixes
+   a quarter longer, of which linked sets share several tokens; only tokens that two nodes or more hold
+   stay, and only nodes left with that many of them; a pair needs one in the prefixes proper whose places
+   leave room for the overlap;
 2. candidates must share enough tokens of slightly longer prefixes under orders two and three as well
    (two hash permutations);
 3. what passes all three is verified on the sets themselves.
@@ -128,6 +129,14 @@ def signature_size(n: int, percent: int) -> int:
     return min(n, p + p // 4)
 
 
+def needed(n: int, percent: int) -> int:
+    """Tokens that a set of n shares at least with a linked one within their first signature_size tokens
+    under any order. Sets of n and m share a of them, so at least size - (n - a) of the first, and a is
+    at least what prefix_size counts on; the smallest m that can be linked has the least to spare."""
+    m = -(-percent * n // 100)
+    return signature_size(m, percent) - prefix_size(m, percent) + 1
+
+
 def may_link(x: np.ndarray, y: np.ndarray, n: int, m: int, percent: int) -> bool:
     """Whether signatures allow the threshold: sets of n and m tokens that share a of them share at least
     size - (n - a) of the first `size` under any order."""
@@ -191,26 +200,29 @@ def frequency_levels(profiled: DataFrame) -> np.ndarray:
     return levels.ravel()
 
 
-def _has_partner(token: np.ndarray, n: np.ndarray, pos: np.ndarray, percent: int, longest: int = 2000) -> np.ndarray:
-    """Rows (by token) whose list holds another row that leaves room for the overlap; rows of lists longer
-    than `longest` all stay, for later rounds to judge."""
+def _has_partner(token: np.ndarray, n: np.ndarray, pos: np.ndarray, slack: np.ndarray, percent: int, longest: int = 2000) -> np.ndarray:
+    """Rows (by token) whose list holds another row that leaves room for the overlap, but for the `slack`
+    tokens that may be shared before this one; rows of lists longer than `longest` all stay, for later
+    rounds to judge."""
     left, alive = n - pos, np.ones(len(token), bool)
     cuts = np.flatnonzero(np.append(True, token[1:] != token[:-1])) if len(token) else np.zeros(0, np.int64)
     ends = np.append(cuts[1:], len(token))
     two = cuts[ends - cuts == 2]
-    room = (100 + percent) * np.minimum(left[two], left[two + 1]) >= percent * (n[two] + n[two + 1])
-    alive[two], alive[two + 1] = room, room
+    both, size = np.minimum(left[two], left[two + 1]), n[two] + n[two + 1]
+    for k in (0, 1):
+        alive[two + k] = (100 + percent) * (both + slack[two + k]) >= percent * size
     for a, b in zip(cuts.tolist(), ends.tolist()):
         if 2 < b - a <= longest:
-            ok = (100 + percent) * np.minimum.outer(left[a:b], left[a:b]) >= percent * np.add.outer(n[a:b], n[a:b])
+            ok = (100 + percent) * (np.minimum.outer(left[a:b], left[a:b]) + slack[a:b, None]) >= percent * np.add.outer(n[a:b], n[a:b])
             np.fill_diagonal(ok, False)
             alive[a:b] = ok.any(axis=1)
     return alive
 
 
 def postings(docs: DataFrame, levels: np.ndarray, text: str, n: int, percent: int, buckets: int) -> DataFrame:
-    """(token, node, n, pos) of prefix tokens under order one that two nodes or more have; pos is the token's
-    place in the node's order."""
+    """(token, node, n, pos, need, proper) of the first signature_size tokens under order one that two nodes
+    or more have; pos is the token's place in the node's order, need how many of them a linked node has,
+    proper whether the place lies in the prefix of prefix_size tokens."""
     shared = broadcast(docs.sparkSession, levels)
     entry = np.dtype([("token", "<u8"), ("node", "<i8"), ("n", "<i4"), ("pos", "<i4")])
     ddl = "bucket int, entries binary"
@@ -237,7 +249,7 @@ def postings(docs: DataFrame, levels: np.ndarray, text: str, n: int, percent: in
                     if node in seen:  # exact copies count once a task
                         continue
                     seen.add(node)
-                    p = prefix_size(len(s), percent)
+                    p = signature_size(len(s), percent)
                     key = (level[(s >> U(64 - SKETCH_BITS)).astype(np.int64)].astype(U) << U(57)) | (mixed(s, 10) >> U(7))
                     rows = np.empty(p, entry)
                     few = np.argpartition(key, p - 1)[:p]
@@ -257,11 +269,15 @@ def postings(docs: DataFrame, levels: np.ndarray, text: str, n: int, percent: in
         keep[1:] |= same
         keep[:-1] |= same
         rows = rows[keep]
-        rows = rows[_has_partner(rows["token"], rows["n"].astype(np.int64), rows["pos"], percent)]
-        return pd.DataFrame({"token": np.ascontiguousarray(rows["token"]).view(np.int64), "node": rows["node"], "n": rows["n"], "pos": rows["pos"]})
+        sizes, of = np.unique(rows["n"].astype(np.int64), return_inverse=True)
+        need = np.array([needed(int(x), percent) for x in sizes], np.int64)[of]
+        proper = rows["pos"] < np.array([prefix_size(int(x), percent) for x in sizes], np.int64)[of]
+        rich = _has_partner(rows["token"], rows["n"].astype(np.int64), rows["pos"], need - 1, percent)
+        rows, need, proper = rows[rich], need[rich], proper[rich]
+        return pd.DataFrame({"token": np.ascontiguousarray(rows["token"]).view(np.int64), "node": rows["node"], "n": rows["n"], "pos": rows["pos"], "need": need.astype(np.int32), "proper": proper})
 
     few = docs.select(F.lit(0), F.col(f"`{text}`").cast("string")).mapInArrow(emit, ddl)
-    return few.groupBy("bucket").applyInPandas(runs, "token long, node long, n int, pos int")
+    return few.groupBy("bucket").applyInPandas(runs, "token long, node long, n int, pos int, need int, proper boolean")
 
 
 def shingle_sets(docs: DataFrame, wanted: DataFrame, id: str, text: str, n: int, percent: int) -> DataFrame:
@@ -319,11 +335,14 @@ def components(docs: DataFrame, id: str = "doc_id", text: str = "text", n: int =
     profiled = staged(profiles(docs, id, text, n), "profiles")
     members = profiled.filter("slice is null").select("id", "node", "n")
     nodes = staged(profiled.filter("node is not null").groupBy("node", "n").agg(F.min("id").alias("id")), "nodes")
-    entries = nodes.agg(F.coalesce(F.sum(F.col("n") * (100 - percent) / 100 + 1), F.lit(0.0))).first()[0]
+    entries = nodes.agg(F.coalesce(F.sum(F.col("n") * (100 - percent) / 80 + 1), F.lit(0.0))).first()[0]
     buckets = max(shuffle_width(spark), int(entries / 500_000) + 1)
     posted = staged(postings(docs, frequency_levels(profiled), text, n, percent, buckets), "postings")
-    degree = staged(posted.groupBy("node").agg(F.count("*").alias("degree")), "degrees")
-    posted = staged(posted.join(degree, "node"), "postings")
+    degree = staged(posted.groupBy("node", "need").agg(F.count("*").alias("degree")).filter("degree >= need").select("node", "degree"), "degrees")
+    posted = posted.filter("proper").select("token", "node", "n", "pos").join(degree, "node")
+    shared = posted.groupBy("token").agg(F.min("node").alias("lo"), F.max("node").alias("hi")).filter("lo <> hi").select("token")
+    posted = staged(posted.join(shared, "token", "left_semi"), "postings")
+    degree = staged(posted.select("node").distinct(), "degrees")
     sets = staged(shingle_sets(docs, degree.join(nodes.filter("id is not null"), "node").select("id", "node"), id, text, n, percent), "sets")
     # At the first token that two linked sets share, what is left of each holds the overlap they need.
     alike = (100 + percent) * F.least(F.col("n") - F.col("pos"), F.col("pn") - F.col("ppos")) >= percent * (F.col("n") + F.col("pn"))
