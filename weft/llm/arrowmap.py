@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable, Iterator
+from contextlib import contextmanager
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
@@ -52,3 +53,16 @@ def broadcast(spark: SparkSession, value: object):
     """A broadcast of a value whose size the caller bounds by a parameter."""
     ship(spark)
     return spark.sparkContext.broadcast(value)
+
+
+@contextmanager
+def batch_bytes(spark: SparkSession, most: int):
+    """While it lasts, jobs send batches of at most about so many bytes to Python. A batch is held several
+    times on its way (a vector's buffer doubles as it grows), by every task of an executor."""
+    name = "spark.sql.execution.arrow.maxBytesPerBatch"
+    before = spark.conf.get(name)
+    spark.conf.set(name, str(most))
+    try:
+        yield
+    finally:
+        spark.conf.set(name, before)

@@ -33,7 +33,7 @@ import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from weft.llm.arrowmap import arrow_schema, broadcast
+from weft.llm.arrowmap import arrow_schema, batch_bytes, broadcast
 from weft.llm.common import shuffle_width, staged
 from weft.llm.components import connected_components
 from weft.session import ship
@@ -256,7 +256,7 @@ def postings(docs: DataFrame, levels: np.ndarray, text: str, n: int, percent: in
                     rows["token"], rows["node"], rows["n"], rows["pos"] = s[few[np.argsort(key[few])]], node, len(s), np.arange(p)
                     held.append(rows)
                     size += p
-                    if size > 1_000_000:
+                    if size > 400_000:
                         yield flush()
                         held, size = [], 0
         if held:
@@ -330,13 +330,18 @@ def _verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
 
 def components(docs: DataFrame, id: str = "doc_id", text: str = "text", n: int = 5, percent: int = 80, star_rounds: int = 3) -> DataFrame:
     """One row for each document: id, n_shingles, component_id (the smallest id of its component)."""
+    ship(docs.sparkSession)
+    with batch_bytes(docs.sparkSession, 4 << 20):
+        return _components(docs, id, text, n, percent, star_rounds)
+
+
+def _components(docs: DataFrame, id: str, text: str, n: int, percent: int, star_rounds: int) -> DataFrame:
     spark = docs.sparkSession
-    ship(spark)
     profiled = staged(profiles(docs, id, text, n), "profiles")
     members = profiled.filter("slice is null").select("id", "node", "n")
     nodes = staged(profiled.filter("node is not null").groupBy("node", "n").agg(F.min("id").alias("id")), "nodes")
     entries = nodes.agg(F.coalesce(F.sum(F.col("n") * (100 - percent) / 80 + 1), F.lit(0.0))).first()[0]
-    buckets = max(shuffle_width(spark), int(entries / 500_000) + 1)
+    buckets = max(shuffle_width(spark), int(entries / 250_000) + 1)
     posted = staged(postings(docs, frequency_levels(profiled), text, n, percent, buckets), "postings")
     degree = staged(posted.groupBy("node", "need").agg(F.count("*").alias("degree")).filter("degree >= need").select("node", "degree"), "degrees")
     posted = posted.filter("proper").select("token", "node", "n", "pos").join(degree, "node")
