@@ -35,6 +35,7 @@ def map_text(df: DataFrame, keep: list[str], added: str, make: Callable[[], Call
                 part = batch.slice(at, slice_rows)
                 columns = of(part.column(len(kept)).to_pylist())
                 yield pa.RecordBatch.from_arrays([part.column(i).cast(arrow.field(i).type) for i in range(len(kept))] + [pa.array(c, arrow.field(len(kept) + i).type) for i, c in enumerate(columns)], schema=arrow)
+        pa.default_memory_pool().release_unused()  # the worker lives on between tasks
 
     return df.select(*[F.col(f"`{c}`") for c in kept], F.col(f"`{text}`").cast("string").alias("_text")).mapInArrow(run, schema)
 

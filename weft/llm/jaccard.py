@@ -174,6 +174,7 @@ def profiles(docs: DataFrame, id: str, text: str, n: int) -> DataFrame:
                 np.add.at(counts, np.concatenate(seen).astype(np.int64), np.uint32(1))
                 none = [None] * len(ids)
                 yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip((ids, nodes, sizes, none, none), schema)], schema=schema)
+        pa.default_memory_pool().release_unused()  # the worker lives on between tasks
         if counts.any():
             pack = zstandard.ZstdCompressor(level=1)
             for k, x in enumerate(np.split(counts, SLICES)):
