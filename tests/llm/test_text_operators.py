@@ -180,6 +180,31 @@ def test_decontamination(spark):
     assert decontam.overlaps(d, none).count() == 0 and decontam.overlaps(d.filter("false"), b).count() == 0 and decontam.clean(d, none).count() == d.count()
 
 
+def brute_window(places, share=0.6):
+    """(most places, smallest span) of the stretches in which the places make up the share."""
+    best = [(b - a + 1, -(places[b] - places[a] + 1)) for a in range(len(places)) for b in range(a, len(places)) if b - a + 1 >= share * (places[b] - places[a] + 1)]
+    return max((m, s) for m, s in best)[0]
+
+
+def test_decontamination_longest_stretch(spark):
+    rng = np.random.default_rng(4)
+    rows = [(np.flatnonzero(rng.random(rng.integers(2, 80)) < p).tolist(),) for p in (0.2, 0.45, 0.55, 0.6, 0.65, 0.9) for _ in range(40)]
+    rows = [r for r in rows if r[0]]
+    got = spark.createDataFrame(rows, "places array<int>").select("places", F.expr(decontam._most("places", 0.6)).alias("m")).collect()
+    assert len(got) == len(rows) and all(r["m"] == brute_window(r["places"]) for r in got)
+
+
+def test_decontamination_apart_on_a_diagonal(spark):
+    item = [f"q{k}" for k in range(100)]
+    other = [f"z{k}" for k in range(100)]
+    mix = lambda *kept, n: " ".join(item[k] if any(a <= k < b for a, b in kept) else other[k] for k in range(n))
+    texts = [mix((0, 12), (47, 59), n=59), mix((0, 25), (75, 100), n=100), mix((10, 18), (90, 95), n=100), mix((0, 12), n=59), mix((0, 7), (50, 57), n=100)]
+    d = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    b = spark.createDataFrame([(0, " ".join(item))], "item_id long, text string")
+    got = {r["doc_id"]: (r["matched_words"], r["span_words"]) for r in decontam.overlaps(d, b).collect()}
+    assert got == {0: (12, 12), 1: (25, 25), 2: (8, 8), 3: (12, 12)}
+
+
 def test_decontamination_query(spark):
     words = lambda t: [w for w in re.split(r"[\W_]+", (t or "").lower()) if w]
     grams = set()

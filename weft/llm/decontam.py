@@ -3,8 +3,9 @@
 Words are runs of letters and digits, lower-cased. At every position each fixed mask hashes the words at
 its ones and ignores those at its zeros. Training and benchmark hashes are joined; hits of a document and
 an item that lie on one diagonal (document place less item place) are put together, and the item's words
-that they cover are counted: an overlap is reported if enough words match and few lie between them, so
-substituted words cost only themselves. Positions whose hash no benchmark item can have are dropped
+that they cover are counted: an overlap is the stretch of the diagonal with the most of them in which they
+are enough and few words lie between them, so substituted words cost only themselves and matches far off
+on the diagonal cost nothing. Positions whose hash no benchmark item can have are dropped
 before the join by a bit table of the benchmark hashes; what the table lets through by chance the join
 drops.
 
@@ -16,6 +17,8 @@ one shorter than the masks is not looked for.
 
 from __future__ import annotations
 
+from fractions import Fraction
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -70,6 +73,22 @@ def seeds(items: DataFrame, id: str, text: str) -> DataFrame:
     return items.select(F.col(f"`{id}`").alias("item"), F.explode_outer(all_seeds).alias("s")).filter("s is not null").select("item", "s.*")
 
 
+def _most(places: str, min_share: float) -> str:
+    """SQL of the most places, of an ascending array of some, in a stretch of which they make up at least
+    min_share: with v = places so far less share times place, first and last place of such a stretch
+    differ by share - 1 at least in v. The least v before and the greatest after each place allow to find
+    the longest stretch with both ends moving to the right only."""
+    share = Fraction(str(min_share)).limit_denominator(1_000_000)
+    num, den = share.numerator, share.denominator
+    value = f"transform({places}, (p, k) -> {den}L * k - {num}L * p)"
+    least, greatest = "transform(v, (x, k) -> array_min(slice(v, 1, k + 1)))", "transform(v, (x, k) -> array_max(slice(v, k + 1, size(v))))"
+    fits = f"z.j < size(v) and b.hi[z.j] - b.lo[z.i] >= {num - den}L"
+    walk = f"""aggregate(sequence(1, 2 * size(v)), named_struct('i', 0, 'j', 0, 'best', 0),
+        (z, step) -> if({fits}, named_struct('i', z.i, 'j', z.j + 1, 'best', greatest(z.best, z.j + 1 - z.i)), if(z.j < size(v), named_struct('i', z.i + 1, 'j', z.j, 'best', z.best), z)), z -> z.best)"""
+    walked = f"transform(array(named_struct('lo', {least}, 'hi', {greatest})), b -> {walk})[0]"
+    return f"transform(array({value}), v -> if(v[size(v) - 1] - v[0] >= {num - den}L, size(v), {walked}))[0]"
+
+
 def overlaps(docs: DataFrame, benchmark: DataFrame, id: str = "doc_id", text: str = "text", item_id: str = "item_id", item_text: str = "text", min_words: int = 8, min_share: float = 0.6, max_bits: int = 1 << 22, broadcast_rows: int = 200_000) -> DataFrame:
     """One row for each document that overlaps the benchmark: id, text_hash, item_id of the item with the
     most matching words (ties: the smallest), matched_words, and span_words they stretch over."""
@@ -90,8 +109,9 @@ def overlaps(docs: DataFrame, benchmark: DataFrame, id: str = "doc_id", text: st
     met = hits.join(F.broadcast(known) if n <= broadcast_rows else known, "seed").groupBy("_id", "_text_hash", "item", "n_words", (F.col("at") - F.col("place")).alias("diagonal")).agg(F.collect_set(F.struct("mask", "place")).alias("s"))
     offsets = "array(" + ", ".join(f"array({', '.join(map(str, m))})" for m in MASKS) + ")"
     met = met.withColumn("places", F.expr(f"array_sort(array_distinct(flatten(transform(s, x -> transform({offsets}[x.mask], o -> x.place + o)))))"))
-    met = met.select("_id", "_text_hash", "item", "n_words", F.size("places").alias("matched"), (F.element_at("places", -1) - F.element_at("places", 1) + 1).alias("span"))
-    met = met.filter((F.col("matched") >= F.least(F.lit(min_words), F.col("n_words"))) & (F.col("matched") >= min_share * F.col("span")))
+    enough = F.least(F.lit(min_words), F.col("n_words"))
+    met = met.filter(F.size("places") >= enough).withColumn("matched", F.expr(_most("places", min_share))).filter(F.col("matched") >= enough)
+    met = met.withColumn("span", F.expr("array_min(transform(sequence(matched, size(places)), k -> places[k - 1] - places[k - matched] + 1))"))
     best = met.groupBy("_id", "_text_hash").agg(F.min(F.struct((-F.col("matched")).alias("m"), "item", "span")).alias("b"))
     return best.select(F.col("_id").alias(id), F.col("_text_hash").alias("text_hash"), F.col("b.item").alias(item_id), (-F.col("b.m")).alias("matched_words"), F.col("b.span").alias("span_words"))
 
