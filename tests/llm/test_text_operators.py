@@ -205,6 +205,21 @@ def test_decontamination_apart_on_a_diagonal(spark):
     assert got == {0: (12, 12), 1: (25, 25), 2: (8, 8), 3: (12, 12)}
 
 
+def test_decontamination_counts_equal_words(spark):
+    item = [f"q{k}" for k in range(40)]
+    rng = np.random.default_rng(6)
+    forms = ["MMMxMMMMM", "MMMxMMMxMMM", "MMMMMxxxMM", *("".join(rng.choice(["M", "x"], 40, p=(1 - p, p))) for p in (0.1, 0.2, 0.3) for _ in range(30))]
+    seeded = lambda f: any(all(i + p < len(f) and f[i + p] == "M" for p in m) for m in decontam.MASKS for i in range(len(f)))
+    words = lambda f: " ".join(item[k] if c == "M" else f"z{k}" for k, c in enumerate(f))
+    d = spark.createDataFrame([(k, "the start " * (k % 3) + words(f)) for k, f in enumerate(forms)], "doc_id long, text string")
+    b = spark.createDataFrame([(0, " ".join(item)), (0, " ".join(item)), (1, "another item that no document has at all")], "item_id long, text string")
+    best = {k: brute_window([i for i, c in enumerate(f) if c == "M"]) for k, f in enumerate(forms)}
+    expect = {k: m for k, m in best.items() if m >= 8 and seeded(forms[k])}
+    for options in ({}, {"broadcast_rows": 0}):
+        got = {r["doc_id"]: r["matched_words"] for r in decontam.overlaps(d, b, **options).collect()}
+        assert got == expect and got[0] == 8 and got[1] == 9 and 2 not in got
+
+
 def test_decontamination_query(spark):
     words = lambda t: [w for w in re.split(r"[\W_]+", (t or "").lower()) if w]
     grams = set()

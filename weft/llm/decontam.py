@@ -1,11 +1,11 @@
 """Benchmark decontamination by spaced-seed hashing, in DataFrame and SQL functions only.
 
 Words are runs of letters and digits, lower-cased. At every position each fixed mask hashes the words at
-its ones and ignores those at its zeros. Training and benchmark hashes are joined; hits of a document and
-an item that lie on one diagonal (document place less item place) are put together, and the item's words
-that they cover are counted: an overlap is the stretch of the diagonal with the most of them in which they
-are enough and few words lie between them, so substituted words cost only themselves and matches far off
-on the diagonal cost nothing. Positions whose hash no benchmark item can have are dropped
+its ones and ignores those at its zeros. Training and benchmark hashes are joined; a hit of a document and
+an item names a diagonal (document place less item place), along which all their words are compared: an
+overlap is the stretch of the diagonal with the most equal words in which they are enough and few words
+lie between them, so substituted words cost only themselves and matches far off on the diagonal cost
+nothing. Only a diagonal without any hit is not looked at. Positions whose hash no benchmark item can have are dropped
 before the join by a bit table of the benchmark hashes; what the table lets through by chance the join
 drops.
 
@@ -66,11 +66,17 @@ def _places(m: int) -> str:
     return f"if(size(_h) > {last}, sequence(0, size(_h) - {last + 1}), cast(array() as array<int>))"
 
 
-def seeds(items: DataFrame, id: str, text: str) -> DataFrame:
-    """(item, mask, place, n_words of the item, seed, pair) of every benchmark item."""
+def benchmark_words(benchmark: DataFrame, id: str, text: str) -> DataFrame:
+    """(_item, item, _words: the word hashes) of every benchmark item with words, repeated ones once."""
+    words = benchmark.select(F.col(f"`{id}`").alias("item"), F.expr(hashes_sql(text)).alias("_words")).distinct()
+    return words.filter("size(_words) > 0").select(F.monotonically_increasing_id().alias("_item"), "item", "_words")
+
+
+def seeds(items: DataFrame) -> DataFrame:
+    """(_item, mask, place, n_words of the item, seed, pair) of every item of benchmark_words."""
     arrays = ", ".join(f"transform({_places(m)}, i -> named_struct('mask', {m}, 'place', i, 'n_words', size(_h), 'seed', {_seed(m)}, 'pair', {_pair('i')}))" for m in range(len(MASKS)))
-    all_seeds = F.expr(f"transform(array({hashes_sql(text)}), _h -> concat({arrays}))[0]")
-    return items.select(F.col(f"`{id}`").alias("item"), F.explode_outer(all_seeds).alias("s")).filter("s is not null").select("item", "s.*")
+    all_seeds = F.expr(f"transform(array(_words), _h -> concat({arrays}))[0]")
+    return items.select("_item", F.explode_outer(all_seeds).alias("s")).filter("s is not null").select("_item", "s.*")
 
 
 def _most(places: str, min_share: float) -> str:
@@ -92,7 +98,8 @@ def _most(places: str, min_share: float) -> str:
 def overlaps(docs: DataFrame, benchmark: DataFrame, id: str = "doc_id", text: str = "text", item_id: str = "item_id", item_text: str = "text", min_words: int = 8, min_share: float = 0.6, max_bits: int = 1 << 22, broadcast_rows: int = 200_000) -> DataFrame:
     """One row for each document that overlaps the benchmark: id, text_hash, item_id of the item with the
     most matching words (ties: the smallest), matched_words, and span_words they stretch over."""
-    known = staged(seeds(benchmark, item_id, item_text), "seeds")
+    items = staged(benchmark_words(benchmark, item_id, item_text), "items")
+    known = staged(seeds(items), "seeds")
     n = known.count()
     bits = 64
     while bits < min(max_bits, 32 * n):
@@ -104,11 +111,24 @@ def overlaps(docs: DataFrame, benchmark: DataFrame, id: str = "doc_id", text: st
     places = f"if(size(_h) < {last}, cast(array() as array<int>), filter(sequence(0, size(_h) - {last}), i -> {_in_table(pairs, _pair('i'), bits)}))"
     hit = ", ".join(f"filter(transform(filter(_at, i -> i + {max(m)} < size(_h)), i -> named_struct('at', i, 'seed', {_seed(k)})), x -> {_in_table(wanted, 'x.seed', bits)})" for k, m in enumerate(MASKS))
     found = f"transform(array({hashes_sql(text)}), _h -> transform(array({places}), _at -> concat({hit}))[0])[0]"
+    own = (F.col(f"`{id}`").alias("_id"), F.xxhash64(F.coalesce(F.col(f"`{text}`").cast("string"), F.lit(""))).alias("_text_hash"))
+    near = F.broadcast if n <= broadcast_rows else lambda df: df
     # explode() would have the optimizer evaluate the array a second time, in a filter on its size.
-    hits = docs.select(F.col(f"`{id}`").alias("_id"), F.xxhash64(F.coalesce(F.col(f"`{text}`").cast("string"), F.lit(""))).alias("_text_hash"), F.explode_outer(F.expr(found)).alias("x")).filter("x is not null").select("_id", "_text_hash", "x.*")
-    met = hits.join(F.broadcast(known) if n <= broadcast_rows else known, "seed").groupBy("_id", "_text_hash", "item", "n_words", (F.col("at") - F.col("place")).alias("diagonal")).agg(F.collect_set(F.struct("mask", "place")).alias("s"))
-    offsets = "array(" + ", ".join(f"array({', '.join(map(str, m))})" for m in MASKS) + ")"
-    met = met.withColumn("places", F.expr(f"array_sort(array_distinct(flatten(transform(s, x -> transform({offsets}[x.mask], o -> x.place + o)))))"))
+    hits = docs.select(*own, F.explode_outer(F.expr(found)).alias("x")).filter("x is not null").select("_id", "_text_hash", "x.*")
+    met = staged(hits.join(near(known), "seed").select("_id", "_text_hash", "_item", "n_words", (F.col("at") - F.col("place")).alias("_diagonal")).distinct(), "diagonals")
+    n_met = met.count()
+    # The words of the documents that have one; a bit table of their texts spares the others the shuffle.
+    bits = 64
+    while bits < min(max_bits, 32 * n_met):
+        bits *= 2
+    texts = f"from_json('{_bit_table(met, '_text_hash', bits)}', 'array<bigint>')"
+    few = docs.select(*own, F.col(f"`{text}`").cast("string").alias("_text")).filter(F.expr(_in_table(texts, "_text_hash", bits)))
+    few = few.groupBy("_id", "_text_hash").agg(F.first("_text").alias("_text")).select(F.col("_id").alias("_key"), F.col("_text_hash").alias("_key_hash"), F.expr(hashes_sql("_text")).alias("_h"))
+    # The item's words on the diagonal, from its place _from on, against the document's.
+    met = met.withColumn("_from", F.greatest(F.lit(0), -F.col("_diagonal"))).join(few, F.col("_text_hash").eqNullSafe(F.col("_key_hash")) & F.col("_id").eqNullSafe(F.col("_key")))
+    met = met.select("_id", "_text_hash", "_item", "n_words", "_from", F.expr("slice(_h, _diagonal + _from + 1, n_words - _from)").alias("_there"))
+    met = met.join(near(items), "_item").withColumn("places", F.expr("filter(transform(zip_with(_there, slice(_words, _from + 1, size(_there)), (x, y) -> x = y), (e, k) -> if(e, _from + k, -1)), p -> p >= 0)"))
+    met = met.select("_id", "_text_hash", "item", "n_words", "places")
     enough = F.least(F.lit(min_words), F.col("n_words"))
     met = met.filter(F.size("places") >= enough).withColumn("matched", F.expr(_most("places", min_share))).filter(F.col("matched") >= enough)
     met = met.withColumn("span", F.expr("array_min(transform(sequence(matched, size(places)), k -> places[k - 1] - places[k - matched] + 1))"))
