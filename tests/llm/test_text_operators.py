@@ -220,6 +220,18 @@ def test_decontamination_counts_equal_words(spark):
         assert got == expect and got[0] == 8 and got[1] == 9 and 2 not in got
 
 
+def test_decontamination_reports_every_item(spark, tmp_path):
+    items = [" ".join(f"q{k}x{j}" for j in range(9 + k)) for k in range(30)]
+    b = spark.createDataFrame([*enumerate(items), (3, "an older text of the same item id")], "item_id long, text string")
+    d = spark.createDataFrame([(0, "the dump " + " and ".join(items)), (1, items[7]), (1, items[7]), (2, "clean")], "doc_id long, text string")
+    expect = sorted([(0, k, 9 + k, 9 + k) for k in range(30)] + [(1, 7, 16, 16)])
+    assert sorted((r["doc_id"], r["item_id"], r["matched_words"], r["span_words"]) for r in decontam.overlaps(d, b).collect()) == expect
+    d.write.parquet(f"{tmp_path}/documents.parquet")
+    b.write.parquet(f"{tmp_path}/benchmark.parquet")
+    assert sorted(map(tuple, queries.op3_decontamination(spark, str(tmp_path)).collect())) == expect
+    assert [r["doc_id"] for r in decontam.clean(d, b).collect()] == [2]
+
+
 def test_decontamination_query(spark):
     words = lambda t: [w for w in re.split(r"[\W_]+", (t or "").lower()) if w]
     grams = set()

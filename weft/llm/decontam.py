@@ -9,8 +9,8 @@ nothing. Only a diagonal without any hit is not looked at. Positions whose hash
 before the join by a bit table of the benchmark hashes; what the table lets through by chance the join
 drops.
 
-Defined results: null and empty texts and items give nothing; rows that repeat an id and a text give one
-row, a repeated id with other texts one row each; null ids are kept as ids of their own; empty tables
+Defined results: null and empty texts and items give nothing; rows that repeat an id and a text count
+once, a repeated id with other texts once for each; of an item's repeated ids the best text counts; null ids are kept as ids of their own; empty tables
 give an empty result; extra columns are ignored. An item shorter than `min_words` must be met whole, and
 one shorter than the masks is not looked for.
 """
@@ -96,8 +96,9 @@ def _most(places: str, min_share: float) -> str:
 
 
 def overlaps(docs: DataFrame, benchmark: DataFrame, id: str = "doc_id", text: str = "text", item_id: str = "item_id", item_text: str = "text", min_words: int = 8, min_share: float = 0.6, max_bits: int = 1 << 22, broadcast_rows: int = 200_000) -> DataFrame:
-    """One row for each document that overlaps the benchmark: id, text_hash, item_id of the item with the
-    most matching words (ties: the smallest), matched_words, and span_words they stretch over."""
+    """One row for each document and each benchmark item that it overlaps: id, text_hash, item_id, and the
+    matched_words of the stretch with the most of them and the span_words they stretch over (ties: the
+    shortest)."""
     items = staged(benchmark_words(benchmark, item_id, item_text), "items")
     known = staged(seeds(items), "seeds")
     n = known.count()
@@ -132,12 +133,12 @@ def overlaps(docs: DataFrame, benchmark: DataFrame, id: str = "doc_id", text: st
     enough = F.least(F.lit(min_words), F.col("n_words"))
     met = met.filter(F.size("places") >= enough).withColumn("matched", F.expr(_most("places", min_share))).filter(F.col("matched") >= enough)
     met = met.withColumn("span", F.expr("array_min(transform(sequence(matched, size(places)), k -> places[k - 1] - places[k - matched] + 1))"))
-    best = met.groupBy("_id", "_text_hash").agg(F.min(F.struct((-F.col("matched")).alias("m"), "item", "span")).alias("b"))
-    return best.select(F.col("_id").alias(id), F.col("_text_hash").alias("text_hash"), F.col("b.item").alias(item_id), (-F.col("b.m")).alias("matched_words"), F.col("b.span").alias("span_words"))
+    best = met.groupBy("_id", "_text_hash", "item").agg(F.min(F.struct((-F.col("matched")).alias("m"), "span")).alias("b"))
+    return best.select(F.col("_id").alias(id), F.col("_text_hash").alias("text_hash"), F.col("item").alias(item_id), (-F.col("b.m")).alias("matched_words"), F.col("b.span").alias("span_words"))
 
 
 def clean(docs: DataFrame, benchmark: DataFrame, id: str = "doc_id", text: str = "text", **options) -> DataFrame:
     """docs without the rows that overlap the benchmark; all columns stay."""
-    found = staged(overlaps(docs, benchmark, id, text, **options).select(F.col(id).alias("_id"), "text_hash"), "overlaps")
+    found = staged(overlaps(docs, benchmark, id, text, **options).select(F.col(id).alias("_id"), "text_hash").distinct(), "overlaps")
     own = F.xxhash64(F.coalesce(F.col(f"`{text}`").cast("string"), F.lit("")))
     return docs.join(found, own.eqNullSafe(F.col("text_hash")) & F.col(f"`{id}`").eqNullSafe(F.col("_id")), "left_anti")
