@@ -306,6 +306,21 @@ def test_jaccard_components(spark, n, percent, rounds):
     assert sorted(map(tuple, got)) == brute_components(rows, n, percent)
 
 
+def test_shingles_of_few_words():
+    words = ["aa", "b", "ccc", "d", "ee", "f", "gg"]
+    for n in range(1, 8):
+        sets = [next(jaccard.Shingler(n)([" ".join(words[:k])])) for k in range(8)]
+        assert [len(s) for s in sets] == [0 if k == 0 else max(1, k - n + 1) for k in range(8)]
+        together = list(jaccard.Shingler(n)([" ".join(words[:k]) for k in range(8)]))
+        assert all((a == b).all() for a, b in zip(sets, together))
+
+
+@pytest.mark.parametrize("size", range(6))
+def test_jaccard_one_short_row(spark, size):
+    d = spark.createDataFrame([(4, " ".join("abcde"[:size]))], "doc_id long, text string")
+    assert [tuple(r) for r in jaccard.components(d, n=5).collect()] == [(4, min(size, 1), 4)]
+
+
 def test_jaccard_query_and_odd_rows(spark, edge_docs, empty_docs):
     rows = documents(spark)
     assert sorted(map(tuple, queries.op5_ngram_jaccard(spark, SF).collect())) == brute_components(rows, 4, 85)

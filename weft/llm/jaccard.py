@@ -95,8 +95,8 @@ class Shingler:
         cuts = np.searchsorted(start, begin)
         n = self.n
         full = np.full(max(0, len(word) - n + 1), n, U)
-        for k in range(n):
-            full = mixed(full * MIX[0] + word[k : len(word) - n + 1 + k], k + 2)
+        for k in range(n if len(full) else 0):
+            full = mixed(full * MIX[0] + word[k : k + len(full)], k + 2)
         for a, b in zip(cuts[:-1].tolist(), cuts[1:].tolist()):
             if b - a >= n:
                 yield np.unique(full[a : b - n + 1])
