@@ -26,7 +26,7 @@ def map_text(df: DataFrame, keep: list[str], added: str, make: Callable[[], Call
     schema = schema_of(df, keep, added)
     names = StructType.fromDDL(added).names
     kept = [c for c in keep if c not in names]
-    arrow = _arrow(schema)
+    arrow = arrow_of(schema)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         of = make()
@@ -40,14 +40,14 @@ def map_text(df: DataFrame, keep: list[str], added: str, make: Callable[[], Call
     return df.select(*[F.col(f"`{c}`") for c in kept], F.col(f"`{text}`").cast("string").alias("_text")).mapInArrow(run, schema)
 
 
-def _arrow(schema: StructType) -> pa.Schema:
+def arrow_of(schema: StructType) -> pa.Schema:
     from pyspark.sql.pandas.types import to_arrow_schema
 
     return to_arrow_schema(schema)
 
 
 def arrow_schema(ddl: str) -> pa.Schema:
-    return _arrow(StructType.fromDDL(ddl))
+    return arrow_of(StructType.fromDDL(ddl))
 
 
 def broadcast(spark: SparkSession, value: object):

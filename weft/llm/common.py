@@ -36,6 +36,14 @@ def shuffle_width(spark: SparkSession) -> int:
     return max(1, int(spark.conf.get("spark.sql.shuffle.partitions")))
 
 
+def input_width(df: DataFrame, bytes_each: int = 128 << 20) -> int:
+    """Partitions for a shuffle of df's rows: one for each `bytes_each` of the optimizer's estimate of their
+    size (of files, what they hold on disk), and the session's number at least."""
+    size = int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+    known = size < 1 << 62  # beyond it stands for an unknown size
+    return max(shuffle_width(df.sparkSession), -(-size // bytes_each) if known else 1)
+
+
 def text_or_empty(name: str = "text") -> Column:
     return F.coalesce(F.col(name).cast("string"), F.lit(""))
 

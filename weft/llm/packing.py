@@ -17,13 +17,14 @@ import zlib
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
-from weft.llm.arrowmap import map_text
+from weft.llm.arrowmap import arrow_of, schema_of
 from weft.llm.common import staged
-from weft.llm.tokens import encoder
+from weft.llm.tokens import encoder, with_end
 from weft.session import ship
 
 PIECE = "start long, length long, ids_crc32 long, doc_tokens long"
@@ -81,30 +82,30 @@ def best_fit_decreasing(lengths: np.ndarray, capacity: int) -> tuple[np.ndarray,
 def cut(docs: DataFrame, keep: list[str], tokenizer: str, capacity: int = 2048, end_id: int = 1, text: str = "text") -> DataFrame:
     """A row for each piece of every document: the kept columns and PIECE, and `ids` (little-endian
     unsigned 32-bit) if asked for by `keep` holding 'ids'."""
+    ship(docs.sparkSession)
     with_ids = "ids" in keep
-    pieces = "pieces array<struct<start:bigint,length:bigint,ids_crc32:bigint,ids:binary>>, doc_tokens long"
+    added = PIECE + ", ids binary" * with_ids
+    schema = schema_of(docs, [c for c in keep if c != "ids"], added)
+    kept = [c for c in keep if c not in StructType.fromDDL(PIECE).names and c != "ids"]
+    arrow = arrow_of(schema)
 
-    def make():
+    def run(batches):
         enc = encoder(tokenizer)
-
-        def of(texts):
-            out, totals = [], []
-            for ids in enc.encode(texts):
-                data = ids.tobytes() + end_id.to_bytes(4, "little")
-                n = len(data) // 4
-                rows = []
-                for start in range(0, n, capacity):
-                    piece = data[4 * start : 4 * (start + capacity)]
-                    rows.append({"start": start, "length": len(piece) // 4, "ids_crc32": zlib.crc32(piece), "ids": piece if with_ids else None})
-                out.append(rows)
-                totals.append(n)
-            return [out, totals]
-
-        return of
-
-    own = [c for c in keep if c != "ids"]
-    cut = map_text(docs, own, pieces, make, text)
-    return cut.select(*own, F.explode("pieces").alias("p"), "doc_tokens").select(*own, "p.start", "p.length", "p.ids_crc32", "doc_tokens", *(["p.ids"] if with_ids else []))
+        for batch in batches:
+            for at in range(0, batch.num_rows, 256):
+                rows = batch.slice(at, 256)
+                data, total = with_end(*enc.encode_column(rows.column(len(kept))), end_id)
+                of = np.repeat(np.arange(len(total)), -(-total // capacity))
+                start = (np.arange(len(of)) - np.searchsorted(of, of)) * capacity
+                length = np.minimum(capacity, total[of] - start)
+                view, ends = memoryview(data.view(np.uint8)), np.cumsum(length) * 4
+                pieces = [view[e - 4 * n : e] for e, n in zip(ends.tolist(), length.tolist())]
+                columns = [start, length, [zlib.crc32(x) for x in pieces], total[of]] + [[bytes(x) for x in pieces]] * with_ids
+                own = [rows.column(i).take(pa.array(of)).cast(arrow.field(i).type) for i in range(len(kept))]
+                yield pa.RecordBatch.from_arrays(own + [pa.array(c, arrow.field(len(kept) + i).type) for i, c in enumerate(columns)], schema=arrow)
+        pa.default_memory_pool().release_unused()  # the worker lives on between tasks
+
+    return docs.select(*[F.col(f"`{c}`") for c in kept], F.col(f"`{text}`").cast("string").alias("_text")).mapInArrow(run, schema)
 
 
 def pack(docs: DataFrame, keep: list[str], tokenizer: str, capacity: int = 2048, end_id: int = 1, text: str = "text", shard_pieces: int = 4096) -> DataFrame:

@@ -23,13 +23,11 @@ U = np.uint64
 
 
 def _widths(ids: np.ndarray) -> np.ndarray:
-    """Bits of every id; 61 where it needs an escape."""
-    width = np.zeros(len(ids), np.uint8)
-    for b in (32, 16, 8, 4, 2, 1):
-        high = (ids >> U(b)) > 0
-        width += np.where(high, np.uint8(b), np.uint8(0))
-        ids = np.where(high, ids >> U(b), ids)
-    width += ids > 0
+    """Bits of every id."""
+    width = np.frexp(ids.astype(np.float64))[1].astype(np.uint8)
+    big = np.flatnonzero(ids >= U(1 << 53))  # those that a double may round up
+    if len(big):
+        width[big] = 32 + np.frexp((ids[big] >> U(32)).astype(np.float64))[1]
     return width
 
 
@@ -52,7 +50,7 @@ def encode(ids: np.ndarray) -> bytes:
     for s in range(14, -1, -1):
         count, p = int(COUNTS[s]), 1 << (int(COUNTS[s]).bit_length() - 1)
         top = np.maximum(most[p][:, :BLOCK], most[p][:, count - p : count - p + BLOCK])
-        best[top <= BITS[s]] = s
+        best -= top <= BITS[s]  # what fits a selector fits all after it
     # All blocks step from word to word together.
     sizes = np.minimum(BLOCK, n - BLOCK * np.arange(blocks))
     alive, cursor, steps = np.arange(blocks), np.zeros(blocks, np.int64), []

@@ -21,8 +21,8 @@ from pyspark.sql import functions as F
 
 from weft.llm import simple8b
 from weft.llm.arrowmap import arrow_schema
-from weft.llm.common import shuffle_width
-from weft.llm.tokens import encoder
+from weft.llm.common import input_width
+from weft.llm.tokens import encoder, with_end
 from weft.session import ship
 
 FILES = "part int, first long, n_ids long, doc_ids array<bigint>, lengths array<bigint>, payload binary"
@@ -41,26 +41,27 @@ def write(docs: DataFrame, path: str, tokenizer: str, id: str = "doc_id", text:
 
         def flush():
             nonlocal first, ids, lengths, pieces, n
-            data = simple8b.encode(np.frombuffer(b"".join(pieces), "<u4"))
-            out = pa.RecordBatch.from_arrays([pa.array([x], t.type) for x, t in zip((part, first, n, ids, lengths, data), schema)], schema=schema)
+            data = simple8b.encode(np.concatenate(pieces))
+            values = (pa.array([x], t.type) for x, t in zip((part, first, n, pa.concat_arrays(ids), np.concatenate(lengths), data), schema))
             first, ids, lengths, pieces, n = first + n, [], [], [], 0
-            return out
+            return pa.RecordBatch.from_arrays(list(values), schema=schema)
 
         for batch in batches:
             for at in range(0, batch.num_rows, 256):
                 rows = batch.slice(at, 256)
-                for i, tokens in zip(rows.column(0).to_pylist(), enc.encode(rows.column(1).to_pylist())):
-                    ids.append(i)
-                    lengths.append(len(tokens) + 1)
-                    pieces += [tokens.tobytes(), end_id.to_bytes(4, "little")]
-                    n += len(tokens) + 1
-                    if n >= file_ids:
-                        yield flush()
+                tokens, counts = with_end(*enc.encode_column(rows.column(1)), end_id)
+                ids.append(rows.column(0))
+                lengths.append(counts)
+                pieces.append(tokens)
+                n += len(tokens)
+                if n >= file_ids:
+                    yield flush()
         if n:
             yield flush()
+        pa.default_memory_pool().release_unused()  # the worker lives on between tasks
 
     rows = docs.select(F.col(f"`{id}`").cast("long").alias("id"), F.col(f"`{text}`").cast("string").alias("text"))
-    ordered = rows.repartitionByRange(partitions or shuffle_width(spark), "id").sortWithinPartitions("id", "text")
+    ordered = rows.repartitionByRange(partitions or input_width(rows), "id").sortWithinPartitions("id", "text")
     ordered.mapInArrow(files, FILES).write.parquet(path)
 
 
