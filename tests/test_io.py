@@ -114,3 +114,56 @@ def test_empty_tables(spark):
     empty = spark.createDataFrame([], "text string, id string")
     assert split.train_test(empty, F.col("id")).count() == 0
     assert stats.totals(corpus.add_columns(empty, "s", "l")).first()["avg_tokens"] == 0
+
+
+def test_swap_is_finished_after_it_stops_anywhere(spark, tmp_path):
+    """Whatever the step a swap stopped at, a table is there and another swap ends it."""
+    new, old = spark.range(5), spark.range(2)
+    for stopped in ("written", "moved aside", "moved in"):
+        path = tmp_path / stopped.replace(" ", "")
+        old.write.parquet(str(path))
+        new.write.parquet(f"{path}.staged")
+        if stopped != "written":
+            path.rename(f"{path}.old")
+        if stopped == "moved in":
+            (tmp_path / f"{path.name}.staged").rename(path)
+        assert any((tmp_path / f"{path.name}{end}").exists() for end in ("", ".old"))
+        writers.swap(spark, str(path))
+        assert spark.read.parquet(str(path)).count() == 5 and not (tmp_path / f"{path.name}.old").exists()
+
+
+def test_publish_survives_a_failing_swap(spark, tmp_path, monkeypatch):
+    path = str(tmp_path / "t")
+    writers.publish(spark.range(3), path)
+    renamed, calls = writers._renamed, []
+
+    def sometimes(fs, source, target):
+        calls.append(1)
+        if len(calls) == 2:
+            raise OSError("transient")
+        renamed(fs, source, target)
+
+    monkeypatch.setattr(writers, "_renamed", sometimes)
+    writers.publish(spark.read.parquet(path).filter("id > 0"), path, wait=0)
+    assert spark.read.parquet(path).count() == 2
+
+
+def test_running_index_keeps_null_keys(spark):
+    rows = spark.createDataFrame([(None, "f", 1), (None, None, 2), ("s", None, 1), ("s", "f", 1)], "source string, file string, pos int")
+    got = {tuple(r) for r in corpus.running_index(rows, "source", "file", "pos").collect()}
+    assert got == {(None, "f", 1, 1), (None, None, 2, 0), ("s", None, 1, 0), ("s", "f", 1, 1)}
+
+
+def test_logging_goes_to_a_file(tmp_path):
+    from weft.session import setup_logging
+
+    log = setup_logging(str(tmp_path / "logs/run.log"))
+    log.info("hello")
+    assert " INFO hello" in (tmp_path / "logs/run.log").read_text()
+    setup_logging()
+
+
+def test_files_by_source_lists_sources_without_documents(spark):
+    files = spark.createDataFrame([("a", "fil"), ("a", "fil"), ("b", None)], "source string, language string")
+    got = {tuple(r) for r in stats.files_by_source(files.filter("source = 'a'").limit(1), files).collect()}
+    assert got == {("a", "fil", 1, 2), ("b", None, 0, 1)}

@@ -69,7 +69,7 @@ def test_speech_corpus(spark, tmp_path):
     assert {(r["speaker_id"], r["gender"], r["age_group"], r["speech_type"], r["source_file"]) for r in rows} == {("12", "female", "44-51", "read", "12_xx13xxxx_7")}
     lengths = [len(speech.decode_wav(bytes(r["audio"]["bytes"]))[0]) for r in rows]
     assert lengths == [32_000, 32_000, 64_000]  # the second and third run past the recording's end
-    assert pipelines.speech_corpus(spark, *args, sentences_only=True).count() == 3
+    assert pipelines.speech_corpus(spark, *args, pipelines.SpeechConfig(sentences_only=True)).count() == 3
 
 
 def test_segments_do_not_depend_on_partitions(spark):

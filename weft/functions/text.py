@@ -63,13 +63,16 @@ LETTER = r"[a-zA-ZÀ-ɏ]"
 LINE_END = "[\n\u0085  ]"
 
 
-def line_pattern(word_end: str, flags: str) -> str:
-    """One alternation over all boilerplate patterns."""
-    cased, uncased = (("|".join(p)).replace("END", word_end) for p in (LINE_CASED, LINE_UNCASED))
-    return f"{flags}^(?:{cased})|(?i:^(?:{uncased}))|(?i:{'|'.join(LINE_ANYWHERE)})"
+def _anchored(patterns: list[str]) -> str:
+    """Alternatives behind the white space that all of them begin with."""
+    return rf"\s*(?:{'|'.join(p.removeprefix(chr(92) + 's*') for p in patterns)})".replace("END", r"(?![\p{L}\p{N}_])")
 
 
-BOILERPLATE = line_pattern(r"(?![\p{L}\p{N}_])", "(?dU)").replace("(?i:", "(?iu:")
+#: Every listed pattern begins with white space, so it is skipped once for all of them.
+BOILERPLATE = f"(?dU)^(?:{_anchored(LINE_CASED)}|(?iu:{_anchored(LINE_UNCASED)}))"
+ANYWHERE = f"(?diuU){'|'.join(LINE_ANYWHERE)}"
+#: No line without a match of this is changed by clean_markup.
+MARKED = r"[<\[(\\|\t]|http|  "
 
 
 def _replace(c: Column, pattern: str, by: str = "", flags: str = "dU") -> Column:
@@ -112,7 +115,7 @@ def content_hash(c: Column) -> Column:
 
 
 def is_boilerplate(line: Column) -> Column:
-    return line.rlike(BOILERPLATE)
+    return line.rlike(BOILERPLATE) | line.rlike(ANYWHERE)
 
 
 def has_letter(line: Column) -> Column:
@@ -135,43 +138,77 @@ def unescape_all(texts: pd.Series) -> pd.Series:
     return texts.map(lambda a: [html.unescape(t) for t in a], na_action="ignore")
 
 
+#: Rewrites 2-13 of a line (pattern, replacement, flags), in their order.
+MARKUP = [
+    ("<[^>]+>", "", "dU"),
+    (r"!\[.*?\]\(.*?\)", "", "dU"),
+    (r"\[([^\]]+)\]\(https?://[^)]+\)", "$1", "dU"),
+    (r"\[\*{0,2}([^\]\n]+)\*{0,2}\]\(", "$1 ", "dU"),
+    (r"\[([^\]\n]*)\][\s\x1c-\x1f]*$", "$1", "mdU"),
+    (r"\[([^\]]{1,100})\](?!\()", "$1", "dU"),
+    (r"https?://[^\s\x1c-\x1f]+", "", "dU"),
+    (r"\[\s*\d+\s*\]", "", "dU"),
+    (r"\(\s*\d+\s*\)", "", "dU"),
+    (r"\\+", " ", "dU"),
+    (r"[\s\x1c-\x1f]*\|[\s\x1c-\x1f]*", " ", "dU"),
+    ("[ \t]+", " ", "dU"),
+]
+#: Rewrites of a text of the file corpus before its lines are dropped.
+CORPUS = [
+    (r"([\p{L}\p{N}_])~([\p{L}\p{N}_])", "$1$2", "dU"),
+    (r"'[\s\x1c-\x1f]+([a-zA-Z])", "'$1", "dU"),
+    (r"\[\s*\d+\s*\]", "", "dU"),
+    (r"\(\s*\d+\s*\)", "", "dU"),
+]
+#: Lines of the file corpus that go, by what they begin with.
+TITLE, RULE = r"(?dUiu)^Title\s*:", r"^[=\-*.]{2,}"
+#: Fixed value: a line of nothing but parentheses.
+PARENTHESES = r"^[\s\x1c-\x1f]*\(.*?\)[\s\x1c-\x1f]*$"
+#: Lines with entities that go to Python alone; a text with more of them is sent whole.
+FEW = 64
+
+
 def clean_markup(c: Column) -> Column:
     """Rewrites 2-13 of an unescaped line: tags, images, links, brackets, URLs, notes, bars, blanks (T4)."""
-    c = _replace(c, "<[^>]+>")
-    c = _replace(c, r"!\[.*?\]\(.*?\)")
-    c = _replace(c, r"\[([^\]]+)\]\(https?://[^)]+\)", "$1")
-    c = _replace(c, r"\[\*{0,2}([^\]\n]+)\*{0,2}\]\(", "$1 ")
-    c = _replace(c, r"\[([^\]\n]*)\][\s\x1c-\x1f]*$", "$1", "mdU")
-    c = _replace(c, r"\[([^\]]{1,100})\](?!\()", "$1")
-    c = _replace(c, r"https?://[^\s\x1c-\x1f]+")
-    c = _replace(c, r"\[\s*\d+\s*\]")
-    c = _replace(c, r"\(\s*\d+\s*\)")
-    c = _replace(c, r"\\+", " ")
-    c = _replace(c, r"[\s\x1c-\x1f]*\|[\s\x1c-\x1f]*", " ")
-    return _replace(c, "[ \t]+", " ")
+    out = c
+    for pattern, by, flags in MARKUP:
+        out = _replace(out, pattern, by, flags)
+    return F.when(c.rlike(MARKED), out).otherwise(c)
 
 
 def clean_inline(c: Column) -> Column:
     return clean_markup(unescape(c))
 
 
+def unescape_lines(kept: Column) -> Column:
+    """An array's lines with HTML entities decoded; only lines with an ampersand go to Python."""
+    has = lambda x: F.contains(x, F.lit("&"))
+    some = F.filter(kept, has)
+    many = F.size(some) > FEW
+    back = unescape_all(F.when(many, kept).otherwise(some))
+    # Python functions may not stand in a lambda: what they gave is bound as a variable.
+    bound = F.array(F.struct(kept.alias("kept"), some.alias("some"), many.alias("many"), back.alias("back")))
+    line = lambda s: lambda x, i: F.when(~has(x), x).when(s["many"], F.get(s["back"], i)).otherwise(F.get(s["back"], F.array_position(s["some"], x).cast("int") - 1))
+    return F.transform(bound, lambda s: F.transform(s["kept"], line(s)))[0]
+
+
 def clean_text(c: Column) -> Column:
     """The web cleaner: boilerplate lines go, the rest is rewritten, lines without letters go, blank
     ones stay (T1). Null gives the empty text."""
     kept = F.filter(lines(normalize_line_ends(F.coalesce(c, F.lit("")))), lambda x: ~is_boilerplate(x))
-    rewritten = F.transform(unescape_all(kept), lambda x: strip(clean_markup(x)))
+    rewritten = F.transform(unescape_lines(kept), lambda x: strip(clean_markup(x)))
     return collapse_blank_lines(F.array_join(F.filter(rewritten, lambda x: (x == "") | has_letter(x)), "\n"))
 
 
 def clean_corpus(c: Column, lang: Column) -> Column:
     """The file-corpus cleaner (T7); lines of nothing but parentheses are blanked where lang is ceb."""
-    c = normalize_line_ends(unescape(c))
-    c = _replace(c, r"([\p{L}\p{N}_])~([\p{L}\p{N}_])", "$1$2")
-    c = _replace(c, r"'[\s\x1c-\x1f]+([a-zA-Z])", "'$1")
-    c = _replace(_replace(c, r"\[\s*\d+\s*\]"), r"\(\s*\d+\s*\)")
-    dropped = lambda s: s.rlike(r"(?dUiu)^Title\s*:") | s.rlike(r"^[=\-*.]{2,}") | ((s != "") & ~has_letter(s))
+    c = F.coalesce(unescape(F.when(F.contains(c, F.lit("&")), c)), c)
+    c = normalize_line_ends(c)
+    for pattern, by, flags in CORPUS:
+        c = _replace(c, pattern, by, flags)
+    dropped = lambda s: s.rlike(TITLE) | s.rlike(RULE) | ((s != "") & ~has_letter(s))
     c = F.array_join(F.filter(lines(c), lambda x: ~dropped(strip(x))), "\n")
-    c = F.when(lang == "ceb", _replace(c, r"^[\s\x1c-\x1f]*\(.*?\)[\s\x1c-\x1f]*$", "", "mdU")).otherwise(c)
+    c = F.when(lang == "ceb", _replace(c, PARENTHESES, "", "mdU")).otherwise(c)
     c = _replace(c, "[ \t]+", " ")
     return collapse_blank_lines(F.array_join(F.transform(lines(c), strip), "\n"))
 

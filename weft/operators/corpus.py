@@ -2,11 +2,12 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from weft.functions import text as T
 from weft.session import ship
+from weft.staging import once, spread, staged
 
 
 def text_column(df: DataFrame) -> DataFrame:
@@ -20,7 +21,8 @@ def text_column(df: DataFrame) -> DataFrame:
 def clean_web(df: DataFrame, min_words: int = 30, min_latin_ratio: float = 0.4) -> DataFrame:
     """text_cleaned beside text, unusable rows gone."""
     ship(df.sparkSession)
-    return text_column(df).withColumn("text_cleaned", T.clean_text(F.col("text"))).filter(T.is_usable(F.col("text_cleaned"), min_words, min_latin_ratio))
+    cleaned = once(spread(text_column(df)), text_cleaned=T.clean_text(F.col("text")))
+    return cleaned.filter(T.is_usable(F.col("text_cleaned"), min_words, min_latin_ratio))
 
 
 def use_cleaned(df: DataFrame) -> DataFrame:
@@ -70,29 +72,30 @@ def _gathered(p: Column, whole: Column, target: int, short: int, few: int) -> Co
 
 
 def first_wins(df: DataFrame, key: Column, *order: str) -> DataFrame:
-    """Of rows with equal keys, the first by `order` (D2). Aggregated before the shuffle, so a key that a
-    third of the rows share is no hot spot."""
-    first = df.withColumn("_key", key).groupBy("_key").agg(F.min_by(F.struct(*df.columns), F.struct(*order)).alias("_row"))
-    return first.select("_row.*")
+    """Of rows with equal keys, the first by `order` (D2). Spark drops all but a task's first row of a key
+    before the shuffle, so a key that a third of the rows share is no hot spot; columns that are not asked
+    for later, such as the text that was hashed, are not shuffled."""
+    place = F.row_number().over(Window.partitionBy("_key").orderBy(*order))
+    return df.withColumn("_key", key).withColumn("_place", place).filter("_place = 1").drop("_key", "_place")
 
 
 def running_index(df: DataFrame, source: str, file: str, position: str, name: str = "doc_idx") -> DataFrame:
     """Index of a row within its source by (file, position), from 0 (D3). Ranks are taken within a file
-    and shifted by the counts of the files before it, so no task holds a source."""
-    from pyspark.sql import Window
-
+    and shifted by the counts of the files before it, so no task holds a source's rows. Null sources are one
+    source and null files one file, the first; `df` is read twice, so stage what is dear to make."""
     counts = df.groupBy(source, file).agg(F.count("*").alias("_n"))
-    before = counts.select(source, file, (F.sum("_n").over(Window.partitionBy(source).orderBy(file)) - F.col("_n")).alias("_before"))
+    before = counts.select(F.col(source).alias("_source"), F.col(file).alias("_file"), (F.sum("_n").over(Window.partitionBy(source).orderBy(file)) - F.col("_n")).alias("_before"))
     ranked = df.withColumn("_at", F.row_number().over(Window.partitionBy(source, file).orderBy(position)) - 1)
-    return ranked.join(before, [source, file]).withColumn(name, (F.col("_before") + F.col("_at")).cast("long")).select(*df.columns, name)
+    same = F.col(source).eqNullSafe(F.col("_source")) & F.col(file).eqNullSafe(F.col("_file"))
+    return ranked.join(before, same).withColumn(name, (F.col("_before") + F.col("_at")).cast("long")).select(*df.columns, name)
 
 
 def file_corpus(files: DataFrame, min_words: int = 50, min_latin_ratio: float = 0.4) -> DataFrame:
     """Records of files (source_ord, source, language, name, text), entry B: cleaned, split, filtered,
     first-wins deduplicated, numbered: text, id, source, language, token_count."""
     ship(files.sparkSession)
-    cleaned = files.withColumn("text", T.clean_corpus(F.col("text"), F.col("language")))
+    cleaned = once(spread(files), text=T.clean_corpus(F.col("text"), F.col("language")))
     docs = cleaned.select("source_ord", "source", "language", "name", F.posexplode(split_documents(F.col("text"))).alias("pos", "text"))
-    good = docs.withColumn("token_count", T.word_count(F.col("text"))).filter((F.col("token_count") >= min_words) & (T.latin_ratio(F.col("text")) >= min_latin_ratio))
-    first = first_wins(good, T.content_hash(F.col("text")), "source_ord", "name", "pos")
+    good = once(docs, token_count=T.word_count(F.col("text"))).filter((F.col("token_count") >= min_words) & (T.latin_ratio(F.col("text")) >= min_latin_ratio))
+    first = staged(first_wins(good, T.content_hash(F.col("text")), "source_ord", "name", "pos"), "first")
     return running_index(first, "source_ord", "name", "pos").select("text", record_id(F.col("source"), F.col("name"), F.col("doc_idx")).alias("id"), "source", "language", "token_count")

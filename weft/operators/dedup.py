@@ -6,19 +6,26 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from weft.functions.text import content_hash
+from weft.operators.corpus import first_wins
 
 
 def target_hashes(target: DataFrame) -> DataFrame:
-    """Distinct hashes of a target, from its column or, where that is null or absent, from its text."""
-    own = content_hash(F.col("text"))
-    return target.select((F.coalesce("content_hash", own) if "content_hash" in target.columns else own).alias("_hash")).distinct()
+    """Distinct hashes of a target, from its column or, where that is null or absent, from its text. Texts
+    are read only of rows without a hash: files whose statistics show no null are skipped."""
+    own = content_hash(F.col("text")).alias("_hash")
+    if "content_hash" not in target.columns:
+        return target.select(own).distinct()
+    known = target.filter("content_hash is not null").select(F.col("content_hash").alias("_hash"))
+    if "text" not in target.columns:
+        return known.distinct()
+    return known.unionByName(target.filter("content_hash is null").select(own)).distinct()
 
 
 def dedup_against(df: DataFrame, target: DataFrame | None, within: bool = False) -> DataFrame:
     """Rows of df whose text is not in the target (D1); the incoming text is hashed anew. Copies inside df
-    stay unless `within`. No target: df as it is."""
+    stay unless `within`, which keeps the first in the order of the input. No target: df as it is."""
     if within:
-        df = df.dropDuplicates(["text"])
+        df = first_wins(df.withColumn("_order", F.monotonically_increasing_id()), content_hash(F.col("text")), "_order").drop("_order")
     if target is None:
         return df
     return df.join(target_hashes(target), content_hash(F.col("text")) == F.col("_hash"), "left_anti")

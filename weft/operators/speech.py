@@ -15,9 +15,11 @@ from pyspark.sql.types import ArrayType, DoubleType, IntegerType, StringType, St
 
 from weft.functions import text as T
 from weft.session import ship
+from weft.staging import staged
 
 #: Age groups by their digit.
 AGE_GROUPS = ["20-27", "28-35", "36-43", "44-51", "52-60"]
+#: Fixed value: a file's stem, with speaker, gender digit and age digit.
 STEM = r"^(\d+)_xx(\d)(\d)xxxx_(\d+)"
 LAST_SEGMENT = 5.0
 SYNCS = ArrayType(StructType().add("turn", IntegerType()).add("pos", IntegerType()).add("start", DoubleType()).add("text", StringType()))
@@ -167,8 +169,9 @@ def audio_segments(found: DataFrame, recordings: DataFrame, rate: int = 16_000)
     read once for all its segments (R4). Unreadable recordings and empty clips give no rows."""
     ship(found.sparkSession)
     rest = [c for c in found.columns if c not in ("wav_path", "start", "end")]
-    gathered = found.groupBy("wav_path").agg(F.collect_list(F.struct("start", "end", *rest)).alias("segs"))
-    # One recording's segments a row: as many as its transcript has.
+    # One recording's segments a row: as many as its transcript has. Staged, so that its size is known and
+    # Spark broadcasts it where it is small, and no recording is shuffled then.
+    gathered = staged(found.groupBy("wav_path").agg(F.collect_list(F.struct("start", "end", *rest)).alias("segs")), "segments")
     joined = gathered.join(recordings.select(F.col("path").alias("wav_path"), "content"), "wav_path")
 
     @F.pandas_udf("array<binary>")

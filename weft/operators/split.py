@@ -5,31 +5,36 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-RANK_DIGITS = 3
+#: Rows that a range of hashes holds on average, at most (up to 16 ** 5 ranges).
+RANGE_ROWS = 1_000_000
 
 
-def shuffled_rank(df: DataFrame, id: Column, seed: int = 42, name: str = "rank") -> DataFrame:
+def shuffled_rank(df: DataFrame, id: Column, seed: int = 42, name: str = "rank", rows: int | None = None) -> DataFrame:
     """Place of each row (from 0) in the order of md5(seed:id), ties by id. Ranks are taken within ranges
-    of the hash's first digits and shifted by the ranges' counts: no task sorts all rows."""
-    keyed = df.withColumn("_id", id.cast("string")).withColumn("_md5", F.md5(F.concat(F.lit(f"{seed}:"), F.coalesce("_id", F.lit(""))))).withColumn("_range", F.left("_md5", F.lit(RANK_DIGITS)))
-    # 16 ** RANK_DIGITS rows at most.
+    of the hash's first digits, as many as the number of rows asks for, and shifted by the ranges' counts:
+    no task sorts all rows."""
+    n, digits = df.count() if rows is None else rows, 1
+    while digits < 5 and 16**digits * RANGE_ROWS < n:
+        digits += 1
+    keyed = df.withColumn("_id", id.cast("string")).withColumn("_md5", F.md5(F.concat(F.lit(f"{seed}:"), F.coalesce("_id", F.lit(""))))).withColumn("_range", F.left("_md5", F.lit(digits)))
+    # 16 ** digits rows at most.
     counts = keyed.groupBy("_range").agg(F.count("*").alias("_n"))
     before = counts.select("_range", (F.sum("_n").over(Window.orderBy("_range")) - F.col("_n")).alias("_before"))
     ranked = keyed.withColumn("_at", F.row_number().over(Window.partitionBy("_range").orderBy("_md5", "_id")) - 1)
-    return ranked.join(F.broadcast(before), "_range").withColumn(name, (F.col("_before") + F.col("_at")).cast("long")).select(*df.columns, name)
+    return ranked.join(before, "_range").withColumn(name, (F.col("_before") + F.col("_at")).cast("long")).select(*df.columns, name)
 
 
-def train_test(df: DataFrame, id: Column, seed: int = 42, tenths: int = 9) -> DataFrame:
+def train_test(df: DataFrame, id: Column, seed: int = 42, tenths: int = 9, rows: int | None = None) -> DataFrame:
     """df with rank and split: train for the first n * tenths div 10 rows of the shuffled order."""
-    n = df.count()
-    return shuffled_rank(df, id, seed).withColumn("split", F.when(F.col("rank") < n * tenths // 10, "train").otherwise("test"))
+    n = df.count() if rows is None else rows
+    return shuffled_rank(df, id, seed, rows=n).withColumn("split", F.when(F.col("rank") < n * tenths // 10, "train").otherwise("test"))
 
 
 def shards(df: DataFrame, id: Column, seed: int = 42, tenths: int = 9, shard_rows: int = 2000) -> DataFrame:
     """train_test with shard (from 0 in each split) and shard_name {split}-{i}-of-{n}.parquet."""
     n = df.count()
     cut = n * tenths // 10
-    split = train_test(df, id, seed, tenths)
+    split = train_test(df, id, seed, tenths, n)
     at = F.when(F.col("split") == "train", F.col("rank")).otherwise(F.col("rank") - cut)
     of = F.when(F.col("split") == "train", F.lit(-(-cut // shard_rows))).otherwise(F.lit(-(-(n - cut) // shard_rows)))
     return split.withColumn("shard", F.floor(at / shard_rows).cast("int")).withColumn("shard_name", F.format_string("%s-%05d-of-%05d.parquet", "split", "shard", of))

@@ -18,6 +18,15 @@ def by_source(df: DataFrame) -> DataFrame:
     return df.groupBy("source").agg(F.count("*").alias("documents")).orderBy(F.desc("documents"), "source")
 
 
+def files_by_source(records: DataFrame, files: DataFrame) -> DataFrame:
+    """Documents and files of every source and language of the files, those without documents too (A5)."""
+    keys = ["source", "language"]
+    docs = records.groupBy(*keys).agg(F.count("*").alias("documents"))
+    held = files.groupBy(*keys).agg(F.count("*").alias("files"))
+    same = [held[k].eqNullSafe(docs[k]) for k in keys]
+    return held.join(docs, same, "left").select(held.source, held.language, F.coalesce("documents", F.lit(0)).alias("documents"), "files")
+
+
 def by_language(df: DataFrame) -> DataFrame:
     """Documents and tokens per language (A3)."""
     return df.groupBy("language").agg(F.count("*").alias("documents"), F.sum("token_count").alias("tokens"))

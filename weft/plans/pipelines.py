@@ -2,11 +2,25 @@
 
 from __future__ import annotations
 
+from dataclasses import dataclass
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from weft.operators import corpus, dedup, speech, split
 from weft.sources import readers
+from weft.staging import staged
+
+
+@dataclass(frozen=True)
+class SpeechConfig:
+    """What the speech corpus is made with."""
+
+    seed: int = 42
+    tenths: int = 9
+    shard_rows: int = 2000
+    rate: int = 16_000
+    sentences_only: bool = False
 
 
 def web_corpus(raw: DataFrame, repo: str, target: DataFrame | None = None, append: bool = False) -> DataFrame:
@@ -23,14 +37,15 @@ def book_corpus(spark: SparkSession, sources: list[readers.FileSource], excluded
     return split.train_test(records, F.col("id"), seed).drop("rank")
 
 
-def speech_corpus(spark: SparkSession, transcript_folders: dict[str, str], wav_folders: list[str], sentences_only: bool = False, seed: int = 42) -> DataFrame:
+def speech_corpus(spark: SparkSession, transcript_folders: dict[str, str], wav_folders: list[str], config: SpeechConfig = SpeechConfig()) -> DataFrame:
     """Transcripts and recordings to segments with audio, shard and shard_name. `sentences_only` keeps the
     bounds of the audio-folder variant (1.5 to 30 s, 3 words) and the first recording of a stem."""
     texts = readers.transcripts(spark, transcript_folders)
     wavs = readers.recordings(spark, wav_folders)
-    index = speech.wav_index(wavs.select("stem", "dir_ord", "path"), last_wins=not sentences_only)
+    index = speech.wav_index(wavs.select("stem", "dir_ord", "path"), last_wins=not config.sentences_only)
     rows = speech.syncs(speech.with_recordings(texts, index).select("speech_type", "stem", "wav_path", F.col("path").alias("file"), "xml"))
-    bounds = {} if sentences_only else {"min_duration": None, "max_duration": None, "min_words": 0}
+    bounds = {} if config.sentences_only else {"min_duration": None, "max_duration": None, "min_words": 0}
     found = speech.segments(rows, **bounds).withColumns(speech.speaker_columns(F.col("stem"))).withColumnRenamed("stem", "source_file").drop("file")
-    sharded = split.shards(found.withColumn("_id", F.concat_ws(":", "speech_type", "source_file", "idx")), F.col("_id"), seed).drop("_id", "rank")
-    return speech.audio_segments(sharded, wavs.select("path", "content"))
+    keyed = staged(found.withColumn("_id", F.concat_ws(":", "speech_type", "source_file", "idx")), "segments")
+    sharded = split.shards(keyed, F.col("_id"), config.seed, config.tenths, config.shard_rows).drop("_id", "rank")
+    return speech.audio_segments(sharded, wavs.select("path", "content"), config.rate)

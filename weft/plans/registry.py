@@ -4,13 +4,14 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from weft.functions import text as T
 from weft.operators import corpus, dedup, speech, split, stats
 from weft.plans import fixtures as X
 from weft.session import ship
+from weft.staging import spread
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -50,7 +51,19 @@ ENRICHED = f"(SELECT *, lang AS language, {WORDS.format('text')} AS token_count,
 UNESCAPE = "replace(replace(replace(replace(replace(replace({}, '&copy;', '©'), '&middot;', '·'), '&quot;', '\"'), '&lt;', '<'), '&gt;', '>'), '&amp;', '&')"
 LINES_SQL = r"string_split_regex({}, '[\n\x{{85}}\x{{2028}}\x{{2029}}]')"
 LETTER_SQL = r"regexp_matches({}, '[a-zA-Z\x{{C0}}-\x{{24F}}]')"
-BOILER_SQL = "regexp_matches({}, '" + T.line_pattern(r"\b", "").replace("'", "''").replace("{", "{{").replace("}", "}}") + "')"
+#: Boilerplate lines again, as RE2 patterns of their own for the SQL.
+LINES_RE2 = [
+    r"^\s*\|[\s|:-]+\|\s*$", r"^\s*\|.*\|\s*$", r"^\s*-\s*\[.+?\]\(https?://[^)]+\)", r"^\s*\[.+?\]\(https?://[^)]+\)\s*$", r"^\s*https?://\S+\s*$", r"^\s*!\[.*?\]\(.*?\)\s*$",
+    r"^\s*(?:Share|Tweet|Pin|Email|Print|Like|Follow|Subscribe|Sign [Ii]n|Log [Ii]n|Sign [Uu]p|Log [Oo]ut|Create Blog|Register)\b", r"^\s*en\s*$", r"(?i:^\s*\[Skip to)",
+    r"(?i:^\s*(?:Home|About|Contact|Privacy|Terms|FAQ|Search|Menu|Navigation|Sidebar|Footer|Header)\s*[|\\-]?\s*$)", r"(?i:^\s*(?:WordPress|Blogger|Tumblr|Blogspot)\b)",
+    r"(?i:^\s*-\s*About WordPress\s*$)", r"(?i:^\s*-\s*Search\s*$)", r"(?i:^\s*-\s*(?:Documentation|Support|Feedback|Learn WordPress|Get WordPress)\s*$)",
+    r"(?i:^\s*BREAKING NEWS\s*:?\s*$)", r"(?i:^\s*Close this dialog\s*$)", r"(?i:^\s*Close suggestions)", r"(?i:^\s*SearchSearch\s*$)", r"(?i:^\s*Download free for \d+ days\s*$)",
+    r"(?i:^\s*\d+\s*rating)", r"(?i:^\s*\d+%\s*found this document useful)", r"(?i:^\s*\d+[KM]?\s*views?\s*\d*\s*pages?\s*$)", r"(?i:^\s*(?:en\s*)?Change Language\s*$)",
+    r"(?i:^\s*(?:Facebook|Twitter|Instagram|YouTube|TikTok|LinkedIn|Pinterest|Vimeo|VKontakte)\s*$)", "(?i:cookie)", "(?i:Opens in a new window)", r"(?i:^\s*ArticlePDF Available\s*$)",
+    r"(?i:^\s*DOI\s*:)", r"(?i:^\s*Uploadedby\b)", r"(?i:^\s*AI-en)", r"(?i:^\s*PPTX?,\s*PDF)", r"(?i:^\s*\d+\s*views?\s*$)", r"(?i:^\s*Latest\s*$)", r"(?i:^\s*MoreShare\b)", r"(?i:^\s*Report Abuse\s*$)",
+]
+LINE_SQL = "|".join(LINES_RE2)
+BOILER_SQL = "regexp_matches({}, '" + LINE_SQL.replace("'", "''").replace("{", "{{").replace("}", "}}") + "')"
 
 
 def _markup_sql(c: str) -> str:
@@ -112,8 +125,9 @@ SELECT language, count(*) AS documents, CAST(sum(token_count) AS BIGINT) AS toke
 
 @query("flagship_language_table", FLAGSHIP_SQL)
 def flagship(spark: SparkSession, sf_dir: str) -> DataFrame:
-    once = corpus.first_wins(enriched(spark, sf_dir), F.col("content_hash"), "doc_id")
-    return stats.by_language(once.filter(T.is_usable(F.col("text"))))
+    # Texts of equal hash are equally usable, so the filter comes first and no text is shuffled.
+    usable = corpus.add_columns(spread(docs(spark, sf_dir)).filter(T.is_usable(F.col("text"))), F.col("source"), F.col("lang"))
+    return stats.by_language(corpus.first_wins(usable, F.col("content_hash"), "doc_id"))
 
 
 @query("P5_T10_H1_add_columns", f"SELECT doc_id, source, language, token_count, content_hash FROM {ENRICHED}")
@@ -167,8 +181,10 @@ def _a4(spark, sf_dir):
 
 @query("P6_name_labels", "SELECT doc_id, string_split('hub/' || source || '-' || lang, '/')[-1] AS source_name, string_split('hub/' || source || '-' || lang, '-')[-1] AS language FROM documents")
 def _p6(spark, sf_dir):
-    repo = F.concat(F.lit("hub/"), "source", F.lit("-"), "lang")
-    return docs(spark, sf_dir).select("doc_id", F.element_at(F.split(repo, "/"), -1).alias("source_name"), F.element_at(F.split(repo, "-"), -1).alias("language"))
+    d = docs(spark, sf_dir)
+    # The library names a whole data set at a time: one for each of the few (source, lang) here.
+    names = [(r["source"], r["lang"], *corpus.name_labels(f"hub/{r['source']}-{r['lang']}")) for r in d.select("source", "lang").distinct().collect()]
+    return d.join(spark.createDataFrame(names, "source string, lang string, source_name string, language string"), ["source", "lang"]).select("doc_id", "source_name", "language")
 
 
 @query("P7_record_id", "SELECT doc_id, source || '_' || lpad(CAST(doc_id AS VARCHAR), CAST(greatest(6, length(CAST(doc_id AS VARCHAR))) AS INTEGER), '0') || '_' || left(md5(source || ':' || lang || '.txt:' || doc_id), 8) AS id FROM documents")
@@ -223,7 +239,7 @@ def _f4(spark, sf_dir):
 @query("F4_T3_F5_lines", f"SELECT doc_id, CAST(len(list_filter({LINES_SQL.format('text')}, lambda x: {BOILER_SQL.format('x')})) AS INTEGER) AS dropped, CAST(len(list_filter({LINES_SQL.format('text')}, lambda x: {LETTER_SQL.format('x')})) AS INTEGER) AS lettered FROM documents")
 def _f4_docs(spark, sf_dir):
     lines = T.lines(F.col("text"))
-    return docs(spark, sf_dir).select("doc_id", F.size(F.filter(lines, T.is_boilerplate)).alias("dropped"), F.size(F.filter(lines, T.has_letter)).alias("lettered"))
+    return spread(docs(spark, sf_dir)).select("doc_id", F.size(F.filter(lines, T.is_boilerplate)).alias("dropped"), F.size(F.filter(lines, T.has_letter)).alias("lettered"))
 
 
 @query("T4_T5_T12_inline_fixture", f"SELECT id, {_markup_sql(UNESCAPE.format('text'))} AS cleaned FROM {X.values(X.INLINE, 'text')}")
@@ -233,7 +249,7 @@ def _t4(spark, sf_dir):
 
 @query("T1_P3_clean_text_pages", f"SELECT page_id, md5({_clean_text_sql('html')}) AS cleaned_hash FROM pages")
 def _t1(spark, sf_dir):
-    return spark.read.parquet(f"{sf_dir}/pages.parquet").select("page_id", F.md5(T.clean_text(F.col("html"))).alias("cleaned_hash"))
+    return spread(spark.read.parquet(f"{sf_dir}/pages.parquet")).select("page_id", F.md5(T.clean_text(F.col("html"))).alias("cleaned_hash"))
 
 
 @query("T1_clean_text_fixture", f"SELECT id, {_clean_text_sql('text')} AS cleaned FROM {X.values([chr(10).join(X.LINES), chr(10).join(X.INLINE), *X.DOCS], 'text')}")
@@ -254,7 +270,7 @@ def _t7(spark, sf_dir):
 
 @query("T7_clean_corpus", f"SELECT doc_id, md5({_clean_corpus_sql('text', 'lang')}) AS cleaned_hash FROM documents")
 def _t7_docs(spark, sf_dir):
-    return docs(spark, sf_dir).select("doc_id", F.md5(T.clean_corpus(F.col("text"), F.col("lang"))).alias("cleaned_hash"))
+    return spread(docs(spark, sf_dir)).select("doc_id", F.md5(T.clean_corpus(F.col("text"), F.col("lang"))).alias("cleaned_hash"))
 
 
 @query("X1_X2_A8_split_fixture", _split_sql(X.values(X.SPLIT, "text")))
@@ -264,13 +280,36 @@ def _x1(spark, sf_dir):
 
 @query("X1_X2_split_documents", f"SELECT id AS doc_id, pos, md5(doc) AS doc_hash FROM ({_split_sql('(SELECT doc_id AS id, text FROM documents)')})")
 def _x2(spark, sf_dir):
-    return docs(spark, sf_dir).select("doc_id", F.posexplode(corpus.split_documents(F.col("text"))).alias("pos", "doc")).select("doc_id", "pos", F.md5("doc").alias("doc_hash"))
+    return spread(docs(spark, sf_dir)).select("doc_id", F.posexplode(corpus.split_documents(F.col("text"))).alias("pos", "doc")).select("doc_id", "pos", F.md5("doc").alias("doc_hash"))
+
+
+_FILES = "(SELECT doc_id, dense_rank() OVER (ORDER BY source) - 1 AS source_ord, source, lang AS language, doc_id || '.txt' AS name FROM documents)"
+_RECORDS_SQL = f"""
+WITH cleaned AS (SELECT doc_id AS id, {_clean_corpus_sql('text', 'lang')} AS text FROM documents),
+good AS (SELECT f.*, s.pos, s.doc, {WORDS.format('s.doc')} AS token_count FROM ({_split_sql('cleaned')}) s JOIN {_FILES} f ON s.id = f.doc_id
+  WHERE {WORDS.format('s.doc')} >= 50 AND {RATIO.format('s.doc', 's.doc', 's.doc')} >= 0.4),
+once AS (SELECT * FROM good QUALIFY row_number() OVER (PARTITION BY md5(doc) ORDER BY source_ord, name, pos) = 1),
+numbered AS (SELECT *, row_number() OVER (PARTITION BY source_ord ORDER BY name, pos) - 1 AS idx FROM once)
+SELECT doc AS text, source || '_' || lpad(CAST(idx AS VARCHAR), CAST(greatest(6, length(CAST(idx AS VARCHAR))) AS INTEGER), '0') || '_' || left(md5(source || ':' || name || ':' || idx), 8) AS id, source, language, token_count FROM numbered
+"""
 
 
-@query("B_file_corpus")
+def corpus_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """documents as the files of a registry with an entry for each source, in the order of their names."""
+    d = docs(spark, sf_dir)
+    entries = d.select("source").distinct().withColumn("source_ord", (F.dense_rank().over(Window.orderBy("source")) - 1).cast("int"))  # as many rows as sources
+    return d.join(entries, "source").select("source_ord", "source", F.col("lang").alias("language"), F.concat(F.col("doc_id").cast("string"), F.lit(".txt")).alias("name"), "text")
+
+
+@query("B_U2_D3_file_corpus", _RECORDS_SQL)
 def _file_corpus(spark, sf_dir):
-    files = docs(spark, sf_dir).select(F.crc32("source").cast("int").alias("source_ord"), "source", F.col("lang").alias("language"), F.concat(F.col("doc_id").cast("string"), F.lit(".txt")).alias("name"), "text")
-    return corpus.file_corpus(files)
+    return corpus.file_corpus(corpus_files(spark, sf_dir))
+
+
+@query("A5_files_by_source", f"WITH r AS ({_RECORDS_SQL}) SELECT f.source, f.language, (SELECT count(*) FROM r WHERE r.source = f.source AND r.language = f.language) AS documents, count(*) AS files FROM {_FILES} f GROUP BY f.source, f.language")
+def _a5(spark, sf_dir):
+    files = corpus_files(spark, sf_dir)
+    return stats.files_by_source(corpus.file_corpus(files), files)
 
 
 _RANKED = "(SELECT doc_id, row_number() OVER (ORDER BY md5('42:' || doc_id), CAST(doc_id AS VARCHAR)) - 1 AS rank, count(*) OVER () AS n FROM documents)"
@@ -286,12 +325,6 @@ def _r3(spark, sf_dir):
     return split.shards(docs(spark, sf_dir).select("doc_id"), F.col("doc_id"), shard_rows=200).select("doc_id", "split", "shard", "shard_name")
 
 
-@query("F13_S11_open_shards", f"SELECT DISTINCT CAST(rank // 100 AS INTEGER) AS shard FROM {_RANKED} WHERE rank // 100 % 2 = 1")
-def _f13(spark, sf_dir):
-    ranked = split.shuffled_rank(docs(spark, sf_dir).select("doc_id"), F.col("doc_id")).select(F.floor(F.col("rank") / 100).cast("int").alias("shard")).distinct()
-    return ranked.join(ranked.filter("shard % 2 = 0"), "shard", "left_anti")
-
-
 _AGES = "CASE d WHEN '0' THEN '20-27' WHEN '1' THEN '28-35' WHEN '2' THEN '36-43' WHEN '3' THEN '44-51' WHEN '4' THEN '52-60' ELSE 'unknown' END"
 
 
@@ -305,7 +338,7 @@ _SENTENCE = STRIP.format(r"regexp_replace(regexp_replace({}, '\(.*?\)', '', 'g')
 
 @query("T8_clean_sentence", f"SELECT doc_id, md5({_SENTENCE.format('text')}) AS sentence_hash FROM documents")
 def _t8(spark, sf_dir):
-    return docs(spark, sf_dir).select("doc_id", F.md5(T.clean_sentence(F.col("text"))).alias("sentence_hash"))
+    return spread(docs(spark, sf_dir)).select("doc_id", F.md5(T.clean_sentence(F.col("text"))).alias("sentence_hash"))
 
 
 def _segments_sql(where: str) -> str:
@@ -354,7 +387,13 @@ def _j1(spark, sf_dir):
     return speech.with_recordings(X.frame(spark, X.TRANSCRIPTS, "stem string, speech_type string"), speech.wav_index(wavs)).select("stem", "speech_type", "wav_path")
 
 
-@query("A6_skipped_counts", "SELECT CAST(2 AS BIGINT) AS no_wav, CAST(1 AS BIGINT) AS no_segments")
+_SILENT = X.values([("s1",)], "stem", number=False)
+
+
+@query("A6_skipped_counts", f"SELECT (SELECT count(*) FROM {_FX_TRS} WHERE stem NOT IN (SELECT w.stem FROM {_FX_WAVS.replace('AS fx', 'AS w')})) AS no_wav, (SELECT count(*) FROM {_FX_TRS} WHERE stem IN (SELECT w.stem FROM {_FX_WAVS.replace('AS fx', 'AS w')}) AND stem NOT IN (SELECT q.stem FROM {_SILENT.replace('AS fx', 'AS q')})) AS no_segments")
 def _a6(spark, sf_dir):
     wavs = X.frame(spark, X.WAVS, "stem string, dir_ord int, path string")
     return speech.skipped_counts(X.frame(spark, X.TRANSCRIPTS, "stem string, speech_type string"), speech.wav_index(wavs), X.frame(spark, ["s1"], "stem string"))
+
+
+from weft.plans import io_queries  # noqa: E402,F401  (adds the sources' and sinks' queries)

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import logging
 import os
 from pathlib import Path
 
@@ -17,3 +18,19 @@ def ship(spark: SparkSession) -> None:
     path = env.get("PYTHONPATH", "")
     if ROOT not in path.split(os.pathsep):
         env["PYTHONPATH"] = os.pathsep.join(filter(None, [ROOT, path]))
+
+
+def setup_logging(file: str | None = None, level: int = logging.INFO) -> logging.Logger:
+    """The library's logger with time, level and message on the console and, if named, in a file of the
+    driver (R7). Called again, it replaces its handlers."""
+    log = logging.getLogger("weft")
+    for old in list(log.handlers):
+        log.removeHandler(old)
+        old.close()
+    if file:
+        Path(file).parent.mkdir(parents=True, exist_ok=True)
+    for handler in (logging.StreamHandler(), *([logging.FileHandler(file, encoding="utf-8")] if file else [])):
+        handler.setFormatter(logging.Formatter("%(asctime)s %(levelname)s %(message)s"))
+        log.addHandler(handler)
+    log.setLevel(level)
+    return log

@@ -85,7 +85,7 @@ def recordings(spark: SparkSession, folders: list[str]) -> DataFrame:
     return out
 
 
-PROGRESS = "split string, shard_idx int, shard_name string, rows int, mb double, ts string"
+PROGRESS = "split string, shard_idx int, shard_name string, rows long, mb double, ts string"
 
 
 def completed_shards(spark: SparkSession, path: str) -> DataFrame:

@@ -5,12 +5,13 @@ from __future__ import annotations
 import logging
 import time
 from collections.abc import Callable
+from concurrent.futures import ThreadPoolExecutor
 from datetime import datetime, timezone
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from weft.sources.readers import completed_shards, exists
+from weft.sources.readers import PROGRESS, completed_shards, exists
 
 log = logging.getLogger("weft")
 
@@ -38,49 +39,82 @@ def _filesystem(spark: SparkSession, path: str):
     return p.getFileSystem(spark._jsc.hadoopConfiguration()), p
 
 
-def replace_table(df: DataFrame, path: str, **options) -> None:
-    """Write beside the target, then swap (K4, K6, N12): a table can replace what it was read from."""
-    spark = df.sparkSession
-    df.write.mode("overwrite").parquet(path + ".staged")
+def _renamed(fs, source, target) -> None:
+    if not fs.rename(source, target):
+        raise OSError(f"{source} could not be renamed to {target}")
+
+
+def swap(spark: SparkSession, path: str) -> None:
+    """Put the table at `path`.staged in the place of the one at `path`. The old table is moved aside first and
+    deleted last, so at every moment one of the two is there, and a swap that stopped anywhere is finished by
+    another."""
     fs, target = _filesystem(spark, path)
-    _, stage = _filesystem(spark, path + ".staged")
-    fs.delete(target, True)
-    fs.rename(stage, target)
+    stage, old = (_filesystem(spark, path + end)[1] for end in (".staged", ".old"))
+    if fs.exists(stage):
+        if fs.exists(target):
+            fs.delete(old, True)
+            _renamed(fs, target, old)
+        _renamed(fs, stage, target)
+    fs.delete(old, True)
+
+
+def replace_table(df: DataFrame, path: str) -> None:
+    """Write beside the target, then swap (K4, K6, N12): a table can replace what it was read from."""
+    publish(df, path, attempts=1)
 
 
 def publish(df: DataFrame, path: str, attempts: int = 5, wait: float = 30.0) -> None:
-    with_retry(lambda: replace_table(df, path), attempts, wait)
+    """replace_table with retries. The write is tried again only while the target is still in its place, and
+    the swap by itself: what was written is never read from a target that has gone."""
+    spark = df.sparkSession
+    with_retry(lambda: df.write.mode("overwrite").parquet(path + ".staged"), attempts, wait)
+    with_retry(lambda: swap(spark, path), attempts, wait)
+
 
+def _moved(spark: SparkSession, pairs: list[tuple[object, str]]) -> None:
+    """Rename files, many at a time."""
 
-def write_shards(df: DataFrame, folder: str, progress: str) -> DataFrame:
+    def one(pair: tuple[object, str]) -> None:
+        fs, target = _filesystem(spark, pair[1])
+        fs.mkdirs(target.getParent())
+        fs.delete(target, False)
+        _renamed(fs, pair[0], target)
+
+    with ThreadPoolExecutor(16) as pool:
+        list(pool.map(one, pairs))
+
+
+def write_shards(df: DataFrame, folder: str, progress: str, batch: int = 1000) -> DataFrame:
     """Write each (split, shard, shard_name) of df as one named Parquet file, leaving out shards that the
-    progress log has (F13, R2, K2, K5): files are written to a stage, renamed, and only then logged.
-    Returns (split, shard_idx, shard_name, rows) of the shards written now."""
+    progress log has (F13, R2, K2, K5): one job writes all files to a stage; then they are renamed, and
+    logged after that, a batch at a time. Returns (split, shard_idx, shard_name, rows) of what was written."""
     spark = df.sparkSession
     done = completed_shards(spark, progress).select("split", F.col("shard_idx").alias("shard"))
     todo = df.join(done, ["split", "shard"], "left_anti")
     stage = f"{folder}/_stage"
     todo.repartition("split", "shard").write.mode("overwrite").partitionBy("split", "shard", "shard_name").parquet(stage)
     fs, root = _filesystem(spark, stage)
-    written = spark.read.parquet(stage).groupBy("split", "shard", "shard_name").agg(F.count("*").alias("rows")).orderBy("split", "shard").collect() if fs.globStatus(_filesystem(spark, f"{stage}/split=*")[1]) else []
-    rows = []
-    for r in written:  # one step a shard, as many as there are files to name
-        parts = fs.globStatus(_filesystem(spark, f"{stage}/split={r['split']}/shard={r['shard']}/shard_name={r['shard_name']}/part-*")[1])
-        size = parts[0].getLen()
-        target = _filesystem(spark, f"{folder}/{r['shard_name']}")[1]
-        fs.delete(target, False)
-        fs.rename(parts[0].getPath(), target)
+    parts = fs.globStatus(_filesystem(spark, f"{stage}/split=*/shard=*/shard_name=*/part-*")[1]) or []
+    sizes = {}
+    for p in parts:
+        keys = dict(k.split("=", 1) for k in str(p.getPath()).split("/") if "=" in k)
+        sizes[keys["split"], int(keys["shard"])] = (p.getPath(), p.getLen())
+    # A row for each shard: as many as there are files to name.
+    written = spark.read.parquet(stage).groupBy("split", "shard", "shard_name").agg(F.count("*").alias("rows")).orderBy("split", "shard").collect() if sizes else []
+    for at in range(0, len(written), batch):
+        some = written[at : at + batch]
+        _moved(spark, [(sizes[r["split"], r["shard"]][0], f"{folder}/{r['shard_name']}") for r in some])
         stamp = datetime.now(timezone.utc).isoformat()
-        entry = spark.createDataFrame([(r["split"], r["shard"], r["shard_name"], r["rows"], round(size / 2**20, 2), stamp)], "split string, shard_idx int, shard_name string, rows int, mb double, ts string")
-        entry.coalesce(1).write.mode("append").json(progress)
-        rows.append((r["split"], r["shard"], r["shard_name"], r["rows"]))
+        entries = [(r["split"], r["shard"], r["shard_name"], r["rows"], round(sizes[r["split"], r["shard"]][1] / 2**20, 2), stamp) for r in some]
+        spark.createDataFrame(entries, PROGRESS).coalesce(1).write.mode("append").json(progress)
     fs.delete(root, True)
-    return spark.createDataFrame(rows, "split string, shard_idx int, shard_name string, rows int")
+    return spark.createDataFrame([(r["split"], r["shard"], r["shard_name"], r["rows"]) for r in written], "split string, shard_idx int, shard_name string, rows long")
 
 
 def write_audio_folder(df: DataFrame, folder: str, clip: str = "file_name", audio: str = "audio.bytes") -> None:
-    """<split>/audio/<name> clips and <split>/metadata.jsonl folders (K3). Files are named by key, so a task
-    that runs again writes the same ones."""
+    """<split>/audio/<name> clips and a file <split>/metadata.jsonl for each split (K3). Clips are named by
+    key, so a task that runs again writes the same ones; a split's metadata is one file by its format."""
+    spark = df.sparkSession
     import pyarrow.fs
 
     def save(rows) -> None:
@@ -92,9 +126,12 @@ def write_audio_folder(df: DataFrame, folder: str, clip: str = "file_name", audi
                 out.write(bytes(r["data"]))
 
     df.select("split", F.col(clip).alias("name"), F.col(audio).alias("data")).foreachPartition(save)
-    meta = df.drop(audio.split(".")[0])
-    for r in meta.select("split").distinct().collect():
-        meta.filter(F.col("split") == r["split"]).drop("split").write.mode("overwrite").json(f"{folder}/{r['split']}/metadata.jsonl")
+    stage = f"{folder}/_stage"
+    df.drop(audio.split(".")[0]).repartition("split").write.mode("overwrite").option("ignoreNullFields", "false").partitionBy("split").json(stage)
+    fs, root = _filesystem(spark, stage)
+    parts = fs.globStatus(_filesystem(spark, f"{stage}/split=*/part-*")[1]) or []
+    _moved(spark, [(p.getPath(), f"{folder}/{p.getPath().getParent().getName().split('=', 1)[1]}/metadata.jsonl") for p in parts])
+    fs.delete(root, True)
 
 
-__all__ = ["exists", "publish", "replace_table", "with_retry", "write_audio_folder", "write_jsonl", "write_shards"]
+__all__ = ["exists", "publish", "replace_table", "swap", "with_retry", "write_audio_folder", "write_jsonl", "write_shards"]
