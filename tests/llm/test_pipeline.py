@@ -3,7 +3,7 @@
 import re
 
 import corpus_pipeline
-from tests.llm.test_text_operators import brute_components, brute_spans, check_pieces
+from tests.llm.test_text_operators import brute_components, brute_languages, brute_spans, check_pieces
 from weft.llm import queries, secrets
 from weft.llm.tokens import Encoder
 
@@ -21,7 +21,8 @@ def redacted(text, ratios):
     for m in TOKEN.finditer(text):
         s = m[0]
         score = sum(ratios[char_class(a) * secrets.CLASSES + char_class(b)] for a, b in zip(s, s[1:]))
-        if score >= 0.3 * (len(s) - 1) and not any(a < m.end() and m.start() < e for a, _, e in brute_spans(text)):
+        needs = 0.3 if re.search("[0-9]", s) and re.search("[A-Za-z]", s) else 1.2 if len(set(s)) >= 8 else float("inf")
+        if score >= needs * (len(s) - 1) and not any(a < m.end() and m.start() < e for a, _, e in brute_spans(text)):
             spans.append((m.start(), 3, m.end()))
     out, pos = "", 0
     for a, _, e in sorted(spans):
@@ -33,7 +34,9 @@ def redacted(text, ratios):
 
 def test_pipeline_against_brute_force(spark):
     rows = spark.read.parquet(f"{SF}/documents.parquet").collect()
-    texts = {r["doc_id"]: r["text"] for r in rows if r["text"] and any(c.isalpha() for c in r["text"])}
+    named = brute_languages([(r["doc_id"], r["text"], r["lang"]) for r in rows])
+    fine = lambda i: named[i][0] in corpus_pipeline.LANGUAGES and named[i][1] >= corpus_pipeline.MIN_SCORE and named[i][2] >= corpus_pipeline.MIN_KNOWN
+    texts = {r["doc_id"]: r["text"] for r in rows if fine(r["doc_id"])}
     texts = {i: texts[i] for i, _, c in brute_components(list(texts.items()), 5, 80) if i == c}
     words = lambda t: [w for w in re.split(r"[\W_]+", t.lower()) if w]
     grams = set()
@@ -61,3 +64,16 @@ def test_stages_keep_the_columns_and_bear_odd_rows(spark, edge_docs, empty_docs)
     ids = [r["doc_id"] for r in kept.collect()]
     assert ids.count(6) == 0 or ids.count(6) == 1
     assert sorted(i for i in ids if i is not None) == sorted(set(i for i in ids if i is not None)) and ids.count(None) == 2
+
+
+def test_language_stage_rejects_what_it_cannot_name(spark):
+    """Other languages, random letters and texts without letters go; clean documents of all languages stay."""
+    docs = spark.read.parquet(f"{SF}/documents.parquet")
+    odd = [
+        (10**6, "Metsän reunalla seisoi vanha talo jonka ikkunoista näkyi järvelle asti kun sumu hälveni aamulla hitaasti pois"), (10**6 + 1, "Съешь же ещё этих мягких французских булок да выпей чаю"),
+        (10**6 + 2, "xkqz vwpt jjhg qqzk wvbn mmxz pplk zzxc vvbq kkjw" * 3), (10**6 + 3, "12345 --- 6789"), (10**6 + 4, None), (10**6 + 5, ""),
+    ]
+    more = docs.unionByName(spark.createDataFrame([(i, t, None, "s", None) for i, t in odd], docs.schema))
+    kept = {r["doc_id"] for r in corpus_pipeline.language_id(spark, more, SF).select("doc_id").collect()}
+    long = {r["doc_id"] for r in docs.filter("n_chars >= 100").select("doc_id").collect()}
+    assert not kept & {i for i, _ in odd} and long <= kept

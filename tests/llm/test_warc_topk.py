@@ -1,6 +1,8 @@
 import base64
+import gzip
 import hashlib
 import io
+import zlib
 
 import duckdb
 import numpy as np
@@ -63,6 +65,35 @@ def test_ranges_own_every_record_once():
         assert got == [0, 1, 2, 3, 4]
 
 
+FOREIGN = [
+    b"WARC/1.0\r\nwarc-type:warcinfo\r\nContent-Length:5\r\nContent-Type: application/warc-fields\r\n\r\na: b\n\r\n\r\n",
+    b"WARC/1.0\r\nWARC-Type: response\r\nWARC-Target-URI: http://x/\r\n\tfolded\r\nCONTENT-TYPE: application/http\r\nContent-Length: 21\r\n\r\nHTTP/1.1 200\r\n\r\nhello\r\n\r\n",
+    b"WARC/1.0\r\nWARC-Type: revisit\r\nWARC-Payload-Digest: md5:abc\r\nContent-Length: 0\r\n\r\n\r\n\r\n",
+]
+
+
+def test_foreign_and_damaged_archives(spark, tmp_path):
+    whole = [gzip.compress(r) for r in FOREIGN]
+    last = warc.member(9, "u", b"z" * 5000, None, "d", 0)
+    (tmp_path / "a.warc.gz").write_bytes(b"".join(whole))
+    (tmp_path / "cut.warc.gz").write_bytes(whole[1] + last[:-900])
+    (tmp_path / "corrupt.warc.gz").write_bytes(last[:3000] + b"!" + last[3001:] + whole[1])
+    (tmp_path / "junk.warc.gz").write_bytes(whole[1] + b"no member at all" + whole[2])
+    for split_bytes in (50, 1 << 22):
+        rows = warc.read(warc.manifest(spark, str(tmp_path / "*.gz")), split_bytes, with_payload=True).collect()
+        good = sorted((r["record_type"], bytes(r["payload"]), r["url"], r["payload_digest"]) for r in rows if r["record_type"] != "damaged")
+        response = ("response", b"hello", "http://x/ folded", digest(b"hello"))
+        assert good == sorted([("warcinfo", b"a: b\n", None, digest(b"a: b\n")), *[response] * 4, ("revisit", b"", None, "md5:abc"), ("revisit", b"", None, "md5:abc")], key=lambda x: tuple(map(str, x)))
+        bad = {r["url"].rsplit("/", 1)[1] for r in rows if r["record_type"] == "damaged"}
+        assert bad == {f"cut.warc.gz@{len(whole[1])}", "corrupt.warc.gz@0", f"junk.warc.gz@{len(whole[1])}"}
+
+
+def test_revisits_name_their_response(spark):
+    record = lambda m: warc.header(zlib.decompress(m, 31))[0]
+    first, again = record(warc.member(3, "u", b"x", None, "d")), record(warc.member(1, "v", b"x", 3, "d"))
+    assert again["warc-refers-to"] == first["warc-record-id"] != again["warc-record-id"]
+
+
 def brute(vectors, k):
     out = []
     rows = [(i, [int(np.floor(256 * float(x))) for x in v]) for i, v in vectors if i is not None and v and all(x is not None and np.isfinite(x) for x in v)]
@@ -83,6 +114,19 @@ def test_top_k(spark):
     assert topk.top_k(d.filter("false"), F.col("vec_id") % 50 == 0).count() == 0
 
 
+def test_top_k_huge_components(spark):
+    """Scores beyond 64 bits are ranked exactly and reported as the nearest number that fits."""
+    rng = np.random.default_rng(8)
+    rows = [(i, [float(x) for x in rng.normal(size=3) * 10.0 ** rng.integers(0, 40)]) for i in range(220)]
+    rows += [(1000, [1e10] * 3), (1001, [1e18] * 3), (1050, [3e38] * 3), (1051, [1.7e308] * 3)]
+    d = spark.createDataFrame(rows, "vec_id long, embedding array<double>").repartition(2)
+    most = (1 << 63) - 1
+    expect = [(q, r, i, max(-most, min(most, s))) for q, r, i, s in brute(rows[:-1], 5)]
+    for shard in (16_384, 50):
+        got = topk.top_k(d, F.col("vec_id") % 50 == 0, 5, shard_rows=shard, leaf=8).collect()
+        assert sorted(map(tuple, got)) == expect
+
+
 def test_top_k_equal_vectors(spark):
     d = spark.range(300).select(F.col("id").alias("vec_id"), F.array(F.lit(0.5), F.lit(0.25)).alias("embedding"))
     got = sorted(map(tuple, topk.top_k(d, F.col("vec_id") == 0, 3, leaf=10).collect()))

@@ -1,35 +1,13 @@
-"""What the operators of this subpackage share: the shared folder, staged tables, text access."""
+"""What the operators of this subpackage share: staged tables, widths of shuffles, text access."""
 
 from __future__ import annotations
 
-import uuid
-
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from weft.staging import drop, scratch, shared_dir, spread, staged
 
-def shared_dir(spark: SparkSession) -> str:
-    """The folder in spark.checkpoint.dir. Where it is unset (tests on local masters), one is chosen."""
-    folder = spark.sparkContext.getConf().get("spark.checkpoint.dir", None)
-    if folder:
-        return folder.rstrip("/")
-    if not spark.sparkContext.master.startswith("local"):
-        raise ValueError("spark.checkpoint.dir must name a folder that all executors share")
-    return "file:///tmp/checkpoints"
-
-
-def scratch(spark: SparkSession, name: str) -> str:
-    """A fresh path below the shared folder."""
-    return f"{shared_dir(spark)}/weft-{name}-{uuid.uuid4().hex}"
-
-
-def staged(df: DataFrame, name: str) -> DataFrame:
-    """df written to the shared folder and read again: later stages start from files that survive
-    a lost executor, and what came before is computed once."""
-    spark = df.sparkSession
-    path = scratch(spark, name)
-    df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+__all__ = ["drop", "input_width", "scratch", "shared_dir", "shuffle_width", "spread", "staged", "table", "text_or_empty"]
 
 
 def shuffle_width(spark: SparkSession) -> int:

@@ -1,8 +1,10 @@
 """Language identification by words first, with backoff to shorter character n-grams.
 
-Training counts words by language in a bounded sample of labelled rows; a known word scores by its log
-frequency in each language. An unseen word is scored character by character with the longest n-gram
-known in any language, falling back from 5 characters to 1, each step down at a fixed penalty.
+Training counts words by language in a bounded sample of labelled rows, as many of each language; a known
+word scores by its log frequency in each language. An unseen word is scored character by character with
+the longest n-gram known in any language, falling back from 5 characters to 1, each step down at a fixed
+penalty. Words and n-grams are known by 64-bit hashes, looked up for a whole batch at a time; all words of
+the sample are kept. `known` is the share of a text's words that the sample holds.
 
 Defined results: a null text and one without letters give `und` with score 0; without labelled rows
 every text gives `und`; repeated rows and ids each get their own row; null ids pass through; an empty
@@ -12,56 +14,82 @@ table gives an empty result; columns not kept are dropped. Texts are used whole.
 from __future__ import annotations
 
 import math
-import re
-from collections import Counter, defaultdict
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from weft.llm import wordcut
 from weft.llm.arrowmap import arrow_schema, broadcast, map_text
+from weft.llm.wordcut import Rows, U, mixed
 from weft.session import ship
 
-WORD = re.compile(r"[^\W\d_]+")
 UNKNOWN = "und"
 
 
+def grams(words: list[str], n_max: int):
+    """For n from 1 to n_max: the hash of the n characters that end at each place of the words, each between
+    blanks, and whether n characters of the word end there; and the number of places of each word."""
+    sizes = np.array([len(w) + 2 for w in words], np.int64)
+    text = np.frombuffer("".join(f" {w} " for w in words).encode("utf-32-le", "surrogatepass"), "<u4").astype(U)
+    at = np.arange(len(text)) - np.repeat(np.cumsum(sizes) - sizes, sizes)
+    h, out = np.zeros(len(text), U), []
+    for n in range(1, n_max + 1):
+        before = np.concatenate([h[:1], h[:-1]]) if n > 1 else h
+        h = mixed(before * wordcut.MIX[0] + text, n)
+        out.append((h, at >= n - 1))
+    return out, sizes
+
+
 class WordBackoffModel:
-    """Log frequencies of words and n-grams by language, as small arrays by key."""
+    """Log frequencies of words and n-grams by language. A gram's log frequency is relative to its order's
+    total; rare grams are left to shorter ones."""
 
     def __init__(self, counts: list[tuple[str, str, int]], n_max: int = 5, penalty: float = math.log(0.4), min_gram: int = 10):
         self.langs = sorted({lang for lang, _, _ in counts})
-        self.n_max, self.penalty = n_max, penalty
-        column = {lang: k for k, lang in enumerate(self.langs)}
-        words: dict[str, np.ndarray] = defaultdict(lambda: np.zeros(len(self.langs)))
-        for lang, word, n in counts:
-            words[word][column[lang]] += n
-        total = sum(words.values()) if words else 1
-        kept: dict[str, np.ndarray] = {}
-        for n in range(1, n_max + 1):  # one order at a time: rare grams take most of the room
-            grams: dict[str, np.ndarray] = defaultdict(lambda: np.zeros(len(self.langs)))
-            for word, c in words.items():
-                padded = f" {word} "
-                for i in range(len(padded) - n + 1):
-                    grams[padded[i : i + n]] += c
-            of_n = 1 + sum(grams.values()) if grams else 1
-            kept.update((g, np.log((c + 0.1) / of_n)) for g, c in grams.items() if c.sum() >= min_gram)
-        # Rows of one matrix by word and by n-gram: arrays of their own would take most of the memory.
-        # A gram's log frequency is relative to its order's total; rare grams are left to shorter ones.
-        self.words = {w: k for k, w in enumerate(words)}
-        self.grams = {g: k for k, g in enumerate(kept, len(words))}
-        self.scores = np.array([*(np.log((c + 0.1) / (total + 1)) for c in words.values()), *kept.values()], "f4").reshape(-1, max(len(self.langs), 1))
-
-    def unseen(self, word: str) -> np.ndarray:
-        padded = f" {word} "
-        out = np.zeros(len(self.langs), "f4")
-        for end in range(1, len(padded) + 1):
-            for n in range(min(self.n_max, end), 0, -1):
-                if (at := self.grams.get(padded[end - n : end])) is not None:
-                    out += self.scores[at] + self.penalty * (self.n_max - n)
-                    break
-        return out / self.n_max
+        self.n_max, self.penalty, k = n_max, penalty, max(len(self.langs), 1)
+        column = {lang: i for i, lang in enumerate(self.langs)}
+        number: dict[str, int] = {}
+        of = np.array([number.setdefault(w, len(number)) for _, w, _ in counts], np.int64)
+        table = np.zeros((len(number), k))
+        np.add.at(table, (of, np.array([column[x] for x, _, _ in counts], np.int64)), [n for _, _, n in counts])
+        words = list(number)
+        self.words, self.grams, scores = Rows(self._hashes(words)), Rows(), [self._logs(table, table.sum(axis=0))]
+        if words:
+            orders, sizes = grams(words, n_max)
+            owner = np.repeat(np.arange(len(words)), sizes)
+            for h, whole in orders:
+                keys, index = np.unique(h[whole], return_inverse=True)
+                total = np.stack([np.bincount(index, table[owner[whole], c], len(keys)) for c in range(k)], axis=1)
+                kept = total.sum(axis=1) >= min_gram
+                self.grams.add(keys[kept])
+                scores.append(self._logs(total[kept], total.sum(axis=0)))
+        self.word_scores, self.gram_scores = scores[0], np.concatenate([np.zeros((0, k), "f4"), *scores[1:]])
+
+    @staticmethod
+    def _hashes(words: list[str]) -> np.ndarray:
+        raw = np.frombuffer(b"\n".join([b"", *(w.encode("utf-8", "surrogatepass") for w in words), b""]), np.uint8)
+        edges = np.flatnonzero(raw == 10)
+        return wordcut.hashes(raw, edges[:-1] + 1, edges[1:]) if words else np.zeros(0, U)
+
+    @staticmethod
+    def _logs(counts: np.ndarray, totals: np.ndarray) -> np.ndarray:
+        return np.log((counts + 0.1) / (totals + 1)).astype("f4")
+
+    def unseen(self, words: list[str]) -> np.ndarray:
+        """Scores of words by their n-grams."""
+        orders, sizes = grams(words, self.n_max)
+        places = int(sizes.sum())
+        out = np.zeros((places, max(len(self.langs), 1)), "f4")
+        left = np.arange(places)
+        for n in range(self.n_max, 0, -1):
+            h, whole = orders[n - 1]
+            found = np.where(whole[left], self.grams.find(h[left]), -1)
+            hit = found >= 0
+            out[left[hit]] = self.gram_scores[found[hit]] + np.float32(self.penalty * (self.n_max - n))
+            left = left[~hit]
+        return np.add.reduceat(out, np.cumsum(sizes) - sizes, axis=0, dtype="f8").astype("f4") / np.float32(self.n_max)
 
 
 def word_counts(docs: DataFrame, lang: str, text: str) -> DataFrame:
@@ -70,63 +98,96 @@ def word_counts(docs: DataFrame, lang: str, text: str) -> DataFrame:
 
     def count(batches):
         for batch in batches:
-            n: Counter = Counter()
-            for language, t in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
-                n.update((language, w) for w in WORD.findall((t or "").lower()) if len(w) <= 40)
-            yield pa.RecordBatch.from_arrays([pa.array([k[0] for k in n], pa.string()), pa.array([k[1] for k in n], pa.string()), pa.array(list(n.values()), pa.int64())], schema=schema)
+            for at in range(0, batch.num_rows, 256):
+                part = batch.slice(at, 256)
+                langs = part.column(0).to_pylist()
+                names = sorted(set(langs))
+                codes = np.array([names.index(x) for x in langs], np.int64)
+                for raw, start, end, h, of in wordcut.words(part.column(1).to_pylist()):
+                    code = codes[of]
+                    _, first, n = np.unique(mixed(h, 7) ^ code.astype(U), return_index=True, return_counts=True)
+                    text = [raw[s:e].tobytes().decode("utf-8", "surrogatepass") for s, e in zip(start[first].tolist(), end[first].tolist())]
+                    keep = [i for i, w in enumerate(text) if any(c.isalpha() for c in w)]
+                    values = ([names[code[first[i]]] for i in keep], [text[i] for i in keep], n[keep])
+                    yield pa.RecordBatch.from_arrays([pa.array(v, f.type) for v, f in zip(values, schema)], schema=schema)
 
     return docs.select(F.col(f"`{lang}`").cast("string"), F.col(f"`{text}`").cast("string")).mapInArrow(count, "lang string, word string, n long").groupBy("lang", "word").agg(F.sum("n").alias("n"))
 
 
-def train(labelled: DataFrame, id: str = "doc_id", lang: str = "lang", text: str = "text", sample_docs: int = 8000, max_words: int = 150_000, min_count: int = 2) -> WordBackoffModel:
-    """A model of about `sample_docs` rows with a language (chosen by a hash of the id, at every input
-    size), keeping the `max_words` most frequent words: the size of what reaches the driver is bounded."""
+def train(labelled: DataFrame, id: str = "doc_id", lang: str = "lang", text: str = "text", sample_docs: int = 8000) -> WordBackoffModel:
+    """A model of about `sample_docs` rows with a language, the same number of each language as far as it
+    has them, chosen by a hash of the id at every input size. All their words are kept; the bound is on rows,
+    and the numbers of rows by language and the sample's words reach the driver."""
     rows = labelled.filter(F.col(f"`{lang}`").isNotNull() & F.col(f"`{text}`").isNotNull())
-    n = rows.count()
-    if n > sample_docs:
-        rows = rows.filter(F.pmod(F.xxhash64(F.col(f"`{id}`").cast("string")), F.lit(1 << 31)) < int((1 << 31) * sample_docs / n))
-    top = word_counts(rows, lang, text).filter(F.col("n") >= min_count).orderBy(F.desc("n"), "word", "lang").limit(max_words)
-    return WordBackoffModel([(r["lang"], r["word"], r["n"]) for r in top.collect()])
-
-
-def identify(docs: DataFrame, model: WordBackoffModel, keep: list[str], text: str = "text", memo_words: int = 120_000) -> DataFrame:
-    """The kept columns, `lang_pred` and `score` (the posterior of the language) for every row. A task's
-    memory holds the model and the scores of at most `memo_words` further words."""
+    sizes = {r["l"]: r["n"] for r in rows.groupBy(F.col(f"`{lang}`").cast("string").alias("l")).agg(F.count("*").alias("n")).collect()}
+    share, left = 0, sample_docs
+    for k, n in enumerate(sorted(sizes.values())):  # what small languages leave goes to the others
+        share = left / (len(sizes) - k)
+        left -= min(n, share)
+    if any(n > share for n in sizes.values()):
+        bound = F.create_map(*[F.lit(x) for k, n in sizes.items() for x in (k, int((1 << 31) * min(1.0, share / n)))])
+        rows = rows.filter(F.pmod(F.xxhash64(F.col(f"`{id}`").cast("string")), F.lit(1 << 31)) < bound[F.col(f"`{lang}`").cast("string")])
+    found = word_counts(rows, lang, text).toArrow()
+    return WordBackoffModel(sorted(zip(*(found.column(c).to_pylist() for c in ("lang", "word", "n")))))
+
+
+class Scorer:
+    """A worker's model with the scores of words met since."""
+
+    def __init__(self, model: WordBackoffModel, memo_words: int):
+        self.model, self.memo_words = model, memo_words
+        self._empty()
+
+    def _empty(self) -> None:
+        m = self.model
+        self.rows = Rows(m.words.keys[: m.words.n])
+        self.scores = m.word_scores
+
+    def find(self, raw, start, end, h) -> np.ndarray:
+        at = self.rows.find(h)
+        new = np.flatnonzero(at < 0)
+        if len(new):
+            keys, first = np.unique(h[new], return_index=True)
+            one = new[first]
+            words = [raw[s:e].tobytes().decode("utf-8", "surrogatepass") for s, e in zip(start[one].tolist(), end[one].tolist())]
+            scores = self.model.unseen(words)
+            for i, w in enumerate(words):  # numerals that are no letters say nothing, as text without letters
+                if not w.isalpha() and not any(c.isalpha() for c in w):
+                    scores[i] = np.nan
+            need = self.rows.n + len(keys)
+            if need > len(self.scores):
+                self.scores = np.concatenate([self.scores[: self.rows.n], np.zeros((max(need, 1 << 16), self.scores.shape[1]), "f4")])
+            self.scores[self.rows.n : need] = scores
+            self.rows.add(keys)
+            at[new] = self.rows.find(h[new])
+        return at
+
+    def __call__(self, texts: list[str | None]) -> list[list]:
+        m, k = self.model, len(self.model.langs)
+        total, count, known = np.zeros((len(texts), max(k, 1))), np.zeros(len(texts), np.int64), np.zeros(len(texts), np.int64)
+        for raw, start, end, h, of in wordcut.words(texts) if k else ():
+            if not len(h):
+                continue
+            at = self.find(raw, start, end, h)
+            scores = self.scores[at].astype("f8")
+            real = ~np.isnan(scores[:, 0])
+            scores, of, at = scores[real], of[real], at[real]
+            for c in range(k):
+                total[:, c] += np.bincount(of, scores[:, c], len(texts))
+            count += np.bincount(of, minlength=len(texts))
+            known += np.bincount(of[at < m.words.n], minlength=len(texts))
+            if self.rows.n > m.words.n + self.memo_words:
+                self._empty()
+        p = np.exp(total - total.max(axis=1, keepdims=True))
+        best, some = total.argmax(axis=1), count > 0
+        score = np.where(some, p.max(axis=1) / p.sum(axis=1), 0.0)
+        share = np.where(some, known / np.maximum(count, 1), 0.0)
+        return [[m.langs[b] if s else UNKNOWN for b, s in zip(best.tolist(), some.tolist())], score, share]
+
+
+def identify(docs: DataFrame, model: WordBackoffModel, keep: list[str], text: str = "text", memo_words: int = 1_000_000) -> DataFrame:
+    """The kept columns, `lang_pred`, `score` (the posterior of the language) and `known` (the share of words
+    that the sample holds) for every row. A task's memory holds the model and the scores of at most about
+    `memo_words` further words."""
     shared = broadcast(docs.sparkSession, model)
-
-    def make():
-        m = shared.value
-        k = len(m.langs)
-        memo: dict[str, int] = {}
-        table = np.zeros((1024, max(k, 1)), "f4")
-
-        def row(word: str) -> int:
-            nonlocal table
-            at = len(memo)
-            if at == len(table):
-                table = np.concatenate([table, np.zeros_like(table)])
-            known = m.words.get(word)
-            table[at] = m.scores[known] if known is not None else m.unseen(word)
-            memo[word] = at
-            return at
-
-        def of(texts):
-            preds, scores = [], []
-            for t in texts:
-                words = [w for w in WORD.findall((t or "").lower()) if w.isalpha() or any(c.isalpha() for c in w)]
-                if not words or not k:
-                    preds.append(UNKNOWN)
-                    scores.append(0.0)
-                    continue
-                if len(memo) > memo_words:
-                    memo.clear()
-                rows = [i if (i := memo.get(w)) is not None else row(w) for w in words]
-                total = table[rows].sum(axis=0, dtype="f8")
-                p = np.exp(total - total.max())
-                preds.append(m.langs[int(total.argmax())])
-                scores.append(float(p.max() / p.sum()))
-            return [preds, scores]
-
-        return of
-
-    return map_text(docs, keep, "lang_pred string, score double", make, text)
+    return map_text(docs, keep, "lang_pred string, score double, known double", lambda: Scorer(shared.value, memo_words), text)

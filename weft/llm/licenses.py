@@ -1,10 +1,12 @@
 """License scans by a positional rare-token index.
 
 Words are runs of ASCII letters (lower-cased), digits and non-ASCII characters. Every template is a
-word sequence; the index holds, for its rarest words by corpus IDF, the positions they take in it. In a
-file each occurrence of such a word votes for the place where the template would start; places that
-enough of a template's rare words agree on are verified: a base phrase must match in all words, another
-template in most words and in its mandatory key phrase, word by word.
+word sequence of a licence's text or notice, and the index holds the positions of all its words. A file
+that has any of a template's rarest words by corpus IDF looks up its own highest-IDF words of that template;
+each occurrence votes for the place where the template would start, and places that differ by at most `slack`
+words vote together. Where enough of the words agree, the template is verified: a base phrase in all its
+words, another template in most of its words, with words inserted or left out as far as `slack` goes, and in
+its mandatory key phrase word by word.
 
 Defined results: null and empty texts have 0 words and no labels (score 0, null first and last word);
 repeated rows and ids each get their own row; null ids pass through; an empty table gives an empty
@@ -21,6 +23,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from weft.llm.arrowmap import arrow_schema, broadcast, map_text
+from weft.llm.license_texts import TEXTS
 from weft.session import ship
 
 #: The base phrases and their labels.
@@ -30,19 +33,6 @@ BASE = {
     "cc by": "cc-by",
     "mit license": "mit",
 }
-#: Further templates with a mandatory key phrase and a label.
-TEMPLATES = [
-    ("this work is licensed under the gnu general public license version 3", "license version 3", "gpl-3.0"),
-    ("this work is licensed under the gnu general public license version 2", "license version 2", "gpl-2.0"),
-    ("licensed under the gnu lesser general public license", "lesser general public license", "lgpl"),
-    ("licensed under the apache license version 2 0", "license version 2 0", "apache-2.0"),
-    ("released under the mit license", "mit license", "mit-notice"),
-    ("permission is hereby granted free of charge to any person obtaining a copy of this software", "permission is hereby granted free of charge", "mit-text"),
-    ("redistribution and use in source and binary forms with or without modification are permitted", "source and binary forms", "bsd"),
-    ("this source code form is subject to the terms of the mozilla public license", "mozilla public license", "mpl"),
-    ("licensed under a creative commons attribution 4 0 international license", "creative commons attribution", "cc-by-4.0"),
-    ("licensed under cc by sa 4 0", "cc by sa", "cc-by-sa"),
-]
 #: ASCII upper case to lower case, other ASCII than letters and digits to spaces; other bytes stay.
 FOLD = bytes(c + 32 if 65 <= c <= 90 else c if 48 <= c <= 57 or 97 <= c <= 122 or c > 127 else 32 for c in range(256))
 
@@ -73,53 +63,77 @@ def document_frequencies(docs: DataFrame, vocabulary: set[bytes], text: str = "t
 
 
 class RareTokenIndex:
-    """Postings of templates under their rarest words."""
+    """Positions of all templates' words, and the words by which a file comes to look at a template."""
 
-    def __init__(self, n_docs: int, df: dict[bytes, int], rare: int = 4, coverage: float = 0.8):
-        self.coverage = coverage
-        idf = lambda w: math.log((n_docs + 1) / (df.get(w, 0) + 1))
-        self.templates = [(p.encode().split(), p.encode().split(), label, True) for p, label in BASE.items()] + [(p.encode().split(), key.encode().split(), label, False) for p, key, label in TEMPLATES]
+    def __init__(self, n_docs: int, df: dict[bytes, int], rare: int = 8, coverage: float = 0.8, slack: int = 4):
+        self.coverage, self.slack, self.rare = coverage, slack, rare
+        self.idf = {w: math.log((n_docs + 1) / (df.get(w, 0) + 1)) for w in vocabulary()}
+        self.templates = [(words_of(p), words_of(p), label, True) for p, label in BASE.items()] + [(words_of(t), words_of(key), label, False) for label, key, t in TEXTS]
         self.postings: dict[bytes, list[tuple[int, int]]] = defaultdict(list)
-        self.needed = []
+        self.gate: dict[bytes, list[int]] = defaultdict(list)
         for k, (words, _, _, base) in enumerate(self.templates):
-            # A base phrase needs all its words, so its rarest alone finds all its places.
-            best = sorted(set(words), key=lambda w: (-idf(w), w))[: 1 if base else rare]
-            self.needed.append(1 if base else max(1, math.ceil(len(best) / 2)))
             for j, w in enumerate(words):
-                if w in best:
-                    self.postings[w].append((k, j))
-        self.words = frozenset(self.postings)
+                self.postings[w].append((k, j))
+            # A base phrase needs all its words, so its rarest alone finds all its places.
+            for w in self._rarest(set(words))[: 1 if base else rare]:
+                self.gate[w].append(k)
+        self.words = frozenset(self.gate)
+
+    def _rarest(self, words: set[bytes]) -> list[bytes]:
+        return sorted(words, key=lambda w: (-self.idf[w], w))
 
     def find(self, words: list[bytes]) -> list[tuple[int, int, float]]:
         """(template, place, share of its words that match), by place."""
         if self.words.isdisjoint(words):
             return []
-        votes: Counter = Counter()
+        places: dict[bytes, list[int]] = defaultdict(list)
         for i, w in enumerate(words):
-            if w in self.words:
-                votes.update((k, i - j) for k, j in self.postings[w] if i >= j)
+            if w in self.postings:
+                places[w].append(i)
         found = []
-        for (k, at), n in votes.items():
+        for k in sorted({k for w in self.words.intersection(places) for k in self.gate[w]}):
             template, key, _, base = self.templates[k]
-            if n < self.needed[k]:
-                continue
-            there = words[at : at + len(template)]
-            share = sum(a == b for a, b in zip(template, there)) / len(template)
-            if share < (1 if base else self.coverage):
-                continue
-            if base or any(there[i : i + len(key)] == key for i in range(len(there) - len(key) + 1)):
-                found.append((k, at, share))
+            mine = self._rarest(set(template).intersection(places))[: 1 if base else self.rare]
+            votes: Counter = Counter()
+            for w in mine:
+                votes.update({i - j for t, j in self.postings[w] if t == k for i in places[w]})
+            if base:
+                found += [(k, at, 1.0) for at in votes if at >= 0 and words[at : at + len(template)] == template]
+            elif len(mine) >= min(self.rare, len(set(template))) / 2:
+                found += self._verified(k, template, key, words, votes, len(mine) / 2)
         return sorted(found, key=lambda x: (x[1], x[0]))
 
+    def _verified(self, k: int, template: list[bytes], key: list[bytes], words: list[bytes], votes: Counter, needed: float) -> list[tuple[int, int, float]]:
+        """Places of a template, one for each stretch of the file."""
+        out, behind = [], -1
+        for at in sorted(votes):
+            if at <= behind or sum(votes.get(at + d, 0) for d in range(self.slack + 1)) < needed:
+                continue
+            share = self._share(template, words, at)
+            low, high = max(0, at - self.slack), at + len(template) + self.slack
+            if share >= self.coverage and any(words[i : i + len(key)] == key for i in range(low, min(high, len(words)) - len(key) + 1)):
+                out.append((k, max(at, 0), share))
+                behind = at + len(template) // 2
+        return out
+
+    def _share(self, template: list[bytes], words: list[bytes], at: int) -> float:
+        """The most template words that can be matched in order where the shift against the file begins at 0 and
+        changes within `slack`; a change costs one word."""
+        best = {d: 0 if d == 0 else -1 for d in range(-self.slack, self.slack + 1)}
+        for j, w in enumerate(template):
+            lead = max(best.values()) - 1
+            best = {d: max(b, lead) + (0 <= at + j + d < len(words) and words[at + j + d] == w) for d, b in best.items()}
+        return max(best.values()) / len(template)
+
 
 def vocabulary() -> set[bytes]:
-    return {w for p in [*BASE, *(t[0] for t in TEMPLATES)] for w in p.encode().split()}
+    return {w for p in [*BASE, *(t for _, _, t in TEXTS)] for w in words_of(p)}
 
 
-def scan(docs: DataFrame, keep: list[str], text: str = "text", rare: int = 4, coverage: float = 0.8) -> DataFrame:
+def scan(docs: DataFrame, keep: list[str], text: str = "text", rare: int = 8, coverage: float = 0.8, slack: int = 4) -> DataFrame:
     """The kept columns and RESULT for every row. Two passes over all texts: document frequencies of the
     templates' words (a fixed, small vocabulary), then the look-up."""
-    shared = broadcast(docs.sparkSession, RareTokenIndex(*document_frequencies(docs, vocabulary(), text), rare, coverage))
+    shared = broadcast(docs.sparkSession, RareTokenIndex(*document_frequencies(docs, vocabulary(), text), rare, coverage, slack))
 
     def make():
         index = shared.value
@@ -131,7 +145,7 @@ def scan(docs: DataFrame, keep: list[str], text: str = "text", rare: int = 4, co
                 found = index.find(words)
                 base = [(index.templates[k][2], at) for k, at, _ in found if index.templates[k][3]]
                 label = lambda k: index.templates[k][2]
-                rows.append((len(words), len(base), min((at for _, at in base), default=None), max((at for _, at in base), default=None), sorted({x for x, _ in base}), sorted({label(k) for k, _, _ in found}), max((s for _, _, s in found), default=0.0), [{"label": label(k), "word": at, "score": s} for k, at, s in found]))
+                rows.append((len(words), len(base), min((at for _, at in base), default=None), max((at for _, at in base), default=None), sorted({x for x, _ in base}), sorted({label(k) for k, _, _ in found}), min(1.0, max((s for _, _, s in found), default=0.0)), [{"label": label(k), "word": at, "score": s} for k, at, s in found]))
             return [list(c) for c in zip(*rows)] if rows else [[]] * 8
 
         return of

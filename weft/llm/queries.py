@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from weft.llm import decontam, jaccard, langid, licenses, packing, secrets, suffix_dedup, token_files, topk, warc
-from weft.llm.common import scratch, table
+from weft.llm.common import scratch, spread, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE_SQL: dict[str, str] = {}
@@ -40,7 +40,7 @@ def op4_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op7_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").withColumn("held_out", langid_held_out())
     model = langid.train(docs.filter(~F.col("held_out")))
-    return langid.identify(docs, model, ["doc_id", "held_out"])
+    return langid.identify(spread(docs), model, ["doc_id", "held_out"]).drop("known")
 
 
 def langid_held_out():

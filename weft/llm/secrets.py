@@ -24,8 +24,8 @@ ACCESS = r"AKIA[A-Z0-9]{16,}"
 HEX = r"[0-9a-f]{24,}"
 KINDS = ("assign", "access", "hex", "markov")
 
-#: A token that the models judge: 16 characters at least, a digit among them.
-TOKEN = r"(?<![A-Za-z0-9+/_-])(?=[A-Za-z+/_-]*[0-9])[A-Za-z0-9+/_-]{16,}"
+#: A token that the models judge: 16 characters at least.
+TOKEN = r"(?<![A-Za-z0-9+/_-])[A-Za-z0-9+/_-]{16,}"
 CLASSES = 64
 SPAN = "struct<start:int,kind:int,end:int>"
 
@@ -45,18 +45,28 @@ def _pair(token: str, i: str) -> str:
     return f"{_char_class(f'substring({token}, {i}, 1)')} * {CLASSES} + {_char_class(f'substring({token}, {i} + 1, 1)')}"
 
 
-def labelled_samples(docs: DataFrame, sample_docs: int = 1000, strings: int = 3000, text: str = "text") -> DataFrame:
-    """Rows (token, random). Random: hex, base-64 and upper-case forms of SHA-256 digests. Ordinary:
-    words of at most `sample_docs` documents (those with the smallest text hash), base spans removed."""
+def labelled_samples(docs: DataFrame, sample_docs: int = 1000, strings: int = 3000, text: str = "text", id: str = "doc_id") -> DataFrame:
+    """Rows (token, random). Random: hex, base-64, upper-case and letters-only forms of SHA-256 digests.
+    Ordinary: tokens of about `sample_docs` documents (chosen by a hash of id and text; the tokens stay where
+    they are and only counts of character pairs are ever gathered), base spans removed, and identifiers and
+    paths made of three words in a row of theirs."""
     digest = F.sha2(F.col("id").cast("string"), 256)
-    b64 = F.regexp_replace(F.base64(F.unhex(digest)), "=+$", "")
-    made = docs.sparkSession.range(strings).select(F.explode(F.array(F.substring(digest, 1, 40), b64, F.substring(F.upper(F.regexp_replace(b64, "[+/]", "")), 1, 24))).alias("token"), F.lit(True).alias("random"))
-    body = F.coalesce(F.col(text).cast("string"), F.lit(""))
-    few = docs.select(body.alias("t")).orderBy(F.xxhash64("t"), "t").limit(sample_docs)
+    b64 = F.regexp_replace(F.base64(F.unhex(F.concat(digest, F.sha2(digest, 256)))), "[^A-Za-z0-9]+", "")
+    upper, letters = F.substring(F.upper(b64), 1, 24), F.substring(F.regexp_replace(b64, "[^A-Za-z]", ""), 1, 32)
+    forms = F.array(F.substring(digest, 1, 40), F.substring(F.base64(F.unhex(digest)), 1, 43), upper, letters, F.lower(F.substring(letters, 1, 24)))
+    made = docs.sparkSession.range(strings).select(F.explode(forms).alias("token"), F.lit(True).alias("random"))
+    body = F.coalesce(F.col(f"`{text}`").cast("string"), F.lit(""))
+    n = docs.count()
+    few = docs if n <= sample_docs else docs.filter(F.pmod(F.xxhash64(F.col(f"`{id}`").cast("string"), body), F.lit(1 << 31)) < int((1 << 31) * sample_docs / n))
+    few = few.select(body.alias("t"))
     for pattern in (ASSIGN, ACCESS, HEX):
         few = few.select(F.regexp_replace("t", pattern, " ").alias("t"))
-    words = few.select(F.explode(F.expr("regexp_extract_all(t, '[A-Za-z0-9_]{3,}', 0)")).alias("token"), F.lit(False).alias("random"))
-    return made.unionByName(words)
+    three = "concat_ws('{}', slice(w, i, 3))"
+    forms = ", ".join([three.format("_"), f"upper({three.format('_')})", f"replace(initcap({three.format(' ')}), ' ', '')", three.format("/"), three.format("-")])
+    joined = f"flatten(transform(if(size(w) < 3, array(), sequence(1, size(w) - 2, 3)), i -> array({forms})))"
+    found = F.expr(f"""concat(regexp_extract_all(t, '[A-Za-z0-9+/_-]{{3,}}', 0),
+        transform(array(regexp_extract_all(t, '[A-Za-z]{{3,}}', 0)), w -> {joined})[0])""")
+    return made.unionByName(few.select(F.explode(found).alias("token"), F.lit(False).alias("random")))
 
 
 def train(samples: DataFrame, smoothing: float = 0.5) -> list[float]:
@@ -72,10 +82,11 @@ def train(samples: DataFrame, smoothing: float = 0.5) -> list[float]:
     return ratios
 
 
-def scan(docs: DataFrame, ratios: list[float], text: str = "text", margin: float = 0.3) -> DataFrame:
+def scan(docs: DataFrame, ratios: list[float], text: str = "text", margin: float = 0.3, letters_margin: float = 1.2, distinct: int = 8) -> DataFrame:
     """docs with `secret_spans`: array of struct(start, kind, end), code points, end exclusive, ordered
     by start then kind (an index into KINDS). A Markov span is added where the mean ratio per pair is at
-    least `margin` and no base span overlaps it."""
+    least `margin` and no base span overlaps it. A token without a digit or without a letter may be a long word, a
+    path, a rule or a number: it needs `letters_margin` and `distinct` characters."""
     t = f"coalesce(cast(`{text}` as string), '')"
     df = docs.withColumn("_t", F.expr(t))
 
@@ -95,7 +106,9 @@ def scan(docs: DataFrame, ratios: list[float], text: str = "text", margin: float
         if(_t rlike {_sql(HEX)}, {located(whole(HEX), 2)}, cast(array() as array<{SPAN}>))))"""))
     table = f"from_json('{ratios}', 'array<double>')"
     score = f"aggregate(sequence(1, length(m.s) - 1), 0D, (z, i) -> z + element_at(_llr, {_pair('m.s', 'i')} + 1))"
-    df = df.withColumn("_llr", F.expr(table)).withColumn("_markov", F.expr(f"if(_t rlike {_sql(TOKEN)}, {located(whole(TOKEN), 3, f'{score} >= {margin}D * (length(m.s) - 1)')}, cast(array() as array<{SPAN}>))"))
+    needs = f"if(m.s rlike '[0-9]' and m.s rlike '[A-Za-z]', {margin}D, if(size(array_distinct(split(m.s, ''))) >= {distinct}, {letters_margin}D, double('inf')))"
+    judged = f"{score} >= {needs} * (length(m.s) - 1)"
+    df = df.withColumn("_llr", F.expr(table)).withColumn("_markov", F.expr(f"if(_t rlike {_sql(TOKEN)}, {located(whole(TOKEN), 3, f'{judged}')}, cast(array() as array<{SPAN}>))"))
     free = "filter(_markov, x -> not exists(_base, b -> b.start < x.end and x.start < b.end))"
     return df.withColumn("secret_spans", F.expr(f"array_sort(concat(_base, {free}))")).drop("_t", "_base", "_llr", "_markov")
 

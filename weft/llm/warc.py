@@ -2,9 +2,14 @@
 
 Every record is a gzip member of its own. A reading task gets a byte range of a file, looks for the gzip
 magic in it, and takes a candidate only if it decodes to the end with a right checksum, begins with a
-WARC header, and is followed by another member or the file's end. It owns the records that start in its
-range, reads past the range's end to finish the last one, and so every record is read once whatever
-the ranges are.
+WARC header, and is as long as the header says. It owns the records that start in its range, reads past
+the range's end to finish the last one, and so every record is read once whatever the ranges are.
+
+Archives of others are read too (``manifest``): header names in any case, folded lines, records of any
+type, payloads that are no HTTP messages, digests absent or of another kind (left as they are declared).
+Nothing is skipped silently: where a member begins with a WARC header but is cut off or corrupt, or what
+follows a record is no member, a row of type `damaged` gives the file and the place in `url`. A record
+within a payload that is stored uncompressed cannot be told from one of the archive.
 
 Of records with equal payloads of at least `min_bytes` bytes, the one with the largest id is a response
 and the others revisit it. A null payload counts as empty. Defined results: repeated rows that share the
@@ -35,42 +40,74 @@ HTTP = b"HTTP/1.1 200 OK\r\nContent-Type: text/html; charset=utf-8\r\n\r\n"
 RECORD = "page_id long, url string, payload_bytes long, payload_digest string, record_type string, refers_to long"
 
 
-def _record_id(page_id: int | None, url: str | None) -> str:
-    return f"<urn:uuid:{uuid.uuid5(uuid.NAMESPACE_URL, f'{page_id} {url}')}>"
+def _digest(payload: bytes) -> str:
+    return base64.b32encode(hashlib.sha1(payload).digest()).decode()
+
+
+def _record_id(page_id: int | None, digest: str) -> str:
+    return f"<urn:uuid:{uuid.uuid5(uuid.NAMESPACE_URL, f'{page_id} {digest}')}>"
 
 
 def member(page_id: int | None, url: str | None, payload: bytes, refers_to: int | None, date: str, level: int = 6) -> bytes:
     """The gzip member of a response, or of a revisit where refers_to is given."""
+    digest, again = _digest(payload), refers_to is not None
     head = {
-        "WARC-Type": "response" if refers_to is None else "revisit",
-        "WARC-Record-ID": _record_id(page_id, url),
+        "WARC-Type": "revisit" if again else "response",
+        "WARC-Record-ID": f"<urn:uuid:{uuid.uuid4()}>" if again or page_id is None else _record_id(page_id, digest),
         "WARC-Date": date,
         "WARC-Target-URI": None if url is None else url.replace("\r", "%0D").replace("\n", "%0A"),
-        "WARC-Payload-Digest": "sha1:" + base64.b32encode(hashlib.sha1(payload).digest()).decode(),
-        "WARC-Profile": PROFILE if refers_to is not None else None,
+        "WARC-Payload-Digest": "sha1:" + digest,
+        "WARC-Profile": PROFILE if again else None,
+        "WARC-Refers-To": _record_id(refers_to, digest) if again else None,
+        "WARC-Refers-To-Date": date if again else None,
         "Weft-Page-ID": page_id,
         "Weft-Refers-To-Page-ID": refers_to,
         "Weft-Payload-Length": len(payload),
         "Content-Type": "application/http; msgtype=response",
     }
-    block = HTTP + (payload if refers_to is None else b"")
+    block = HTTP + (b"" if again else payload)
     head["Content-Length"] = len(block)
     lines = "WARC/1.1\r\n" + "".join(f"{k}: {v}\r\n" for k, v in head.items() if v is not None) + "\r\n"
     pack = zlib.compressobj(level, zlib.DEFLATED, 31)
     return pack.compress(lines.encode("utf-8", "surrogatepass") + block + b"\r\n\r\n") + pack.flush()
 
 
+def header(record: bytes) -> tuple[dict[str, str], int]:
+    """A record's fields by lower-case name, and where its block begins. A line that begins with a blank goes
+    on from the one before it."""
+    end = record.find(b"\r\n\r\n")
+    fields, last = {}, None
+    for line in record[:end].decode("utf-8", "surrogateescape").split("\r\n")[1:] if end >= 0 else ():
+        if line[:1] in (" ", "\t") and last:
+            fields[last] += " " + line.strip()
+        elif ":" in line:
+            last, value = line.split(":", 1)
+            last = last.strip().lower()
+            fields[last] = value.strip()
+    return fields, end + 4
+
+
+def whole(record: bytes) -> bool:
+    """A WARC header, and a block of the length that it declares."""
+    fields, at = header(record)
+    size = fields.get("content-length", "")
+    return record.startswith(b"WARC/1.") and "warc-type" in fields and size.isdigit() and len(record) >= at + int(size)
+
+
 def parse(record: bytes) -> dict:
-    """The fields of RECORD and the payload of a decoded record; a response's digest is taken from its
-    payload and must be the one it declares."""
-    head, _, rest = record.partition(b"\r\n\r\n")
-    fields = dict(line.split(": ", 1) for line in head.decode("utf-8", "surrogatepass").split("\r\n")[1:])
-    payload = rest[: int(fields["Content-Length"])].partition(b"\r\n\r\n")[2]
-    number = lambda k: int(fields[k]) if k in fields else None
-    out = {"page_id": number("Weft-Page-ID"), "url": fields.get("WARC-Target-URI"), "payload_bytes": number("Weft-Payload-Length"), "payload_digest": fields["WARC-Payload-Digest"].removeprefix("sha1:"), "record_type": fields["WARC-Type"], "refers_to": number("Weft-Refers-To-Page-ID"), "payload": payload}
-    if out["record_type"] == "response":
-        out |= {"payload_bytes": len(payload), "payload_digest": base64.b32encode(hashlib.sha1(payload).digest()).decode()}
-        if fields["WARC-Payload-Digest"] != "sha1:" + out["payload_digest"]:
+    """The fields of RECORD and the payload of a decoded record: of an HTTP message what follows its header,
+    of any other block all of it. Length and SHA-1 of a response's payload are taken from the payload, and
+    the SHA-1 that it declares must be its own; of a revisit they are as declared."""
+    fields, at = header(record)
+    block, kind = record[at : at + int(fields["content-length"])], fields["warc-type"].lower()
+    http = fields.get("content-type", "").lower().startswith("application/http")
+    payload = block.partition(b"\r\n\r\n")[2] if http else block
+    number = lambda k: int(fields[k]) if fields.get(k, "").removeprefix("-").isdigit() else None
+    declared = fields.get("warc-payload-digest", "")
+    out = {"page_id": number("weft-page-id"), "url": fields.get("warc-target-uri"), "payload_bytes": number("weft-payload-length"), "payload_digest": declared.removeprefix("sha1:") or None, "record_type": kind, "refers_to": number("weft-refers-to-page-id"), "payload": payload}
+    if kind != "revisit":
+        out |= {"payload_bytes": len(payload), "payload_digest": _digest(payload)}
+        if kind == "response" and "weft-page-id" in fields and declared != "sha1:" + out["payload_digest"]:
             raise ValueError(f"the payload of page {out['page_id']} does not have its digest")
     return out
 
@@ -87,30 +124,35 @@ class Ranged:
             self.source.seek(self.start + len(self.data))
             self.data += self.source.read(self.chunk)
 
-    def decoded(self, at: int) -> tuple[bytes, int] | None:
-        """The member that starts at `at` and its end, or None if there is none with a WARC header."""
+    def decoded(self, at: int) -> tuple[bytes, int] | bool:
+        """The record that starts at `at` and its end; True if it has a WARC header but is damaged, else False."""
         unpack, out, i = zlib.decompressobj(31), [], at
         try:
             while not unpack.eof:
                 if i >= self.size:
-                    return None
+                    return bool(out) and out[0].startswith(b"WARC/1.")
                 self.upto(i + 65_536)
                 piece = bytes(self.data[i - self.start : i - self.start + 65_536])
                 out.append(unpack.decompress(piece))
                 i += len(piece)
                 if len(out) == 1 and len(out[0]) >= 7 and not out[0].startswith(b"WARC/1."):
-                    return None
+                    return False
         except zlib.error:
-            return None
-        end = i - len(unpack.unused_data)
-        self.upto(end + 3)
-        after = bytes(self.data[end - self.start : end - self.start + 3])
+            # What was unpacked of the failing piece is lost: unpack it again in small steps.
+            head, unpack = b"".join(out)[:7], zlib.decompressobj(31)
+            try:
+                for k in range(at, min(at + 65_536, self.size), 64):
+                    head += unpack.decompress(bytes(self.data[k - self.start : min(k + 64, self.size) - self.start])) if len(head) < 7 else b""
+            except zlib.error:
+                pass
+            return head.startswith(b"WARC/1.")
         record = b"".join(out)
-        return (record, end) if record.startswith(b"WARC/1.") and (end >= self.size or after == MAGIC) else None
+        return (record, i - len(unpack.unused_data)) if whole(record) else record.startswith(b"WARC/1.")
 
 
 def records(source, start: int, end: int):
-    """(offset, decoded record) of the records that start in [start, end)."""
+    """(offset, decoded record) of the records that start in [start, end); None for a damaged one, and for what
+    follows a record and is no member."""
     part, at = Ranged(source, start), start
     while at < min(end, part.size):
         part.upto(min(end, part.size) + len(MAGIC) - 1 if at == start else at + part.chunk)
@@ -123,11 +165,21 @@ def records(source, start: int, end: int):
             continue
         at = start + found
         got = part.decoded(at)
-        if got is None:
+        if isinstance(got, bool):
+            if got:
+                yield at, None
             at += 1
         else:
             yield at, got[0]
             at = got[1]
+            part.upto(at + len(MAGIC))
+            if at < part.size and bytes(part.data[at - start : at - start + len(MAGIC)]) != MAGIC:
+                yield at, None
+
+
+def manifest(spark: SparkSession, paths: str | list[str]) -> DataFrame:
+    """(path, bytes) of archives by paths or globs, for read(); nothing of them is read."""
+    return spark.read.format("binaryFile").load(paths).select("path", F.col("length").alias("bytes"))
 
 
 def write(pages: DataFrame, folder: str, id: str = "page_id", url: str = "url", html: str = "html", min_bytes: int = 0, date: str = "2024-01-01T00:00:00Z", level: int = 6) -> DataFrame:
@@ -180,8 +232,8 @@ def read(manifest: DataFrame, split_bytes: int = 4 << 20, with_payload: bool = F
                 filesystem, path = pyarrow.fs.FileSystem.from_uri(s["path"])
                 with filesystem.open_input_file(path) as source:
                     rows = []
-                    for _, record in records(source, s["start"], s["end"]):
-                        rows.append(parse(record))
+                    for at, record in records(source, s["start"], s["end"]):
+                        rows.append(parse(record) if record is not None else dict.fromkeys(schema.names) | {"record_type": "damaged", "url": f"{s['path']}@{at}", "payload": None})
                         if not with_payload:
                             rows[-1]["payload"] = None
                         if len(rows) == 256:
@@ -191,4 +243,6 @@ def read(manifest: DataFrame, split_bytes: int = 4 << 20, with_payload: bool = F
                         yield batch(rows)
 
     split = manifest.filter("bytes > 0").select("path", F.explode(F.sequence(F.lit(0).cast("long"), F.col("bytes") - 1, F.lit(split_bytes).cast("long"))).alias("start")).withColumn("end", F.col("start") + split_bytes)
-    return split.repartition(shuffle_width(spark)).mapInArrow(ranges, ddl)
+    # Some 64 MB of archives a task, and as many tasks as a shuffle has at least.
+    total = manifest.agg(F.coalesce(F.sum("bytes"), F.lit(0))).first()[0]
+    return split.repartition(max(shuffle_width(spark), -(-total // (64 << 20)))).mapInArrow(ranges, ddl)
