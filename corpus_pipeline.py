@@ -13,16 +13,24 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from weft.llm import decontam, jaccard, langid, packing, secrets
-from weft.llm.common import staged, table
+from weft.llm.common import drop, spread, staged, table
 from weft.llm.queries import langid_held_out, word_tokenizer
 
 
+#: The languages that stay, and what a document needs to count as identified: a language that is likelier
+#: than all others together, and some share of words that the model has seen in training.
+LANGUAGES = ("de", "en", "es", "fr")
+MIN_SCORE, MIN_KNOWN = 0.5, 0.1
+
+
 def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents whose language is identified stay; those without letters go. The model learns from the
-    rows that op7 may learn from."""
+    """Documents in one of LANGUAGES stay. Those go that have no letters, that are predicted to be in another
+    language, whose score is under MIN_SCORE, or of whose words less than MIN_KNOWN are known, as text in a
+    language that was not learned and strings of random letters. The model learns from the rows that op7
+    may learn from."""
     model = langid.train(docs.filter(~langid_held_out()))
-    named = langid.identify(docs, model, docs.columns)
-    return named.filter(F.col("lang_pred") != langid.UNKNOWN).select(*docs.columns)
+    named = langid.identify(spread(docs), model, docs.columns)
+    return named.filter(F.col("lang_pred").isin(*LANGUAGES) & (F.col("score") >= MIN_SCORE) & (F.col("known") >= MIN_KNOWN)).select(*docs.columns)
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -72,5 +80,7 @@ def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The rows of the last stage."""
     docs = table(spark, sf_dir, "documents")
     for name, stage in STAGES[:-1]:
-        docs = staged(stage(spark, docs, sf_dir), name)
+        made = staged(stage(spark, docs, sf_dir), name)
+        drop(docs)  # what the stage before wrote; the table itself is no staged one
+        docs = made
     return STAGES[-1][1](spark, docs, sf_dir)
