@@ -472,3 +472,25 @@ def test_secrets(spark, edge_docs, empty_docs):
     masked = {r["doc_id"]: r["text"] for r in secrets.redact(secrets.scan(d, ratios)).collect()}
     assert masked[107] == "key [secret] done" and masked[0] is None and masked[1] == "" and masked[105] == "[secret]"
     assert secrets.scan(empty_docs, ratios).count() == 0 and len(secrets.train(secrets.labelled_samples(empty_docs))) == secrets.CLASSES**2
+
+
+# 1. suffix order
+
+
+@settings(max_examples=40, deadline=None)
+@given(st.integers(10, 60), st.integers(1, 4), st.integers(0, 10**6))
+def test_suffix_order_is_the_order_of_the_bytes(least, letters, seed):
+    """Suffixes come in the order of their first bytes, whatever repeats: long runs, copies, few letters."""
+    rng = np.random.default_rng(seed)
+    text = rng.integers(97, 97 + letters, 700, dtype=np.uint8).tobytes()
+    text = text + b"a" * 200 + text[50:400] + text
+    at = np.sort(rng.choice(len(text) - least, 600, replace=False))
+    order = suffix_dedup.suffix_order(suffix_dedup.loads(text + bytes(2 * least + 32)), len(text), at, least)
+    found = [text[p : p + least] for p in at[order].tolist()]
+    assert sorted(order.tolist()) == list(range(600)) and found == sorted(found)
+
+
+def test_suffix_dedup_query_against_brute_force(spark):
+    docs = [(r["doc_id"], r["text"]) for r in spark.read.parquet(f"{SF}/documents.parquet").collect()]
+    got = queries.op1_suffix_dedup(spark, SF).select("doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256").collect()
+    assert sorted(map(tuple, got), key=repr) == brute_dedup(docs, 50)

@@ -10,12 +10,17 @@ that both belong to a difference cover modulo v (counted from each document's st
    text they need: suffixes that share their least q-gram stand next to each other in a document and
    travel as one stretch of text. A block sends equal stretches once, with their smallest id, so a string
    in a third of all documents comes to at most one stretch a block;
-3. each bucket sorts its suffixes to `min_bytes` bytes (by a hash of them, equal hashes checked byte by
-   byte) and tells each block which of them have an equal with a smaller id;
+3. each bucket sorts its distinct stretches' suffixes, one bucket at a time: the suffixes at cover places of
+   the bucket's text are ranked first, by a few bytes and then by doubling along places that lie a modulus
+   apart; all suffixes are sorted by as many bytes as the modulus; and where these tie, two suffixes are
+   compared by the ranks at the shift at which both are cover places (all ties at once, around pivots).
+   Neighbours in this order that agree on `min_bytes` bytes are one string, and each block learns which of
+   its strings also start in a document with a smaller id;
 4. blocks cut the bytes that those strings cover.
 
-The classical blockwise sort looks cover ranks up pair by pair in one shared text, which no task of a
-cluster holds; here they decide, before the bucket sort, which suffixes can tie at all.
+A block and a bucket are all that a task holds: some 4 MB of text with its arrays, or about 6 MB of stretches.
+A block sends a row for each bucket that it has something for, so rows grow with the input alone. A string in
+very many blocks comes to its bucket once a block.
 
 Defined results: a null text has 0 bytes; null ids come last and count as one id; rows that repeat an id
 do not cut each other; an empty table gives an empty result; texts shorter than `min_bytes` stay whole;
@@ -126,25 +131,114 @@ class Block:
         last = np.append(first[1:], len(p)) - 1
         return p[first], p[last], anchor[p[first]], doc[first]
 
-    def stretches(self, shared: np.ndarray, buckets: int) -> tuple[list[tuple[dict, list]], np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-        """By bucket, its distinct stretches with their numbers (in the order met) and smallest ids; and for
-        each place of one: first suffix, number of suffixes, document id, bucket, and number there."""
+    def stretches(self, shared: np.ndarray, buckets: int) -> tuple[list[bytes], np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+        """The distinct stretches by bucket (their texts, smallest ids and buckets), and for each place of one:
+        first suffix, number of suffixes, document id, and number of its stretch."""
         first, last, anchor, doc = self.suffixes(shared)
         q = 16 if self.L >= 24 else 8
         bucket = (hashes(self.words, anchor, q) % U(buckets)).astype(np.int64) if len(first) else first
-        tables: list[tuple[dict, list]] = [({}, []) for _ in range(buckets)]
-        data, own, numbers = self.data, self.ids[doc], []
-        for a, b, k, i in zip(first.tolist(), (last + self.L).tolist(), bucket.tolist(), own.tolist()):
-            known, least = tables[k]
-            text = data[a:b]
-            u = known.get(text)
-            if u is None:
-                u = known[text] = len(least)
-                least.append(i)
-            elif i < least[u]:
-                least[u] = i
-            numbers.append(u)
-        return tables, first, last - first + 1, own, bucket, np.array(numbers, np.int64)
+        data, own, known, numbers = self.data, self.ids[doc], {}, []
+        for a, b in zip(first.tolist(), (last + self.L).tolist()):
+            numbers.append(known.setdefault(data[a:b], len(known)))
+        number = np.array(numbers, np.int64)
+        least = np.full(len(known), LAST_ID, np.int64)
+        np.minimum.at(least, number, own)
+        where = np.zeros(len(known), np.int64)
+        where[number] = bucket
+        order = np.argsort(where, kind="stable")
+        place = np.empty(len(known), np.int64)
+        place[order] = np.arange(len(known))
+        texts = list(known)
+        return [texts[i] for i in order.tolist()], least[order], where[order], first, last - first + 1, own, place[number]
+
+
+class Ranks:
+    """Dense ranks of places of a text by more and more of their bytes."""
+
+    def __init__(self, words: np.ndarray, at: np.ndarray):
+        self.words, self.at, self.bits = words, at, max(1, int(len(at)).bit_length())
+        self.rank, self.order = np.zeros(len(at), np.int64), np.arange(len(at))
+        self.largest = 0
+
+    def refine(self, key: np.ndarray, bits: int) -> None:
+        """Rank by the ranks so far, then by keys of so many bits."""
+        own = max(1, int(self.largest).bit_length())
+        if own + bits > 64:
+            raise ValueError("keys too wide")
+        key = (self.rank.astype(U) << U(bits)) | key.astype(U)
+        if own + bits + self.bits <= 64:  # places in the low bits: sorting values is several times as fast
+            packed = (key << U(self.bits)) | np.arange(len(key), dtype=U)
+            packed.sort()
+            self.order = (packed & U((1 << self.bits) - 1)).astype(np.int64)
+            key = packed >> U(self.bits)
+        else:
+            self.order = np.argsort(key, kind="stable")
+            key = key[self.order]
+        dense = np.zeros(len(key), np.int64)
+        np.cumsum(key[1:] != key[:-1], out=dense[1:])
+        self.rank[self.order] = dense
+        self.largest = int(dense[-1]) if len(dense) else 0
+
+    def by_bytes(self, width: int) -> None:
+        done = 0
+        while done < width:
+            own = max(1, int(self.largest).bit_length())
+            n = min(width - done, 7, max(1, (64 - own - self.bits) // 8))
+            word = self.words[self.at + done].byteswap()  # the first byte counts most
+            self.refine(word >> U(64 - 8 * n), 8 * n)
+            done += n
+
+
+def _shifts(v: int) -> np.ndarray:
+    """For residues i and j, the least shift at which both are in the cover."""
+    cover = set(COVERS[v])
+    return np.array([[next(d for d in range(v) if (i + d) % v in cover and (j + d) % v in cover) for j in range(v)] for i in range(v)])
+
+
+def suffix_order(words: np.ndarray, size: int, at: np.ndarray, min_bytes: int) -> np.ndarray:
+    """The order of the suffixes at places `at` of a text of `size` bytes, by at least their first min_bytes
+    bytes; words go on for min_bytes + 16 bytes."""
+    v = 13 if min_bytes >= 13 else 7
+    cover = np.array(COVERS[v])
+    number = np.full(v, -1)
+    number[cover] = np.arange(len(cover))
+    places = (np.arange(0, size, v)[:, None] + cover).ravel()
+    sample, length = Ranks(words, places[places < size + min_bytes - v]), v
+    sample.by_bytes(v)
+    while length < min_bytes:  # a place one length on is a cover place too
+        step = length // v * len(cover)
+        ahead = np.zeros(len(sample.rank), np.int64)
+        ahead[:-step] = sample.rank[step:] + 1
+        sample.refine(ahead, max(1, int(sample.largest + 1).bit_length()))
+        length *= 2
+    rank, shift = sample.rank, _shifts(v)
+    mine = Ranks(words, at)
+    mine.by_bytes(v)
+    order, residue = mine.order, at % v
+    begin = mine.rank[order]  # a run of equal prefixes has one number
+    run = np.flatnonzero(np.append(True, begin[1:] != begin[:-1])) if len(order) else np.zeros(0, np.int64)
+    ends = np.append(run[1:], len(order))
+    tied = ends - run > 1
+    run, ends = run[tied], ends[tied]
+    while len(run):
+        sizes = ends - run
+        group = np.repeat(np.arange(len(run)), sizes)
+        slot = np.repeat(run - (np.cumsum(sizes) - sizes), sizes) + np.arange(int(sizes.sum()))
+        one, pivot = order[slot], np.repeat(order[(run + ends) // 2], sizes)
+        d = shift[residue[one], residue[pivot]]
+        x, y = at[one] + d, at[pivot] + d
+        side = np.sign(rank[x // v * len(cover) + number[x % v]] - rank[y // v * len(cover) + number[y % v]]) + 1
+        key = group * 3 + side
+        bits = max(1, len(key).bit_length())
+        packed = (key.astype(U) << U(bits)) | np.arange(len(key), dtype=U)
+        packed.sort()
+        order[slot] = one[(packed & U((1 << bits) - 1)).astype(np.int64)]
+        key = (packed >> U(bits)).astype(np.int64)
+        cut = np.flatnonzero(np.append(True, key[1:] != key[:-1]))
+        stop = np.append(cut[1:], len(key))
+        open_ = (stop - cut > 1) & (key[cut] % 3 != 1)
+        run, ends = slot[cut[open_]], slot[stop[open_] - 1] + 1
+    return order
 
 
 def blocks_of(docs: DataFrame, id: str, text: str, block_bytes: int) -> DataFrame:
@@ -197,11 +291,12 @@ def _by_block(answers: DataFrame, name: str) -> DataFrame:
 
 def _shared(row: dict, rank: np.ndarray, buckets: int) -> np.ndarray:
     """What the sample's buckets answered, for every rank of the block."""
-    counts = np.diff(np.searchsorted(_bucket(rank, buckets), np.arange(buckets + 1)))
-    out, at = np.zeros(len(rank), bool), np.concatenate([[0], np.cumsum(counts)])
-    for x in row["shared"] or []:
-        k = x["bucket"]
-        out[at[k] : at[k + 1]] = np.unpackbits(np.frombuffer(x["bits"], np.uint8), count=int(counts[k])).astype(bool)
+    filled, at = np.unique(_bucket(rank, buckets), return_index=True)
+    ends = np.append(at[1:], len(rank))
+    answers = {x["bucket"]: x["bits"] for x in row["shared"] or []}
+    out = np.zeros(len(rank), bool)
+    for k, a, b in zip(filled.tolist(), at.tolist(), ends.tolist()):
+        out[a:b] = np.unpackbits(np.frombuffer(answers[k], np.uint8), count=b - a).astype(bool)
     return out
 
 
@@ -214,14 +309,12 @@ def rank_sample(blocks: DataFrame, min_bytes: int, buckets: int) -> DataFrame:
 
     def send(block: Block, row: dict) -> list[dict]:
         _, rank, _ = block.sample()
-        cuts = np.searchsorted(_bucket(rank, buckets), np.arange(buckets + 1))
+        filled, at = np.unique(_bucket(rank, buckets), return_index=True)
         rows = []
-        for k in range(buckets):
-            part = rank[cuts[k] : cuts[k + 1]]
-            if len(part):
-                step = np.diff(part)
-                width = max(1, -(-int(step.max()).bit_length() // 8)) if len(step) else 1
-                rows.append({"block": row["block"], "bucket": k, "first": int(part[0]), "width": width, "steps": np.ascontiguousarray(step.view(np.uint8).reshape(-1, 8)[:, :width]).tobytes()})
+        for k, a, b in zip(filled.tolist(), at.tolist(), np.append(at[1:], len(rank)).tolist()):
+            step = np.diff(rank[a:b])
+            width = max(1, -(-int(step.max()).bit_length() // 8)) if len(step) else 1
+            rows.append({"block": row["block"], "bucket": k, "first": int(rank[a]), "width": width, "steps": np.ascontiguousarray(step.view(np.uint8).reshape(-1, 8)[:, :width]).tobytes()})
         return rows
 
     def answer(pdf: pd.DataFrame) -> pd.DataFrame:
@@ -252,49 +345,52 @@ def sort_suffixes(blocks: DataFrame, min_bytes: int, sample_buckets: int, bucket
     def send(block: Block, row: dict) -> list[dict]:
         _, rank, _ = block.sample()
         pack, rows = zstandard.ZstdCompressor(level=3), []
-        for k, (known, least) in enumerate(block.stretches(_shared(row, rank, sample_buckets), buckets)[0]):
-            if known:
-                body = np.array([len(s) for s in known], "<u4").tobytes() + np.array(least, "<i8").tobytes() + b"".join(known)
-                rows.append({"block": row["block"], "bucket": k, "stretches": len(known), "body": pack.compress(body)})
+        texts, least, bucket = block.stretches(_shared(row, rank, sample_buckets), buckets)[:3]
+        filled, at = np.unique(bucket, return_index=True)
+        for k, a, b in zip(filled.tolist(), at.tolist(), np.append(at[1:], len(texts)).tolist()):
+            body = np.array([len(s) for s in texts[a:b]], "<u4").tobytes() + least[a:b].astype("<i8").tobytes() + b"".join(texts[a:b])
+            rows.append({"block": row["block"], "bucket": k, "stretches": b - a, "body": pack.compress(body)})
         return rows
 
     def answer(pdf: pd.DataFrame) -> pd.DataFrame:
         unpack = zstandard.ZstdDecompressor()
-        texts, lengths, ids = [], [], []
+        known: dict[bytes, int] = {}
+        numbers, ids, cuts = [], [], [0]
         for n, body in zip(pdf["stretches"], pdf["body"]):
             data = unpack.decompress(body)
-            lengths.append(np.frombuffer(data, "<u4", n).astype(np.int64))
             ids.append(np.frombuffer(data, "<i8", n, 4 * n))
-            texts.append(data[12 * n :])
-        counts = [int((x - L + 1).sum()) for x in lengths]
-        length, id_ = np.concatenate(lengths), np.concatenate(ids)
-        words = loads(b"".join(texts) + bytes(L + 16))
-        del texts
+            end = 12 * n
+            for size in np.frombuffer(data, "<u4", n).tolist():
+                numbers.append(known.setdefault(data[end : end + size], len(known)))
+                end += size
+            cuts.append(len(numbers))
+        number, owner = np.array(numbers, np.int64), np.concatenate(ids)
+        length = np.array([len(t) for t in known], np.int64)
+        text = b"".join(known)
+        size, words = len(text), loads(text + bytes(2 * L + 32))
+        del text, known
         per = length - L + 1
         begin = np.cumsum(length) - length
-        at = np.repeat(begin - (np.cumsum(per) - per), per) + np.arange(int(per.sum()))
-        owner = np.repeat(id_, per)
-        h = hashes(words, at, L)
-        order = np.argsort(h, kind="stable")
-        sorted_h = h[order]
-        new = np.ones(len(order), bool)
-        new[1:] = sorted_h[1:] != sorted_h[:-1]
-        del h, sorted_h
+        base = np.cumsum(per) - per
+        at = np.repeat(begin - base, per) + np.arange(int(per.sum()))
+        order = suffix_order(words, size, at, L)
         place = at[order]
-        same = ~new[1:]
+        same = np.ones(max(len(order) - 1, 0), bool)
         for k in [*range(0, L - 8, 8), L - 8]:
             w = words[place + k]
-            if (same & (w[1:] != w[:-1])).any():  # two strings share a hash: sort by the bytes themselves
-                every = np.stack([words[at + j].byteswap() for j in [*range(0, L - 8, 8), L - 8]], axis=1)
-                order = np.lexsort(every.T[::-1])
-                new[1:] = (every[order][1:] != every[order][:-1]).any(axis=1)
-                break
-        first = np.flatnonzero(new)
-        least = np.minimum.reduceat(owner[order], first)
-        smaller = np.empty(len(order), bool)
-        smaller[order] = np.repeat(least, np.diff(np.append(first, len(order)))) < owner[order]
-        cuts = np.concatenate([[0], np.cumsum(counts)])
-        return pd.DataFrame({"block": pdf["block"], "bucket": pdf["bucket"], "bits": [np.packbits(smaller[a:b]).tobytes() for a, b in zip(cuts[:-1], cuts[1:])]})
+            same &= w[1:] == w[:-1]
+        first = np.flatnonzero(np.append(True, ~same)) if len(order) else np.zeros(0, np.int64)
+        of_text = np.full(len(length), LAST_ID, np.int64)
+        np.minimum.at(of_text, number, owner)
+        least = np.minimum.reduceat(np.repeat(of_text, per)[order], first) if len(first) else first
+        smallest = np.empty(len(order), np.int64)
+        smallest[order] = np.repeat(least, np.diff(np.append(first, len(order))))
+        bits = []
+        for a, b in zip(cuts[:-1], cuts[1:]):
+            some, count = number[a:b], per[number[a:b]]
+            step = np.arange(int(count.sum())) - np.repeat(np.cumsum(count) - count, count)
+            bits.append(np.packbits(smallest[np.repeat(base[some], count) + step] < np.repeat(owner[a:b], count)).tobytes())
+        return pd.DataFrame({"block": pdf["block"], "bucket": pdf["bucket"], "bits": bits})
 
     sent = _each_block(blocks, "block long, bucket int, stretches int, body binary", send, min_bytes)
     return sent.groupBy("bucket").applyInPandas(answer, "block long, bucket int, bits binary")
@@ -319,14 +415,14 @@ def deduplicate(docs: DataFrame, id: str = "doc_id", text: str = "text", min_byt
 
     def cut(block: Block, row: dict) -> list[dict]:
         _, rank, _ = block.sample()
-        tables, first, count, own, bucket, number = block.stretches(_shared(row, rank, sample_buckets), buckets)
-        bits = {x["bucket"]: np.unpackbits(np.frombuffer(x["bits"], np.uint8)).astype(bool) for x in row["ties"] or []}
-        # All distinct stretches in one row of numbers, their suffixes' answers one after another.
-        sizes = [np.array([len(t) for t in known], np.int64) - min_bytes + 1 for known, _ in tables]
-        answer = np.concatenate([bits[k][: int(n.sum())] for k, n in enumerate(sizes) if len(n)] or [np.zeros(0, bool)])
-        size, least = np.concatenate(sizes), np.array([i for _, some in tables for i in some], np.int64)
+        texts, least, bucket, first, count, own, number = block.stretches(_shared(row, rank, sample_buckets), buckets)
+        # The answers for all distinct stretches in one row of numbers, in the order of their buckets.
+        size = np.array([len(t) for t in texts], np.int64) - min_bytes + 1
         base = np.cumsum(size) - size
-        number = number + (np.cumsum([0] + [len(n) for n in sizes])[:-1])[bucket]
+        filled, at = np.unique(bucket, return_index=True)
+        total = np.add.reduceat(size, at) if len(at) else at
+        bits = {x["bucket"]: x["bits"] for x in row["ties"] or []}
+        answer = np.concatenate([np.unpackbits(np.frombuffer(bits[k], np.uint8), count=n) for k, n in zip(filled.tolist(), total.tolist())] or [np.zeros(0, np.uint8)]).astype(bool)
         edge = np.zeros(block.n + 1, np.int64)
         later = own > least[number]  # the whole stretch starts in a document with a smaller id
         np.add.at(edge, first[later], 1)
