@@ -295,6 +295,28 @@ def brute_components(rows, n, percent):
     return sorted((i, len(sets[i]), comp[i]) for i in ids)
 
 
+def brute_links(rows, n, percent):
+    sets = {}
+    for i, t in rows:
+        w = re.findall(r"[^\x20\x09-\x0D]+", re.sub("[A-Z]", lambda m: m[0].lower(), t or ""))
+        sets[i] = frozenset(tuple(w[k : k + n]) for k in range(max(1, len(w) - n + 1))) if w else frozenset()
+    return {i: sum(j != i and len(s) > 0 and len(t) > 0 and 100 * len(s & t) >= percent * len(s | t) for j, t in sets.items()) for i, s in sets.items()}
+
+
+@pytest.mark.parametrize("hot,block_sets,block_tokens", [(8, 256, 400_000), (1, 4, 400_000), (2, 256, 600)])
+def test_jaccard_links(spark, monkeypatch, hot, block_sets, block_tokens):
+    """Links of every document, whatever is dealt over several tasks or compared in several blocks."""
+    for name, value in (("HOT", hot), ("BLOCK_SETS", block_sets), ("BLOCK_TOKENS", block_tokens)):
+        monkeypatch.setattr(jaccard, name, value)
+    rows = near_copies()
+    d = spark.createDataFrame([*rows, (None, rows[3][1])], "doc_id long, text string").repartition(5)
+    got = jaccard.components(d, n=4, percent=85, links=True).collect()
+    expect = brute_links(rows, 4, 85)
+    assert {r["doc_id"]: r["n_links"] for r in got if r["doc_id"] is not None} == expect
+    assert [r["n_links"] for r in got if r["doc_id"] is None] == [None] and max(expect.values()) > 4
+    assert sorted((r["doc_id"], r["n_shingles"], r["component_id"]) for r in got if r["doc_id"] is not None) == brute_components(rows, 4, 85)
+
+
 def near_copies(seed=2):
     rng = np.random.default_rng(seed)
     vocab = [f"w{k}" for k in range(400)]
@@ -336,7 +358,9 @@ def test_jaccard_one_short_row(spark, size):
 
 def test_jaccard_query_and_odd_rows(spark, edge_docs, empty_docs):
     rows = documents(spark)
-    assert sorted(map(tuple, queries.op5_ngram_jaccard(spark, SF).collect())) == brute_components(rows, 4, 85)
+    found = queries.op5_ngram_jaccard(spark, SF).collect()
+    assert sorted((r["doc_id"], r["n_shingles"], r["component_id"]) for r in found) == brute_components(rows, 4, 85)
+    assert {r["doc_id"]: r["n_links"] for r in found} == brute_links(rows, 4, 85)
     got = jaccard.components(edge_docs).collect()
     assert len(got) == edge_docs.count() and jaccard.components(empty_docs).count() == 0
     known = {r["doc_id"]: r["component_id"] for r in got if r["doc_id"] is not None}

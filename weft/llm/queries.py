@@ -100,7 +100,7 @@ def op3_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def op5_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return jaccard.components(table(spark, sf_dir, "documents"), n=4, percent=85)
+    return jaccard.components(table(spark, sf_dir, "documents"), n=4, percent=85, links=True)
 
 
 @query

@@ -18,7 +18,7 @@ that both belong to a difference cover modulo v (counted from each document's st
    its strings also start in a document with a smaller id;
 4. blocks cut the bytes that those strings cover.
 
-A block and a bucket are all that a task holds: some 4 MB of text with its arrays, or about 6 MB of stretches.
+A block and a bucket are all that a task holds: some 4 MB of text with its arrays, or about 3 MB of stretches.
 A block sends a row for each bucket that it has something for, so rows grow with the input alone. A string in
 very many blocks comes to its bucket once a block.
 
@@ -157,7 +157,7 @@ class Ranks:
 
     def __init__(self, words: np.ndarray, at: np.ndarray):
         self.words, self.at, self.bits = words, at, max(1, int(len(at)).bit_length())
-        self.rank, self.order = np.zeros(len(at), np.int64), np.arange(len(at))
+        self.rank, self.order = np.zeros(len(at), np.int32), np.arange(len(at))
         self.largest = 0
 
     def refine(self, key: np.ndarray, bits: int) -> None:
@@ -169,13 +169,14 @@ class Ranks:
         if own + bits + self.bits <= 64:  # places in the low bits: sorting values is several times as fast
             packed = (key << U(self.bits)) | np.arange(len(key), dtype=U)
             packed.sort()
-            self.order = (packed & U((1 << self.bits) - 1)).astype(np.int64)
-            key = packed >> U(self.bits)
+            self.order = (packed & U((1 << self.bits) - 1)).view(np.int64)
+            packed >>= U(self.bits)
+            key = packed
         else:
             self.order = np.argsort(key, kind="stable")
             key = key[self.order]
-        dense = np.zeros(len(key), np.int64)
-        np.cumsum(key[1:] != key[:-1], out=dense[1:])
+        dense = np.zeros(len(key), np.int32)
+        np.cumsum(key[1:] != key[:-1], out=dense[1:], dtype=np.int32)
         self.rank[self.order] = dense
         self.largest = int(dense[-1]) if len(dense) else 0
 
@@ -207,7 +208,7 @@ def suffix_order(words: np.ndarray, size: int, at: np.ndarray, min_bytes: int) -
     sample.by_bytes(v)
     while length < min_bytes:  # a place one length on is a cover place too
         step = length // v * len(cover)
-        ahead = np.zeros(len(sample.rank), np.int64)
+        ahead = np.zeros(len(sample.rank), np.int32)
         ahead[:-step] = sample.rank[step:] + 1
         sample.refine(ahead, max(1, int(sample.largest + 1).bit_length()))
         length *= 2
@@ -405,9 +406,9 @@ def deduplicate(docs: DataFrame, id: str = "doc_id", text: str = "text", min_byt
     ship(spark)
     blocks = staged(blocks_of(docs, id, text, block_bytes), "blocks")
     total = blocks.select(F.coalesce(F.sum(F.expr("aggregate(lengths, 0L, (a, x) -> a + x)")), F.lit(0))).first()[0]
-    # Buckets of about 4 million ranks, and of about 6 MB of stretches, at any input size.
+    # Buckets of about 4 million ranks, and of about 3 MB of stretches, at any input size.
     sample_buckets = max(shuffle_width(spark), math.ceil(total / 20e6))
-    buckets = max(shuffle_width(spark), math.ceil(total / 12e6))
+    buckets = max(shuffle_width(spark), math.ceil(total / 6e6))
     shared = staged(rank_sample(blocks, min_bytes, sample_buckets), "shared")
     known = blocks.join(_by_block(shared, "shared"), "block", "left")
     ties = staged(sort_suffixes(known, min_bytes, sample_buckets, buckets), "ties")
