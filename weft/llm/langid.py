@@ -28,18 +28,31 @@ from weft.session import ship
 UNKNOWN = "und"
 
 
+#: Words whose n-grams are counted at once.
+SOME_WORDS = 30_000
+
+
 def grams(words: list[str], n_max: int):
     """For n from 1 to n_max: the hash of the n characters that end at each place of the words, each between
-    blanks, and whether n characters of the word end there; and the number of places of each word."""
-    sizes = np.array([len(w) + 2 for w in words], np.int64)
+    blanks, and whether n characters of the word end there."""
+    sizes = places(words)
     text = np.frombuffer("".join(f" {w} " for w in words).encode("utf-32-le", "surrogatepass"), "<u4").astype(U)
     at = np.arange(len(text)) - np.repeat(np.cumsum(sizes) - sizes, sizes)
-    h, out = np.zeros(len(text), U), []
+    h = np.zeros(len(text), U)
     for n in range(1, n_max + 1):
         before = np.concatenate([h[:1], h[:-1]]) if n > 1 else h
         h = mixed(before * wordcut.MIX[0] + text, n)
-        out.append((h, at >= n - 1))
-    return out, sizes
+        yield h, at >= n - 1
+
+
+def places(words: list[str]) -> np.ndarray:
+    return np.array([len(w) + 2 for w in words], np.int64)
+
+
+def summed(keys: np.ndarray, counts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Distinct keys and the sums of their rows of counts."""
+    distinct, index = np.unique(keys, return_inverse=True)
+    return distinct, np.stack([np.bincount(index, counts[:, c], len(distinct)) for c in range(counts.shape[1])], axis=1)
 
 
 class WordBackoffModel:
@@ -50,21 +63,25 @@ class WordBackoffModel:
         self.langs = sorted({lang for lang, _, _ in counts})
         self.n_max, self.penalty, k = n_max, penalty, max(len(self.langs), 1)
         column = {lang: i for i, lang in enumerate(self.langs)}
+        counts.sort()
         number: dict[str, int] = {}
         of = np.array([number.setdefault(w, len(number)) for _, w, _ in counts], np.int64)
         table = np.zeros((len(number), k))
         np.add.at(table, (of, np.array([column[x] for x, _, _ in counts], np.int64)), [n for _, _, n in counts])
         words = list(number)
         self.words, self.grams, scores = Rows(self._hashes(words)), Rows(), [self._logs(table, table.sum(axis=0))]
-        if words:
-            orders, sizes = grams(words, n_max)
-            owner = np.repeat(np.arange(len(words)), sizes)
-            for h, whole in orders:
-                keys, index = np.unique(h[whole], return_inverse=True)
-                total = np.stack([np.bincount(index, table[owner[whole], c], len(keys)) for c in range(k)], axis=1)
-                kept = total.sum(axis=1) >= min_gram
-                self.grams.add(keys[kept])
-                scores.append(self._logs(total[kept], total.sum(axis=0)))
+        parts: list[list] = [[] for _ in range(n_max)]
+        for first in range(0, len(words), SOME_WORDS):
+            some = words[first : first + SOME_WORDS]
+            owner = first + np.repeat(np.arange(len(some)), places(some))
+            for order, (h, whole) in zip(parts, grams(some, n_max)):
+                order.append(summed(h[whole], table[owner[whole]]))
+        for order in parts if words else ():
+            keys, total = summed(*(np.concatenate(x) for x in zip(*order)))
+            order.clear()
+            kept = total.sum(axis=1) >= min_gram
+            self.grams.add(keys[kept])
+            scores.append(self._logs(total[kept], total.sum(axis=0)))
         self.word_scores, self.gram_scores = scores[0], np.concatenate([np.zeros((0, k), "f4"), *scores[1:]])
 
     @staticmethod
@@ -79,10 +96,9 @@ class WordBackoffModel:
 
     def unseen(self, words: list[str]) -> np.ndarray:
         """Scores of words by their n-grams."""
-        orders, sizes = grams(words, self.n_max)
-        places = int(sizes.sum())
-        out = np.zeros((places, max(len(self.langs), 1)), "f4")
-        left = np.arange(places)
+        orders, sizes = list(grams(words, self.n_max)), places(words)
+        out = np.zeros((int(sizes.sum()), max(len(self.langs), 1)), "f4")
+        left = np.arange(len(out))
         for n in range(self.n_max, 0, -1):
             h, whole = orders[n - 1]
             found = np.where(whole[left], self.grams.find(h[left]), -1)
@@ -128,7 +144,10 @@ def train(labelled: DataFrame, id: str = "doc_id", lang: str = "lang", text: str
         bound = F.create_map(*[F.lit(x) for k, n in sizes.items() for x in (k, int((1 << 31) * min(1.0, share / n)))])
         rows = rows.filter(F.pmod(F.xxhash64(F.col(f"`{id}`").cast("string")), F.lit(1 << 31)) < bound[F.col(f"`{lang}`").cast("string")])
     found = word_counts(rows, lang, text).toArrow()
-    return WordBackoffModel(sorted(zip(*(found.column(c).to_pylist() for c in ("lang", "word", "n")))))
+    counts = list(zip(*(found.column(c).to_pylist() for c in ("lang", "word", "n"))))
+    del found
+    pa.default_memory_pool().release_unused()
+    return WordBackoffModel(counts)
 
 
 class Scorer:
