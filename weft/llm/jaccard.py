@@ -43,6 +43,7 @@ from pyspark.sql import functions as F
 from weft.llm.arrowmap import arrow_schema, batch_bytes, broadcast
 from weft.llm.common import drop, shuffle_width, spread, staged
 from weft.llm.components import connected_components
+from weft.llm.langid import trim
 from weft.llm.wordcut import MIX, mixed
 from weft.session import ship
 
@@ -214,6 +215,7 @@ def frequency_levels(profiled: DataFrame) -> np.ndarray:
     levels = np.zeros((SLICES, (1 << SKETCH_BITS) // SLICES), "u1")
     for r in counted.groupBy("slice").applyInPandas(add, "slice int, counts binary").collect():
         levels[r["slice"]] = np.frombuffer(r["counts"], "u1")
+    trim()
     return levels.ravel()
 
 

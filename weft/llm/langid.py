@@ -13,6 +13,7 @@ table gives an empty result; columns not kept are dropped. Texts are used whole.
 
 from __future__ import annotations
 
+import ctypes
 import math
 
 import numpy as np
@@ -40,8 +41,7 @@ def grams(words: list[str], n_max: int):
     at = np.arange(len(text)) - np.repeat(np.cumsum(sizes) - sizes, sizes)
     h = np.zeros(len(text), U)
     for n in range(1, n_max + 1):
-        before = np.concatenate([h[:1], h[:-1]]) if n > 1 else h
-        h = mixed(before * wordcut.MIX[0] + text, n)
+        h = mixed((np.concatenate([h[:1], h[:-1]]) if n > 1 else h) * wordcut.MIX[0] + text, n)
         yield h, at >= n - 1
 
 
@@ -59,26 +59,27 @@ class WordBackoffModel:
     """Log frequencies of words and n-grams by language. A gram's log frequency is relative to its order's
     total; rare grams are left to shorter ones."""
 
-    def __init__(self, counts: list[tuple[str, str, int]], n_max: int = 5, penalty: float = math.log(0.4), min_gram: int = 10):
-        self.langs = sorted({lang for lang, _, _ in counts})
-        self.n_max, self.penalty, k = n_max, penalty, max(len(self.langs), 1)
-        column = {lang: i for i, lang in enumerate(self.langs)}
-        counts.sort()
-        number: dict[str, int] = {}
-        of = np.array([number.setdefault(w, len(number)) for _, w, _ in counts], np.int64)
-        table = np.zeros((len(number), k))
-        np.add.at(table, (of, np.array([column[x] for x, _, _ in counts], np.int64)), [n for _, _, n in counts])
-        words = list(number)
-        self.words, self.grams, scores = Rows(self._hashes(words)), Rows(), [self._logs(table, table.sum(axis=0))]
-        parts: list[list] = [[] for _ in range(n_max)]
-        for first in range(0, len(words), SOME_WORDS):
-            some = words[first : first + SOME_WORDS]
-            owner = first + np.repeat(np.arange(len(some)), places(some))
-            for order, (h, whole) in zip(parts, grams(some, n_max)):
-                order.append(summed(h[whole], table[owner[whole]]))
-        for order in parts if words else ():
-            keys, total = summed(*(np.concatenate(x) for x in zip(*order)))
-            order.clear()
+    def __init__(self, counts: pa.Table, n_max: int = 5, penalty: float = math.log(0.4), min_gram: int = 10):
+        """counts: lang, word, n; words stay in Arrow, and only some at a time become Python strings."""
+        lang, word = (counts.column(c).cast(pa.large_string()).combine_chunks().dictionary_encode() for c in ("lang", "word"))
+        names = lang.dictionary.to_pylist()
+        self.langs = sorted(names)
+        self.n_max, self.penalty, k = n_max, penalty, max(len(names), 1)
+        column = np.array([self.langs.index(x) for x in names], np.int64)
+        table = np.zeros((len(word.dictionary), k))
+        if len(word):
+            np.add.at(table, (word.indices.to_numpy(), column[lang.indices.to_numpy()]), counts.column("n").to_numpy())
+        words = word.dictionary
+        hashes = [self._hashes(words.slice(at, SOME_WORDS).to_pylist()) for at in range(0, len(words), SOME_WORDS)]
+        self.words, self.grams, scores = Rows(np.concatenate([np.zeros(0, U), *hashes])), Rows(), [self._logs(table, table.sum(axis=0))]
+        for n in range(1, n_max + 1 if len(words) else 1):  # one order at a time: they take most of the room
+            parts = []
+            for first in range(0, len(words), SOME_WORDS):
+                some = words.slice(first, SOME_WORDS).to_pylist()
+                owner = first + np.repeat(np.arange(len(some)), places(some))
+                *_, (h, whole) = grams(some, n)
+                parts.append(summed(h[whole], table[owner[whole]]))
+            keys, total = summed(*(np.concatenate(x) for x in zip(*parts)))
             kept = total.sum(axis=1) >= min_gram
             self.grams.add(keys[kept])
             scores.append(self._logs(total[kept], total.sum(axis=0)))
@@ -143,11 +144,18 @@ def train(labelled: DataFrame, id: str = "doc_id", lang: str = "lang", text: str
     if any(n > share for n in sizes.values()):
         bound = F.create_map(*[F.lit(x) for k, n in sizes.items() for x in (k, int((1 << 31) * min(1.0, share / n)))])
         rows = rows.filter(F.pmod(F.xxhash64(F.col(f"`{id}`").cast("string")), F.lit(1 << 31)) < bound[F.col(f"`{lang}`").cast("string")])
-    found = word_counts(rows, lang, text).toArrow()
-    counts = list(zip(*(found.column(c).to_pylist() for c in ("lang", "word", "n"))))
-    del found
+    model = WordBackoffModel(word_counts(rows, lang, text).toArrow())
+    trim()
+    return model
+
+
+def trim() -> None:
+    """Give freed memory back to the system, where the C library can."""
     pa.default_memory_pool().release_unused()
-    return WordBackoffModel(counts)
+    try:
+        ctypes.CDLL(None).malloc_trim(0)
+    except AttributeError:
+        return
 
 
 class Scorer:
