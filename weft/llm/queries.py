@@ -23,7 +23,7 @@ def query(f: Callable[[SparkSession, str], DataFrame]) -> Callable[[SparkSession
 @query
 def op10_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
-    found = secrets.scan(docs, secrets.train(secrets.labelled_samples(docs)))
+    found = secrets.scan(spread(docs), secrets.train(secrets.labelled_samples(docs)))
     kinds = "array('" + "','".join(secrets.KINDS) + "')"
     joined = lambda spans: F.expr(f"array_join(transform({spans}, s -> concat(element_at({kinds}, s.kind + 1), ':', s.start, ':', s.end)), ',')")
     count = lambda kind: F.expr(f"cast(size(filter(secret_spans, s -> s.kind = {kind})) as bigint)")

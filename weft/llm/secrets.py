@@ -18,6 +18,8 @@ import math
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from weft.llm.common import spread
+
 #: The base patterns. Letters of the first match in either case.
 ASSIGN = r"""(?i)(password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)"""
 ACCESS = r"AKIA[A-Z0-9]{16,}"
@@ -58,7 +60,7 @@ def labelled_samples(docs: DataFrame, sample_docs: int = 1000, strings: int = 30
     body = F.coalesce(F.col(f"`{text}`").cast("string"), F.lit(""))
     n = docs.count()
     few = docs if n <= sample_docs else docs.filter(F.pmod(F.xxhash64(F.col(f"`{id}`").cast("string"), body), F.lit(1 << 31)) < int((1 << 31) * sample_docs / n))
-    few = few.select(body.alias("t"))
+    few = spread(few.select(body.alias("t")))
     for pattern in (ASSIGN, ACCESS, HEX):
         few = few.select(F.regexp_replace("t", pattern, " ").alias("t"))
     three = "concat_ws('{}', slice(w, i, 3))"
