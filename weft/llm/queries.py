@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from weft.llm import decontam, jaccard, langid, licenses, packing, secrets, suffix_dedup, token_files, topk, warc
+from weft.llm import decontam, jaccard, langid, licenses, packing, secrets, spelling, suffix_dedup, token_files, topk, turns, urls, warc
 from weft.llm.common import scratch, spread, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -106,3 +106,62 @@ def op5_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op1_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return suffix_dedup.deduplicate(table(spark, sf_dir, "documents"), min_bytes=50)
+
+
+BATCHES = 12
+
+
+@query
+def op11_turns(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = table(spark, sf_dir, "conversations").filter("turn is not null")
+    key = F.concat(F.coalesce(F.col("conv_id").cast("string"), F.lit("")), F.lit(":"), F.col("turn").cast("string"))
+    rows = rows.withColumn("h", F.conv(F.left(F.sha2(key, 256), F.lit(8)), 16, 10).cast("long"))
+    once = rows.withColumn("batch", F.col("h") % BATCHES)
+    again = rows.filter("h % 7 < 2").withColumn("role", F.lit("user")).withColumn("batch", (F.col("h") + 5) % BATCHES)
+    found = turns.replay(once.unionByName(again), BATCHES)
+    digest = F.when(F.col("event") == "close", F.sha2("waiting", 256)).otherwise(F.sha2(F.concat("role", F.lit("|"), "text"), 256))
+    return found.select("event", digest.alias("sha256"), "conv_id", "turn", "batch", "n_missing", "n_breaks")
+
+
+ORACLE_SQL["op11_turns"] = """
+WITH named AS (
+  SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text, min(turn) OVER (PARTITION BY conv_id) AS first,
+    CAST('0x' || left(sha256(coalesce(CAST(conv_id AS VARCHAR), '') || ':' || CAST(turn AS VARCHAR)), 8) AS BIGINT) AS h
+  FROM conversations WHERE turn IS NOT NULL
+), fed AS (
+  SELECT conv_id, turn, first, role, role || '|' || text AS payload, h % 12 AS batch FROM named
+  UNION ALL SELECT conv_id, turn, first, 'user', 'user|' || text, (h + 5) % 12 FROM named WHERE h % 7 < 2
+), arrived AS (
+  SELECT * FROM fed QUALIFY row_number() OVER (PARTITION BY conv_id, turn, batch ORDER BY payload, role) = 1
+), seen AS (
+  SELECT conv_id, batch, lead(batch) OVER (PARTITION BY conv_id ORDER BY batch) AS later FROM (SELECT DISTINCT conv_id, batch FROM arrived)
+), closed AS (
+  SELECT conv_id, least(min(batch) + 2, 12) AS closes FROM seen WHERE later IS NULL OR later - batch > 2 GROUP BY conv_id
+), judged AS (
+  SELECT a.*, closes FROM arrived a JOIN closed c ON a.conv_id IS NOT DISTINCT FROM c.conv_id
+), kept AS (
+  SELECT * FROM judged WHERE batch <= closes QUALIFY row_number() OVER (PARTITION BY conv_id, turn ORDER BY batch) = 1
+), placed AS (
+  SELECT *, turn - first = row_number() OVER w - 1 AS gapless, max(batch) OVER w AS ready, lag(turn) OVER w AS before, lag(role) OVER w AS role_before
+  FROM kept WINDOW w AS (PARTITION BY conv_id ORDER BY turn)
+)
+SELECT 'release' AS event, sha256(payload) AS sha256, conv_id, turn, ready AS batch, NULL::BIGINT AS n_missing, NULL::BIGINT AS n_breaks FROM placed WHERE gapless
+UNION ALL SELECT 'reject', sha256(payload), conv_id, turn, batch, NULL, NULL FROM judged WHERE batch > closes
+UNION ALL SELECT 'close', sha256(coalesce(string_agg(CAST(turn AS VARCHAR), ',' ORDER BY turn) FILTER (NOT gapless), '')), conv_id, -1, any_value(closes),
+  max(turn) - any_value(first) + 1 - count(*), count(*) FILTER (before = turn - 1 AND role = role_before) FROM placed GROUP BY conv_id
+"""
+
+
+#: The rules of op12.
+RULES = (urls.Rule("net", "/", False), urls.Rule("example.net", "/en/", True), urls.Rule("example.com", "/de/", False), urls.Rule("org", "/fr/", True))
+
+
+@query
+def op12_urls(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pages = spread(table(spark, sf_dir, "pages").select("page_id", "url"))
+    return urls.judge(pages, urls.train(urls.ruled_urls(pages, RULES)), RULES, ["page_id"])
+
+
+@query
+def op13_spelling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spelling.variants(spelling.vocabulary(table(spark, sf_dir, "documents"), typo_every=97))
