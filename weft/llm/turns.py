@@ -38,7 +38,7 @@ from weft.sources.writers import _filesystem, _renamed
 
 ARRIVAL = "batch int, tick boolean, at timestamp, conv_id long, turn long, first long, role string, text string"
 EVENT = "event string, conv_id long, turn long, batch long, role string, text string, waiting string, n_missing long, n_breaks long"
-#: Event time of the tick that ends a stream, in batches: later than any batch.
+#: Event time of the ticks that end a stream, in batches: later than any batch.
 LAST = 1 << 30
 PROVIDER = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
 
@@ -143,8 +143,9 @@ class Reassembly(StatefulProcessor):
 @contextmanager
 def state_settings(spark: SparkSession) -> Iterator[None]:
     """While it lasts, streaming queries keep state in the store that has maps and timers, and only ticks move
-    the clock: no micro-batch runs without a file."""
-    wanted = {"spark.sql.streaming.stateStore.providerClass": PROVIDER, "spark.sql.streaming.noDataMicroBatches.enabled": "false"}
+    the clock: no micro-batch runs without a file. Executors look every second for stores of queries that have
+    ended, and close and delete them: each start of the query opens new ones."""
+    wanted = {"spark.sql.streaming.stateStore.providerClass": PROVIDER, "spark.sql.streaming.noDataMicroBatches.enabled": "false", "spark.sql.streaming.stateStore.maintenanceInterval": "1s"}
     before = {k: spark.conf.get(k, None) for k in wanted}
     for k, v in wanted.items():
         spark.conf.set(k, v)
@@ -186,17 +187,18 @@ def reassemble(stream: DataFrame, end: int, patience: int = 2) -> DataFrame:
 
 def replay(rows: DataFrame, batches: int, patience: int = 2, each: Callable[[int], None] | None = None) -> DataFrame:
     """Feed rows (batch from 0 to batches - 1, conv_id, turn, role, text) to the query in the order of their
-    batches, started anew for each on one checkpoint, and return all events. Two more ticks let all open
-    conversations close as batch `batches`. `each` is called after every batch."""
+    batches, started anew for each on one checkpoint, and return all events. The last batch's tick stands at the
+    end of time, and a start with a tick alone follows: in it all open conversations close, as batch `batches`.
+    `each` is called after every batch."""
     spark = rows.sparkSession
     root = scratch(spark, "turns")
     source, events, log = f"{root}/in", f"{root}/events", f"{root}/log"
-    clock = ticks(spark, {b: b for b in range(batches)} | {batches: LAST, batches + 1: LAST})
+    clock = ticks(spark, {b: b for b in range(batches - 1)} | {batches - 1: LAST, batches: LAST})
     arrivals(rows).unionByName(clock).repartition("batch", F.pmod(F.xxhash64("conv_id", "turn"), F.lit(_files(spark)))).write.partitionBy("batch").parquet(f"{root}/ready")
     fs, target = _filesystem(spark, source)
     fs.mkdirs(target)
     with state_settings(spark):
-        for b in range(batches + 2):
+        for b in range(batches + 1):
             _renamed(fs, _filesystem(spark, f"{root}/ready/batch={b}")[1], _filesystem(spark, f"{source}/batch={b}")[1])
             stream = spark.readStream.schema(ARRIVAL).parquet(source)
             query = reassemble(stream, batches, patience).writeStream.format("parquet").option("path", events).option("checkpointLocation", log).trigger(availableNow=True).start()
