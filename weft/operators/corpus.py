@@ -35,6 +35,12 @@ def name_labels(repo: str) -> tuple[str, str]:
     return repo.split("/")[-1], repo.split("-")[-1]
 
 
+def name_label_columns(repo: Column) -> tuple[Column, Column]:
+    """name_labels of a column of names."""
+    last = lambda by: F.element_at(F.split(repo, by), -1)
+    return last("/"), last("-")
+
+
 def add_columns(df: DataFrame, source: str | Column, language: str | Column) -> DataFrame:
     """source, language, token_count and content_hash (P5). A null text has 0 words."""
     lit = lambda x: x if isinstance(x, Column) else F.lit(x)
@@ -80,14 +86,27 @@ def first_wins(df: DataFrame, key: Column, *order: str) -> DataFrame:
 
 
 def running_index(df: DataFrame, source: str, file: str, position: str, name: str = "doc_idx") -> DataFrame:
-    """Index of a row within its source by (file, position), from 0 (D3). Ranks are taken within a file
-    and shifted by the counts of the files before it, so no task holds a source's rows. Null sources are one
-    source and null files one file, the first; `df` is read twice, so stage what is dear to make."""
-    counts = df.groupBy(source, file).agg(F.count("*").alias("_n"))
-    before = counts.select(F.col(source).alias("_source"), F.col(file).alias("_file"), (F.sum("_n").over(Window.partitionBy(source).orderBy(file)) - F.col("_n")).alias("_before"))
-    ranked = df.withColumn("_at", F.row_number().over(Window.partitionBy(source, file).orderBy(position)) - 1)
-    same = F.col(source).eqNullSafe(F.col("_source")) & F.col(file).eqNullSafe(F.col("_file"))
-    return ranked.join(before, same).withColumn(name, (F.col("_before") + F.col("_at")).cast("long")).select(*df.columns, name)
+    """Index of a row within its source by (file, position), from 0 (D3), by prefix sums on two levels. Rows are
+    cut into ranges of (source, file, position) and sorted within them, once, into a staged table; a row's
+    offset in its range, less that of its source's first row there, plus the source's rows in ranges before is
+    its index. The sums run over the ranges' totals alone, as many rows as there are ranges and sources
+    together, so the size of a source burdens no task, however few files or many documents it has. Null sources are
+    one source and null files one file, the first."""
+    keys = [F.col(f"`{c}`") for c in (source, file, position)]
+    # The identifiers count up within a partition, from its number times 2 ** 33.
+    ranged = df.repartitionByRange(*keys).sortWithinPartitions(*keys).withColumn("_at", F.monotonically_increasing_id())
+    placed = staged(ranged, "ranges").withColumn("_range", F.shiftright("_at", 33))
+    shifts = range_shifts(placed, F.col(f"`{source}`"))
+    same = (F.col("_range") == F.col("_of")) & F.col(f"`{source}`").eqNullSafe(F.col("_source"))
+    return placed.join(shifts, same).withColumn(name, F.col("_at") - F.col("_first") + F.col("_before")).select(*[f"`{c}`" for c in df.columns], name)
+
+
+def range_shifts(placed: DataFrame, source: Column) -> DataFrame:
+    """(_of, _source, _first, _before): of every range and source the first _at and the source's rows in the
+    ranges before. Totals are summed within the ranges before they are shuffled."""
+    totals = placed.groupBy(F.col("_range").alias("_of"), source.alias("_source")).agg(F.min("_at").alias("_first"), F.count("*").alias("_n"))
+    before = F.sum("_n").over(Window.partitionBy("_source").orderBy("_of").rowsBetween(Window.unboundedPreceding, -1))
+    return totals.select("_of", "_source", "_first", F.coalesce(before, F.lit(0)).alias("_before"))
 
 
 def file_corpus(files: DataFrame, min_words: int = 50, min_latin_ratio: float = 0.4) -> DataFrame:
@@ -97,5 +116,5 @@ def file_corpus(files: DataFrame, min_words: int = 50, min_latin_ratio: float =
     cleaned = once(spread(files), text=T.clean_corpus(F.col("text"), F.col("language")))
     docs = cleaned.select("source_ord", "source", "language", "name", F.posexplode(split_documents(F.col("text"))).alias("pos", "text"))
     good = once(docs, token_count=T.word_count(F.col("text"))).filter((F.col("token_count") >= min_words) & (T.latin_ratio(F.col("text")) >= min_latin_ratio))
-    first = staged(first_wins(good, T.content_hash(F.col("text")), "source_ord", "name", "pos"), "first")
+    first = first_wins(good, T.content_hash(F.col("text")), "source_ord", "name", "pos")
     return running_index(first, "source_ord", "name", "pos").select("text", record_id(F.col("source"), F.col("name"), F.col("doc_idx")).alias("id"), "source", "language", "token_count")

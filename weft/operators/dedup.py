@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from dataclasses import dataclass
+
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
 from weft.functions.text import content_hash
@@ -42,3 +44,29 @@ def removal_counts(df: DataFrame, target: DataFrame | None) -> DataFrame:
     """before, after and removed per split."""
     marked = df.withColumn("_new", F.lit(1)) if target is None else df.join(target_hashes(target), content_hash(F.col("text")) == F.col("_hash"), "left").withColumn("_new", F.col("_hash").isNull().cast("int"))
     return marked.groupBy("split").agg(F.count("*").alias("before"), F.sum("_new").alias("after")).withColumn("removed", F.col("before") - F.col("after"))
+
+
+@dataclass(frozen=True)
+class Observed:
+    """What a job that used `rows` saw on both sides of the deduplication: before, after and removed by split."""
+
+    rows: DataFrame
+    splits: list[str | None]
+    before: Observation
+    after: Observation
+
+    def counts(self) -> DataFrame:
+        """To be asked when the job has ended; it starts none."""
+        before, after = self.before.get, self.after.get
+        found = [(s, before[f"s{k}"], after[f"s{k}"]) for k, s in enumerate(self.splits)]
+        return self.rows.sparkSession.createDataFrame([(s, b, a, b - a) for s, b, a in found if b], "split string, before long, after long, removed long")
+
+
+def dedup_observed(df: DataFrame, target: DataFrame | None, splits: list[str | None], within: bool = False) -> Observed:
+    """dedup_against with counts for each of the named splits, taken on the way by the job that writes or
+    reads `rows` (A7): the target is scanned once, and nothing is joined or counted a second time. Spark counts
+    a task again if its shuffle output is lost and made anew; removal_counts is exact then too."""
+    counts: list[Column] = [F.count_if(F.col("split").eqNullSafe(F.lit(s))).alias(f"s{k}") for k, s in enumerate(splits)]
+    before, after = Observation(), Observation()
+    rows = dedup_against(df.observe(before, *counts), target, within).observe(after, *counts)
+    return Observed(rows, splits, before, after)

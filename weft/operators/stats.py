@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from decimal import Decimal
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -38,19 +40,55 @@ def language_table(df: DataFrame) -> DataFrame:
     return rolled.select(F.when(F.col("g") == 1, "Total").otherwise(F.col("language")).alias("language"), "documents", "tokens")
 
 
+def card_state(df: DataFrame) -> DataFrame:
+    """The figures of a card from one scan (A1 to A4, K7): documents, tokens, and fewest and most tokens of all
+    rows, of each source and of each language, as (kind, name) rows. States of parts of a corpus can be put
+    together by merged()."""
+    t = F.col("token_count")
+    sets = df.groupingSets([[], ["source"], ["language"]], "source", "language").agg(F.grouping_id().alias("g"), F.count("*").alias("documents"), F.count(t).alias("counted"), F.coalesce(F.sum(t), F.lit(0)).alias("tokens"), F.min(t).alias("min_tokens"), F.max(t).alias("max_tokens"))
+    kind = F.when(F.col("g") == 3, "total").when(F.col("g") == 1, "source").otherwise("language")
+    name = F.when(F.col("g") == 1, F.col("source")).when(F.col("g") == 2, F.col("language"))
+    return sets.select(kind.alias("kind"), name.alias("name"), "documents", "counted", "tokens", "min_tokens", "max_tokens")
+
+
+def merged(states: DataFrame) -> DataFrame:
+    """One state of the states of several parts: sums of sums, least of least."""
+    return states.groupBy("kind", "name").agg(*[F.sum(c).alias(c) for c in ("documents", "counted", "tokens")], F.min("min_tokens").alias("min_tokens"), F.max("max_tokens").alias("max_tokens"))
+
+
+def add_to_card(new: DataFrame, path: str) -> DataFrame:
+    """Append the state of an append's new rows to the states at `path`, and return the whole corpus's: no row
+    of an earlier append is read again."""
+    card_state(new).coalesce(1).write.mode("append").parquet(path)
+    return merged(new.sparkSession.read.parquet(path))
+
+
 def render_card(df: DataFrame, name: str, language: str, existing: str | None = None) -> str:
-    """Markdown card of a corpus (K7): the existing front matter, or a plain one, then the tables. As many
-    rows reach the driver as there are sources and languages."""
-    t = totals(df).first()
+    """Markdown card of a corpus (K7), from one scan of it."""
+    return render_state(card_state(df), name, language, existing)
+
+
+def render_state(state: DataFrame, name: str, language: str, existing: str | None = None) -> str:
+    """Markdown card of a state: the existing front matter, or a plain one, then the tables. As many rows reach the
+    driver as there are sources and languages."""
+    rows = state.collect()
     if existing and existing.startswith("---") and "---" in existing[3:]:
         front = existing[: existing.index("---", 3) + 3]
     else:
         front = f"---\nlanguage:\n- {language}\ntask_categories:\n- text-generation\n---"
-    sources = "\n".join(f"| `{r['source']}` | {r['documents']:,} |" for r in by_source(df).collect())
-    rows = [f"| `{r['language']}` | {r['documents']:,} | {r['tokens']:,} |" for r in by_language(df).orderBy(F.desc("documents"), "language").collect()]
-    rows.append(f"| **Total** | **{t['total_docs']:,}** | **{t['total_tokens']:,}** |")
-    figures = "\n".join(f"| {k} | {t[c]:,} |" for k, c in (("Documents", "total_docs"), ("Tokens", "total_tokens"), ("Mean tokens", "avg_tokens"), ("Fewest tokens", "min_tokens"), ("Most tokens", "max_tokens")))
-    return f"{front}\n\n# {name}\n\n## Sources\n\n| Source | Documents |\n|---|---|\n{sources}\n\n## Statistics\n\n| Figure | Value |\n|---|---|\n{figures}\n\n## Languages\n\n| Language | Documents | Tokens |\n|---|---|---|\n" + "\n".join(rows) + "\n"
+    none = {"documents": 0, "counted": 0, "tokens": 0, "min_tokens": 0, "max_tokens": 0}  # an empty corpus has no rows
+    t = next((r for r in rows if r["kind"] == "total"), none)
+    mean = float(round(Decimal(t["tokens"]) / t["counted"], 1)) if t["counted"] else 0.0
+    figures = [("Documents", t["documents"]), ("Tokens", t["tokens"]), ("Mean tokens", mean), ("Fewest tokens", t["min_tokens"] or 0), ("Most tokens", t["max_tokens"] or 0)]
+    most_first = lambda kind: sorted((r for r in rows if r["kind"] == kind), key=lambda r: (-r["documents"], r["name"] is not None, r["name"] or ""))
+    sources = [f"| `{r['name']}` | {r['documents']:,} |" for r in most_first("source")]
+    languages = [f"| `{r['name']}` | {r['documents']:,} | {r['tokens']:,} |" for r in most_first("language")]
+    languages.append(f"| **Total** | **{t['documents']:,}** | **{t['tokens']:,}** |")
+    parts = [
+        front, f"# {name}", "## Sources", "\n".join(["| Source | Documents |", "|---|---|", *sources]), "## Statistics",
+        "\n".join(["| Figure | Value |", "|---|---|", *(f"| {k} | {v:,} |" for k, v in figures)]), "## Languages", "\n".join(["| Language | Documents | Tokens |", "|---|---|---|", *languages]),
+    ]
+    return "\n\n".join(parts) + "\n"
 
 
 def append_card(existing: str, section: str, marker: str) -> str:

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import io
+import uuid
 import wave
 
 import numpy as np
@@ -10,6 +11,7 @@ from pyspark.sql import functions as F
 
 from weft.functions import text as T
 from weft.operators import dedup, speech, split
+from weft.operators.append import IndexedTable
 from weft.plans import fixtures as X
 from weft.plans.registry import _RANKED, docs, query
 from weft.sources import readers, writers
@@ -146,6 +148,33 @@ def _stream(spark, sf_dir):
     return spark.read.parquet(root + "/table").select("doc_id")
 
 
+_HASH = "md5(coalesce(text, ''))"
+
+
+@query("U1_D1_indexed_append", f"SELECT doc_id, lang FROM documents WHERE lang = 'en' OR (lang = 'de' AND {_HASH} NOT IN (SELECT {_HASH} FROM documents WHERE lang = 'en')) OR (lang NOT IN ('en', 'de') AND {_HASH} NOT IN (SELECT {_HASH} FROM documents WHERE lang IN ('en', 'de')))")
+def _indexed(spark, sf_dir):
+    """English documents are a table; German ones, then all others, are appended through its hash index."""
+    root, d = scratch(spark, "indexed"), docs(spark, sf_dir)
+    d.filter("lang = 'en'").write.parquet(root + "/table")
+    table = IndexedTable(spark, root + "/table")
+    table.append(d.filter("lang = 'de'"))
+    table.append(d.filter("lang not in ('en', 'de')"))
+    return table.rows().select("doc_id", "lang")
+
+
+@query("S1_K4_K6_U1_catalog_table", "SELECT doc_id, n_chars, CASE WHEN lang <> 'en' THEN md5(text) END AS text_hash FROM documents WHERE n_chars > 200 OR lang <> 'en'")
+def _catalog(spark, sf_dir):
+    """A table of the catalog is made of the English documents, replaced by the longer of its own rows, and appended
+    to by the others, which have a column more."""
+    name, root, d = f"weft_{uuid.uuid4().hex}", scratch(spark, "catalog"), docs(spark, sf_dir)
+    writers.publish_table(d.filter("lang = 'en'").select("doc_id", "n_chars"), name, root)
+    writers.publish_table(readers.dataset(spark, name).filter("n_chars > 200"), name, root)
+    writers.append_table(d.filter("lang <> 'en'").select(F.md5("text").alias("text_hash"), "doc_id", "n_chars"), name)
+    out = readers.dataset(spark, name).select("doc_id", "n_chars", "text_hash")
+    spark.sql(f"DROP TABLE {name}")  # its files stay, as they lie at a location of their own
+    return out
+
+
 @query("D1_within_first", "SELECT doc_id FROM documents QUALIFY row_number() OVER (PARTITION BY md5(coalesce(text, '')) ORDER BY doc_id) = 1")
 def _within(spark, sf_dir):
     return dedup.dedup_against(docs(spark, sf_dir).repartitionByRange(4, "doc_id").sortWithinPartitions("doc_id"), None, within=True).select("doc_id")

@@ -34,7 +34,7 @@ def web_corpus(raw: DataFrame, repo: str, target: DataFrame | None = None, appen
 def book_corpus(spark: SparkSession, sources: list[readers.FileSource], excluded: tuple[str, ...] = (), seed: int = 42) -> DataFrame:
     """A registry of text files to records with a split column."""
     records = corpus.file_corpus(readers.text_files(spark, sources, excluded))
-    return split.train_test(records, F.col("id"), seed).drop("rank")
+    return split.assign_split(staged(records, "records"), F.col("id"), seed)
 
 
 def speech_corpus(spark: SparkSession, transcript_folders: dict[str, str], wav_folders: list[str], config: SpeechConfig = SpeechConfig()) -> DataFrame:

@@ -11,7 +11,7 @@ from weft.functions import text as T
 from weft.operators import corpus, dedup, speech, split, stats
 from weft.plans import fixtures as X
 from weft.session import ship
-from weft.staging import spread
+from weft.staging import scratch, spread
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -181,10 +181,8 @@ def _a4(spark, sf_dir):
 
 @query("P6_name_labels", "SELECT doc_id, string_split('hub/' || source || '-' || lang, '/')[-1] AS source_name, string_split('hub/' || source || '-' || lang, '-')[-1] AS language FROM documents")
 def _p6(spark, sf_dir):
-    d = docs(spark, sf_dir)
-    # The library names a whole data set at a time: one for each of the few (source, lang) here.
-    names = [(r["source"], r["lang"], *corpus.name_labels(f"hub/{r['source']}-{r['lang']}")) for r in d.select("source", "lang").distinct().collect()]
-    return d.join(spark.createDataFrame(names, "source string, lang string, source_name string, language string"), ["source", "lang"]).select("doc_id", "source_name", "language")
+    source, language = corpus.name_label_columns(F.concat(F.lit("hub/"), "source", F.lit("-"), "lang"))
+    return docs(spark, sf_dir).select("doc_id", source.alias("source_name"), language.alias("language"))
 
 
 @query("P7_record_id", "SELECT doc_id, source || '_' || lpad(CAST(doc_id AS VARCHAR), CAST(greatest(6, length(CAST(doc_id AS VARCHAR))) AS INTEGER), '0') || '_' || left(md5(source || ':' || lang || '.txt:' || doc_id), 8) AS id FROM documents")
@@ -211,6 +209,28 @@ def _a7(spark, sf_dir):
     return dedup.removal_counts(d.filter("doc_id % 3 <> 0"), d.filter("doc_id % 3 = 0"))
 
 
+@query("A7_observed_append", "SELECT lang AS split, count(*) AS before, CAST(count(*) FILTER (NOT seen) AS BIGINT) AS after, CAST(count(*) FILTER (seen) AS BIGINT) AS removed FROM (SELECT lang, source, md5(coalesce(text, '')) IN (SELECT md5(coalesce(text, '')) FROM documents WHERE source = (SELECT min(source) FROM documents)) AS seen FROM documents WHERE source <> (SELECT min(source) FROM documents)) GROUP BY lang")
+def _a7_observed(spark, sf_dir):
+    """All other sources are appended to the first one's documents; the counts come from the job that writes."""
+    d = docs(spark, sf_dir).withColumn("split", F.col("lang"))
+    first, names = d.agg(F.min("source")).first()[0], [r["split"] for r in d.select("split").distinct().collect()]  # as many as splits
+    seen = dedup.dedup_observed(d.filter(F.col("source") != first), d.filter(F.col("source") == first), names)
+    seen.rows.write.parquet(scratch(spark, "observed"))
+    return seen.counts()
+
+
+_CARD = "CAST(count(*) AS BIGINT) AS documents, CAST(count(token_count) AS BIGINT) AS counted, CAST(coalesce(sum(token_count), 0) AS BIGINT) AS tokens, min(token_count) AS min_tokens, max(token_count) AS max_tokens"
+
+
+@query("A1_A2_A3_A4_K7_card_state", f"SELECT CASE grouping_id(source, language) WHEN 3 THEN 'total' WHEN 1 THEN 'source' ELSE 'language' END AS kind, CASE grouping_id(source, language) WHEN 1 THEN source WHEN 2 THEN language END AS name, {_CARD} FROM {ENRICHED} GROUP BY GROUPING SETS ((), (source), (language))")
+def _card_state(spark, sf_dir):
+    """The card of a corpus that came in one append a language: states are added up, rows are read once."""
+    d, states = enriched(spark, sf_dir), scratch(spark, "card")
+    for lang in [r["lang"] for r in d.select("lang").distinct().collect()]:  # as many as languages
+        out = stats.add_to_card(d.filter(F.col("lang").eqNullSafe(F.lit(lang))), states)
+    return out
+
+
 @query("D2_first_wins", "SELECT doc_id, source, lang FROM documents QUALIFY row_number() OVER (PARTITION BY md5(coalesce(text, '')) ORDER BY source, doc_id) = 1")
 def _d2(spark, sf_dir):
     return corpus.first_wins(docs(spark, sf_dir), T.content_hash(F.col("text")), "source", "doc_id").select("doc_id", "source", "lang")
@@ -320,6 +340,11 @@ def _r1(spark, sf_dir):
     return split.train_test(docs(spark, sf_dir).select("doc_id"), F.col("doc_id"))
 
 
+@query("R1_selection", f"SELECT doc_id, CASE WHEN rank < n * 9 // 10 THEN 'train' ELSE 'test' END AS split FROM {_RANKED}")
+def _selection(spark, sf_dir):
+    return split.assign_split(docs(spark, sf_dir), F.col("doc_id")).select("doc_id", "split")
+
+
 @query("R3_K2_shards", f"SELECT doc_id, split, shard, split || '-' || lpad(CAST(shard AS VARCHAR), 5, '0') || '-of-' || lpad(CAST((size + 199) // 200 AS VARCHAR), 5, '0') || '.parquet' AS shard_name FROM (SELECT doc_id, split, CAST(place // 200 AS INTEGER) AS shard, size FROM (SELECT doc_id, CASE WHEN rank < n * 9 // 10 THEN 'train' ELSE 'test' END AS split, CASE WHEN rank < n * 9 // 10 THEN rank ELSE rank - n * 9 // 10 END AS place, CASE WHEN rank < n * 9 // 10 THEN n * 9 // 10 ELSE n - n * 9 // 10 END AS size FROM {_RANKED}))")
 def _r3(spark, sf_dir):
     return split.shards(docs(spark, sf_dir).select("doc_id"), F.col("doc_id"), shard_rows=200).select("doc_id", "split", "shard", "shard_name")

@@ -25,9 +25,12 @@ def exists(spark: SparkSession, path: str) -> bool:
     return p.getFileSystem(spark._jsc.hadoopConfiguration()).exists(p)
 
 
-def dataset(spark: SparkSession, path: str) -> DataFrame:
-    """A split-keyed data set: Parquet below split=<name> folders (S1); a catalog name reads that table."""
-    return spark.read.parquet(path) if "/" in path else spark.table(path)
+def dataset(spark: SparkSession, path: str, table: bool | None = None) -> DataFrame:
+    """A split-keyed data set (S1): Parquet below split=<name> folders, or with `table` the catalog's table of that
+    name. Where that is not said, a name that the catalog has is its table."""
+    if table is None:
+        table = "/" not in path and spark.catalog.tableExists(path)
+    return spark.table(path) if table else spark.read.parquet(path)
 
 
 def jsonl_splits(spark: SparkSession, files: dict[str, str], schema: str | StructType) -> DataFrame:
@@ -85,7 +88,7 @@ def recordings(spark: SparkSession, folders: list[str]) -> DataFrame:
     return out
 
 
-PROGRESS = "split string, shard_idx int, shard_name string, rows long, mb double, ts string"
+PROGRESS = "split string, shard_idx int, shard_name string, rows long, mb double, ts string, run string"
 
 
 def completed_shards(spark: SparkSession, path: str) -> DataFrame:

@@ -4,14 +4,16 @@ from __future__ import annotations
 
 import logging
 import time
+import uuid
 from collections.abc import Callable
 from concurrent.futures import ThreadPoolExecutor
-from datetime import datetime, timezone
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from weft.session import ship
 from weft.sources.readers import PROGRESS, completed_shards, exists
+from weft.sources.shard_sink import ShardSink
 
 log = logging.getLogger("weft")
 
@@ -84,31 +86,63 @@ def _moved(spark: SparkSession, pairs: list[tuple[object, str]]) -> None:
         list(pool.map(one, pairs))
 
 
-def write_shards(df: DataFrame, folder: str, progress: str, batch: int = 1000) -> DataFrame:
+def write_shards(df: DataFrame, folder: str, progress: str) -> DataFrame:
     """Write each (split, shard, shard_name) of df as one named Parquet file, leaving out shards that the
-    progress log has (F13, R2, K2, K5): one job writes all files to a stage; then they are renamed, and
-    logged after that, a batch at a time. Returns (split, shard_idx, shard_name, rows) of what was written."""
+    progress log has (F13, R2, K2, K5). Tasks write, name and log the files (shard_sink). Returns (split,
+    shard_idx, shard_name, rows) of what this run wrote, from its log."""
     spark = df.sparkSession
+    ship(spark)
+    spark.dataSource.register(ShardSink)
     done = completed_shards(spark, progress).select("split", F.col("shard_idx").alias("shard"))
-    todo = df.join(done, ["split", "shard"], "left_anti")
-    stage = f"{folder}/_stage"
-    todo.repartition("split", "shard").write.mode("overwrite").partitionBy("split", "shard", "shard_name").parquet(stage)
-    fs, root = _filesystem(spark, stage)
-    parts = fs.globStatus(_filesystem(spark, f"{stage}/split=*/shard=*/shard_name=*/part-*")[1]) or []
-    sizes = {}
-    for p in parts:
-        keys = dict(k.split("=", 1) for k in str(p.getPath()).split("/") if "=" in k)
-        sizes[keys["split"], int(keys["shard"])] = (p.getPath(), p.getLen())
-    # A row for each shard: as many as there are files to name.
-    written = spark.read.parquet(stage).groupBy("split", "shard", "shard_name").agg(F.count("*").alias("rows")).orderBy("split", "shard").collect() if sizes else []
-    for at in range(0, len(written), batch):
-        some = written[at : at + batch]
-        _moved(spark, [(sizes[r["split"], r["shard"]][0], f"{folder}/{r['shard_name']}") for r in some])
-        stamp = datetime.now(timezone.utc).isoformat()
-        entries = [(r["split"], r["shard"], r["shard_name"], r["rows"], round(sizes[r["split"], r["shard"]][1] / 2**20, 2), stamp) for r in some]
-        spark.createDataFrame(entries, PROGRESS).coalesce(1).write.mode("append").json(progress)
-    fs.delete(root, True)
-    return spark.createDataFrame([(r["split"], r["shard"], r["shard_name"], r["rows"]) for r in written], "split string, shard_idx int, shard_name string, rows long")
+    todo = df.join(done, ["split", "shard"], "left_anti").withColumn("shard", F.col("shard").cast("int"))
+    run = uuid.uuid4().hex
+    todo.repartition("split", "shard").sortWithinPartitions("split", "shard").write.format("weft_shards").options(path=folder, progress=progress, run=run).mode("append").save()
+    if not exists(spark, progress):
+        return spark.createDataFrame([], "split string, shard_idx int, shard_name string, rows long")
+    return spark.read.schema(PROGRESS).json(progress).filter(F.col("run") == run).select("split", "shard_idx", "shard_name", "rows")
+
+
+def publish_table(df: DataFrame, name: str, location: str, attempts: int = 5, wait: float = 30.0) -> None:
+    """Publish to a table of the catalog (K4, K6): the rows go to a fresh folder below `location`, then the
+    table is pointed at it, in one step of the catalog. A table can so replace what it was read from, queries that
+    began before read on, and a write that fails changes nothing. The folder before goes with the next call."""
+    spark = df.sparkSession
+    before = table_location(spark, name)
+    path = f"{location.rstrip('/')}/v-{uuid.uuid4().hex}"
+    with_retry(lambda: df.write.mode("overwrite").parquet(path), attempts, wait)
+    if before is None:
+        spark.sql(f"CREATE TABLE {name} ({df.schema.toDDL()}) USING parquet LOCATION '{path}'")
+        return
+    if spark.table(name).schema.simpleString() == df.schema.simpleString():
+        spark.sql(f"ALTER TABLE {name} SET LOCATION '{path}'")
+    else:  # other columns: the catalog has no single step for both
+        spark.sql(f"DROP TABLE {name}")
+        spark.sql(f"CREATE TABLE {name} ({df.schema.toDDL()}) USING parquet LOCATION '{path}'")
+    spark.catalog.refreshTable(name)
+    fs, root = _filesystem(spark, location)
+    kept = {path.rsplit("/", 1)[1], before.rstrip("/").rsplit("/", 1)[1]}
+    for old in fs.listStatus(root):
+        if old.getPath().getName().startswith("v-") and old.getPath().getName() not in kept:
+            fs.delete(old.getPath(), True)
+
+
+def table_location(spark: SparkSession, name: str) -> str | None:
+    """The folder of a catalog's table; None if there is no such table."""
+    if not spark.catalog.tableExists(name):
+        return None
+    return next(r["data_type"] for r in spark.sql(f"DESCRIBE TABLE EXTENDED {name}").collect() if r["col_name"] == "Location")
+
+
+def append_table(df: DataFrame, name: str) -> None:
+    """Append to a table of the catalog by column name (U1): columns that the table lacks are added to it and null
+    in its rows, columns that df lacks are null in the new ones."""
+    spark = df.sparkSession
+    have = spark.table(name).schema
+    new = [f for f in df.schema if f.name not in have.names]
+    if new:
+        spark.sql(f"ALTER TABLE {name} ADD COLUMNS ({', '.join(f'`{f.name}` {f.dataType.simpleString()}' for f in new)})")
+    target = spark.table(name).schema
+    df.select(*[(F.col(f"`{f.name}`") if f.name in df.columns else F.lit(None)).cast(f.dataType).alias(f.name) for f in target]).write.mode("append").insertInto(name)
 
 
 def write_audio_folder(df: DataFrame, folder: str, clip: str = "file_name", audio: str = "audio.bytes") -> None:
@@ -134,4 +168,4 @@ def write_audio_folder(df: DataFrame, folder: str, clip: str = "file_name", audi
     fs.delete(root, True)
 
 
-__all__ = ["exists", "publish", "replace_table", "swap", "with_retry", "write_audio_folder", "write_jsonl", "write_shards"]
+__all__ = ["exists", "append_table", "publish", "publish_table", "replace_table", "swap", "with_retry", "write_audio_folder", "write_jsonl", "write_shards"]

@@ -5,17 +5,17 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql.streaming import StreamingQuery
 
-from weft.operators.dedup import dedup_against
-from weft.sources.readers import exists
+from weft.operators.append import IndexedTable
+from weft.session import ship
 
 
-def append_stream(stream: DataFrame, path: str, checkpoint: str, within: bool = False) -> StreamingQuery:
-    """Append new rows of a stream to the Parquet table at `path`. A batch that runs again after a failure
-    finds its own rows in the table and adds none of them twice."""
+def append_stream(stream: DataFrame, path: str, checkpoint: str, within: bool = False, index: str | None = None, digits: int = 2) -> StreamingQuery:
+    """Append new rows of a stream to the Parquet table at `path`, by the hash index beside it: a micro-batch
+    reads the buckets of its own hashes, never the table. A batch that runs again after a failure first ends what
+    it had begun, finds all its hashes in the index and adds nothing."""
+    ship(stream.sparkSession)
 
     def add(batch: DataFrame, _: int) -> None:
-        spark = batch.sparkSession
-        target = spark.read.parquet(path) if exists(spark, path) else None
-        dedup_against(batch, target, within).write.mode("append").parquet(path)
+        IndexedTable(batch.sparkSession, path, index, digits).append(batch, within)
 
     return stream.writeStream.foreachBatch(add).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
