@@ -2,6 +2,8 @@
 
 import re
 
+from pyspark.sql import functions as F
+
 import corpus_pipeline
 from tests.llm.test_text_operators import brute_components, brute_languages, brute_spans, check_pieces
 from weft.llm import queries, secrets
@@ -35,7 +37,7 @@ def redacted(text, ratios):
 def test_pipeline_against_brute_force(spark):
     rows = spark.read.parquet(f"{SF}/documents.parquet").collect()
     named = brute_languages([(r["doc_id"], r["text"], r["lang"]) for r in rows])
-    fine = lambda i: named[i][0] in corpus_pipeline.LANGUAGES and named[i][1] >= corpus_pipeline.MIN_SCORE and named[i][2] >= corpus_pipeline.MIN_KNOWN
+    fine = lambda i: named[i][0] != "und" and named[i][1] >= corpus_pipeline.MIN_SCORE and named[i][2] >= corpus_pipeline.MIN_KNOWN
     texts = {r["doc_id"]: r["text"] for r in rows if fine(r["doc_id"])}
     texts = {i: texts[i] for i, _, c in brute_components(list(texts.items()), 5, 80) if i == c}
     words = lambda t: [w for w in re.split(r"[\W_]+", t.lower()) if w]
@@ -60,6 +62,13 @@ def test_stages_keep_the_columns_and_bear_odd_rows(spark, edge_docs, empty_docs)
             out = stage(spark, docs, SF)
             assert out.columns == columns and out.count() <= docs.count()
         assert corpus_pipeline.STAGES[-1][1](spark, docs, SF).columns[0] == "doc_id"
+    clash = {"score": "user's", "known": 2, "lang_pred": "x", "secret_spans": [1], "_text": "t", "_id": 3, "component_id": 4, "_changed": True, "a.b": None}
+    more = edge_docs.select(columns).withColumns({k: F.lit(v).cast("int") if v is None else F.array(F.lit(1)) if v == [1] else F.lit(v) for k, v in clash.items()})
+    for _, stage in corpus_pipeline.STAGES[:-1]:
+        out = stage(spark, more, SF)
+        rows = out.collect()
+        assert out.columns == more.columns and rows and all({k: r[k] for k in clash} == clash for r in rows)
+    assert corpus_pipeline.STAGES[-1][1](spark, more, SF).count() >= more.count()
     kept = corpus_pipeline.near_duplicates(spark, edge_docs.select(columns), SF)
     ids = [r["doc_id"] for r in kept.collect()]
     assert ids.count(6) == 0 or ids.count(6) == 1

@@ -1,6 +1,7 @@
 """Operators over documents: brute force, and the defined results of odd rows."""
 
 import hashlib
+import itertools
 import math
 import re
 import zlib
@@ -11,7 +12,7 @@ from hypothesis import given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
-from weft.llm import decontam, jaccard, langid, license_texts, licenses, packing, queries, secrets, simple8b, suffix_dedup, token_files
+from weft.llm import common, decontam, jaccard, langid, license_texts, licenses, packing, queries, secrets, simple8b, suffix_dedup, token_files
 from weft.llm.tokens import Encoder
 
 SF = "/root/testdata/sf0.001"
@@ -147,6 +148,34 @@ def test_token_files(spark, library, edge_docs, empty_docs, tmp_path):
     assert token_files.read(spark, f"{path}0").count() == 0
 
 
+def test_widths_follow_the_texts(spark):
+    """Made rows, joins and exploded rows: a count of bytes, not the optimizer's estimate."""
+    rows = spark.createDataFrame([(i, "x" * 100) for i in range(50)], "doc_id long, text string")
+    many = rows.join(rows.select(F.col("doc_id").alias("other")), F.col("doc_id") >= F.col("other"))
+    width = common.shuffle_width(spark)
+    assert common.input_width(rows) == common.input_width(many) == width
+    assert common.input_width(many, bytes_each=1000) == -(-many.count() * 100 // 1000)
+    assert common.input_width(rows.limit(0)) == width and common.input_width(rows, bytes_each=0.0001) == common.MOST_PARTITIONS
+
+
+def test_token_files_without_ids(spark, library, tmp_path):
+    """Rows without an id, as made rows, are dealt over ranges of their texts and stay in order."""
+    texts = [None, "", *(f"{i} some words" for i in range(200)), "0 some words"]
+    path = f"file://{tmp_path}/t"
+    token_files.write(spark.createDataFrame([(None, t) for t in texts], "doc_id long, text string"), path, queries.word_tokenizer(), partitions=4)
+    got = sorted((r["start"], r["n_tokens"]) for r in token_files.read(spark, path).collect())
+    sizes = [len(library.encode(t or "", add_special_tokens=False).ids) + 1 for t in sorted(texts, key=lambda t: (t is not None, t or ""))]
+    assert [n for _, n in got] == sizes and [s for s, _ in got] == [sum(sizes[:k]) for k in range(len(sizes))]
+    assert len([r for r in spark.read.parquet(path).select("part").distinct().collect()]) > 1
+
+
+def test_packing_with_clashing_names(spark):
+    names = ["doc_id", "start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset", "padding", "_row", "_shard"]
+    docs = spark.createDataFrame([(1, *["k"] * 9, "some text"), (2, *["k"] * 9, None)], ", ".join(f"{n} string" if n != "doc_id" else "doc_id long" for n in names) + ", text string")
+    got = packing.pack(docs, names, queries.word_tokenizer()).collect()
+    assert sorted(r["doc_id"] for r in got) == [1, 2] and all(r["_row"] == r["_shard"] == "k" and r["offset"] in (0, 1, 2, 3) for r in got)
+
+
 def test_encoder_is_the_library(library):
     rng = np.random.default_rng(3)
     alphabet = list("ab  'stmdlvre ÉßéªºµÂ²¼1234 .,!?_-<|>\n\t\xa0́ÅİıΣσς中文\U0001f600\x1c\x85")
@@ -232,6 +261,38 @@ def test_decontamination_reports_every_item(spark, tmp_path):
     assert [r["doc_id"] for r in decontam.clean(d, b).collect()] == [2]
 
 
+def test_decontamination_masks_meet_repeating_substitutions():
+    """Every cyclic pattern of up to 8 words with 60 % of them equal holds all ones of some mask."""
+    for n in range(2, 9):
+        for p in itertools.product((False, True), repeat=n):
+            if 10 * sum(p) >= 6 * n:
+                assert any(all(p[(start + one) % n] for one in mask) for mask in decontam.MASKS for start in range(n)), p
+
+
+def test_decontamination_of_short_items_and_repeating_substitutions(spark):
+    """Items of one to six words are met whole, wherever they stand; a long item with every third word changed is met."""
+    rng = np.random.default_rng(11)
+    vocabulary = [f"w{i}" for i in range(900)]
+    items = [(n, " ".join(f"s{n}x{k}" for k in range(n))) for n in range(1, 7)] + [(7, "")] + [(8, " ".join(rng.choice(vocabulary, 4000)))]
+    words = items[-1][1].split()
+    prose = lambda: " ".join(rng.choice(vocabulary, 12))
+    docs = [(i, f"{prose()} {t.upper()}, {prose()}") for i, t in items[:6]] + [(10 + i, t[:-1] + "Z") for i, t in items[:6]] + [(20, " ".join("new" if k % 3 == 2 else w for k, w in enumerate(words))), (30, None), (31, "")]
+    docs += [(40 + k, " ".join("new" if "xxMMMMxM"[i % 8] == "x" else w for i, w in enumerate(words[: 100 + k]))) for k in range(2)]
+    found = decontam.overlaps(spark.createDataFrame(docs, "doc_id long, text string"), spark.createDataFrame(items, "item_id long, text string"))
+    got = {(r["doc_id"], r["item_id"]): r["matched_words"] for r in found.collect()}
+    assert {k: v for k, v in got.items() if k[0] < 20} == {(n, n): n for n in range(1, 7)}
+    # 2,667 of 4,000 words are equal; the long item's own stretches are the others' only overlaps.
+    assert got[20, 8] == 2667 and {k for k in got if k[0] >= 20} == {(20, 8), (40, 8), (41, 8)}
+
+
+def test_decontamination_running_extremes(spark):
+    """The longest stretch of long arrays of places, over several blocks, against two loops."""
+    rng = np.random.default_rng(3)
+    rows = [(i, np.cumsum(rng.choice([1, 1, 1, 2, 3, 9], n)).tolist()) for i, n in enumerate((1, 2, 127, 128, 129, 300, 700))]
+    got = {r["i"]: r["m"] for r in spark.createDataFrame(rows, "i int, places array<int>").selectExpr("i", f"{decontam._most('places', 0.6)} as m").collect()}
+    assert got == {i: brute_window(p) for i, p in rows}
+
+
 def test_decontamination_query(spark):
     words = lambda t: [w for w in re.split(r"[\W_]+", (t or "").lower()) if w]
     grams = set()
@@ -383,7 +444,7 @@ def test_language_id(spark, edge_docs, empty_docs):
     assert {r["lang_pred"] for r in langid.identify(edge_docs, langid.train(empty_docs), ["doc_id"]).collect()} == {"und"}
 
 
-def brute_languages(rows, n_max=5, min_gram=10):
+def brute_languages(rows, n_max=5):
     """{id: (language, score, share of known words)} of (id, text, lang), by dicts of strings."""
     find = lambda t: [w for w in re.findall(r"[^\W\d_]+", (t or "").lower()) if any(c.isalpha() for c in w)]
     learned = [(t, x) for i, t, x in rows if x is not None and t is not None and zlib.crc32(str(i).encode()) % 3 != 1]
@@ -409,7 +470,7 @@ def brute_languages(rows, n_max=5, min_gram=10):
         for end in range(1, len(padded) + 1):
             for n in range(min(n_max, end), 0, -1):
                 c = grams[n].get(padded[end - n : end])
-                if c and sum(c) >= min_gram:
+                if c:
                     out += logs(c, orders[n]) + np.log(0.4) * (n_max - n)
                     break
         return out / n_max
@@ -434,6 +495,23 @@ def test_language_query_against_brute_force(spark):
     assert all(r["lang_pred"] == expect[i][0] and abs(r["score"] - expect[i][1]) < 2e-3 for i, r in got.items())
 
 
+def test_language_sample_is_bounded_by_rows(spark, monkeypatch):
+    """Rows without an id, rows that share one, and copies enter one by one."""
+    counted = []
+    count = langid.word_counts
+    monkeypatch.setattr(langid, "word_counts", lambda rows, *more: counted.append(rows.count()) or count(rows, *more))
+    rows = [(None, "the same text") for _ in range(1500)] + [(None, f"text {i}") for i in range(1500)] + [(7, "one more")] * 1000
+    langid.train(spark.createDataFrame([(i, t, "en") for i, t in rows], "doc_id long, text string, lang string").repartition(3), sample_docs=100)
+    assert 50 < counted[0] < 180
+
+
+def test_unseen_words_find_grams_of_a_small_sample(spark):
+    rows = [(1, "straße und häuser über", "de"), (2, "the house and the street", "en"), (3, "schöne möbel für träume", "de"), (4, "which things were there", "en")]
+    model = langid.train(spark.createDataFrame(rows, "doc_id long, text string, lang string"))
+    got = langid.identify(spark.createDataFrame([(1, "größer fünf"), (2, "thesis weather")], "doc_id long, text string"), model, ["doc_id"]).collect()
+    assert {r["doc_id"]: r["lang_pred"] for r in got} == {1: "de", 2: "en"} and all(r["known"] == 0 for r in got)
+
+
 def test_language_sample_keeps_rare_languages(spark):
     """Of 3,000 rows, 12 in a rare language: a sample of 200 rows still holds them all."""
     rows = [(i, "the of and house river", "en") for i in range(2988)] + [(3000 + i, f"talo ranta järvi sana{'abcdefghijkl'[i]}", "fi") for i in range(12)]

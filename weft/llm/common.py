@@ -14,12 +14,15 @@ def shuffle_width(spark: SparkSession) -> int:
     return max(1, int(spark.conf.get("spark.sql.shuffle.partitions")))
 
 
-def input_width(df: DataFrame, bytes_each: int = 128 << 20) -> int:
-    """Partitions for a shuffle of df's rows: one for each `bytes_each` of the optimizer's estimate of their
-    size (of files, what they hold on disk), and the session's number at least."""
-    size = int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
-    known = size < 1 << 62  # beyond it stands for an unknown size
-    return max(shuffle_width(df.sparkSession), -(-size // bytes_each) if known else 1)
+#: Partitions of a shuffle, at most.
+MOST_PARTITIONS = 100_000
+
+
+def input_width(df: DataFrame, text: str = "text", bytes_each: int = 128 << 20) -> int:
+    """Partitions for a shuffle of df's rows: one for each `bytes_each` bytes of their texts, which are counted,
+    and the session's number at least. Estimates of the optimizer say nothing about made rows and joins."""
+    size = df.agg(F.sum(F.octet_length(F.col(f"`{text}`").cast("string")))).first()[0] or 0
+    return min(MOST_PARTITIONS, max(shuffle_width(df.sparkSession), -(-size // bytes_each)))
 
 
 def text_or_empty(name: str = "text") -> Column:

@@ -11,8 +11,8 @@ drops.
 
 Defined results: null and empty texts and items give nothing; rows that repeat an id and a text count
 once, a repeated id with other texts once for each; of an item's repeated ids the best text counts; null ids are kept as ids of their own; empty tables
-give an empty result; extra columns are ignored. An item shorter than `min_words` must be met whole, and
-one shorter than the masks is not looked for.
+give an empty result; extra columns are ignored. An item shorter than `min_words` must be met whole; one shorter
+than the masks is looked for by a hash of all its words, at the places where its first word stands.
 """
 
 from __future__ import annotations
@@ -24,8 +24,9 @@ from pyspark.sql import functions as F
 
 from weft.llm.common import staged
 
-#: The masks' ones, as word places from their start.
-MASKS = ((0, 1, 2, 3, 4), (0, 1, 3, 5, 6), (0, 2, 3, 4, 6))
+#: The masks' ones, as word places from their start. Together they meet every overlap in which at
+#: least 60 % of the words are equal by a pattern that repeats after 8 words or fewer.
+MASKS = ((0, 1, 2, 3, 4), (0, 1, 3, 5, 6), (0, 2, 3, 4, 6), (0, 1, 3, 4, 6), (0, 1, 2, 3, 7), (0, 3, 4, 5, 8))
 #: Places that are ones in every mask: the pair at them is tested first.
 PAIR = (0, 3)
 
@@ -72,6 +73,23 @@ def benchmark_words(benchmark: DataFrame, id: str, text: str) -> DataFrame:
     return words.filter("size(_words) > 0").select(F.monotonically_increasing_id().alias("_item"), "item", "_words")
 
 
+#: Words of the shortest item that a mask fits.
+SHORTEST = min(max(m) for m in MASKS) + 1
+#: Words of a block over which running least and greatest values are taken.
+BLOCK = 128
+
+
+def short_seeds(items: DataFrame) -> DataFrame:
+    """(_item, n_words, seed of all words, first word) of the items that no mask fits."""
+    whole = f"case size(_words) {' '.join(f'when {n} then {_whole(n, "_words", "0")}' for n in range(1, SHORTEST))} end"
+    return items.filter(F.size("_words") < SHORTEST).select("_item", F.size("_words").alias("n_words"), F.expr(whole).alias("seed"), F.col("_words")[0].alias("first"))
+
+
+def _whole(n: int, words: str, i: str) -> str:
+    """SQL of the hash of the n words from place i of an array."""
+    return f"xxhash64(-{n}, " + ", ".join(f"{words}[{i} + {k}]" for k in range(n)) + ")"
+
+
 def seeds(items: DataFrame) -> DataFrame:
     """(_item, mask, place, n_words of the item, seed, pair) of every item of benchmark_words."""
     arrays = ", ".join(f"transform({_places(m)}, i -> named_struct('mask', {m}, 'place', i, 'n_words', size(_h), 'seed', {_seed(m)}, 'pair', {_pair('i')}))" for m in range(len(MASKS)))
@@ -87,14 +105,36 @@ def _most(places: str, min_share: float) -> str:
     share = Fraction(str(min_share)).limit_denominator(1_000_000)
     num, den = share.numerator, share.denominator
     value = f"transform({places}, (p, k) -> {den}L * k - {num}L * p)"
-    least, greatest = "transform(v, (x, k) -> array_min(slice(v, 1, k + 1)))", "transform(v, (x, k) -> array_max(slice(v, k + 1, size(v))))"
+    # Extremes of whole blocks first: a place then looks at the blocks' and at its own block only.
+    blocks = f"transform(sequence(0, (size(v) - 1) div {BLOCK}), b -> named_struct('lo', array_min(slice(v, {BLOCK} * b + 1, {BLOCK})), 'hi', array_max(slice(v, {BLOCK} * b + 1, {BLOCK}))))"
+    upto = "transform(blocks, (x, b) -> named_struct('lo', array_min(transform(slice(blocks, 1, b), y -> y.lo)), 'hi', array_max(transform(slice(blocks, b + 2, size(blocks)), y -> y.hi))))"
+    least = f"transform(v, (x, k) -> least(ends[k div {BLOCK}].lo, array_min(slice(v, {BLOCK} * (k div {BLOCK}) + 1, k % {BLOCK} + 1))))"
+    greatest = f"transform(v, (x, k) -> greatest(ends[k div {BLOCK}].hi, array_max(slice(v, k + 1, {BLOCK} - k % {BLOCK}))))"
+    bounds = f"transform(array({blocks}), blocks -> transform(array({upto}), ends -> named_struct('lo', {least}, 'hi', {greatest}))[0])[0]"
     fits = f"z.j < size(v) and b.hi[z.j] - b.lo[z.i] >= {num - den}L"
     walk = f"""aggregate(sequence(1, 2 * size(v)), named_struct('i', 0, 'j', 0, 'best', 0),
         (z, step) -> if({fits}, named_struct('i', z.i, 'j', z.j + 1, 'best', greatest(z.best, z.j + 1 - z.i)), if(z.j < size(v), named_struct('i', z.i + 1, 'j', z.j, 'best', z.best), z)), z -> z.best)"""
-    walked = f"transform(array(named_struct('lo', {least}, 'hi', {greatest})), b -> {walk})[0]"
+    walked = f"transform(array({bounds}), b -> {walk})[0]"
     return f"transform(array({value}), v -> if(v[size(v) - 1] - v[0] >= {num - den}L, size(v), {walked}))[0]"
 
 
+def _with_short(met: DataFrame, docs: DataFrame, own: tuple, text: str, known: DataFrame, max_bits: int, broadcast_rows: int) -> DataFrame:
+    """The diagonals met, and those of the short items: none are looked for if there are none."""
+    lengths = {r["n_words"]: r["count"] for r in known.groupBy("n_words").count().collect()}  # as many rows as short lengths
+    if not lengths:
+        return met
+    bits, n = 64, sum(lengths.values())
+    while bits < min(max_bits, 32 * n):
+        bits *= 2
+    firsts, wanted = (f"from_json('{_bit_table(known, c, bits)}', 'array<bigint>')" for c in ("first", "seed"))
+    places = f"if(size(_h) = 0, cast(array() as array<int>), filter(sequence(0, size(_h) - 1), i -> {_in_table(firsts, '_h[i]', bits)}))"
+    hit = ", ".join(f"filter(transform(filter(_at, i -> i + {k} <= size(_h)), i -> named_struct('at', i, 'seed', {_whole(k, '_h', 'i')})), x -> {_in_table(wanted, 'x.seed', bits)})" for k in sorted(lengths))
+    found = f"transform(array({hashes_sql(text)}), _h -> transform(array({places}), _at -> concat({hit}))[0])[0]"
+    hits = docs.select(*own, F.explode_outer(F.expr(found)).alias("x")).filter("x is not null").select("_id", "_text_hash", "x.*")
+    near = F.broadcast if n <= broadcast_rows else lambda df: df
+    return met.unionByName(hits.join(near(known), "seed").select("_id", "_text_hash", "_item", "n_words", F.col("at").alias("_diagonal")))
+
+
 def overlaps(docs: DataFrame, benchmark: DataFrame, id: str = "doc_id", text: str = "text", item_id: str = "item_id", item_text: str = "text", min_words: int = 8, min_share: float = 0.6, max_bits: int = 1 << 22, broadcast_rows: int = 200_000) -> DataFrame:
     """One row for each document and each benchmark item that it overlaps: id, text_hash, item_id, and the
     matched_words of the stretch with the most of them and the span_words they stretch over (ties: the
@@ -116,7 +156,8 @@ def overlaps(docs: DataFrame, benchmark: DataFrame, id: str = "doc_id", text: st
     near = F.broadcast if n <= broadcast_rows else lambda df: df
     # explode() would have the optimizer evaluate the array a second time, in a filter on its size.
     hits = docs.select(*own, F.explode_outer(F.expr(found)).alias("x")).filter("x is not null").select("_id", "_text_hash", "x.*")
-    met = staged(hits.join(near(known), "seed").select("_id", "_text_hash", "_item", "n_words", (F.col("at") - F.col("place")).alias("_diagonal")).distinct(), "diagonals")
+    met = hits.join(near(known), "seed").select("_id", "_text_hash", "_item", "n_words", (F.col("at") - F.col("place")).alias("_diagonal"))
+    met = staged(_with_short(met, docs, own, text, staged(short_seeds(items), "short"), max_bits, broadcast_rows).distinct(), "diagonals")
     n_met = met.count()
     # The words of the documents that have one; a bit table of their texts spares the others the shuffle.
     bits = 64

@@ -1,6 +1,6 @@
 """Language identification by words first, with backoff to shorter character n-grams.
 
-Training counts words by language in a bounded sample of labelled rows, as many of each language; a known
+Training counts words by language in a sample of labelled rows of bounded size, as many of each language; a known
 word scores by its log frequency in each language. An unseen word is scored character by character with
 the longest n-gram known in any language, falling back from 5 characters to 1, each step down at a fixed
 penalty. Words and n-grams are known by 64-bit hashes, looked up for a whole batch at a time; all words of
@@ -57,9 +57,9 @@ def summed(keys: np.ndarray, counts: np.ndarray) -> tuple[np.ndarray, np.ndarray
 
 class WordBackoffModel:
     """Log frequencies of words and n-grams by language. A gram's log frequency is relative to its order's
-    total; rare grams are left to shorter ones."""
+    total; all grams of the sample are kept, so an unseen word finds at least its letters."""
 
-    def __init__(self, counts: pa.Table, n_max: int = 5, penalty: float = math.log(0.4), min_gram: int = 10):
+    def __init__(self, counts: pa.Table, n_max: int = 5, penalty: float = math.log(0.4)):
         """counts: lang, word, n; words stay in Arrow, and only some at a time become Python strings."""
         lang, word = (counts.column(c).cast(pa.large_string()).combine_chunks().dictionary_encode() for c in ("lang", "word"))
         names = lang.dictionary.to_pylist()
@@ -80,9 +80,8 @@ class WordBackoffModel:
                 *_, (h, whole) = grams(some, n)
                 parts.append(summed(h[whole], table[owner[whole]]))
             keys, total = summed(*(np.concatenate(x) for x in zip(*parts)))
-            kept = total.sum(axis=1) >= min_gram
-            self.grams.add(keys[kept])
-            scores.append(self._logs(total[kept], total.sum(axis=0)))
+            self.grams.add(keys)
+            scores.append(self._logs(total, total.sum(axis=0)))
         self.word_scores, self.gram_scores = scores[0], np.concatenate([np.zeros((0, k), "f4"), *scores[1:]])
 
     @staticmethod
@@ -133,8 +132,9 @@ def word_counts(docs: DataFrame, lang: str, text: str) -> DataFrame:
 
 def train(labelled: DataFrame, id: str = "doc_id", lang: str = "lang", text: str = "text", sample_docs: int = 8000) -> WordBackoffModel:
     """A model of about `sample_docs` rows with a language, the same number of each language as far as it
-    has them, chosen by a hash of the id at every input size. All their words are kept; the bound is on rows,
-    and the numbers of rows by language and the sample's words reach the driver."""
+    has them, at every input size. Each row is chosen by itself, by a hash of its id, its text and its place
+    in the input: neither rows without an id nor copies enter together. All words of the sample are kept; the
+    numbers of rows by language and the sample's words reach the driver."""
     rows = labelled.filter(F.col(f"`{lang}`").isNotNull() & F.col(f"`{text}`").isNotNull())
     sizes = {r["l"]: r["n"] for r in rows.groupBy(F.col(f"`{lang}`").cast("string").alias("l")).agg(F.count("*").alias("n")).collect()}
     share, left = 0, sample_docs
@@ -143,7 +143,9 @@ def train(labelled: DataFrame, id: str = "doc_id", lang: str = "lang", text: str
         left -= min(n, share)
     if any(n > share for n in sizes.values()):
         bound = F.create_map(*[F.lit(x) for k, n in sizes.items() for x in (k, int((1 << 31) * min(1.0, share / n)))])
-        rows = rows.filter(F.pmod(F.xxhash64(F.col(f"`{id}`").cast("string")), F.lit(1 << 31)) < bound[F.col(f"`{lang}`").cast("string")])
+        placed = rows.withColumn("_weft_place", F.monotonically_increasing_id())
+        chance = F.pmod(F.xxhash64(F.col(f"`{id}`").cast("string"), F.col(f"`{text}`").cast("string"), F.col("_weft_place")), F.lit(1 << 31))
+        rows = placed.filter(chance < bound[F.col(f"`{lang}`").cast("string")])
     model = WordBackoffModel(word_counts(rows, lang, text).toArrow())
     trim()
     return model

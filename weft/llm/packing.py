@@ -6,7 +6,8 @@ remaining capacities gives the tightest open sequence that still holds the piece
 opens where none does. Only lengths are shuffled, not ids.
 
 Defined results: a null or empty text is a document of the end id alone; repeated rows are documents of
-their own; null ids pass through; an empty table gives an empty result; columns not kept are dropped.
+their own; null ids pass through; an empty table gives an empty result; columns not kept are dropped, and a
+result's name wins over a kept column of that name.
 A sequence ends padded to its capacity unless its length is a power of two (`padding`).
 """
 
@@ -28,6 +29,7 @@ from weft.llm.tokens import encoder, with_end
 from weft.session import ship
 
 PIECE = "start long, length long, ids_crc32 long, doc_tokens long"
+PLACE = "sequence_id long, offset long, padding long"
 
 
 class OpenSequences:
@@ -114,18 +116,19 @@ def pack(docs: DataFrame, keep: list[str], tokenizer: str, capacity: int = 2048,
     sequences leave open is the method's only loss from sharding."""
     spark = docs.sparkSession
     ship(spark)
-    pieces = staged(cut(docs, keep, tokenizer, capacity, end_id, text).withColumn("_row", F.monotonically_increasing_id()), "pieces")
+    keep = [c for c in keep if c not in StructType.fromDDL(PLACE).names]
+    pieces = staged(cut(docs, keep, tokenizer, capacity, end_id, text).withColumn("_weft_row", F.monotonically_increasing_id()), "pieces")
     n = pieces.count()
     shards = max(1, math.ceil(n / shard_pieces))
-    own = [c for c in pieces.columns if c != "_row"]
-    result = StructType([pieces.schema[c] for c in own] + StructType.fromDDL("sequence_id long, offset long, padding long").fields)
+    own = [c for c in pieces.columns if c != "_weft_row"]
+    result = StructType([pieces.schema[c] for c in own] + StructType.fromDDL(PLACE).fields)
 
     def place(key, pdf: pd.DataFrame) -> pd.DataFrame:
-        pdf = pdf.sort_values("_row", ignore_index=True)
+        pdf = pdf.sort_values("_weft_row", ignore_index=True)
         lengths = pdf["length"].to_numpy()
         sequence, offset = best_fit_decreasing(lengths, capacity)
         used = np.bincount(sequence, lengths).astype(np.int64)
         padding = np.where(used & (used - 1) == 0, 0, capacity - used)
         return pdf[own].assign(sequence_id=sequence + (int(key[0]) << 32), offset=offset, padding=padding[sequence])
 
-    return pieces.withColumn("_shard", F.pmod(F.xxhash64("_row"), F.lit(shards))).groupBy("_shard").applyInPandas(place, result)
+    return pieces.withColumn("_weft_shard", F.pmod(F.xxhash64("_weft_row"), F.lit(shards))).groupBy("_weft_shard").applyInPandas(place, result)

@@ -100,7 +100,6 @@ def scan(docs: DataFrame, ratios: list[float], text: str = "text", margin: float
               'start', locate(m.s, _t, a.pos) - 1, 'kind', {kind}, 'end', locate(m.s, _t, a.pos) - 1 + length(m.s)))), a.out)), a -> a.out)"""
 
     whole = lambda pattern: f"transform(regexp_extract_all(_t, {_sql(pattern)}, 0), x -> named_struct('s', x))"
-    assign = f"arrays_zip(regexp_extract_all(_t, {_sql(ASSIGN)}, 0) as s, regexp_extract_all(_t, {_sql(ASSIGN)}, 2) as v)"
     assign = f"zip_with(regexp_extract_all(_t, {_sql(ASSIGN)}, 0), regexp_extract_all(_t, {_sql(ASSIGN)}, 2), (s, v) -> named_struct('s', s, 'v', v))"
     df = df.withColumn("_base", F.expr(f"""array_sort(concat(
         if(_t rlike {_sql(ASSIGN)}, {located(assign, 0, 'length(m.v) >= 6')}, cast(array() as array<{SPAN}>)),

@@ -61,7 +61,9 @@ def write(docs: DataFrame, path: str, tokenizer: str, id: str = "doc_id", text:
         pa.default_memory_pool().release_unused()  # the worker lives on between tasks
 
     rows = docs.select(F.col(f"`{id}`").cast("long").alias("id"), F.col(f"`{text}`").cast("string").alias("text"))
-    ordered = rows.repartitionByRange(partitions or input_width(rows), "id").sortWithinPartitions("id", "text")
+    # Ranges of (id, first characters): rows that share an id, or have none, are no range of their own.
+    ranged = rows.repartitionByRange(partitions or input_width(rows), F.col("id"), F.left("text", F.lit(32)))
+    ordered = ranged.sortWithinPartitions("id", "text")
     ordered.mapInArrow(files, FILES).write.parquet(path)
 
 

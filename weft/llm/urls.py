@@ -96,7 +96,7 @@ def pieces(urls: list[str | None]) -> Iterator[tuple[np.ndarray, np.ndarray, lis
 
 
 class UrlModel:
-    """Log-likelihood ratios from counts[label, order, slot] and the number of bytes of each label."""
+    """Log-likelihood ratios from counts[label, order, slot], label 1 for accepted URLs."""
 
     def __init__(self, counts: np.ndarray):
         self.counts, self.threshold = counts, 0.0
@@ -119,7 +119,7 @@ class UrlModel:
                     seen, context = c[k][slots[k]], c[k - 1][earlier[k - 1]]
                     p = (seen + WEIGHT * p) / (np.maximum(context, seen) + WEIGHT)  # slots may hold several grams
                 logs.append(np.log(p))
-            total += np.bincount(row[real], (logs[0] - logs[1])[real], len(urls))
+            total += np.bincount(row[real], (logs[1] - logs[0])[real], len(urls))
             sizes += np.bincount(row[real], minlength=len(urls))
         return total / np.maximum(sizes, 1)
 
