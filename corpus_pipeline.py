@@ -2,13 +2,17 @@
 redaction, packing. Counted as part of the subpackage ``weft.llm``.
 
 Each stage takes (spark, docs, sf_dir) and works on all its predecessor kept; its result is written as
-Parquet and read again as the next one's docs. All but the last return the columns of `documents`.
+Parquet and read again as the next one's docs. All but the last return the columns of `documents`. Further
+columns of the input, whatever their names, are set aside in a stage and stand in its result as they were.
 SQL can express neither the language model nor the tokenizer, so ORACLE_SQL is None and
 tests/llm/test_pipeline.py holds the result against a brute-force version.
 """
 
 from __future__ import annotations
 
+from collections.abc import Callable
+from functools import wraps
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -17,22 +21,37 @@ from weft.llm.common import drop, spread, staged, table
 from weft.llm.queries import langid_held_out, word_tokenizer
 
 
-#: The languages that stay, and what a document needs to count as identified: a language that is likelier
-#: than all others together, and some share of words that the model has seen in training.
-LANGUAGES = ("de", "en", "es", "fr")
+Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
+#: The columns that stages work on.
+DOCUMENTS = ("doc_id", "text", "lang", "source", "n_chars")
+#: What a document needs to count as identified: a learned language that is likelier than all others together,
+#: and some share of words that the model has seen in training.
 MIN_SCORE, MIN_KNOWN = 0.5, 0.1
 
 
+def with_own_columns(stage: Stage) -> Stage:
+    """A stage that works on DOCUMENTS, over tables with other columns too: those go by private names in it."""
+
+    @wraps(stage)
+    def run(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+        names = {c: c if c in DOCUMENTS else f"_own_{k}" for k, c in enumerate(docs.columns)}
+        out = stage(spark, docs.select(*[F.col(f"`{c}`").alias(to) for c, to in names.items()]), sf_dir)
+        return out.select(*[F.col(to).alias(c) for c, to in names.items()])
+
+    return run
+
+
+@with_own_columns
 def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents in one of LANGUAGES stay. Those go that have no letters, that are predicted to be in another
-    language, whose score is under MIN_SCORE, or of whose words less than MIN_KNOWN are known, as text in a
-    language that was not learned and strings of random letters. The model learns from the rows that op7
-    may learn from."""
+    """Documents in a learned language stay. Those go that have no letters, whose score is under MIN_SCORE, or of
+    whose words less than MIN_KNOWN are known, as text in a language that was not learned and strings of random
+    letters. The model learns from the rows that op7 may learn from."""
     model = langid.train(docs.filter(~langid_held_out()))
     named = langid.identify(spread(docs), model, docs.columns)
-    return named.filter(F.col("lang_pred").isin(*LANGUAGES) & (F.col("score") >= MIN_SCORE) & (F.col("known") >= MIN_KNOWN)).select(*docs.columns)
+    return named.filter((F.col("lang_pred") != langid.UNKNOWN) & (F.col("score") >= MIN_SCORE) & (F.col("known") >= MIN_KNOWN)).select(*docs.columns)
 
 
+@with_own_columns
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Of documents linked by sets of five-word shingles at a similarity of 0.8 or more, the one with the
     smallest id stays. Rows that share an id stay or go together, and one of those with equal texts stays;
@@ -47,11 +66,13 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
     return kept.join(repeated, "doc_id", "left_anti").select(*docs.columns).unionByName(once)
 
 
+@with_own_columns
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that overlap a benchmark item go."""
     return decontam.clean(docs, table(spark, sf_dir, "benchmark"))
 
 
+@with_own_columns
 def secret_redaction(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Every secret is replaced by a mask, and n_chars follows the text; no document goes."""
     scanned = secrets.scan(docs, secrets.train(secrets.labelled_samples(docs)))
