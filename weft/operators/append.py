@@ -7,6 +7,9 @@ them that the table has already, counted by hash, are not written again.
 
 from __future__ import annotations
 
+import uuid
+from collections.abc import Callable
+
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -19,10 +22,11 @@ from weft.staging import drop, staged
 
 
 class IndexedTable:
-    """The Parquet table at `path`, and its index at `index` (by default beside it)."""
+    """The Parquet table at `path`, and its index at `index` (by default beside it). `then` is called with the new
+    rows and a name of each append after they are written; it may be called again with the same name."""
 
-    def __init__(self, spark: SparkSession, path: str, index: str | None = None, digits: int = 2, merge_at: int = 8):
-        self.spark, self.path = spark, path.rstrip("/")
+    def __init__(self, spark: SparkSession, path: str, index: str | None = None, digits: int = 2, merge_at: int = 8, then: Callable[[DataFrame, str], None] | None = None):
+        self.spark, self.path, self.then = spark, path.rstrip("/"), then
         self.index = HashIndex(spark, index or self.path + ".hashes", digits, merge_at)
         self.pending = self.index.path + ".pending"
 
@@ -42,9 +46,10 @@ class IndexedTable:
         seen = self.index.seen(batch.select(F.col("_hash").alias("hash")))
         fs, ready = _filesystem(self.spark, self.pending)
         fs.delete(_filesystem(self.spark, self.pending + ".writing")[1], True)
-        batch.join(seen.withColumnRenamed("hash", "_hash"), "_hash", "left_anti").write.parquet(self.pending + ".writing")
+        fresh = batch.join(seen.withColumnRenamed("hash", "_hash"), "_hash", "left_anti").withColumn("_append", F.lit(uuid.uuid4().hex))
+        fresh.write.parquet(self.pending + ".writing")
         _renamed(fs, _filesystem(self.spark, self.pending + ".writing")[1], ready)
-        new = self.spark.read.schema(batch.schema).parquet(self.pending)
+        new = self.spark.read.schema(fresh.schema).parquet(self.pending)
         counted = self.spark.createDataFrame([(batch.count(), new.count())], "rows long, added long").withColumn("removed", F.col("rows") - F.col("added"))
         self._write(new)
         self._settle(new)
@@ -52,11 +57,14 @@ class IndexedTable:
         return counted
 
     def _write(self, new: DataFrame) -> None:
-        new.drop("_hash").write.mode("append").parquet(self.path)
+        new.drop("_hash", "_append").write.mode("append").parquet(self.path)
 
-    def _settle(self, new: DataFrame) -> None:
-        """The written rows' hashes join the index, and the staged rows go."""
-        if not new.isEmpty():
+    def _settle(self, new: DataFrame, indexed: bool = False) -> None:
+        """What follows the rows is done, their hashes join the index, and the staged rows go."""
+        one = new.select("_append").first()
+        if one and self.then:
+            self.then(new.drop("_hash", "_append"), one["_append"])
+        if one and not indexed:
             self.index.add(new.select(F.col("_hash").alias("hash")))
         fs, ready = _filesystem(self.spark, self.pending)
         fs.delete(ready, True)
@@ -74,8 +82,7 @@ class IndexedTable:
         else:
             left = new
         self._write(left)
-        if self.index.whole():
-            self._settle(new)
-        else:
+        lost = not self.index.whole()
+        if lost:
             self.index.rebuild(self.rows())
-            self._settle(new.limit(0))
+        self._settle(new, indexed=lost)

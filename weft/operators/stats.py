@@ -56,10 +56,10 @@ def merged(states: DataFrame) -> DataFrame:
     return states.groupBy("kind", "name").agg(*[F.sum(c).alias(c) for c in ("documents", "counted", "tokens")], F.min("min_tokens").alias("min_tokens"), F.max("max_tokens").alias("max_tokens"))
 
 
-def add_to_card(new: DataFrame, path: str) -> DataFrame:
-    """Append the state of an append's new rows to the states at `path`, and return the whole corpus's: no row
-    of an earlier append is read again."""
-    card_state(new).coalesce(1).write.mode("append").parquet(path)
+def add_to_card(new: DataFrame, path: str, name: str) -> DataFrame:
+    """Put the state of the new rows of an append beside the states at `path`, in the place of one of the same
+    name, and return the whole corpus's: no row of an earlier append is read again."""
+    card_state(new).coalesce(1).write.mode("overwrite").parquet(f"{path}/append={name}")
     return merged(new.sparkSession.read.parquet(path))
 
 

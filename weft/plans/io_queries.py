@@ -13,7 +13,8 @@ from weft.functions import text as T
 from weft.operators import dedup, speech, split
 from weft.operators.append import IndexedTable
 from weft.plans import fixtures as X
-from weft.plans.registry import _RANKED, docs, query
+from weft.operators.big_files import split_lines, text_lines
+from weft.plans.registry import _RANKED, _split_sql, docs, query
 from weft.sources import readers, writers
 from weft.staging import scratch
 from weft.streaming.append import append_stream
@@ -175,6 +176,19 @@ def _catalog(spark, sf_dir):
     return out
 
 
+_JOINED = "(SELECT coalesce(source, '') AS id, string_agg(coalesce(text, ''), chr(10) || chr(10) ORDER BY doc_id) || chr(10) AS text FROM documents GROUP BY 1)"
+
+
+@query("S7_X1_X2_big_files", f"SELECT id AS source, pos, md5(doc) AS doc_hash FROM ({_split_sql(_JOINED)})")
+def _big_files(spark, sf_dir):
+    """All documents of a source are one file, which is read in splits."""
+    root = scratch(spark, "big-files")
+    rows = docs(spark, sf_dir).select("doc_id", F.coalesce("source", F.lit("")).alias("source"), F.concat(F.lit("x"), F.coalesce("source", F.lit(""))).alias("of"), F.coalesce("text", F.lit("")).alias("text"))
+    rows.repartition("of").sortWithinPartitions("of", "doc_id").select("of", "text").write.partitionBy("of").option("lineSep", "\n\n").text(root)
+    lines = text_lines(spark, root).withColumn("of", F.col("of").cast("string"))
+    return split_lines(lines, ["of"]).select(F.substring("of", 2, 1 << 20).alias("source"), "pos", F.md5("doc").alias("doc_hash"))
+
+
 @query("D1_within_first", "SELECT doc_id FROM documents QUALIFY row_number() OVER (PARTITION BY md5(coalesce(text, '')) ORDER BY doc_id) = 1")
 def _within(spark, sf_dir):
     return dedup.dedup_against(docs(spark, sf_dir).repartitionByRange(4, "doc_id").sortWithinPartitions("doc_id"), None, within=True).select("doc_id")

@@ -7,8 +7,9 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from weft.operators import corpus, dedup, speech, split
-from weft.sources import readers
+from weft.operators import corpus, dedup, speech, split, stats
+from weft.operators.append import IndexedTable
+from weft.sources import readers, writers
 from weft.staging import staged
 
 
@@ -23,6 +24,66 @@ class SpeechConfig:
     sentences_only: bool = False
 
 
+@dataclass(frozen=True)
+class WebConfig:
+    """What the web corpus is made with (S12): where a data set comes from and goes to, its name, which source and
+    language are taken from, and whether it is added to what is there."""
+
+    source: str
+    target: str
+    repo: str
+    append: bool = False
+    attempts: int = 5
+    wait: float = 30.0
+
+
+@dataclass(frozen=True)
+class BookConfig:
+    """What the file corpus is made with."""
+
+    sources: tuple[readers.FileSource, ...]
+    output: str
+    excluded: tuple[str, ...] = ()
+    seed: int = 42
+    tenths: int = 9
+    min_words: int = 50
+    min_latin_ratio: float = 0.4
+
+
+def run_web(spark: SparkSession, config: WebConfig) -> DataFrame:
+    """Read, clean, enrich and publish a data set, and keep the states of its card beside it. An append reads the
+    target's hash index, not the target, and adds a state; replacing the target makes both anew. Returns
+    (rows, added, removed), one row."""
+    made, states = web_corpus(readers.dataset(spark, config.source), config.repo), card_path(config)
+    table = IndexedTable(spark, config.target, then=lambda new, name: stats.add_to_card(new, states, name))
+    if config.append and readers.exists(spark, config.target):
+        return table.append(made)
+    made = staged(made, "web")
+    writers.publish(made, config.target, config.attempts, config.wait)
+    table.index.rebuild(made)
+    writers.remove(spark, states)
+    n = stats.add_to_card(made, states, "first").filter("kind = 'total'").agg(F.coalesce(F.sum("documents"), F.lit(0))).first()[0]
+    return spark.createDataFrame([(n, n, 0)], "rows long, added long, removed long")
+
+
+def card_path(config: WebConfig) -> str:
+    return config.target.rstrip("/") + ".card"
+
+
+def web_card(spark: SparkSession, config: WebConfig, existing: str | None = None) -> str:
+    """The card of a web corpus from its states: the corpus is not read (K7)."""
+    source, language = corpus.name_labels(config.repo)
+    return stats.render_state(stats.merged(spark.read.parquet(card_path(config))), source, language, existing)
+
+
+def run_books(spark: SparkSession, config: BookConfig) -> DataFrame:
+    """Make the file corpus and write it as JSON lines by split (K1). Returns what was written."""
+    records = corpus.file_corpus(readers.text_files(spark, list(config.sources), config.excluded), config.min_words, config.min_latin_ratio)
+    rows = staged(split.assign_split(staged(records, "records"), F.col("id"), config.seed, config.tenths), "books")
+    writers.write_jsonl(rows, config.output)
+    return rows
+
+
 def web_corpus(raw: DataFrame, repo: str, target: DataFrame | None = None, append: bool = False) -> DataFrame:
     """Raw split-keyed rows to cleaned, filtered, enriched ones; with `append`, deduplicated against the
     target and added to it."""

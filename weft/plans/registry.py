@@ -227,7 +227,7 @@ def _card_state(spark, sf_dir):
     """The card of a corpus that came in one append a language: states are added up, rows are read once."""
     d, states = enriched(spark, sf_dir), scratch(spark, "card")
     for lang in [r["lang"] for r in d.select("lang").distinct().collect()]:  # as many as languages
-        out = stats.add_to_card(d.filter(F.col("lang").eqNullSafe(F.lit(lang))), states)
+        out = stats.add_to_card(d.filter(F.col("lang").eqNullSafe(F.lit(lang))), states, f"x{lang}")
     return out
 
 

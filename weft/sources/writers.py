@@ -46,6 +46,11 @@ def _renamed(fs, source, target) -> None:
         raise OSError(f"{source} could not be renamed to {target}")
 
 
+def remove(spark: SparkSession, path: str) -> None:
+    fs, at = _filesystem(spark, path)
+    fs.delete(at, True)
+
+
 def swap(spark: SparkSession, path: str) -> None:
     """Put the table at `path`.staged in the place of the one at `path`. The old table is moved aside first and
     deleted last, so at every moment one of the two is there, and a swap that stopped anywhere is finished by
