@@ -132,12 +132,13 @@ def flagship(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query("P5_T10_H1_add_columns", f"SELECT doc_id, source, language, token_count, content_hash FROM {ENRICHED}")
 def _p5(spark, sf_dir):
-    return enriched(spark, sf_dir).select("doc_id", "source", "language", "token_count", "content_hash")
+    d = spread(docs(spark, sf_dir))
+    return corpus.add_columns(d, F.col("source"), F.col("lang")).select("doc_id", "source", "language", "token_count", "content_hash")
 
 
 @query("T11_latin_ratio", f"SELECT doc_id, {RATIO.format('text', 'text', 'text')} AS ratio FROM documents")
 def _t11(spark, sf_dir):
-    return docs(spark, sf_dir).select("doc_id", T.latin_ratio(F.col("text")).alias("ratio"))
+    return spread(docs(spark, sf_dir)).select("doc_id", T.latin_ratio(F.col("text")).alias("ratio"))
 
 
 _FX_QUALITY = X.values(X.QUALITY, "text")
@@ -151,12 +152,12 @@ def _quality(spark, sf_dir):
 
 @query("F1_usable", f"SELECT doc_id FROM documents WHERE {WORDS.format('text')} >= 30 AND {RATIO.format('text', 'text', 'text')} >= 0.4")
 def _f1(spark, sf_dir):
-    return docs(spark, sf_dir).filter(T.is_usable(F.col("text"))).select("doc_id")
+    return spread(docs(spark, sf_dir)).filter(T.is_usable(F.col("text"))).select("doc_id")
 
 
 @query("F2_F3_corpus_filter", f"SELECT doc_id FROM documents WHERE {WORDS.format('text')} >= 50 AND {RATIO.format('text', 'text', 'text')} >= 0.4")
 def _f2(spark, sf_dir):
-    return docs(spark, sf_dir).filter(T.is_usable(F.col("text"), 50)).select("doc_id")
+    return spread(docs(spark, sf_dir)).filter(T.is_usable(F.col("text"), 50)).select("doc_id")
 
 
 @query("A1_totals", f"SELECT count(*) AS total_docs, CAST(coalesce(sum(token_count), 0) AS BIGINT) AS total_tokens, coalesce(round_even(avg(token_count), 1), 0.0) AS avg_tokens, coalesce(min(token_count), 0) AS min_tokens, coalesce(max(token_count), 0) AS max_tokens FROM {ENRICHED}")

@@ -14,7 +14,12 @@ _MADE: dict[str, tuple[object, object]] = {}
 def shared_dir(spark: SparkSession) -> str:
     """The folder in spark.checkpoint.dir. Where it is unset, the warehouse, which all executors share too."""
     folder = spark.sparkContext.getConf().get("spark.checkpoint.dir", None)
-    return folder.rstrip("/") if folder else spark.conf.get("spark.sql.warehouse.dir").rstrip("/") + "/weft-staged"
+    if folder:
+        return folder.rstrip("/")
+    warehouse = spark.conf.get("spark.sql.warehouse.dir").rstrip("/")
+    if not spark.sparkContext.master.startswith("local") and (":" not in warehouse or warehouse.startswith("file:")):
+        raise ValueError("on a cluster, set spark.checkpoint.dir to a folder that all executors share")
+    return warehouse + "/weft-staged"
 
 
 def scratch(spark: SparkSession, name: str) -> str:
@@ -62,7 +67,7 @@ def spread(df: DataFrame) -> DataFrame:
     otherwise: a large table is never shuffled for it."""
     spark = df.sparkSession
     cores = spark.sparkContext.defaultParallelism
-    if len(df.inputFiles()) >= cores or df.rdd.getNumPartitions() >= cores:
+    if df.rdd.getNumPartitions() >= cores:
         return df
     return df.repartition(cores)
 
