@@ -25,7 +25,7 @@ class IndexedTable:
     """The Parquet table at `path`, and its index at `index` (by default beside it). `then` is called with the new
     rows and a name of each append after they are written; it may be called again with the same name."""
 
-    def __init__(self, spark: SparkSession, path: str, index: str | None = None, digits: int = 2, merge_at: int = 8, then: Callable[[DataFrame, str], None] | None = None):
+    def __init__(self, spark: SparkSession, path: str, index: str | None = None, digits: int | None = None, merge_at: int = 8, then: Callable[[DataFrame, str], None] | None = None):
         self.spark, self.path, self.then = spark, path.rstrip("/"), then
         self.index = HashIndex(spark, index or self.path + ".hashes", digits, merge_at)
         self.pending = self.index.path + ".pending"

@@ -1,7 +1,8 @@
 """A table of content hashes beside an append target, so that an append need not scan the target.
 
 Generations lie below one folder, each written aside and then renamed into place, so a half-written one is
-never seen. `g-<from>-<to>-<words>` covers the appends <from> to <to> and holds
+never seen. `g-<from>-<to>-<words>-<digits>` covers the appends <from> to <to>; its buckets are the hashes' first
+<digits> digits, more of them the more hashes it has. It holds
 
   hashes/bucket=<first digits>/   the hashes, one folder a bucket
   bloom/bucket=<first digits>/    a Bloom filter of each bucket: (slot, bits), <words> slots of 64 bits; a hash sets
@@ -26,18 +27,24 @@ from weft.sources.readers import exists
 from weft.sources.writers import _filesystem, _renamed
 from weft.staging import drop, staged
 
-#: Hashes for each slot of 64 bits of a Bloom filter, on average, at most.
-PER_SLOT = 4
+#: Hashes for each slot of 64 bits of a Bloom filter, and for each bucket, on average, at most (of up to 16 ** 4 buckets).
+PER_SLOT, PER_BUCKET, MOST_DIGITS = 4, 1_000_000, 4
 
 
 @dataclass(frozen=True)
 class Generation:
-    """A folder with the hashes of the appends first to last, and the slots of its Bloom filters."""
+    """A folder with the hashes of the appends first to last, the slots of each of its Bloom filters, and the digits
+    that name a bucket."""
 
     path: str
     first: int
     last: int
     words: int
+    digits: int
+
+
+def _bucket(digits: int) -> Column:
+    return F.left("hash", F.lit(digits))
 
 
 def _slot(words: int) -> Column:
@@ -51,9 +58,9 @@ def _bits() -> Column:
 
 
 class HashIndex:
-    """The hashes of a table, in 16 ** digits buckets."""
+    """The hashes of a table. `digits` sets those of new generations; by default their size does."""
 
-    def __init__(self, spark: SparkSession, path: str, digits: int = 2, merge_at: int = 8):
+    def __init__(self, spark: SparkSession, path: str, digits: int | None = None, merge_at: int = 8):
         self.spark, self.path, self.digits, self.merge_at = spark, path.rstrip("/"), digits, merge_at
 
     def generations(self) -> list[Generation]:
@@ -62,11 +69,11 @@ class HashIndex:
             return []
         fs, root = _filesystem(self.spark, self.path)
         names = [s.getPath().getName() for s in fs.listStatus(root)]
-        found = sorted((int(a), -int(b), int(w), n) for n in names if n.startswith("g-") for _, a, b, w in [n.split("-")])
+        found = sorted((int(a), -int(b), int(w), int(d), n) for n in names if n.startswith("g-") for _, a, b, w, d in [n.split("-")])
         out: list[Generation] = []
-        for first, last, words, name in found:
+        for first, last, words, digits, name in found:
             if not out or -last > out[-1].last:
-                out.append(Generation(f"{self.path}/{name}", first, -last, words))
+                out.append(Generation(f"{self.path}/{name}", first, -last, words, digits))
         return out
 
     def whole(self) -> bool:
@@ -74,23 +81,22 @@ class HashIndex:
         gens = self.generations()
         return bool(gens) and gens[0].first == 0 and all(a.last + 1 == b.first for a, b in zip(gens, gens[1:]))
 
-    def _bucket(self) -> Column:
-        return F.left("hash", F.lit(self.digits))
-
     def _write(self, hashes: DataFrame, first: int, last: int) -> None:
         """A generation of distinct hashes, put into place by a rename."""
         hashes = staged(hashes.select("hash").distinct(), "hashes")
-        n, words = hashes.count(), 1
-        while words * PER_SLOT * 16**self.digits < n:
+        n, words, digits = hashes.count(), 1, self.digits or 1
+        while self.digits is None and digits < MOST_DIGITS and 16**digits * PER_BUCKET < n:
+            digits += 1
+        while words * PER_SLOT * 16**digits < n:
             words *= 2
         aside = f"{self.path}/.writing-{first}-{last}"
         fs, at = _filesystem(self.spark, aside)
         fs.delete(at, True)
-        keyed = hashes.withColumn("bucket", self._bucket())
+        keyed = hashes.withColumn("bucket", _bucket(digits))
         keyed.repartition("bucket").sortWithinPartitions("bucket", "hash").write.partitionBy("bucket").parquet(f"{aside}/hashes")
         bloom = keyed.groupBy("bucket", _slot(words).alias("slot")).agg(F.bit_or(_bits()).alias("bits"))
         bloom.repartition("bucket").sortWithinPartitions("bucket", "slot").write.partitionBy("bucket").parquet(f"{aside}/bloom")
-        _renamed(fs, at, _filesystem(self.spark, f"{self.path}/g-{first}-{last}-{words}")[1])
+        _renamed(fs, at, _filesystem(self.spark, f"{self.path}/g-{first}-{last}-{words}-{digits}")[1])
         drop(hashes)
 
     def add(self, hashes: DataFrame) -> None:
@@ -118,19 +124,20 @@ class HashIndex:
             self._write(target_hashes(target).select(F.col("_hash").alias("hash")), 0, 0)
 
     def _read(self, part: str, gens: list[Generation], buckets: list[str] | None) -> DataFrame:
-        """Rows of a part of some generations with `gen`, of some buckets only."""
+        """Rows of a part of some generations with `gen`, of the buckets of some hashes' first digits only."""
         schema = {"hashes": "hash string, bucket string", "bloom": "slot long, bits long, bucket string"}[part]
         each = []
         for k, g in enumerate(gens):
             rows = self.spark.read.schema(schema).parquet(f"{g.path}/{part}").withColumn("gen", F.lit(k))
-            each.append(rows if buckets is None else rows.filter(F.col("bucket").isin(buckets)))
+            each.append(rows if buckets is None else rows.filter(F.col("bucket").isin(sorted({b[: g.digits] for b in buckets}))))
         return reduce(DataFrame.unionByName, each)
 
     def maybe(self, hashes: DataFrame) -> DataFrame:
         """(hash, gen) of distinct hashes that a generation's Bloom filters let through."""
-        gens, keyed = self.generations(), hashes.select("hash").distinct().withColumn("bucket", self._bucket())
-        bloom = self._read("bloom", gens, self._buckets(keyed))
-        tried = keyed.select("*", F.explode(F.array(*[F.struct(F.lit(k).alias("gen"), _slot(g.words).alias("slot")) for k, g in enumerate(gens)])).alias("t")).select("hash", "bucket", "t.*")
+        gens, known = self.generations(), hashes.select("hash").distinct()
+        bloom = self._read("bloom", gens, self._buckets(known, gens))
+        places = [F.struct(F.lit(k).alias("gen"), _slot(g.words).alias("slot"), _bucket(g.digits).alias("bucket")) for k, g in enumerate(gens)]
+        tried = known.select("hash", F.explode(F.array(*places)).alias("t")).select("hash", "t.*")
         met = tried.join(bloom, ["gen", "bucket", "slot"])
         return met.filter(F.col("bits").bitwiseAND(_bits()) == _bits()).select("hash", "gen", "bucket")
 
@@ -140,9 +147,10 @@ class HashIndex:
         if not gens:
             return hashes.select("hash").limit(0)
         likely = staged(self.maybe(hashes), "likely")
-        exact = self._read("hashes", gens, self._buckets(likely))
+        exact = self._read("hashes", gens, self._buckets(likely, gens))
         return likely.join(exact, ["gen", "bucket", "hash"], "left_semi").select("hash").distinct()
 
-    def _buckets(self, keyed: DataFrame) -> list[str]:
-        """The buckets of a batch: at most 16 ** digits."""
-        return sorted(r["bucket"] for r in keyed.select("bucket").distinct().collect())
+    @staticmethod
+    def _buckets(hashes: DataFrame, gens: list[Generation]) -> list[str]:
+        """The first digits of a batch's hashes, as many as the finest buckets have: at most 16 ** MOST_DIGITS."""
+        return [r["b"] for r in hashes.select(_bucket(max(g.digits for g in gens)).alias("b")).distinct().collect()]

@@ -9,7 +9,7 @@ from weft.operators.append import IndexedTable
 from weft.session import ship
 
 
-def append_stream(stream: DataFrame, path: str, checkpoint: str, within: bool = False, index: str | None = None, digits: int = 2) -> StreamingQuery:
+def append_stream(stream: DataFrame, path: str, checkpoint: str, within: bool = False, index: str | None = None, digits: int | None = None) -> StreamingQuery:
     """Append new rows of a stream to the Parquet table at `path`, by the hash index beside it: a micro-batch
     reads the buckets of its own hashes, never the table. A batch that runs again after a failure first ends what
     it had begun, finds all its hashes in the index and adds nothing."""
