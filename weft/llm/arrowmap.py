@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import ctypes
 from collections.abc import Callable, Iterator
 from contextlib import contextmanager
 
@@ -13,6 +14,15 @@ from pyspark.sql.types import StructType
 from weft.session import ship
 
 
+def trim() -> None:
+    """Give freed memory back to the system, where the C library can: workers live on between tasks."""
+    pa.default_memory_pool().release_unused()
+    try:
+        ctypes.CDLL(None).malloc_trim(0)
+    except AttributeError:
+        return
+
+
 def schema_of(df: DataFrame, keep: list[str], added: str) -> StructType:
     """The kept fields of df followed by the fields of a DDL string; an added name wins a clash."""
     new = StructType.fromDDL(added)
@@ -29,13 +39,14 @@ def map_text(df: DataFrame, keep: list[str], added: str, make: Callable[[], Call
     arrow = arrow_of(schema)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        of = make()
+        of: Callable[[list], list[list]] | None = make()
         for batch in batches:
             for at in range(0, batch.num_rows, slice_rows):
                 part = batch.slice(at, slice_rows)
                 columns = of(part.column(len(kept)).to_pylist())
                 yield pa.RecordBatch.from_arrays([part.column(i).cast(arrow.field(i).type) for i in range(len(kept))] + [pa.array(c, arrow.field(len(kept) + i).type) for i, c in enumerate(columns)], schema=arrow)
-        pa.default_memory_pool().release_unused()  # the worker lives on between tasks
+        of = None  # what the task has learned is freed before
+        trim()
 
     return df.select(*[F.col(f"`{c}`") for c in kept], F.col(f"`{text}`").cast("string").alias("_text")).mapInArrow(run, schema)
 

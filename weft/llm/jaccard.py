@@ -40,7 +40,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from weft.llm.arrowmap import arrow_schema, batch_bytes, broadcast
+from weft.llm.arrowmap import arrow_schema, batch_bytes, broadcast, trim
 from weft.llm.common import drop, shuffle_width, spread, staged
 from weft.llm.components import connected_components
 from weft.llm.langid import trim
@@ -179,7 +179,7 @@ def profiles(docs: DataFrame, id: str, text: str, n: int) -> DataFrame:
                 np.add.at(counts, np.concatenate(seen).astype(np.int64), np.uint32(1))
                 none = [None] * len(ids)
                 yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip((ids, nodes, sizes, none, none, none), schema)], schema=schema)
-        pa.default_memory_pool().release_unused()  # the worker lives on between tasks
+        trim()
         if counts.any():
             pack = zstandard.ZstdCompressor(level=1)
             for k, x in enumerate(np.split(counts, SLICES)):

@@ -13,7 +13,6 @@ table gives an empty result; columns not kept are dropped. Texts are used whole.
 
 from __future__ import annotations
 
-import ctypes
 import math
 
 import numpy as np
@@ -22,7 +21,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from weft.llm import wordcut
-from weft.llm.arrowmap import arrow_schema, broadcast, map_text
+from weft.llm.arrowmap import arrow_schema, broadcast, map_text, trim
 from weft.llm.wordcut import Rows, U, mixed
 from weft.session import ship
 
@@ -126,6 +125,7 @@ def word_counts(docs: DataFrame, lang: str, text: str) -> DataFrame:
                     keep = [i for i, w in enumerate(text) if any(c.isalpha() for c in w)]
                     values = ([names[code[first[i]]] for i in keep], [text[i] for i in keep], n[keep])
                     yield pa.RecordBatch.from_arrays([pa.array(v, f.type) for v, f in zip(values, schema)], schema=schema)
+        trim()
 
     return docs.select(F.col(f"`{lang}`").cast("string"), F.col(f"`{text}`").cast("string")).mapInArrow(count, "lang string, word string, n long").groupBy("lang", "word").agg(F.sum("n").alias("n"))
 
@@ -151,15 +151,6 @@ def train(labelled: DataFrame, id: str = "doc_id", lang: str = "lang", text: str
     return model
 
 
-def trim() -> None:
-    """Give freed memory back to the system, where the C library can."""
-    pa.default_memory_pool().release_unused()
-    try:
-        ctypes.CDLL(None).malloc_trim(0)
-    except AttributeError:
-        return
-
-
 class Scorer:
     """A worker's model with the scores of words met since."""
 
@@ -214,7 +205,7 @@ class Scorer:
         return [[m.langs[b] if s else UNKNOWN for b, s in zip(best.tolist(), some.tolist())], score, share]
 
 
-def identify(docs: DataFrame, model: WordBackoffModel, keep: list[str], text: str = "text", memo_words: int = 1_000_000) -> DataFrame:
+def identify(docs: DataFrame, model: WordBackoffModel, keep: list[str], text: str = "text", memo_words: int = 250_000) -> DataFrame:
     """The kept columns, `lang_pred`, `score` (the posterior of the language) and `known` (the share of words
     that the sample holds) for every row. A task's memory holds the model and the scores of at most about
     `memo_words` further words."""

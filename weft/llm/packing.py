@@ -23,7 +23,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
-from weft.llm.arrowmap import arrow_of, schema_of
+from weft.llm.arrowmap import arrow_of, schema_of, trim
 from weft.llm.common import staged
 from weft.llm.tokens import encoder, with_end
 from weft.session import ship
@@ -105,7 +105,7 @@ def cut(docs: DataFrame, keep: list[str], tokenizer: str, capacity: int = 2048,
                 columns = [start, length, [zlib.crc32(x) for x in pieces], total[of]] + [[bytes(x) for x in pieces]] * with_ids
                 own = [rows.column(i).take(pa.array(of)).cast(arrow.field(i).type) for i in range(len(kept))]
                 yield pa.RecordBatch.from_arrays(own + [pa.array(c, arrow.field(len(kept) + i).type) for i, c in enumerate(columns)], schema=arrow)
-        pa.default_memory_pool().release_unused()  # the worker lives on between tasks
+        trim()
 
     return docs.select(*[F.col(f"`{c}`") for c in kept], F.col(f"`{text}`").cast("string").alias("_text")).mapInArrow(run, schema)
 
