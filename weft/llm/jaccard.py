@@ -43,7 +43,6 @@ from pyspark.sql import functions as F
 from weft.llm.arrowmap import arrow_schema, batch_bytes, broadcast, trim
 from weft.llm.common import drop, shuffle_width, spread, staged
 from weft.llm.components import connected_components
-from weft.llm.langid import trim
 from weft.llm.wordcut import MIX, mixed
 from weft.session import ship
 

@@ -165,3 +165,58 @@ def op12_urls(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op13_spelling(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spelling.variants(spelling.vocabulary(table(spark, sf_dir, "documents"), typo_every=97))
+
+
+ORACLE_SQL["op1_suffix_dedup"] = r"""
+WITH raw AS (
+  SELECT doc_id, hex(encode(coalesce(text, ''))) AS h, strlen(coalesce(text, '')) AS n FROM documents
+), places AS (
+  SELECT doc_id, i, substr(h, CAST(2 * i + 1 AS BIGINT), 100) AS s FROM (SELECT doc_id, h, unnest(range(n - 49)) AS i FROM raw)
+), earlier AS (
+  SELECT doc_id, i, min(doc_id) OVER (PARTITION BY s) < doc_id AS gone FROM places
+), runs AS (
+  SELECT doc_id, i, i > lag(i) OVER w + 50 OR lag(i) OVER w IS NULL AS new FROM earlier WHERE gone WINDOW w AS (PARTITION BY doc_id ORDER BY i)
+), numbered AS (
+  SELECT doc_id, i, count(*) FILTER (new) OVER (PARTITION BY doc_id ORDER BY i) AS k FROM runs
+), removed AS (
+  SELECT doc_id, min(i) AS a, max(i) + 50 AS b FROM numbered GROUP BY doc_id, k
+), kept AS (
+  SELECT doc_id, b AS a, lead(a) OVER (PARTITION BY doc_id ORDER BY b) AS z FROM (SELECT doc_id, a, b FROM removed UNION ALL SELECT doc_id, 0, 0 FROM raw)
+), texts AS (
+  SELECT r.doc_id, string_agg(substr(h, CAST(2 * a + 1 AS BIGINT), CAST(2 * (coalesce(z, n) - a) AS BIGINT)), '' ORDER BY a) AS t FROM raw r JOIN kept k ON r.doc_id = k.doc_id GROUP BY r.doc_id
+), sums AS (
+  SELECT doc_id, sum(b - a) AS n_removed, count(*) AS n_spans FROM removed GROUP BY doc_id
+)
+SELECT doc_id, n AS n_bytes, CAST(coalesce(n_removed, 0) AS BIGINT) AS n_removed, coalesce(n_spans, 0) AS n_spans, sha256(unhex(t)) AS kept_sha256 FROM raw LEFT JOIN sums USING (doc_id) JOIN texts USING (doc_id)
+"""
+
+
+ORACLE_SQL["op5_ngram_jaccard"] = r"""
+WITH RECURSIVE words AS (
+  SELECT doc_id, regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS w FROM documents
+), shingles AS (
+  SELECT DISTINCT doc_id, unnest(CASE WHEN len(w) >= 4 THEN list_transform(range(1, len(w) - 2), lambda i: array_to_string(w[i:i + 3], ' ')) WHEN len(w) > 0 THEN [array_to_string(w, ' ')] ELSE [] END) AS s FROM words
+), sizes AS (
+  SELECT doc_id, count(*) AS n FROM shingles GROUP BY doc_id
+), common AS (
+  SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS n FROM shingles a JOIN shingles b ON a.s = b.s AND a.doc_id <> b.doc_id GROUP BY ALL
+), links AS (
+  SELECT a, b FROM common c JOIN sizes x ON x.doc_id = a JOIN sizes y ON y.doc_id = b WHERE 100 * c.n >= 85 * (x.n + y.n - c.n)
+), reached AS (
+  SELECT doc_id AS a, doc_id AS b FROM documents
+  UNION SELECT r.a, l.b FROM reached r JOIN links l ON r.b = l.a
+)
+SELECT doc_id, coalesce((SELECT n FROM sizes s WHERE s.doc_id = d.doc_id), 0) AS n_shingles, (SELECT min(b) FROM reached r WHERE r.a = d.doc_id) AS component_id, (SELECT count(*) FROM links l WHERE l.a = d.doc_id) AS n_links FROM documents d
+"""
+
+
+ORACLE_SQL["op8_warc"] = r"""
+WITH p AS (
+  SELECT page_id, strlen(coalesce(html, '')) AS payload_bytes, sha1(coalesce(html, '')) AS h, max(page_id) OVER (PARTITION BY coalesce(html, '')) AS top FROM pages
+), b AS (
+  SELECT *, list_transform(range(8), lambda i: CAST('0x' || substr(h, 5 * i + 1, 5) AS INTEGER)) AS fives, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ234567' AS letters FROM p
+)
+SELECT page_id, payload_bytes, array_to_string(list_transform(fives, lambda v: letters[(v >> 15) + 1] || letters[((v >> 10) & 31) + 1] || letters[((v >> 5) & 31) + 1] || letters[(v & 31) + 1]), '') AS payload_digest,
+  CASE WHEN page_id = top THEN 'response' ELSE 'revisit' END AS record_type, CASE WHEN page_id < top THEN top END AS refers_to
+FROM b
+"""
