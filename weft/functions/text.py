@@ -8,6 +8,7 @@ and the underscore.
 from __future__ import annotations
 
 import html
+from collections.abc import Callable
 
 import pandas as pd
 from pyspark.sql import Column
@@ -59,6 +60,8 @@ LINE_ANYWHERE = ["cookie", "Opens in a new window"]
 LAST_LATIN = 0x24F
 
 SPACE = r"[\s\x1c-\x1f]"
+#: The characters of SPACE, for trimming, which needs no pattern then.
+SPACES = "\t\n\x0b\x0c\r\x1c\x1d\x1e\x1f \x85\xa0\u1680" + "".join(map(chr, range(0x2000, 0x200B))) + "\u2028\u2029\u202f\u205f\u3000"
 LETTER = r"[a-zA-ZÀ-ɏ]"
 LINE_END = "[\n\u0085  ]"
 
@@ -79,13 +82,19 @@ def _replace(c: Column, pattern: str, by: str = "", flags: str = "dU") -> Column
     return F.regexp_replace(c, F.lit(f"(?{flags}){pattern}"), F.lit(by))
 
 
+def _where(c: Column, mark: str, f: Callable[[Column], Column]) -> Column:
+    """f of texts that hold a mark, which is looked for in their bytes. Bound as a lambda variable, so that the text
+    is made once."""
+    return F.transform(F.array(c), lambda x: F.when(F.contains(x, F.lit(mark)), f(x)).otherwise(x))[0]
+
+
 def strip(c: Column) -> Column:
-    return _replace(c, rf"\A{SPACE}+|{SPACE}+\z")
+    return F.btrim(c, F.lit(SPACES))
 
 
 def normalize_line_ends(c: Column) -> Column:
     """CRLF and CR become LF, control characters but tab and LF go."""
-    return F.regexp_replace(F.regexp_replace(c, "\r\n?", "\n"), r"[\x00-\x08\x0b\x0c\x0e-\x1f\x7f]", "")
+    return F.regexp_replace(_where(c, "\r", lambda x: F.regexp_replace(x, "\r\n?", "\n")), r"[\x00-\x08\x0b\x0c\x0e-\x1f\x7f]", "")
 
 
 def collapse_blank_lines(c: Column) -> Column:
@@ -108,8 +117,8 @@ def latin_ratio(c: Column) -> Column:
     which the second leaves next to nothing of a Latin text."""
     solid = F.length(_replace(c, rf"{SPACE}+"))
     high = F.length(F.regexp_replace(c, r"(?U)[\x00-\x{24F}\s]+", ""))
-    # Without a condition around it, the number of characters is computed once for both its uses.
-    return F.coalesce(F.try_divide(solid - high, solid), F.lit(0.0))
+    # Bound as a lambda variable: filters compute an expression anew at each of its uses.
+    return F.coalesce(F.transform(F.array(solid), lambda n: F.try_divide(n - high, n))[0], F.lit(0.0))
 
 
 def content_hash(c: Column) -> Column:
@@ -137,8 +146,9 @@ def unescape(texts: pd.Series) -> pd.Series:
 
 
 @F.pandas_udf(ArrayType(StringType()))
-def unescape_all(texts: pd.Series) -> pd.Series:
-    return texts.map(lambda a: [html.unescape(t) for t in a], na_action="ignore")
+def unescape_each(texts: pd.Series) -> pd.Series:
+    """The lines of a text, with their entities decoded one by one: what a line decodes to may hold line ends."""
+    return texts.map(lambda t: [html.unescape(x) if "&" in x else x for x in t.split("\n")], na_action="ignore")
 
 
 #: Rewrites 2-13 of a line (pattern, replacement, flags), in their order.
@@ -156,19 +166,17 @@ MARKUP = [
     (r"[\s\x1c-\x1f]*\|[\s\x1c-\x1f]*", " ", "dU"),
     ("[ \t]+", " ", "dU"),
 ]
-#: Rewrites of a text of the file corpus before its lines are dropped.
+#: Rewrites of a text of the file corpus before its lines are dropped, behind what each of them needs.
 CORPUS = [
-    (r"([\p{L}\p{N}_])~([\p{L}\p{N}_])", "$1$2", "dU"),
-    (r"'[\s\x1c-\x1f]+([a-zA-Z])", "'$1", "dU"),
-    (r"\[\s*\d+\s*\]", "", "dU"),
-    (r"\(\s*\d+\s*\)", "", "dU"),
+    ("~", r"([\p{L}\p{N}_])~([\p{L}\p{N}_])", "$1$2", "dU"),
+    ("'", r"'[\s\x1c-\x1f]+([a-zA-Z])", "'$1", "dU"),
+    ("[", r"\[\s*\d+\s*\]", "", "dU"),
+    ("(", r"\(\s*\d+\s*\)", "", "dU"),
 ]
 #: Lines of the file corpus that go, by what they begin with.
 TITLE, RULE = r"(?dUiu)^Title\s*:", r"^[=\-*.]{2,}"
 #: Fixed value: a line of nothing but parentheses.
 PARENTHESES = r"^[\s\x1c-\x1f]*\(.*?\)[\s\x1c-\x1f]*$"
-#: Lines with entities that go to Python alone; a text with more of them is sent whole.
-FEW = 64
 
 
 def clean_markup(c: Column) -> Column:
@@ -183,23 +191,14 @@ def clean_inline(c: Column) -> Column:
     return clean_markup(unescape(c))
 
 
-def unescape_lines(kept: Column) -> Column:
-    """An array's lines with HTML entities decoded; only lines with an ampersand go to Python."""
-    has = lambda x: F.contains(x, F.lit("&"))
-    some = F.filter(kept, has)
-    many = F.size(some) > FEW
-    back = unescape_all(F.when(many, kept).otherwise(some))
-    # Python functions may not stand in a lambda: what they gave is bound as a variable.
-    bound = F.array(F.struct(kept.alias("kept"), some.alias("some"), many.alias("many"), back.alias("back")))
-    line = lambda s: lambda x, i: F.when(~has(x), x).when(s["many"], F.get(s["back"], i)).otherwise(F.get(s["back"], F.array_position(s["some"], x).cast("int") - 1))
-    return F.transform(bound, lambda s: F.transform(s["kept"], line(s)))[0]
-
-
 def clean_text(c: Column) -> Column:
     """The web cleaner: boilerplate lines go, the rest is rewritten, lines without letters go, blank
     ones stay (T1). Null gives the empty text."""
-    kept = F.filter(lines(normalize_line_ends(F.coalesce(c, F.lit("")))), lambda x: ~is_boilerplate(x))
-    rewritten = F.transform(unescape_lines(kept), lambda x: strip(clean_markup(x)))
+    c = F.coalesce(c, F.lit(""))
+    kept = F.filter(lines(normalize_line_ends(c)), lambda x: ~is_boilerplate(x))
+    # A text's lines are made once: for Python if it has an ampersand, else here.
+    decoded = F.coalesce(unescape_each(F.when(F.contains(c, F.lit("&")), F.array_join(kept, "\n"))), kept)
+    rewritten = F.transform(decoded, lambda x: strip(clean_markup(x)))
     return collapse_blank_lines(F.array_join(F.filter(rewritten, lambda x: (x == "") | has_letter(x)), "\n"))
 
 
@@ -207,13 +206,13 @@ def clean_corpus(c: Column, lang: Column) -> Column:
     """The file-corpus cleaner (T7); lines of nothing but parentheses are blanked where lang is ceb."""
     c = F.coalesce(unescape(F.when(F.contains(c, F.lit("&")), c)), c)
     c = normalize_line_ends(c)
-    for pattern, by, flags in CORPUS:
-        c = _replace(c, pattern, by, flags)
+    for mark, pattern, by, flags in CORPUS:
+        c = _where(c, mark, lambda x: _replace(x, pattern, by, flags))  # noqa: B023
     dropped = lambda s: s.rlike(TITLE) | s.rlike(RULE) | ((s != "") & ~has_letter(s))
-    c = F.array_join(F.filter(lines(c), lambda x: ~dropped(strip(x))), "\n")
-    c = F.when(lang == "ceb", _replace(c, PARENTHESES, "", "mdU")).otherwise(c)
-    c = _replace(c, "[ \t]+", " ")
-    return collapse_blank_lines(F.array_join(F.transform(lines(c), strip), "\n"))
+    # No later rewrite leaves white space at a line's ends or makes a line, so lines are cut and stripped here only.
+    c = F.array_join(F.filter(F.transform(lines(c), strip), lambda s: ~dropped(s)), "\n")
+    c = F.transform(F.array(c), lambda x: F.when(lang == "ceb", _replace(x, PARENTHESES, "", "mdU")).otherwise(x))[0]
+    return collapse_blank_lines(_replace(c, "[ \t]+", " "))
 
 
 def clean_sentence(c: Column) -> Column:
