@@ -24,3 +24,11 @@ def test_strip_by_listed_characters(spark):
     rows = [(f"{s}a{s}b{s}{s}",) for s in spaces] + [("".join(spaces),), ("",), (None,), ("é​",)]
     got = [r[0] for r in spark.createDataFrame(rows, "t string").select(T.strip("t")).collect()]
     assert got == [t if t is None else t.strip() for (t,) in rows]
+
+
+def test_files_are_split_once_and_not_shuffled_for_their_source(spark):
+    files = registry.corpus_files(spark, SF)
+    assert "strategy=broadcast" in plan(files)
+    split = plan(corpus.file_documents(files))
+    assert "size(transform(" not in "".join(line for line in split.split("\n") if "Filter" in line)
+    assert "Generate posexplode" in split and ", true, [pos#" in split

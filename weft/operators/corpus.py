@@ -57,8 +57,8 @@ def split_documents(c: Column, target_words: int = 200, short_words: int = 80, f
     more than `few` and short on average they are gathered until `target_words`, else the text is one."""
     solid = lambda a: F.filter(F.transform(a, T.strip), lambda x: x != "")
     paragraphs = solid(F.split(c, "\n{2,}", -1))
-    pieces = F.when(F.size(paragraphs) == 1, solid(T.lines(c))).otherwise(paragraphs)
-    # Bound as a lambda variable, so that the pieces are made once.
+    # Bound as lambda variables, so that paragraphs and pieces are made once.
+    pieces = F.transform(F.array(paragraphs), lambda a: F.when(F.size(a) == 1, solid(T.lines(c))).otherwise(a))[0]
     counted = F.transform(F.array(F.transform(pieces, lambda x: F.struct(x.alias("t"), T.word_count(x).alias("n")))), lambda p: _gathered(p, c, target_words, short_words, few))
     return counted[0]
 
@@ -109,12 +109,22 @@ def range_shifts(placed: DataFrame, source: Column) -> DataFrame:
     return totals.select("_of", "_source", "_first", F.coalesce(before, F.lit(0)).alias("_before"))
 
 
-def file_corpus(files: DataFrame, min_words: int = 50, min_latin_ratio: float = 0.4) -> DataFrame:
-    """Records of files (source_ord, source, language, name, text), entry B: cleaned, split, filtered,
-    first-wins deduplicated, numbered: text, id, source, language, token_count."""
+def exploded(df: DataFrame, array: Column, pos: str, value: str) -> DataFrame:
+    """df with a row for each element. The optimizer puts a filter on the size of what posexplode() takes, which
+    makes the array anew; it does not for the outer form."""
+    return df.select("*", F.posexplode_outer(array).alias(pos, value)).filter(F.col(pos).isNotNull())
+
+
+def file_documents(files: DataFrame, min_words: int = 50, min_latin_ratio: float = 0.4) -> DataFrame:
+    """Documents of files (source_ord, source, language, name, text): cleaned, split, filtered, first-wins
+    deduplicated: source_ord, source, language, name, pos, text, token_count."""
     ship(files.sparkSession)
     cleaned = once(spread(files), text=T.clean_corpus(F.col("text"), F.col("language")))
-    docs = cleaned.select("source_ord", "source", "language", "name", F.posexplode(split_documents(F.col("text"))).alias("pos", "text"))
+    docs = exploded(cleaned, split_documents(F.col("text")), "pos", "doc").select("source_ord", "source", "language", "name", "pos", F.col("doc").alias("text"))
     good = once(docs, token_count=T.word_count(F.col("text"))).filter((F.col("token_count") >= min_words) & (T.latin_ratio(F.col("text")) >= min_latin_ratio))
-    first = first_wins(good, T.content_hash(F.col("text")), "source_ord", "name", "pos")
-    return running_index(first, "source_ord", "name", "pos").select("text", record_id(F.col("source"), F.col("name"), F.col("doc_idx")).alias("id"), "source", "language", "token_count")
+    return first_wins(good, T.content_hash(F.col("text")), "source_ord", "name", "pos")
+
+
+def file_corpus(files: DataFrame, min_words: int = 50, min_latin_ratio: float = 0.4) -> DataFrame:
+    """Records of files, entry B: file_documents, numbered: text, id, source, language, token_count."""
+    return running_index(file_documents(files, min_words, min_latin_ratio), "source_ord", "name", "pos").select("text", record_id(F.col("source"), F.col("name"), F.col("doc_idx")).alias("id"), "source", "language", "token_count")
