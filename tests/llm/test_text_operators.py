@@ -293,6 +293,19 @@ def test_decontamination_running_extremes(spark):
     assert got == {i: brute_window(p) for i, p in rows}
 
 
+def test_decontamination_plans_hold_no_bit_tables(spark):
+    """The tables are data: as literals they filled the driver with texts of plans. Their views go."""
+    docs, items = (spark.read.parquet(f"{SF}/{n}.parquet") for n in ("documents", "benchmark"))
+    views = lambda: [t.name for t in spark.catalog.listTables() if t.name.startswith("weft_bits")]
+    known = decontam.seeds(decontam.benchmark_words(items, "item_id", "text"))
+    first, seed = (decontam._bit_table(known, c, 1 << 20) for c in ("pair", "seed"))
+    assert len(views()) == 2
+    own = (F.col("doc_id").alias("_id"), F.xxhash64("text").alias("_text_hash"))
+    found = decontam._found(docs, own, "text", f"filter(array(named_struct('at', 0, 'seed', _h[0])), x -> {decontam._in_table('_t.first', 'x.seed', 1 << 20)} or {decontam._in_table('_t.seed', 'x.seed', 1 << 20)})", first, seed)
+    text = found._jdf.queryExecution().optimizedPlan().toString()
+    assert len(text) < 50_000 and text.count("Project") == 2 and not views() and found.count() > 0
+
+
 def test_decontamination_query(spark):
     words = lambda t: [w for w in re.split(r"[\W_]+", (t or "").lower()) if w]
     grams = set()

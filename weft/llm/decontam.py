@@ -17,6 +17,7 @@ than the masks is looked for by a hash of all its words, at the places where its
 
 from __future__ import annotations
 
+import uuid
 from fractions import Fraction
 
 from pyspark.sql import DataFrame
@@ -52,14 +53,34 @@ def _in_table(table: str, value: str, bits: int) -> str:
     return f"(shiftright({table}[cast(shiftright({value} & {bits - 1}L, 6) as int)], cast({value} & 63L as int)) & 1L) = 1L"
 
 
-def _bit_table(known: DataFrame, column: str, bits: int) -> list[int]:
-    """At most bits / 64 words reach the driver, whatever the benchmark's size."""
+def _bit_table(known: DataFrame, column: str, bits: int) -> str:
+    """SQL of the words of a bit table: a subquery on a staged row of bits / 64 words, whatever the benchmark's size.
+    As a literal they would stand in every text of the plan that the driver makes and keeps."""
     b = F.col(column).bitwiseAND(F.lit(bits - 1))
-    slots = known.select(b.alias("b")).groupBy(F.shiftright("b", 6).cast("int").alias("slot")).agg(F.expr("bit_or(shiftleft(1L, cast(b & 63L as int)))").alias("word")).collect()
-    table = [0] * (bits // 64)
-    for r in slots:
-        table[r["slot"]] = r["word"]
-    return table
+    slots = known.select(b.alias("b")).groupBy(F.shiftright("b", 6).alias("slot")).agg(F.expr("bit_or(shiftleft(1L, cast(b & 63L as int)))").alias("word"))
+    every = known.sparkSession.range(bits // 64).withColumnRenamed("id", "slot").join(slots, "slot", "left").select("slot", F.coalesce("word", F.lit(0)).alias("word"))
+    words = every.agg(F.array_sort(F.collect_list(F.struct("slot", "word"))).alias("of")).select(F.transform("of", lambda x: x["word"]).alias("words"))
+    view = f"weft_bits_{uuid.uuid4().hex}"
+    staged(words, "bits").createTempView(view)
+    return f"(SELECT words FROM {view})"
+
+
+def _forget(df: DataFrame, *tables: str) -> DataFrame:
+    """df, whose plan has read the views of some tables by now, which go."""
+    for t in tables:
+        df.sparkSession.catalog.dropTempView(t.removeprefix("(SELECT words FROM ").removesuffix(")"))
+    return df
+
+
+def _found(docs: DataFrame, own: tuple, text: str, found: str, first: str, seed: str) -> DataFrame:
+    """(_id, _text_hash, at, seed) of what an expression on a document's word hashes _h and the tables _t.first and
+    _t.seed finds. Tables and hashes are used once, so that the optimizer puts them into the one place that reads
+    them, and no row holds a table."""
+    named = docs.select(*own, F.col(f"`{text}`").alias("_text"), F.expr(first).alias("_first"), F.expr(seed).alias("_seed"))
+    tables = "array(named_struct('first', _first, 'seed', _seed))"
+    all_found = named.select("_id", "_text_hash", F.expr(f"transform({tables}, _t -> transform(array({hashes_sql('_text')}), _h -> {found})[0])[0]").alias("_found"))
+    # explode() would have the optimizer evaluate the array a second time, in a filter on its size.
+    return _forget(all_found, first, seed).select("_id", "_text_hash", F.explode_outer("_found").alias("x")).filter("x is not null").select("_id", "_text_hash", "x.*")
 
 
 def _places(m: int) -> str:
@@ -126,11 +147,11 @@ def _with_short(met: DataFrame, docs: DataFrame, own: tuple, text: str, known: D
     bits, n = 64, sum(lengths.values())
     while bits < min(max_bits, 32 * n):
         bits *= 2
-    firsts, wanted = (f"from_json('{_bit_table(known, c, bits)}', 'array<bigint>')" for c in ("first", "seed"))
+    firsts, wanted = "_t.first", "_t.seed"
     places = f"if(size(_h) = 0, cast(array() as array<int>), filter(sequence(0, size(_h) - 1), i -> {_in_table(firsts, '_h[i]', bits)}))"
     hit = ", ".join(f"filter(transform(filter(_at, i -> i + {k} <= size(_h)), i -> named_struct('at', i, 'seed', {_whole(k, '_h', 'i')})), x -> {_in_table(wanted, 'x.seed', bits)})" for k in sorted(lengths))
-    found = f"transform(array({hashes_sql(text)}), _h -> transform(array({places}), _at -> concat({hit}))[0])[0]"
-    hits = docs.select(*own, F.explode_outer(F.expr(found)).alias("x")).filter("x is not null").select("_id", "_text_hash", "x.*")
+    found = f"transform(array({places}), _at -> concat({hit}))[0]"
+    hits = _found(docs, own, text, found, _bit_table(known, "first", bits), _bit_table(known, "seed", bits))
     near = F.broadcast if n <= broadcast_rows else lambda df: df
     return met.unionByName(hits.join(near(known), "seed").select("_id", "_text_hash", "_item", "n_words", F.col("at").alias("_diagonal")))
 
@@ -145,17 +166,16 @@ def overlaps(docs: DataFrame, benchmark: DataFrame, id: str = "doc_id", text: st
     bits = 64
     while bits < min(max_bits, 32 * n):
         bits *= 2
-    pairs, wanted = (f"from_json('{_bit_table(known, c, bits)}', 'array<bigint>')" for c in ("pair", "seed"))
+    pairs, wanted = "_t.first", "_t.seed"
     # The arrays are bound as lambda variables: as columns they would be put in at each use and made anew
     # for every place.
     last = PAIR[1] + 1
     places = f"if(size(_h) < {last}, cast(array() as array<int>), filter(sequence(0, size(_h) - {last}), i -> {_in_table(pairs, _pair('i'), bits)}))"
     hit = ", ".join(f"filter(transform(filter(_at, i -> i + {max(m)} < size(_h)), i -> named_struct('at', i, 'seed', {_seed(k)})), x -> {_in_table(wanted, 'x.seed', bits)})" for k, m in enumerate(MASKS))
-    found = f"transform(array({hashes_sql(text)}), _h -> transform(array({places}), _at -> concat({hit}))[0])[0]"
+    found = f"transform(array({places}), _at -> concat({hit}))[0]"
     own = (F.col(f"`{id}`").alias("_id"), F.xxhash64(F.coalesce(F.col(f"`{text}`").cast("string"), F.lit(""))).alias("_text_hash"))
     near = F.broadcast if n <= broadcast_rows else lambda df: df
-    # explode() would have the optimizer evaluate the array a second time, in a filter on its size.
-    hits = docs.select(*own, F.explode_outer(F.expr(found)).alias("x")).filter("x is not null").select("_id", "_text_hash", "x.*")
+    hits = _found(docs, own, text, found, _bit_table(known, "pair", bits), _bit_table(known, "seed", bits))
     met = hits.join(near(known), "seed").select("_id", "_text_hash", "_item", "n_words", (F.col("at") - F.col("place")).alias("_diagonal"))
     met = staged(_with_short(met, docs, own, text, staged(short_seeds(items), "short"), max_bits, broadcast_rows).distinct(), "diagonals")
     n_met = met.count()
@@ -163,8 +183,8 @@ def overlaps(docs: DataFrame, benchmark: DataFrame, id: str = "doc_id", text: st
     bits = 64
     while bits < min(max_bits, 32 * n_met):
         bits *= 2
-    texts = f"from_json('{_bit_table(met, '_text_hash', bits)}', 'array<bigint>')"
-    few = docs.select(*own, F.col(f"`{text}`").cast("string").alias("_text")).filter(F.expr(_in_table(texts, "_text_hash", bits)))
+    texts = _bit_table(met, "_text_hash", bits)
+    few = _forget(docs.select(*own, F.col(f"`{text}`").cast("string").alias("_text")).filter(F.expr(_in_table(texts, "_text_hash", bits))), texts)
     few = few.groupBy("_id", "_text_hash").agg(F.first("_text").alias("_text")).select(F.col("_id").alias("_key"), F.col("_text_hash").alias("_key_hash"), F.expr(hashes_sql("_text")).alias("_h"))
     # The item's words on the diagonal, from its place _from on, against the document's.
     met = met.withColumn("_from", F.greatest(F.lit(0), -F.col("_diagonal"))).join(few, F.col("_text_hash").eqNullSafe(F.col("_key_hash")) & F.col("_id").eqNullSafe(F.col("_key")))
