@@ -43,9 +43,9 @@ def split_lines(lines: DataFrame, keys: list[str] | None = None, clean: Callable
     keys = keys or ["file"]
     at = ["split", "at"]
     body = clean(F.col("line")) if clean else F.col("line")
-    rows = staged(lines.select(*keys, *at, body.alias("line")).withColumn("words", T.word_count(F.col("line"))), "lines")
-    numbered = _paragraphs(rows, keys)
-    paragraphs = numbered.filter("line <> ''").groupBy(*keys, "paragraph").agg(F.sum("words").cast("long").alias("words"), F.min(F.struct(*at)).alias("first")).filter("words > 0")
+    rows = staged(lines.select(*keys, *at, body.alias("line")).withColumns({"words": T.word_count(F.col("line")), "blank": F.col("line") == ""}), "lines")
+    # Lines are numbered twice: without their texts to count words, with them to put paragraphs together.
+    paragraphs = _paragraphs(rows.drop("line"), keys).filter("not blank").groupBy(*keys, "paragraph").agg(F.sum("words").cast("long").alias("words"), F.min(F.struct(*at)).alias("first")).filter("words > 0")
     files = staged(paragraphs.groupBy(*keys).agg(F.count("*").alias("n"), F.sum("words").alias("words")), "files")
     one = files.filter("n = 1").select(*keys)
     # Files of one paragraph: their lines, by all line ends, are the pieces.
@@ -57,7 +57,7 @@ def split_lines(lines: DataFrame, keys: list[str] | None = None, clean: Callable
     pieces = by_line.select(*keys, *at, "sub", "words").unionByName(paragraphs.join(one, keys, "left_anti").select(*keys, "first.*", F.lit(0).alias("sub"), "words"))
     placed = staged(_chunks(pieces.join(chunked, keys, "left_semi"), keys, target_words), "chunks")
     # A paragraph's text is put together by its number, which its first line gives.
-    texts = _joined(numbered.filter("line <> ''").join(chunked, keys, "left_semi").join(one, keys, "left_anti"), [*keys, "paragraph"], at, "line", first=True)
+    texts = _joined(_paragraphs(rows, keys).filter("not blank").join(chunked, keys, "left_semi").join(one, keys, "left_anti"), [*keys, "paragraph"], at, "line", first=True)
     texts = texts.select(*keys, "first.*", F.lit(0).alias("sub"), T.strip(F.col("text")).alias("piece")).unionByName(by_line.select(*keys, *at, "sub", "piece"))
     docs = _joined(placed.join(texts, [*keys, *at, "sub"]), [*keys, "pos"], [*at, "sub"], "piece")
     return docs.select(*keys, "pos", F.col("text").alias("doc")).unionByName(whole.withColumnRenamed("text", "doc"))
@@ -71,12 +71,12 @@ def _joined(rows: DataFrame, keys: list[str], at: list[str], text: str, first: b
 
 
 def _paragraphs(rows: DataFrame, keys: list[str]) -> DataFrame:
-    """rows with the number of their paragraph in the file: lines that are not empty, after an empty one, begin
+    """rows (keys, split, at, blank) with the number of their paragraph in the file: lines that are not empty, after an empty one, begin
     one. Windows run within a split; from split to split go a row's worth of counts."""
     here = Window.partitionBy(*keys, "split").orderBy("at")
-    begins = (F.col("line") != "") & (F.coalesce(F.lag("line").over(here), F.lit("x")) == "")
+    begins = ~F.col("blank") & F.coalesce(F.lag("blank").over(here), F.lit(False))
     own = rows.withColumn("begins", begins.cast("int"))
-    ends = lambda f: f(F.struct("at", (F.col("line") == "").alias("empty")))["empty"]
+    ends = lambda f: f(F.struct("at", "blank"))["blank"]
     splits = own.groupBy(*keys, "split").agg(F.sum("begins").alias("begun"), ends(F.min).alias("empty_first"), ends(F.max).alias("empty_last"))
     over = Window.partitionBy(*keys).orderBy("split")
     # The first line of a split begins a paragraph too if the split before it ended in an empty line.
