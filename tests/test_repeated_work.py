@@ -2,9 +2,11 @@
 
 import pytest
 
+from pyspark.sql import functions as F
+
 from weft.functions import text as T
-from weft.operators import corpus
-from weft.plans import registry
+from weft.operators import big_files, corpus
+from weft.plans import io_queries, registry
 
 SF = "/root/testdata/sf0.001"
 
@@ -40,3 +42,17 @@ def test_file_counts_need_no_numbers(spark, monkeypatch):
 
     monkeypatch.setattr(corpus, "running_index", refuse)
     assert registry.QUERIES["A5_files_by_source"](spark, SF).count() > 0
+
+
+def test_ranges_grow_in_number_with_the_input(spark, monkeypatch):
+    """A row of 64 MB of texts more is a range more, not a larger range."""
+    texts = spark.range(6).select(F.col("id").alias("doc_id"), F.expr("repeat('ab ', 1 << 24)").alias("text"))
+    monkeypatch.setattr(io_queries, "docs", lambda *_: texts)
+    assert plan(registry.QUERIES["D1_within_first"](spark, SF)).count("RepartitionByExpression") == 1
+    assert "], 5" in plan(registry.QUERIES["D1_within_first"](spark, SF))
+
+
+def test_lines_are_numbered_without_their_texts(spark, tmp_path):
+    (tmp_path / "a.txt").write_text("one\n\ntwo\nthree\n")
+    rows = big_files.text_lines(spark, str(tmp_path)).select("file", "split", "at", (F.col("line") == "").alias("blank"))
+    assert [r["paragraph"] for r in big_files._paragraphs(rows, ["file"]).orderBy("at").collect()] == [0, 0, 1, 1]

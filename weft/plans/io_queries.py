@@ -191,4 +191,7 @@ def _big_files(spark, sf_dir):
 
 @query("D1_within_first", "SELECT doc_id FROM documents QUALIFY row_number() OVER (PARTITION BY md5(coalesce(text, '')) ORDER BY doc_id) = 1")
 def _within(spark, sf_dir):
-    return dedup.dedup_against(docs(spark, sf_dir).repartitionByRange(4, "doc_id").sortWithinPartitions("doc_id"), None, within=True).select("doc_id")
+    """The order of the input is that of doc_id; a range holds some 64 MB of texts, whatever the table's size."""
+    d = docs(spark, sf_dir)
+    size = d.agg(F.sum(F.octet_length("text"))).first()[0] or 0
+    return dedup.dedup_against(d.repartitionByRange(max(4, -(-size // (64 << 20))), "doc_id").sortWithinPartitions("doc_id"), None, within=True).select("doc_id")
