@@ -609,3 +609,18 @@ def test_suffix_dedup_query_against_brute_force(spark):
     docs = [(r["doc_id"], r["text"]) for r in spark.read.parquet(f"{SF}/documents.parquet").collect()]
     got = queries.op1_suffix_dedup(spark, SF).select("doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256").collect()
     assert sorted(map(tuple, got), key=repr) == brute_dedup(docs, 50)
+
+
+def test_near_duplicates_broadcast_no_tables(spark, edge_docs):
+    """Small joins of the operator pass nothing through the driver, and the session's settings come back."""
+    names = ("spark.sql.autoBroadcastJoinThreshold", "spark.sql.adaptive.autoBroadcastJoinThreshold", "spark.sql.execution.arrow.maxBytesPerBatch")
+    before = [spark.conf.get(n, None) for n in names]
+    store = spark._jsparkSession.sharedState().statusStore()
+    spark.sparkContext._jsc.sc().listenerBus().waitUntilEmpty(30_000)
+    last = max((store.executionsList().apply(k).executionId() for k in range(store.executionsList().size())), default=-1)
+    found = jaccard.components(edge_docs, links=True)
+    assert [spark.conf.get(n, None) for n in names] == before
+    spark.sparkContext._jsc.sc().listenerBus().waitUntilEmpty(30_000)
+    run = [e for e in (store.executionsList().apply(k) for k in range(store.executionsList().size())) if e.executionId() > last]
+    assert len(run) > 10 and not any("BroadcastExchange" in e.physicalPlanDescription() for e in run)
+    assert found.count() == edge_docs.count()

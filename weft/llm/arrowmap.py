@@ -68,13 +68,25 @@ def broadcast(spark: SparkSession, value: object):
 
 
 @contextmanager
-def batch_bytes(spark: SparkSession, most: int):
-    """While it lasts, jobs send batches of at most about so many bytes to Python. A batch is held several
-    times on its way (a vector's buffer doubles as it grows), by every task of an executor."""
-    name = "spark.sql.execution.arrow.maxBytesPerBatch"
-    before = spark.conf.get(name)
-    spark.conf.set(name, str(most))
+def settings(spark: SparkSession, values: dict[str, str]):
+    """While it lasts, the session has these settings; then those it had before."""
+    before = {name: spark.conf.get(name, None) for name in values}
+    for name, value in values.items():
+        spark.conf.set(name, value)
     try:
         yield
     finally:
-        spark.conf.set(name, before)
+        for name, value in before.items():
+            spark.conf.unset(name) if value is None else spark.conf.set(name, value)
+
+
+def batch_bytes(spark: SparkSession, most: int):
+    """While it lasts, jobs send batches of at most about so many bytes to Python. A batch is held several
+    times on its way (a vector's buffer doubles as it grows), by every task of an executor."""
+    return settings(spark, {"spark.sql.execution.arrow.maxBytesPerBatch": str(most)})
+
+
+def no_broadcast_joins(spark: SparkSession):
+    """While it lasts, joins broadcast nothing by themselves. Each broadcast table is collected and hashed by the
+    driver, and stays there until its garbage is collected: an operator of many small joins fills it with them."""
+    return settings(spark, {"spark.sql.autoBroadcastJoinThreshold": "-1", "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1"})
