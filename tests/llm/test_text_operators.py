@@ -619,8 +619,8 @@ def test_near_duplicates_broadcast_no_tables(spark, edge_docs):
     spark.sparkContext._jsc.sc().listenerBus().waitUntilEmpty(30_000)
     last = max((store.executionsList().apply(k).executionId() for k in range(store.executionsList().size())), default=-1)
     found = jaccard.components(edge_docs, links=True)
-    assert [spark.conf.get(n, None) for n in names] == before
+    after = [spark.conf.get(n, None) for n in names]
     spark.sparkContext._jsc.sc().listenerBus().waitUntilEmpty(30_000)
     run = [e for e in (store.executionsList().apply(k) for k in range(store.executionsList().size())) if e.executionId() > last]
     assert len(run) > 10 and not any("BroadcastExchange" in e.physicalPlanDescription() for e in run)
-    assert found.count() == edge_docs.count()
+    assert after == before and found.count() == edge_docs.count()
